@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlake.functions.scalar import is_false
-from cardlake.schemas import OPEN_END_SQL
+from cardlake.schemas import OPEN_END_SQL, empty_frame
 
 FLAG = "flag"        # a staged row with update_dt set is a new version
 COMPARE = "compare"  # a staged row differing from the current version is one
@@ -169,12 +169,12 @@ def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
     w = Window.partitionBy(k).orderBy(F.col("effective_from").asc_nulls_last(),
                                       *[F.col(a).asc_nulls_first() for a in spec.attrs],
                                       F.col("deleted_flg").asc_nulls_first())
-    nxt = F.coalesce(F.lead("effective_from", 1).over(w), open_end())
+    nxt = F.coalesce(F.col("_next_from"), open_end())
     eto = (F.when(F.col(k).isNull() | F.col("effective_from").isNull(), F.col("effective_to"))
             .when(F.col("deleted_flg"), F.least(F.col("effective_to"), nxt))
             .otherwise(nxt))
-    return history.select(k, *spec.attrs, "effective_from", eto.alias("effective_to"),
-                          "deleted_flg")
+    return (history.withColumn("_next_from", F.lead("effective_from", 1).over(w))
+            .select(k, *spec.attrs, "effective_from", eto.alias("effective_to"), "deleted_flg"))
 
 
 def scd2_apply_joins(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
@@ -253,8 +253,14 @@ def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) ->
 
 def initial_history(staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """First load: ``scd2_apply`` on an empty history."""
-    empty = staging.sparkSession.createDataFrame(
-        [], staging.select(spec.key, *spec.attrs).schema
-        .add("effective_from", "timestamp").add("effective_to", "timestamp")
-        .add("deleted_flg", "boolean"))
-    return scd2_apply(empty, staging, as_of, spec)
+    schema = (staging.select(spec.key, *spec.attrs).schema
+              .add("effective_from", "timestamp").add("effective_to", "timestamp")
+              .add("deleted_flg", "boolean"))
+    return scd2_apply(empty_frame(staging.sparkSession, schema), staging, as_of, spec)
+
+
+def as_current(staging: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Staged rows as open, live versions (what a first batch of unique keys
+    writes), without the keyed plan; for loaded-dimension fixtures."""
+    eff = _staged_from(spec) if spec.mode == FLAG else F.lit(None).cast("timestamp")
+    return _new_row(staging, spec, eff)

@@ -8,9 +8,10 @@ lags order by ``(trans_date, trans_id)`` so that ties are deterministic
 
 The range frames order by ``unix_micros(trans_date)`` with microsecond
 offsets: ``rangeBetween`` over a TIMESTAMP column is rejected by the
-DataFrame API. The lag window is applied first so its sort
-``(card_num, ts, trans_id)`` also satisfies the range windows' ordering:
-one exchange and one sort for all five windows.
+DataFrame API. That order key is materialised once as a column, and the lag
+window is applied first, so its sort ``(card_num, ts_us, trans_id)`` also
+satisfies the range windows' ordering: one exchange and one sort for all
+five windows.
 """
 
 from __future__ import annotations
@@ -26,16 +27,15 @@ WINDOW_COLUMNS = ["city_1", "city_2", "cnt_20_minute_trans", "amt_lag1", "amt_la
                   "amt_lag2", "amt_lag2_res"]
 
 
-def _ts_us():
-    return F.unix_micros(F.col("trans_date"))
+TS_US = "_ts_us"
 
 
 def card_windows(partition_cols=("card_num",)):
-    """The two window specs: (lag order, range order)."""
+    """The two window specs: (lag order, range order); both need ``_ts_us``."""
     part = [F.col(c) for c in partition_cols]
-    lag_w = Window.partitionBy(*part).orderBy(_ts_us().asc_nulls_last(),
+    lag_w = Window.partitionBy(*part).orderBy(F.col(TS_US).asc_nulls_last(),
                                               F.col("trans_id").asc_nulls_last())
-    rng = Window.partitionBy(*part).orderBy(_ts_us().asc_nulls_last())
+    rng = Window.partitionBy(*part).orderBy(F.col(TS_US).asc_nulls_last())
     return lag_w, rng
 
 
@@ -46,7 +46,7 @@ def with_windows(enriched: DataFrame, partition_cols=("card_num",)) -> DataFrame
     lag_w, rng = card_windows(partition_cols)
     hour = rng.rangeBetween(-CITY_WINDOW_SECONDS * US, 0)
     twenty = rng.rangeBetween(-PROBE_WINDOW_SECONDS * US, 0)
-    lagged = enriched.select(
+    lagged = enriched.withColumn(TS_US, F.unix_micros(F.col("trans_date"))).select(
         "*",
         F.lag("amt", 1).over(lag_w).alias("amt_lag1"),
         F.lag("oper_result", 1).over(lag_w).alias("amt_lag1_res"),
@@ -58,4 +58,4 @@ def with_windows(enriched: DataFrame, partition_cols=("card_num",)) -> DataFrame
         F.min("terminal_city").over(hour).alias("city_1"),
         F.max("terminal_city").over(hour).alias("city_2"),
         F.count("amt").over(twenty).alias("cnt_20_minute_trans"),
-    )
+    ).drop(TS_US)

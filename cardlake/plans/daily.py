@@ -23,10 +23,11 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardlake.operators.report import fraud_report
 from cardlake.operators.scd2 import SPECS, scd2_apply
-from cardlake.schemas import empty
+from cardlake.schemas import empty, empty_frame
 from cardlake.sources import staging as stg
 from cardlake.sources.files import expected_names
 
@@ -110,7 +111,8 @@ class Warehouse:
 
     def read_ledger(self) -> DataFrame:
         if not self._exists("ledger"):
-            return self.spark.createDataFrame([], "file_name string, load_dt date")
+            return empty_frame(self.spark, T.StructType([T.StructField("file_name", T.StringType()),
+                                                         T.StructField("load_dt", T.DateType())]))
         return self._read("ledger")
 
     def last_loaded_before(self, day) -> dt.date | None:

@@ -31,15 +31,16 @@ D1, D2, D3 = fx.DAYS
 # -- shared derivations -------------------------------------------------------
 
 def _part_c_dims(t: fx.Tables):
-    """Part C snapshots staged and loaded as a first batch (all versions current)."""
+    """Part C snapshots as loaded dimension tables: every staged row is the
+    current version (the history a first batch writes; the SCD2 keys and the
+    daily run cover how it is built)."""
     return dict(
-        cards_hist=scd2.initial_history(staging.stage_cards(fx.cards_snapshot(t)), D1, scd2.CARDS),
-        accounts_hist=scd2.initial_history(staging.stage_accounts(fx.accounts_snapshot(t)), D1,
-                                           scd2.ACCOUNTS),
-        clients_hist=scd2.initial_history(staging.stage_clients(fx.clients_snapshot(t)), D1,
-                                          scd2.CLIENTS),
-        terminals_hist=scd2.initial_history(staging.stage_terminals(fx.terminals_snapshot(t)), D1,
-                                            scd2.TERMINALS),
+        cards_hist=scd2.as_current(staging.stage_cards(fx.cards_snapshot(t)), scd2.CARDS),
+        accounts_hist=scd2.as_current(staging.stage_accounts(fx.accounts_snapshot(t)),
+                                      scd2.ACCOUNTS),
+        clients_hist=scd2.as_current(staging.stage_clients(fx.clients_snapshot(t)), scd2.CLIENTS),
+        terminals_hist=scd2.as_current(staging.stage_terminals(fx.terminals_snapshot(t)),
+                                       scd2.TERMINALS),
         blacklist=staging.to_blacklist_fact(staging.stage_blacklist(fx.blacklist_snapshot(t))),
     )
 

@@ -125,5 +125,11 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select([_checked(c, table) for c in TABLES[table]])
 
 
+def empty_frame(spark, schema: T.StructType) -> DataFrame:
+    """A typed empty frame built JVM-side (no Python RDD, no Python worker)."""
+    return spark.range(0).select(
+        [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def empty(spark, table: str) -> DataFrame:
-    return spark.createDataFrame([], struct_type(table))
+    return empty_frame(spark, struct_type(table))
