@@ -64,7 +64,7 @@ def file_date(name) -> Column:
 def file_date_or_null(name) -> Column:
     """Like ``file_date`` but NULL for a malformed date (for a reject report)."""
     stem = F.substring_index(_c(name), ".", 1)
-    return F.try_to_date(F.substring(stem, -8, 8), F.lit(FILE_DATE_FORMAT))
+    return F.try_to_date(F.substring(stem, -8, 8), FILE_DATE_FORMAT)
 
 
 def date_token(d) -> Column:

@@ -19,6 +19,7 @@ day *n-1*'s -- while everything inside a date is one Spark job per table.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,19 +122,40 @@ class Warehouse:
         return led.where(F.col("load_dt") < _d(day)).agg(F.max("load_dt")).first()[0]
 
 
-def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date) -> None:
-    """Stage, maintain the four dimensions, load the facts, build the report."""
-    prev = wh.last_loaded_before(day)
+_LOOKUP = object()
+
+
+def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
+            prev=_LOOKUP, parallel: int = 6) -> None:
+    """Stage, maintain the four dimensions, load the facts, build the report.
+
+    ``prev`` is the previous batch date (looked up in the ledger when not
+    given). The six table loads of a date are independent Spark jobs and are
+    submitted concurrently from ``parallel`` driver threads; the report waits
+    for all of them and reads what they wrote.
+    """
+    if prev is _LOOKUP:
+        prev = wh.last_loaded_before(day)
     staged = {
         "clients": stg.stage_clients(source.clients(day)),
         "accounts": stg.stage_accounts(source.accounts(day)),
         "cards": stg.stage_cards(source.cards(day)),
         "terminals": stg.stage_terminals(source.terminals(day)),
     }
-    for name, spec in SPECS.items():
-        wh.write_dim(name, day, scd2_apply(wh.read_dim(name, prev), staged[name], day, spec))
-    wh.write_fact(day, stg.to_fact(stg.stage_transactions(source.transactions(day))))
-    wh.write_blacklist(day, stg.to_blacklist_fact(stg.stage_blacklist(source.blacklist(day))))
+    loads = [lambda name=name, spec=spec: wh.write_dim(
+        name, day, scd2_apply(wh.read_dim(name, prev), staged[name], day, spec))
+        for name, spec in SPECS.items()]
+    loads.append(lambda: wh.write_fact(
+        day, stg.to_fact(stg.stage_transactions(source.transactions(day)))))
+    loads.append(lambda: wh.write_blacklist(
+        day, stg.to_blacklist_fact(stg.stage_blacklist(source.blacklist(day)))))
+    if parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            for fut in [pool.submit(f) for f in loads]:
+                fut.result()
+    else:
+        for f in loads:
+            f()
 
     rep = fraud_report(wh.read_fact(up_to=day).drop("load_dt"),
                        wh.read_dim("cards", day), wh.read_dim("accounts", day),
@@ -144,8 +166,15 @@ def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.dat
     wh.write_ledger(day, names)
 
 
-def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None) -> Warehouse:
-    """Every date in ascending order (``source.dates()`` when not given)."""
-    for day in sorted(dates if dates is not None else source.dates()):
-        run_day(spark, source, wh, day)
+def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
+        parallel: int = 6) -> Warehouse:
+    """Every date in ascending order (``source.dates()`` when not given).
+
+    Dates run one after the other (day *n* reads day *n-1*'s history).
+    """
+    days = sorted(dates if dates is not None else source.dates())
+    prev = wh.last_loaded_before(days[0]) if days else None
+    for day in days:
+        run_day(spark, source, wh, day, prev=prev, parallel=parallel)
+        prev = day
     return wh

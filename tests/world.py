@@ -1,0 +1,72 @@
+"""Tiny hand-made warehouses for rule and report unit tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from cardlake.operators.report import flagged, report
+from cardlake.operators.scd2 import open_end
+
+
+def ts(s: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(s)
+
+
+FACT_SCHEMA = ("trans_id string, trans_date string, card_num string, oper_type string, "
+               "amt decimal(18,2), oper_result string, terminal string")
+
+
+def fact(spark, rows):
+    """rows: (trans_id, 'YYYY-MM-DD HH:MM:SS', card, amount, result, terminal)."""
+    data = [(tid, t, card, "PAY", Decimal(str(a)) if a is not None else None, res, term)
+            for tid, t, card, a, res, term in rows]
+    df = spark.createDataFrame(data, FACT_SCHEMA)
+    return df.withColumn("trans_date", F.to_timestamp("trans_date"))
+
+
+def _current(df):
+    return df.withColumns({"effective_from": F.lit("2020-01-01").cast("timestamp"),
+                           "effective_to": open_end(), "deleted_flg": F.lit(False)})
+
+
+def dims(spark, cards=None, accounts=None, clients=None, terminals=None, blacklist=None):
+    """Defaults: card C1 -> account A1 -> client K1 (passport P1, valid 2030),
+    terminals T1 in CITY_A and T2 in CITY_B, empty blacklist."""
+    cards = cards if cards is not None else [("C1", "A1")]
+    accounts = accounts if accounts is not None else [("A1", "2030-01-01", "K1")]
+    clients = clients if clients is not None else [
+        ("K1", "Ivanov", "Ivan", "Ivanovich", "P1", "2030-01-01", "+100")]
+    terminals = terminals if terminals is not None else [("T1", "CITY_A"), ("T2", "CITY_B")]
+    blacklist = blacklist if blacklist is not None else []
+    c = _current(spark.createDataFrame(cards, "card_num string, account_num string"))
+    a = _current(spark.createDataFrame(accounts, "account_num string, valid_to string, client string")
+                 .withColumn("valid_to", F.to_date("valid_to")))
+    k = _current(spark.createDataFrame(
+        clients, "client_id string, last_name string, first_name string, patronymic string, "
+                 "passport_num string, passport_valid_to string, phone string")
+        .withColumn("passport_valid_to", F.to_date("passport_valid_to"))
+        .withColumn("date_of_birth", F.lit(None).cast("date")))
+    t = _current(spark.createDataFrame(terminals, "terminal_id string, terminal_city string")
+                 .withColumns({"terminal_type": F.lit("POS"), "terminal_address": F.lit("x")}))
+    b = (spark.createDataFrame(blacklist, "entry_dt string, passport string")
+         .withColumn("entry_dt", F.to_date("entry_dt")))
+    return dict(cards_hist=c, accounts_hist=a, clients_hist=k, terminals_hist=t, blacklist=b)
+
+
+def flags(spark, txns, **dim_rows):
+    """{trans_id: (passport, contract, city_hop, probe)} for one row per id
+    (asserts that there is no fan-out unless the caller asked for it)."""
+    rows = flagged(fact(spark, txns), **dims(spark, **dim_rows)).collect()
+    return {r.trans_id: (r.mark_bad_passport, r.mark_bad_contract, r.bad_trans1, r.bad_trans2)
+            for r in rows}
+
+
+def flagged_rows(spark, txns, **dim_rows):
+    return flagged(fact(spark, txns), **dims(spark, **dim_rows))
+
+
+def report_rows(spark, txns, report_dt="2021-03-10", **dim_rows):
+    return report(flagged_rows(spark, txns, **dim_rows), report_dt).collect()
