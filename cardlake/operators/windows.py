@@ -59,3 +59,84 @@ def with_windows(enriched: DataFrame, partition_cols=("card_num",)) -> DataFrame
         F.max("terminal_city").over(hour).alias("city_2"),
         F.count("amt").over(twenty).alias("cnt_20_minute_trans"),
     ).drop(TS_US)
+
+
+# ---------------------------------------------------------------------------
+# Hot cards: the same windows with each card split into time buckets
+# ---------------------------------------------------------------------------
+
+BKT, ROLE = "_bkt", "_role"
+NULL_BUCKET = 1 << 62          # rows without a timestamp sort after every bucket
+HALO_SECONDS = max(CITY_WINDOW_SECONDS, PROBE_WINDOW_SECONDS)
+
+
+def with_windows_split(enriched: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
+    """``with_windows`` for data where one card may hold a large share of all rows.
+
+    Partitioning by ``card_num`` alone puts every row of a card in one task.
+    Here each card is split into buckets of ``bucket_seconds`` and the
+    partition key is ``(card_num, bucket)``:
+
+    1. *Range halo.* A row in the last hour of its bucket is also emitted
+       (``explode``, same pass) into the next bucket as context, so every
+       1-hour / 20-minute frame of a bucket's own rows is complete. Cost:
+       ``1 hour / bucket length`` extra rows (4 % at the default day).
+    2. *Pass 1* computes all five windows per ``(card, bucket)``. A row's lags
+       are exact when at least two rows precede it in its partition.
+    3. *Pass 2* fixes the rest: each bucket's first two rows ("heads") and
+       last two own rows ("tails") form a small frame -- at most four rows per
+       card and bucket, whatever the card's volume -- whose lags, ordered per
+       card, are the exact global ones: the rows just before a head are either
+       earlier heads of its bucket or tails of the nearest non-empty earlier
+       buckets. The corrected heads replace their pass-1 copies by a union;
+       nothing is joined back to the big side.
+
+    The result equals ``with_windows`` row for row (fan-out copies included).
+    """
+    if bucket_seconds < HALO_SECONDS:
+        raise ValueError("a bucket must be at least as long as the longest range frame")
+    b_us = bucket_seconds * US
+    halo_us = HALO_SECONDS * US
+    ts = F.col(TS_US)
+    e = enriched.withColumn(TS_US, F.unix_micros(F.col("trans_date")))
+    # exact floor division, also before 1970
+    own = F.when(ts.isNull(), F.lit(NULL_BUCKET)).otherwise(
+        F.expr(f"({TS_US} - pmod({TS_US}, {b_us})) div {b_us}"))
+    in_last_hour = ts.isNotNull() & (F.pmod(ts, F.lit(b_us)) >= b_us - halo_us)
+    targets = F.when(in_last_hour, F.array(own, own + 1)).otherwise(F.array(own))
+    e = (e.withColumn("_own", own).withColumn(BKT, F.explode(targets))
+         .withColumn(ROLE, (F.col(BKT) != F.col("_own")).cast("int")).drop("_own"))
+    # explicit exchange on (card, bucket): a hot card spreads over its buckets
+    u = e.repartition("card_num", BKT)
+
+    lag_w, rng = card_windows(("card_num", BKT))
+    whole = Window.partitionBy("card_num", BKT)
+    hour = rng.rangeBetween(-CITY_WINDOW_SECONDS * US, 0)
+    twenty = rng.rangeBetween(-PROBE_WINDOW_SECONDS * US, 0)
+    lag_cols = ["amt_lag1", "amt_lag1_res", "amt_lag2", "amt_lag2_res"]
+
+    def lags(w):
+        return [F.lag("amt", 1).over(w).alias("amt_lag1"),
+                F.lag("oper_result", 1).over(w).alias("amt_lag1_res"),
+                F.lag("amt", 2).over(w).alias("amt_lag2"),
+                F.lag("oper_result", 2).over(w).alias("amt_lag2_res")]
+
+    p1 = u.select("*", *lags(lag_w), F.row_number().over(lag_w).alias("_pos"),
+                  F.count(F.lit(1)).over(whole).alias("_n_all")) \
+        .select("*", F.min("terminal_city").over(hour).alias("city_1"),
+                F.max("terminal_city").over(hour).alias("city_2"),
+                F.count("amt").over(twenty).alias("cnt_20_minute_trans")) \
+        .where(F.col(ROLE) == 0)
+
+    # pass 2 on heads and tails only (halo rows all sort before own rows).
+    # Both branches keep every column of p1, so the (card, bucket) exchange
+    # below them is one reused shuffle stage, and the result is a union: no
+    # join back to the big side.
+    is_head = F.col("_pos") <= 2
+    is_tail = F.col("_pos") > F.col("_n_all") - 2
+    out_cols = [*enriched.columns, *lag_cols, "city_1", "city_2", "cnt_20_minute_trans"]
+    fix_w = card_windows(("card_num",))[0]
+    fixed = (p1.where(is_head | is_tail).drop(*lag_cols)
+             .select("*", *lags(fix_w))
+             .where(is_head))
+    return p1.where(~is_head).select(out_cols).unionByName(fixed.select(out_cols))
