@@ -11,7 +11,6 @@ from cardlake.functions.scalar import event_day
 from cardlake.operators.enrich import enrich
 from cardlake.operators.rules import with_flags
 from cardlake.operators.windows import with_windows, with_windows_split
-
 from cardlake.schemas import (
     LABEL_AMOUNT_PROBE,
     LABEL_BAD_CONTRACT,

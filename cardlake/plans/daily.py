@@ -136,6 +136,8 @@ def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.dat
     """
     if prev is _LOOKUP:
         prev = wh.last_loaded_before(day)
+    if hasattr(source, "check"):
+        source.check(day)          # every input of the date exists before any write (Q19)
     staged = {
         "clients": stg.stage_clients(source.clients(day)),
         "accounts": stg.stage_accounts(source.accounts(day)),
@@ -162,8 +164,9 @@ def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.dat
                        wh.read_dim("clients", day), wh.read_dim("terminals", day),
                        wh.read_blacklist(day), day)
     wh.write_report(day, rep)
-    names = spark.range(1).select(F.explode(F.array(*expected_names(_d(day)))).alias("file_name"))
-    wh.write_ledger(day, names)
+    listed = ([F.lit(n) for n in source.file_names(day)] if hasattr(source, "file_names")
+              else expected_names(_d(day)))
+    wh.write_ledger(day, spark.range(1).select(F.explode(F.array(*listed)).alias("file_name")))
 
 
 def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
