@@ -112,17 +112,18 @@ def _checked(c: Col, table: str) -> Column:
     return v.alias(c.name)
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Select the table's columns in order, cast, and enforce varchar limits.
 
     Missing columns are an error (a writer must supply every column, even as
-    NULL); extra columns are dropped. The length check is a lazy expression,
-    so it costs no extra pass over the data.
+    NULL); extra columns are dropped unless named in ``keep`` (e.g. a
+    partition column). The length check is a lazy expression, so it costs no
+    extra pass over the data.
     """
     missing = [c.name for c in TABLES[table] if c.name not in df.columns]
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
-    return df.select([_checked(c, table) for c in TABLES[table]])
+    return df.select([_checked(c, table) for c in TABLES[table]] + [F.col(k) for k in keep])
 
 
 def empty_frame(spark, schema: T.StructType) -> DataFrame:

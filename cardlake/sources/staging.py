@@ -49,7 +49,7 @@ def stage_blacklist(rows: DataFrame) -> DataFrame:
     return conform(rows, "stg_blacklist")
 
 
-def stage_transactions(text_rows: DataFrame) -> DataFrame:
+def stage_transactions(text_rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Amount text (decimal comma or point) -> decimal(18,2).
 
     An amount that does not parse -- including an empty one -- fails the
@@ -61,7 +61,7 @@ def stage_transactions(text_rows: DataFrame) -> DataFrame:
         F.lit("unparsable amount in transaction "),
         F.coalesce(F.col("transaction_id").cast("string"), F.lit("?")), F.lit(": "),
         F.coalesce(F.col("amount"), F.lit("NULL"))))).otherwise(parsed)
-    return conform(text_rows.withColumn("amount", amount), "stg_transactions")
+    return conform(text_rows.withColumn("amount", amount), "stg_transactions", keep)
 
 
 def null_key_rows(staged: DataFrame, key: str) -> DataFrame:
@@ -69,14 +69,14 @@ def null_key_rows(staged: DataFrame, key: str) -> DataFrame:
     return staged.where(F.col(key).isNull())
 
 
-def to_fact(stg_transactions: DataFrame) -> DataFrame:
+def to_fact(stg_transactions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """K4 projection (P11): id to text, timestamp text to timestamp, amount as is."""
     return conform(stg_transactions.select(
         F.col("transaction_id").cast("string").alias("trans_id"),
         F.to_timestamp("transaction_date").alias("trans_date"),
         "card_num", "oper_type",
         F.col("amount").alias("amt"),
-        "oper_result", "terminal"), "fact_transactions")
+        "oper_result", "terminal", *keep), "fact_transactions", keep)
 
 
 def to_blacklist_fact(stg_blacklist: DataFrame) -> DataFrame:
