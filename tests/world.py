@@ -64,8 +64,10 @@ def flags(spark, txns, **dim_rows):
             for r in rows}
 
 
-def flagged_rows(spark, txns, **dim_rows):
-    return flagged(fact(spark, txns), **dims(spark, **dim_rows))
+def flagged_rows(spark, txns, bucket_seconds="default", **dim_rows):
+    if bucket_seconds == "default":
+        return flagged(fact(spark, txns), **dims(spark, **dim_rows))
+    return flagged(fact(spark, txns), **dims(spark, **dim_rows), bucket_seconds=bucket_seconds)
 
 
 def report_rows(spark, txns, report_dt="2021-03-10", **dim_rows):
