@@ -18,10 +18,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from cardlake.schemas import DECIMAL, RESULT_REJECT, RESULT_SUCCESS
+from cardlake.schemas import RESULT_REJECT, RESULT_SUCCESS
 
 # ---------------------------------------------------------------------------
 # Fixed recipe parameters (shared with plans.oracle)
@@ -41,6 +40,17 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations")
 
 
+# Schemas of the driver tables the recipes read (identical at every scale
+# factor); declaring them spares a footer read per scan.
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 class Tables:
     """Lazy parquet readers for the driver tables of one scale factor."""
 
@@ -49,112 +59,98 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-
-def _key(c: str) -> Column:
-    return F.col(c).cast("string")
+        r = self.spark.read
+        if name in SOURCE_SCHEMAS:
+            r = r.schema(SOURCE_SCHEMAS[name])
+        return r.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
 def _day_n(day: dt.date) -> int:
     return DAYS.index(day) + 1
 
 
+# The recipes are Spark SQL expression text: one ``selectExpr`` per frame is
+# one JVM call, where a Column chain costs a call per operator.
+_KEY = "CAST(c_custkey AS STRING)"
+_CREATE = f"TIMESTAMP'{CREATE_DT}' AS create_dt"
+_NO_UPDATE = "CAST(NULL AS TIMESTAMP) AS update_dt"
+
+
+def _valid_to(mult: int, mod: int) -> str:
+    return f"date_add(DATE'{VALID_BASE}', CAST((c_custkey * {mult}) % {mod} AS INT))"
+
+
 # ---------------------------------------------------------------------------
 # Part C
 # ---------------------------------------------------------------------------
 
 def fact_transactions(t: Tables) -> DataFrame:
-    e = t("events").select("event_id", "ts", "user_id", "event_type", "value")
-    trans_date = F.expr(
+    return t("events").selectExpr(
+        "CAST(event_id AS STRING) AS trans_id",
         f"timestamp_micros({EPOCH_US} + "
-        f"(unix_micros(cast(ts as timestamp)) - {EPOCH_US}) div {TIME_COMPRESSION})")
-    terminal = (F.when(F.col("event_id") % 50 == 7, F.lit("-1"))
-                .when(F.col("event_id") % 12 == 0, (F.col("event_id") % 13).cast("string"))
-                .otherwise((F.col("user_id") % 9).cast("string")))
-    return e.select(
-        _key("event_id").alias("trans_id"),
-        trans_date.alias("trans_date"),
-        _key("user_id").alias("card_num"),
-        F.col("event_type").alias("oper_type"),
-        F.col("value").cast(DECIMAL).alias("amt"),
-        F.when(F.col("event_type").isin("error", "signup"), F.lit(RESULT_REJECT))
-         .otherwise(F.lit(RESULT_SUCCESS)).alias("oper_result"),
-        terminal.alias("terminal"),
-    )
-
-
-def _customer(t: Tables) -> DataFrame:
-    return t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-
-
-def _dated(df: DataFrame, update: Column | None = None) -> DataFrame:
-    upd = update if update is not None else F.lit(None).cast("timestamp")
-    return df.withColumns({"create_dt": F.lit(CREATE_DT).cast("timestamp"),
-                           "update_dt": upd})
-
-
-def _valid_to(mult: int, mod: int) -> Column:
-    return F.date_add(F.lit(VALID_BASE).cast("date"), ((F.col("c_custkey") * mult) % mod).cast("int"))
+        f"(unix_micros(CAST(ts AS TIMESTAMP)) - {EPOCH_US}) div {TIME_COMPRESSION}) AS trans_date",
+        "CAST(user_id AS STRING) AS card_num",
+        "event_type AS oper_type",
+        "CAST(value AS DECIMAL(18,2)) AS amt",
+        f"CASE WHEN event_type IN ('error', 'signup') THEN '{RESULT_REJECT}' "
+        f"ELSE '{RESULT_SUCCESS}' END AS oper_result",
+        "CASE WHEN event_id % 50 = 7 THEN '-1' "
+        "WHEN event_id % 12 = 0 THEN CAST(event_id % 13 AS STRING) "
+        "ELSE CAST(user_id % 9 AS STRING) END AS terminal")
 
 
 def cards_snapshot(t: Tables) -> DataFrame:
-    c = _customer(t)
-    return _dated(c.select(_key("c_custkey").alias("card_num"), _key("c_custkey").alias("account")))
+    return t("customer").selectExpr(f"{_KEY} AS card_num", f"{_KEY} AS account", _CREATE,
+                                    _NO_UPDATE)
 
 
 def accounts_snapshot(t: Tables) -> DataFrame:
-    c = _customer(t)
-    return _dated(c.select(_key("c_custkey").alias("account"), _valid_to(7, 60).alias("valid_to"),
-                           _key("c_custkey").alias("client")))
+    return t("customer").selectExpr(f"{_KEY} AS account", f"{_valid_to(7, 60)} AS valid_to",
+                                    f"{_KEY} AS client", _CREATE, _NO_UPDATE)
 
 
-def _client_cols(phone: Column | None = None) -> list[Column]:
-    k = F.col("c_custkey")
+def _client_cols(phone: str = "CAST(c_nationkey AS STRING)") -> list[str]:
     return [
-        _key("c_custkey").alias("client_id"),
-        F.col("c_name").alias("last_name"),
-        F.col("c_mktsegment").alias("first_name"),
-        F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(F.lit("P")).alias("patronymic"),
-        F.date_add(F.lit(BIRTH_BASE).cast("date"), ((k * 13) % 18000).cast("int")).alias("date_of_birth"),
-        F.concat(F.lit("P"), _key("c_custkey")).alias("passport_num"),
-        _valid_to(11, 90).alias("passport_valid_to"),
-        (phone if phone is not None else _key("c_nationkey")).alias("phone"),
+        f"{_KEY} AS client_id",
+        "c_name AS last_name",
+        "c_mktsegment AS first_name",
+        "CASE WHEN c_custkey % 4 = 0 THEN CAST(NULL AS STRING) ELSE 'P' END AS patronymic",
+        f"date_add(DATE'{BIRTH_BASE}', CAST((c_custkey * 13) % 18000 AS INT)) AS date_of_birth",
+        f"concat('P', {_KEY}) AS passport_num",
+        f"{_valid_to(11, 90)} AS passport_valid_to",
+        f"{phone} AS phone",
     ]
 
 
 def clients_snapshot(t: Tables) -> DataFrame:
-    c = _customer(t).where(F.col("c_custkey") % 10 != 9)
-    return _dated(c.select(*_client_cols()))
+    return t("customer").where("c_custkey % 10 <> 9").selectExpr(*_client_cols(), _CREATE,
+                                                                 _NO_UPDATE)
 
 
-def _terminal_cols(city: Column | None = None) -> list[Column]:
-    k = F.col("s_suppkey")
+def _terminal_cols(city: str = "concat('CITY_', CAST(s_nationkey % 5 AS STRING))") -> list[str]:
     return [
-        _key("s_suppkey").alias("terminal_id"),
-        F.when(k % 3 == 0, F.lit("ATM")).otherwise(F.lit("POS")).alias("terminal_type"),
-        (city if city is not None else
-         F.concat(F.lit("CITY_"), (F.col("s_nationkey") % 5).cast("string"))).alias("terminal_city"),
-        F.col("s_name").alias("terminal_address"),
+        "CAST(s_suppkey AS STRING) AS terminal_id",
+        "CASE WHEN s_suppkey % 3 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type",
+        f"{city} AS terminal_city",
+        "s_name AS terminal_address",
     ]
 
 
 def terminals_snapshot(t: Tables) -> DataFrame:
-    return t("supplier").select(*_terminal_cols())
+    return t("supplier").selectExpr(*_terminal_cols())
 
 
 def blacklist_snapshot(t: Tables, up_to: dt.date | None = None) -> DataFrame:
     """Staging form (``date``, ``passport``); two entry dates, the second one
     repeating passports of the first (duplicates on purpose, ledger Q1)."""
-    c = _customer(t)
-    passport = F.concat(F.lit("P"), _key("c_custkey")).alias("passport")
-    first = c.where(F.col("c_custkey") % 37 == 0).select(
-        F.lit("2024-01-01").cast("date").alias("date"), passport)
-    second = c.where(F.col("c_custkey") % 74 == 0).select(
-        F.lit("2024-01-02").cast("date").alias("date"), passport)
+    c = t("customer")
+    first = c.where("c_custkey % 37 = 0").selectExpr("DATE'2024-01-01' AS date",
+                                                      f"concat('P', {_KEY}) AS passport")
+    second = c.where("c_custkey % 74 = 0").selectExpr("DATE'2024-01-02' AS date",
+                                                       f"concat('P', {_KEY}) AS passport")
     out = first.unionByName(second)
     if up_to is not None:
-        out = out.where(F.col("date") <= F.lit(str(up_to)).cast("date"))
+        out = out.where(f"date <= DATE'{up_to}'")
     return out
 
 
@@ -164,15 +160,13 @@ def transactions_text(t: Tables, day: dt.date | None = None) -> DataFrame:
     both forms are accepted)."""
     f = fact_transactions(t)
     if day is not None:
-        f = f.where(F.to_date("trans_date") == F.lit(str(day)).cast("date"))
-    amt_txt = F.col("amt").cast("string")
-    return f.select(
-        F.col("trans_id").cast("long").alias("transaction_id"),
-        F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
-        F.when(F.col("trans_id").cast("long") % 3 == 0, amt_txt)
-         .otherwise(F.replace(amt_txt, F.lit("."), F.lit(","))).alias("amount"),
-        "card_num", "oper_type", "oper_result", "terminal",
-    )
+        f = f.where(f"to_date(trans_date) = DATE'{day}'")
+    return f.selectExpr(
+        "CAST(trans_id AS BIGINT) AS transaction_id",
+        "date_format(trans_date, 'yyyy-MM-dd HH:mm:ss') AS transaction_date",
+        "CASE WHEN CAST(trans_id AS BIGINT) % 3 = 0 THEN CAST(amt AS STRING) "
+        "ELSE replace(CAST(amt AS STRING), '.', ',') END AS amount",
+        "card_num", "oper_type", "oper_result", "terminal")
 
 
 # ---------------------------------------------------------------------------
@@ -180,48 +174,47 @@ def transactions_text(t: Tables, day: dt.date | None = None) -> DataFrame:
 # ``account``, renamed by the stager)
 # ---------------------------------------------------------------------------
 
-def _present(key: Column, day: dt.date) -> Column:
-    return key % 10 != DROP_DIGIT[_day_n(day)]
+def _present(key: str, day: dt.date) -> str:
+    return f"{key} % 10 <> {DROP_DIGIT[_day_n(day)]}"
 
 
-def _changed(key: Column, day: dt.date) -> Column:
-    return F.lit(_day_n(day) >= 2) & (key % CHANGE_MOD == CHANGE_REM)
+def _changed(key: str, day: dt.date) -> str:
+    return f"({'TRUE' if _day_n(day) >= 2 else 'FALSE'} AND {key} % {CHANGE_MOD} = {CHANGE_REM})"
 
 
-def _update(key: Column, day: dt.date) -> Column:
-    return F.when(_changed(key, day), F.lit(CHANGE_DT).cast("timestamp"))
+def _update(key: str, day: dt.date) -> str:
+    return f"CASE WHEN {_changed(key, day)} THEN TIMESTAMP'{CHANGE_DT}' END AS update_dt"
 
 
 def clients_day(t: Tables, day: dt.date) -> DataFrame:
-    k = F.col("c_custkey")
-    c = _customer(t).where(_present(k, day))
-    phone = F.when(_changed(k, day), F.lit("NEW")).otherwise(_key("c_nationkey"))
-    return _dated(c.select("c_custkey", *_client_cols(phone)), _update(k, day)).drop("c_custkey")
+    k = "c_custkey"
+    phone = f"CASE WHEN {_changed(k, day)} THEN 'NEW' ELSE CAST(c_nationkey AS STRING) END"
+    return t("customer").where(_present(k, day)).selectExpr(*_client_cols(phone), _CREATE,
+                                                            _update(k, day))
 
 
 def accounts_day(t: Tables, day: dt.date) -> DataFrame:
-    k = F.col("c_custkey")
-    c = _customer(t).where(_present(k, day))
-    valid_to = F.when(_changed(k, day), F.date_add(_valid_to(7, 60), 365)).otherwise(_valid_to(7, 60))
-    return _dated(c.select(k, _key("c_custkey").alias("account"), valid_to.alias("valid_to"),
-                           _key("c_custkey").alias("client")), _update(k, day)).drop("c_custkey")
+    k = "c_custkey"
+    v = _valid_to(7, 60)
+    return t("customer").where(_present(k, day)).selectExpr(
+        f"{_KEY} AS account",
+        f"CASE WHEN {_changed(k, day)} THEN date_add({v}, 365) ELSE {v} END AS valid_to",
+        f"{_KEY} AS client", _CREATE, _update(k, day))
 
 
 def cards_day(t: Tables, day: dt.date) -> DataFrame:
     """A changed card is re-issued on the same account (flag mode needs no
     attribute difference, only ``update_dt``)."""
-    k = F.col("c_custkey")
-    c = _customer(t).where(_present(k, day))
-    return _dated(c.select(k, _key("c_custkey").alias("card_num"), _key("c_custkey").alias("account")),
-                  _update(k, day)).drop("c_custkey")
+    k = "c_custkey"
+    return t("customer").where(_present(k, day)).selectExpr(
+        f"{_KEY} AS card_num", f"{_KEY} AS account", _CREATE, _update(k, day))
 
 
 def terminals_day(t: Tables, day: dt.date) -> DataFrame:
-    k = F.col("s_suppkey")
-    s = t("supplier").where(_present(k, day))
-    city = F.when(_changed(k, day), F.lit("CITY_X")).otherwise(
-        F.concat(F.lit("CITY_"), (F.col("s_nationkey") % 5).cast("string")))
-    return s.select(*_terminal_cols(city))
+    k = "s_suppkey"
+    city = (f"CASE WHEN {_changed(k, day)} THEN 'CITY_X' "
+            f"ELSE concat('CITY_', CAST(s_nationkey % 5 AS STRING)) END")
+    return t("supplier").where(_present(k, day)).selectExpr(*_terminal_cols(city))
 
 
 class FixtureSource:

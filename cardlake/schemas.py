@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,12 +104,13 @@ def ddl(table: str) -> str:
     return ", ".join(f"`{c.name}` {c.dtype.simpleString()}" for c in TABLES[table])
 
 
-def _checked(c: Col, table: str) -> Column:
-    v = F.col(c.name).cast(c.dtype)
+def _checked(c: Col, table: str) -> str:
+    """SQL text of the cast (+ length check) of one column."""
+    v = f"CAST(`{c.name}` AS {c.dtype.simpleString()})"
     if c.max_len is not None:
-        msg = F.lit(f"value too long for {table}.{c.name} (varchar({c.max_len}))")
-        v = F.when(F.length(v) > c.max_len, F.raise_error(msg)).otherwise(v)
-    return v.alias(c.name)
+        msg = f"value too long for {table}.{c.name} (varchar({c.max_len}))"
+        v = f"CASE WHEN length({v}) > {c.max_len} THEN raise_error('{msg}') ELSE {v} END"
+    return f"{v} AS `{c.name}`"
 
 
 def conform(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -123,7 +124,8 @@ def conform(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     missing = [c.name for c in TABLES[table] if c.name not in df.columns]
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
-    return df.select([_checked(c, table) for c in TABLES[table]] + [F.col(k) for k in keep])
+    # one selectExpr: the whole projection is parsed JVM-side in one call
+    return df.selectExpr(*[_checked(c, table) for c in TABLES[table]], *[f"`{k}`" for k in keep])
 
 
 def empty_frame(spark, schema: T.StructType) -> DataFrame:
