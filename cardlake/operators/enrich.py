@@ -44,12 +44,15 @@ def card_profile(cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist:
 
 
 def enrich(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
-           clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """One row per (transaction x matching current dimension rows)."""
+           clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame,
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (transaction x matching current dimension rows).
+
+    ``carry`` names extra fact columns to pass through (e.g. a routing mark)."""
     trm = dim_current(terminals_hist).select(
         F.col("terminal_id").alias("_trm_id"), "terminal_city")
     prof = card_profile(cards_hist, accounts_hist, clients_hist, blacklist)
-    f = fact.select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal")
+    f = fact.select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal", *carry)
     out = (f.join(trm, F.col("terminal") == F.col("_trm_id"), "left")
            .join(prof, "card_num", "left"))
     # the name is built after the fact join: a transaction without a card,
@@ -58,4 +61,4 @@ def enrich(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
         "trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal",
         "terminal_city", "account_num", "valid_to", "client_id",
         full_name("last_name", "first_name", "patronymic").alias("fio"),
-        "passport_num", "passport_valid_to", "phone", "black_list_dt")
+        "passport_num", "passport_valid_to", "phone", "black_list_dt", *carry)

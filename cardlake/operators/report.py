@@ -18,10 +18,13 @@ from cardlake.schemas import (
     LABEL_CITY_HOP,
 )
 
-# Cards are split into day-long buckets for the windows by default, so that a
-# card holding a large share of all transactions is spread over many tasks.
-# ``None`` keeps one partition per card (one shuffle fewer).
+# Window partitioning. A card with more than DEFAULT_HOT_ROWS transactions
+# is split into buckets of DEFAULT_BUCKET_SECONDS (``with_windows_split``);
+# every other card keeps one partition (``with_windows``). The set of hot
+# cards has at most (transactions / DEFAULT_HOT_ROWS) rows.
+# ``bucket_seconds=None``: never split; ``hot_rows=0``: split every card.
 DEFAULT_BUCKET_SECONDS: int | None = 86400
+DEFAULT_HOT_ROWS = 2_000_000
 
 
 def event_type() -> Column:
@@ -32,13 +35,30 @@ def event_type() -> Column:
             .when(F.col("bad_trans2"), LABEL_AMOUNT_PROBE))
 
 
+def hot_cards(fact: DataFrame, hot_rows: int) -> DataFrame:
+    """Cards with more than ``hot_rows`` transactions (partial + final count,
+    so a hot card costs one row per map task in the shuffle)."""
+    return (fact.groupBy("card_num").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > hot_rows).select("card_num", F.lit(True).alias("_hot")))
+
+
 def flagged(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
             clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame,
-            bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+            bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+            hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """enrich (J3) -> windows (W1-W5) -> flags (R1-R4), one row per joined row."""
-    e = enrich(fact, cards_hist, accounts_hist, clients_hist, terminals_hist, blacklist)
-    w = with_windows(e) if bucket_seconds is None else with_windows_split(e, bucket_seconds)
-    return with_flags(w)
+    dims = (cards_hist, accounts_hist, clients_hist, terminals_hist, blacklist)
+    if bucket_seconds is None:
+        return with_flags(with_windows(enrich(fact, *dims)))
+    if hot_rows <= 0:
+        return with_flags(with_windows_split(enrich(fact, *dims), bucket_seconds))
+    # route whole cards: the mark joins on card_num, the key the fact is
+    # shuffled on for the profile join anyway
+    marked = fact.join(hot_cards(fact, hot_rows), "card_num", "left")
+    e = enrich(marked, *dims, carry=("_hot",))
+    cold = with_windows(e.where(F.col("_hot").isNull()).drop("_hot"))
+    hot = with_windows_split(e.where(F.col("_hot").isNotNull()).drop("_hot"), bucket_seconds)
+    return with_flags(cold.unionByName(hot))
 
 
 def report(flagged_rows: DataFrame, report_dt: dt.date | str) -> DataFrame:
@@ -58,6 +78,7 @@ def report(flagged_rows: DataFrame, report_dt: dt.date | str) -> DataFrame:
 def fraud_report(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
                  clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame,
                  report_dt: dt.date | str,
-                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                 hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     return report(flagged(fact, cards_hist, accounts_hist, clients_hist, terminals_hist,
-                          blacklist, bucket_seconds), report_dt)
+                          blacklist, bucket_seconds, hot_rows), report_dt)

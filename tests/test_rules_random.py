@@ -54,10 +54,11 @@ def test_windows_and_rules_match_brute_force(spark, seed):
              Decimal(amt) if amt is not None else None, res, term)
             for tid, t, card, amt, res, term in txns]
     expected = _model(rows)
-    for bucket in (None, 3600, 86400):
+    # plain; split everything (1 h and 1 day buckets); split only the hot card
+    for bucket, hot_rows in ((None, 0), (3600, 0), (86400, 0), (3600, 40)):
         got = {r.trans_id: (r.city_1, r.city_2, r.cnt_20_minute_trans, r.amt_lag1, r.amt_lag1_res,
                             r.amt_lag2, r.amt_lag2_res, r.bad_trans1, r.bad_trans2)
                for r in flagged_rows(spark, txns, cards=[("C1", "A1"), ("C2", "A1"), ("C3", "A1")],
                                      terminals=[(k, v) for k, v in CITY.items()],
-                                     bucket_seconds=bucket).collect()}
-        assert got == expected, bucket
+                                     bucket_seconds=bucket, hot_rows=hot_rows).collect()}
+        assert got == expected, (bucket, hot_rows)

@@ -64,10 +64,13 @@ def flags(spark, txns, **dim_rows):
             for r in rows}
 
 
-def flagged_rows(spark, txns, bucket_seconds="default", **dim_rows):
-    if bucket_seconds == "default":
-        return flagged(fact(spark, txns), **dims(spark, **dim_rows))
-    return flagged(fact(spark, txns), **dims(spark, **dim_rows), bucket_seconds=bucket_seconds)
+def flagged_rows(spark, txns, bucket_seconds="default", hot_rows=None, **dim_rows):
+    kw = {}
+    if bucket_seconds != "default":
+        kw["bucket_seconds"] = bucket_seconds
+    if hot_rows is not None:
+        kw["hot_rows"] = hot_rows
+    return flagged(fact(spark, txns), **dims(spark, **dim_rows), **kw)
 
 
 def report_rows(spark, txns, report_dt="2021-03-10", **dim_rows):
