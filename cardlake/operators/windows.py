@@ -30,11 +30,21 @@ WINDOW_COLUMNS = ["city_1", "city_2", "cnt_20_minute_trans", "amt_lag1", "amt_la
 TS_US = "_ts_us"
 
 
-def card_windows(partition_cols=("card_num",)):
+def tie_breakers(columns) -> list[str]:
+    """Every other column of the row, after ``(trans_date, trans_id)``: fan-out
+    copies of one transaction then sort the same way in every task attempt and
+    in every branch that re-sorts the same shuffle, and only fully identical
+    rows still tie (their order cannot change any result)."""
+    return [c for c in columns if c not in ("card_num", "trans_date", "trans_id", TS_US)
+            and not c.startswith("_")]
+
+
+def card_windows(partition_cols=("card_num",), tiebreak=()):
     """The two window specs: (lag order, range order); both need ``_ts_us``."""
     part = [F.col(c) for c in partition_cols]
     lag_w = Window.partitionBy(*part).orderBy(F.col(TS_US).asc_nulls_last(),
-                                              F.col("trans_id").asc_nulls_last())
+                                              F.col("trans_id").asc_nulls_last(),
+                                              *[F.col(c).asc_nulls_first() for c in tiebreak])
     rng = Window.partitionBy(*part).orderBy(F.col(TS_US).asc_nulls_last())
     return lag_w, rng
 
@@ -43,7 +53,7 @@ def with_windows(enriched: DataFrame, partition_cols=("card_num",)) -> DataFrame
     """Add W1 ``city_1``/W2 ``city_2`` (min/max terminal city in the last hour),
     W3 ``cnt_20_minute_trans`` (non-null amounts in the last 20 minutes) and
     W4/W5 the amount and result of the previous two operations."""
-    lag_w, rng = card_windows(partition_cols)
+    lag_w, rng = card_windows(partition_cols, tie_breakers(enriched.columns))
     hour = rng.rangeBetween(-CITY_WINDOW_SECONDS * US, 0)
     twenty = rng.rangeBetween(-PROBE_WINDOW_SECONDS * US, 0)
     lagged = enriched.withColumn(TS_US, F.unix_micros(F.col("trans_date"))).select(
@@ -109,7 +119,8 @@ def with_windows_split(enriched: DataFrame, bucket_seconds: int = 86400) -> Data
     # explicit exchange on (card, bucket): a hot card spreads over its buckets
     u = e.repartition("card_num", BKT)
 
-    lag_w, rng = card_windows(("card_num", BKT))
+    ties = tie_breakers(enriched.columns)
+    lag_w, rng = card_windows(("card_num", BKT), ties)
     whole = Window.partitionBy("card_num", BKT)
     hour = rng.rangeBetween(-CITY_WINDOW_SECONDS * US, 0)
     twenty = rng.rangeBetween(-PROBE_WINDOW_SECONDS * US, 0)
@@ -135,7 +146,7 @@ def with_windows_split(enriched: DataFrame, bucket_seconds: int = 86400) -> Data
     is_head = F.col("_pos") <= 2
     is_tail = F.col("_pos") > F.col("_n_all") - 2
     out_cols = [*enriched.columns, *lag_cols, "city_1", "city_2", "cnt_20_minute_trans"]
-    fix_w = card_windows(("card_num",))[0]
+    fix_w = card_windows(("card_num",), ties)[0]
     fixed = (p1.where(is_head | is_tail).drop(*lag_cols)
              .select("*", *lags(fix_w))
              .where(is_head))
