@@ -15,6 +15,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# the same expression as SQL text over last_name, first_name, patronymic
+FULL_NAME_SQL = ("concat(coalesce(last_name, ''), ' ', coalesce(first_name, ''), ' ', "
+                 "coalesce(patronymic, ''))")
+
+
 def full_name(last, first, middle) -> Column:
     """``last first middle`` with a NULL part read as empty text.
 

@@ -21,26 +21,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.functions.scalar import full_name
+from cardlake.functions.scalar import FULL_NAME_SQL
 from cardlake.operators.scd2 import dim_current
 
 
 def card_profile(cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist: DataFrame,
                  blacklist: DataFrame) -> DataFrame:
     """card_num -> contract end, client attributes, blacklist date (1..n rows per card)."""
-    crd = dim_current(cards_hist).select("card_num", "account_num")
-    acc = dim_current(accounts_hist).select("account_num", "valid_to", "client")
-    cli = dim_current(clients_hist).select(
+    crd = dim_current(cards_hist).selectExpr("card_num", "account_num")
+    acc = dim_current(accounts_hist).selectExpr("account_num", "valid_to", "client")
+    cli = dim_current(clients_hist).selectExpr(
         "client_id", "last_name", "first_name", "patronymic", "passport_num",
         "passport_valid_to", "phone")
-    blc = blacklist.select(F.col("passport").alias("_bl_passport"),
-                           F.col("entry_dt").alias("black_list_dt"))
-    prof = (crd.join(acc, "account_num", "left")
-            .join(cli, F.col("client") == F.col("client_id"), "left")
-            .join(blc, F.col("passport_num") == F.col("_bl_passport"), "left"))
-    return prof.select(
-        "card_num", "account_num", "valid_to", "client_id", "last_name", "first_name",
-        "patronymic", "passport_num", "passport_valid_to", "phone", "black_list_dt")
+    blc = blacklist.selectExpr("passport AS _bl_passport", "entry_dt AS black_list_dt")
+    return (crd.join(acc, "account_num", "left")
+            .join(cli, F.expr("client = client_id"), "left")
+            .join(blc, F.expr("passport_num = _bl_passport"), "left")
+            .selectExpr("card_num", "account_num", "valid_to", "client_id", "last_name",
+                        "first_name", "patronymic", "passport_num", "passport_valid_to", "phone",
+                        "black_list_dt"))
 
 
 def enrich(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
@@ -49,16 +48,16 @@ def enrich(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
     """One row per (transaction x matching current dimension rows).
 
     ``carry`` names extra fact columns to pass through (e.g. a routing mark)."""
-    trm = dim_current(terminals_hist).select(
-        F.col("terminal_id").alias("_trm_id"), "terminal_city")
+    trm = dim_current(terminals_hist).selectExpr("terminal_id AS _trm_id", "terminal_city")
     prof = card_profile(cards_hist, accounts_hist, clients_hist, blacklist)
-    f = fact.select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal", *carry)
-    out = (f.join(trm, F.col("terminal") == F.col("_trm_id"), "left")
+    f = fact.selectExpr("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal",
+                        *carry)
+    out = (f.join(trm, F.expr("terminal = _trm_id"), "left")
            .join(prof, "card_num", "left"))
     # the name is built after the fact join: a transaction without a card,
     # account or client still gets the two separating spaces (F1)
-    return out.select(
+    return out.selectExpr(
         "trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal",
         "terminal_city", "account_num", "valid_to", "client_id",
-        full_name("last_name", "first_name", "patronymic").alias("fio"),
+        f"{FULL_NAME_SQL} AS fio",
         "passport_num", "passport_valid_to", "phone", "black_list_dt", *carry)

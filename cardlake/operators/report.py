@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.functions.scalar import event_day
 from cardlake.operators.enrich import enrich
 from cardlake.operators.rules import with_flags
 from cardlake.operators.windows import with_windows, with_windows_split
@@ -27,12 +26,15 @@ DEFAULT_BUCKET_SECONDS: int | None = 86400
 DEFAULT_HOT_ROWS = 2_000_000
 
 
+# First matching rule wins; no ELSE (rows reaching here match one)
+EVENT_TYPE_SQL = (f"CASE WHEN mark_bad_passport THEN '{LABEL_BAD_PASSPORT}' "
+                  f"WHEN mark_bad_contract THEN '{LABEL_BAD_CONTRACT}' "
+                  f"WHEN bad_trans1 THEN '{LABEL_CITY_HOP}' "
+                  f"WHEN bad_trans2 THEN '{LABEL_AMOUNT_PROBE}' END")
+
+
 def event_type() -> Column:
-    """First matching rule wins; no ELSE (rows reaching here match one)."""
-    return (F.when(F.col("mark_bad_passport"), LABEL_BAD_PASSPORT)
-            .when(F.col("mark_bad_contract"), LABEL_BAD_CONTRACT)
-            .when(F.col("bad_trans1"), LABEL_CITY_HOP)
-            .when(F.col("bad_trans2"), LABEL_AMOUNT_PROBE))
+    return F.expr(EVENT_TYPE_SQL)
 
 
 def hot_cards(fact: DataFrame, hot_rows: int) -> DataFrame:
@@ -56,22 +58,20 @@ def flagged(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
     # shuffled on for the profile join anyway
     marked = fact.join(hot_cards(fact, hot_rows), "card_num", "left")
     e = enrich(marked, *dims, carry=("_hot",))
-    cold = with_windows(e.where(F.col("_hot").isNull()).drop("_hot"))
-    hot = with_windows_split(e.where(F.col("_hot").isNotNull()).drop("_hot"), bucket_seconds)
+    cold = with_windows(e.where("_hot IS NULL").drop("_hot"))
+    hot = with_windows_split(e.where("_hot IS NOT NULL").drop("_hot"), bucket_seconds)
     return with_flags(cold.unionByName(hot))
 
 
 def report(flagged_rows: DataFrame, report_dt: dt.date | str) -> DataFrame:
     """Distinct (event_dt, passport, fio, phone, event_type, report_dt) over
     rows matching any rule."""
-    any_rule = (F.col("mark_bad_passport") | F.col("mark_bad_contract")
-                | F.col("bad_trans1") | F.col("bad_trans2"))
-    return (flagged_rows.where(any_rule)
-            .select(event_day("trans_date").alias("event_dt"),
-                    F.col("passport_num").alias("passport"),
-                    "fio", "phone",
-                    event_type().alias("event_type"),
-                    F.lit(str(report_dt)).cast("date").alias("report_dt"))
+    return (flagged_rows
+            .where("mark_bad_passport OR mark_bad_contract OR bad_trans1 OR bad_trans2")
+            .selectExpr("to_date(trans_date) AS event_dt",      # F2, session zone UTC
+                        "passport_num AS passport", "fio", "phone",
+                        f"{EVENT_TYPE_SQL} AS event_type",
+                        f"DATE'{report_dt}' AS report_dt")
             .distinct())
 
 

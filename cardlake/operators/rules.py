@@ -13,43 +13,45 @@ from cardlake.schemas import PROBE_MIN_COUNT, RESULT_REJECT, RESULT_SUCCESS
 
 FLAG_COLUMNS = ["mark_bad_passport", "mark_bad_contract", "bad_trans1", "bad_trans2"]
 
-
-def _true(p: Column) -> Column:
-    return F.coalesce(p, F.lit(False))
+# SQL text of each rule; a date compared with a timestamp is its midnight (Q3)
+RULE_PASSPORT = ("black_list_dt IS NOT NULL "
+                 "OR coalesce(passport_valid_to < trans_date, FALSE)")          # R1 (any date, Q8)
+RULE_CONTRACT = "coalesce(valid_to < trans_date, FALSE)"                       # R2
+RULE_CITY_HOP = "coalesce(city_1 <> city_2, FALSE)"                            # R3
+RULE_AMOUNT_PROBE = (                                                          # R4
+    f"coalesce(cnt_20_minute_trans > {PROBE_MIN_COUNT} "
+    f"AND amt < amt_lag1 AND amt_lag1 < amt_lag2 "
+    f"AND oper_result = '{RESULT_SUCCESS}' AND amt_lag1_res = '{RESULT_REJECT}' "
+    f"AND amt_lag2_res = '{RESULT_REJECT}', FALSE)")
 
 
 def rule_passport() -> Column:
     """Passport blacklisted (any date, ledger Q8) or expired before the
     operation (a date compares as its midnight, ledger Q3)."""
-    return F.col("black_list_dt").isNotNull() | _true(F.col("passport_valid_to") < F.col("trans_date"))
+    return F.expr(RULE_PASSPORT)
 
 
 def rule_contract() -> Column:
     """R2: the account's contract ended before the operation."""
-    return _true(F.col("valid_to") < F.col("trans_date"))
+    return F.expr(RULE_CONTRACT)
 
 
 def rule_city_hop() -> Column:
     """At least two distinct known cities within the preceding hour."""
-    return _true(F.col("city_1") != F.col("city_2"))
+    return F.expr(RULE_CITY_HOP)
 
 
 def rule_amount_probe() -> Column:
     """More than three operations in 20 minutes, strictly falling amounts
     over the last three, and results REJECT, REJECT, SUCCESS."""
-    p = ((F.col("cnt_20_minute_trans") > PROBE_MIN_COUNT)
-         & (F.col("amt") < F.col("amt_lag1")) & (F.col("amt_lag1") < F.col("amt_lag2"))
-         & (F.col("oper_result") == RESULT_SUCCESS)
-         & (F.col("amt_lag1_res") == RESULT_REJECT)
-         & (F.col("amt_lag2_res") == RESULT_REJECT))
-    return _true(p)
+    return F.expr(RULE_AMOUNT_PROBE)
 
 
 def with_flags(windowed: DataFrame) -> DataFrame:
-    return windowed.select(
+    return windowed.selectExpr(
         "*",
-        rule_passport().alias("mark_bad_passport"),
-        rule_contract().alias("mark_bad_contract"),
-        rule_city_hop().alias("bad_trans1"),
-        rule_amount_probe().alias("bad_trans2"),
+        f"{RULE_PASSPORT} AS mark_bad_passport",
+        f"{RULE_CONTRACT} AS mark_bad_contract",
+        f"{RULE_CITY_HOP} AS bad_trans1",
+        f"{RULE_AMOUNT_PROBE} AS bad_trans2",
     )

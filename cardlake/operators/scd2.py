@@ -35,10 +35,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.functions.scalar import is_false
 from cardlake.schemas import OPEN_END_SQL, empty_frame
 
 FLAG = "flag"        # a staged row with update_dt set is a new version
@@ -69,34 +68,46 @@ SPECS = {"clients": CLIENTS, "accounts": ACCOUNTS, "cards": CARDS, "terminals":
 
 def open_end() -> Column:
     """The open-interval sentinel as a timestamp in the session zone."""
-    return F.lit(OPEN_END_SQL).cast("timestamp")
+    return F.expr(OPEN)
 
 
-def _as_of_ts(as_of: dt.date | str) -> Column:
-    return F.lit(str(as_of)).cast("date").cast("timestamp")
+# SQL text is used for the projections: one ``selectExpr`` is one call into the
+# JVM, where Column objects cost one call per operator.
+OPEN = f"TIMESTAMP'{OPEN_END_SQL}'"
+CURRENT = f"effective_to = {OPEN} AND deleted_flg <=> FALSE"
+
+
+def _as_of(as_of: dt.date | str) -> str:
+    return f"CAST(DATE'{as_of}' AS TIMESTAMP)"
+
+
+def _q(c: str) -> str:
+    return f"`{c}`"
+
+
+def _cols(spec: Scd2Spec) -> list[str]:
+    return [_q(spec.key), *map(_q, spec.attrs)]
 
 
 def dim_current(history: DataFrame) -> DataFrame:
     """Versions open to the sentinel and not deleted (``deleted_flg is false``)."""
-    return history.where((F.col("effective_to") == open_end()) & is_false("deleted_flg"))
+    return history.where(CURRENT)
 
 
-def _staged_from(spec: Scd2Spec) -> Column:
+def _staged_from(spec: Scd2Spec) -> str:
     if spec.mode == FLAG:
-        return F.coalesce(F.col("update_dt"), F.col("create_dt"))
+        return "coalesce(update_dt, create_dt)"
     raise ValueError("compare mode stamps versions with the batch date")
 
 
-def _attrs_equal(spec: Scd2Spec, other_prefix: str) -> Column:
-    cond = F.lit(True)
-    for a in spec.attrs:
-        cond = cond & F.col(a).eqNullSafe(F.col(other_prefix + a))
-    return cond
+def _differs(spec: Scd2Spec, other: str) -> str:
+    same = " AND ".join(f"{_q(a)} <=> {other}{_q(a)}" for a in spec.attrs)
+    return f"NOT ({same})"
 
 
-def _new_row(df: DataFrame, spec: Scd2Spec, effective_from: Column) -> DataFrame:
-    return df.select(spec.key, *spec.attrs, effective_from.alias("effective_from"),
-                     open_end().alias("effective_to"), F.lit(False).alias("deleted_flg"))
+def _new_row(df: DataFrame, spec: Scd2Spec, effective_from: str) -> DataFrame:
+    return df.selectExpr(*_cols(spec), f"{effective_from} AS effective_from",
+                         f"{OPEN} AS effective_to", "FALSE AS deleted_flg")
 
 
 # ---------------------------------------------------------------------------
@@ -104,20 +115,17 @@ def _new_row(df: DataFrame, spec: Scd2Spec, effective_from: Column) -> DataFrame
 # ---------------------------------------------------------------------------
 
 def live_keys(history: DataFrame, spec: Scd2Spec) -> DataFrame:
-    return history.where(is_false("deleted_flg")).select(spec.key).distinct()
+    return history.where("deleted_flg <=> FALSE").select(spec.key).distinct()
 
 
 def new_keys(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """D1 (J4): staged rows without a live version -> new open versions."""
     k = spec.key
-    stg = staging.where(F.col(k).isNotNull())
-    fresh = stg.join(live_keys(history, spec), k, "left_anti")
-    seen = history.select(k).distinct().withColumn("_seen", F.lit(True))
-    fresh = fresh.join(seen, k, "left")
-    if spec.mode == FLAG:
-        eff = F.when(F.col("_seen"), _as_of_ts(as_of)).otherwise(_staged_from(spec))
-    else:
-        eff = _as_of_ts(as_of)
+    fresh = (staging.where(f"{_q(k)} IS NOT NULL")
+             .join(live_keys(history, spec), k, "left_anti")
+             .join(history.select(k).distinct().selectExpr("*", "TRUE AS _seen"), k, "left"))
+    eff = (f"CASE WHEN _seen THEN {_as_of(as_of)} ELSE {_staged_from(spec)} END"
+           if spec.mode == FLAG else _as_of(as_of))
     return _new_row(fresh, spec, eff)
 
 
@@ -130,14 +138,12 @@ def vanished_keys(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> Dat
 def soft_delete(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """D2 (J6 as a mark): flag every version of a vanished key, close the open one."""
     k = spec.key
-    gone = vanished_keys(history, staging, spec).withColumn("_gone", F.lit(True))
-    h = history.join(gone, k, "left")
-    gone_c = F.coalesce(F.col("_gone"), F.lit(False))
-    return h.select(
-        k, *spec.attrs, "effective_from",
-        F.when(gone_c & (F.col("effective_to") == open_end()), _as_of_ts(as_of))
-         .otherwise(F.col("effective_to")).alias("effective_to"),
-        F.when(gone_c, F.lit(True)).otherwise(F.col("deleted_flg")).alias("deleted_flg"))
+    gone = vanished_keys(history, staging, spec).selectExpr("*", "TRUE AS _gone")
+    return history.join(gone, k, "left").selectExpr(
+        *_cols(spec), "effective_from",
+        f"CASE WHEN _gone AND effective_to = {OPEN} THEN {_as_of(as_of)} "
+        f"ELSE effective_to END AS effective_to",
+        "CASE WHEN _gone THEN TRUE ELSE deleted_flg END AS deleted_flg")
 
 
 def changed_flagged(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -145,18 +151,19 @@ def changed_flagged(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> D
     k = spec.key
     cur = dim_current(history).groupBy(k).agg(F.max("effective_from").alias("_cur_from"))
     eff = _staged_from(spec)
-    rows = (staging.where(F.col(k).isNotNull() & F.col("update_dt").isNotNull())
-            .join(cur, k, "inner").where(eff > F.col("_cur_from")))
+    rows = (staging.where(f"{_q(k)} IS NOT NULL AND update_dt IS NOT NULL")
+            .join(cur, k, "inner").where(f"{eff} > _cur_from"))
     return _new_row(rows, spec, eff)
 
 
 def changed_compared(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """D4 (J7, compare mode): staged rows differing null-safely from the current version."""
     k = spec.key
-    cur = dim_current(history).select(F.col(k), *[F.col(a).alias("_cur_" + a) for a in spec.attrs])
-    rows = (staging.where(F.col(k).isNotNull()).join(cur, k, "inner")
-            .where(~_attrs_equal(spec, "_cur_")))
-    return _new_row(rows, spec, _as_of_ts(as_of))
+    cur = dim_current(history).selectExpr(_q(k), *[f"{_q(a)} AS `_cur_{a}`" for a in spec.attrs])
+    same = " AND ".join(f"{_q(a)} <=> `_cur_{a}`" for a in spec.attrs)
+    rows = (staging.where(f"{_q(k)} IS NOT NULL").join(cur, k, "inner")
+            .where(f"NOT ({same})"))
+    return _new_row(rows, spec, _as_of(as_of))
 
 
 def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -165,16 +172,18 @@ def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
     Deleted versions keep the earlier of their delete date and the next start;
     rows with a NULL key or NULL ``effective_from`` keep their ``effective_to``.
     """
-    k = spec.key
-    w = Window.partitionBy(k).orderBy(F.col("effective_from").asc_nulls_last(),
-                                      *[F.col(a).asc_nulls_first() for a in spec.attrs],
-                                      F.col("deleted_flg").asc_nulls_first())
-    nxt = F.coalesce(F.col("_next_from"), open_end())
-    eto = (F.when(F.col(k).isNull() | F.col("effective_from").isNull(), F.col("effective_to"))
-            .when(F.col("deleted_flg"), F.least(F.col("effective_to"), nxt))
-            .otherwise(nxt))
-    return (history.withColumn("_next_from", F.lead("effective_from", 1).over(w))
-            .select(k, *spec.attrs, "effective_from", eto.alias("effective_to"), "deleted_flg"))
+    k = _q(spec.key)
+    order = ", ".join(["effective_from ASC NULLS LAST",
+                       *[f"{_q(a)} ASC NULLS FIRST" for a in spec.attrs],
+                       "deleted_flg ASC NULLS FIRST"])
+    nxt = f"coalesce(_next_from, {OPEN})"
+    return (history.selectExpr(
+        "*", f"lead(effective_from, 1) OVER (PARTITION BY {k} ORDER BY {order}) AS _next_from")
+        .selectExpr(*_cols(spec), "effective_from",
+                    f"CASE WHEN {k} IS NULL OR effective_from IS NULL THEN effective_to "
+                    f"WHEN deleted_flg THEN least(effective_to, {nxt}) "
+                    f"ELSE {nxt} END AS effective_to",
+                    "deleted_flg"))
 
 
 def scd2_apply_joins(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
@@ -194,60 +203,52 @@ def scd2_apply_joins(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Sp
 
 def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """Next history snapshot from the previous one and a full staging snapshot."""
-    k = spec.key
-    dated = spec.mode == FLAG
-    h = history.select(k, *spec.attrs, "effective_from", "effective_to", "deleted_flg",
-                       F.lit(None).cast("timestamp").alias("create_dt"),
-                       F.lit(None).cast("timestamp").alias("update_dt"),
-                       F.lit(0).alias("_src"))
-    s = staging.where(F.col(k).isNotNull()).select(
-        k, *spec.attrs,
-        F.lit(None).cast("timestamp").alias("effective_from"),
-        F.lit(None).cast("timestamp").alias("effective_to"),
-        F.lit(None).cast("boolean").alias("deleted_flg"),
-        (F.col("create_dt") if dated else F.lit(None).cast("timestamp")).alias("create_dt"),
-        (F.col("update_dt") if dated else F.lit(None).cast("timestamp")).alias("update_dt"),
-        F.lit(1).alias("_src"))
-    u = h.unionByName(s)
-
-    wk = Window.partitionBy(k)
-    is_hist = F.col("_src") == 0
-    is_cur = is_hist & (F.col("effective_to") == open_end()) & is_false("deleted_flg")
-    u = u.select(
+    k = _q(spec.key)
+    flag = spec.mode == FLAG
+    null_ts = "CAST(NULL AS TIMESTAMP)"
+    h = history.selectExpr(*_cols(spec), "effective_from", "effective_to", "deleted_flg",
+                           f"{null_ts} AS create_dt", f"{null_ts} AS update_dt", "0 AS _src")
+    s = staging.where(f"{k} IS NOT NULL").selectExpr(
+        *_cols(spec), f"{null_ts} AS effective_from", f"{null_ts} AS effective_to",
+        "CAST(NULL AS BOOLEAN) AS deleted_flg",
+        "create_dt" if flag else f"{null_ts} AS create_dt",
+        "update_dt" if flag else f"{null_ts} AS update_dt", "1 AS _src")
+
+    # 1. per-key facts, all from the pre-batch history (one partitioning by key)
+    over = f"OVER (PARTITION BY {k})"
+    is_cur = f"(_src = 0 AND {CURRENT})"
+    cur_attrs = "named_struct(" + ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs) + ")"
+    u = h.unionByName(s).selectExpr(
         "*",
-        F.coalesce(F.max(is_hist & is_false("deleted_flg")).over(wk), F.lit(False)).alias("_live"),
-        F.max(is_hist).over(wk).alias("_known"),
-        F.max(~is_hist).over(wk).alias("_staged"),
-        F.max(F.when(is_cur, F.col("effective_from"))).over(wk).alias("_cur_from"),
-        *([F.max_by(F.struct(*[F.col(a).alias(a) for a in spec.attrs]),
-                    F.when(is_cur, F.col("effective_from"))).over(wk).alias("_cur")]
-          if not dated else []),
-    )
-
-    as_of_ts = _as_of_ts(as_of)
-    gone = F.col("_live") & ~F.col("_staged")
-    new = ~is_hist & ~F.col("_live")
-    if dated:
+        f"coalesce(max(_src = 0 AND deleted_flg <=> FALSE) {over}, FALSE) AS _live",
+        f"max(_src = 0) {over} AS _known",
+        f"max(_src = 1) {over} AS _staged",
+        f"max(CASE WHEN {is_cur} THEN effective_from END) {over} AS _cur_from",
+        *([] if flag else
+          [f"max_by({cur_attrs}, CASE WHEN {is_cur} THEN effective_from END) {over} AS _cur"]))
+
+    # 2. kept history (delete mark), new rows, changed rows
+    a_of = _as_of(as_of)
+    gone = "(_live AND NOT _staged)"
+    new = "(_src = 1 AND NOT _live)"
+    if flag:
         staged_from = _staged_from(spec)
-        changed = (~is_hist & F.col("_live") & F.col("update_dt").isNotNull()
-                   & (staged_from > F.col("_cur_from")))
-        new_from = F.when(F.col("_known"), as_of_ts).otherwise(staged_from)
+        changed = (f"(_src = 1 AND _live AND update_dt IS NOT NULL "
+                   f"AND {staged_from} > _cur_from)")
+        new_from = f"CASE WHEN _known THEN {a_of} ELSE {staged_from} END"
         changed_from = staged_from
     else:
-        differs = ~_attrs_equal(spec, "_cur.")
-        changed = ~is_hist & F.col("_live") & F.col("_cur").isNotNull() & differs
-        new_from = as_of_ts
-        changed_from = as_of_ts
-
-    rows = u.where(is_hist | new | changed).select(
-        k, *spec.attrs,
-        F.when(is_hist, F.col("effective_from")).when(new, new_from)
-         .otherwise(changed_from).alias("effective_from"),
-        F.when(is_hist & gone & (F.col("effective_to") == open_end()), as_of_ts)
-         .when(is_hist, F.col("effective_to")).otherwise(open_end()).alias("effective_to"),
-        F.when(is_hist & gone, F.lit(True)).when(is_hist, F.col("deleted_flg"))
-         .otherwise(F.lit(False)).alias("deleted_flg"),
-    )
+        changed = f"(_src = 1 AND _live AND _cur IS NOT NULL AND {_differs(spec, '_cur.')})"
+        new_from = changed_from = a_of
+    rows = u.where(f"_src = 0 OR {new} OR {changed}").selectExpr(
+        *_cols(spec),
+        f"CASE WHEN _src = 0 THEN effective_from WHEN {new} THEN {new_from} "
+        f"ELSE {changed_from} END AS effective_from",
+        f"CASE WHEN _src = 0 AND {gone} AND effective_to = {OPEN} THEN {a_of} "
+        f"WHEN _src = 0 THEN effective_to ELSE {OPEN} END AS effective_to",
+        f"CASE WHEN _src = 0 AND {gone} THEN TRUE WHEN _src = 0 THEN deleted_flg "
+        f"ELSE FALSE END AS deleted_flg")
+    # 3. re-stitch over the same partitioning
     return restitch(rows, spec)
 
 
@@ -262,5 +263,5 @@ def initial_history(staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
 def as_current(staging: DataFrame, spec: Scd2Spec) -> DataFrame:
     """Staged rows as open, live versions (what a first batch of unique keys
     writes), without the keyed plan; for loaded-dimension fixtures."""
-    eff = _staged_from(spec) if spec.mode == FLAG else F.lit(None).cast("timestamp")
+    eff = _staged_from(spec) if spec.mode == FLAG else "CAST(NULL AS TIMESTAMP)"
     return _new_row(staging, spec, eff)

@@ -16,18 +16,23 @@ five windows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cardlake.schemas import CITY_WINDOW_SECONDS, PROBE_WINDOW_SECONDS
 
 US = 1_000_000
-
+TS_US = "_ts_us"
 WINDOW_COLUMNS = ["city_1", "city_2", "cnt_20_minute_trans", "amt_lag1", "amt_lag1_res",
                   "amt_lag2", "amt_lag2_res"]
+LAG_COLUMNS = ["amt_lag1", "amt_lag1_res", "amt_lag2", "amt_lag2_res"]
 
+# The projections below are SQL expression text: one ``selectExpr`` is one
+# call into the JVM however many window expressions it holds (Catalyst builds
+# the same plan as from Column objects).
 
-TS_US = "_ts_us"
+
+def _q(c: str) -> str:
+    return f"`{c}`"
 
 
 def tie_breakers(columns) -> list[str]:
@@ -39,36 +44,41 @@ def tie_breakers(columns) -> list[str]:
             and not c.startswith("_")]
 
 
-def card_windows(partition_cols=("card_num",), tiebreak=()):
-    """The two window specs: (lag order, range order); both need ``_ts_us``."""
-    part = [F.col(c) for c in partition_cols]
-    lag_w = Window.partitionBy(*part).orderBy(F.col(TS_US).asc_nulls_last(),
-                                              F.col("trans_id").asc_nulls_last(),
-                                              *[F.col(c).asc_nulls_first() for c in tiebreak])
-    rng = Window.partitionBy(*part).orderBy(F.col(TS_US).asc_nulls_last())
-    return lag_w, rng
+def lag_spec(partition_cols, tiebreak=()) -> str:
+    order = [f"{TS_US} ASC NULLS LAST", "trans_id ASC NULLS LAST",
+             *[f"{_q(c)} ASC NULLS FIRST" for c in tiebreak]]
+    return f"PARTITION BY {', '.join(map(_q, partition_cols))} ORDER BY {', '.join(order)}"
+
+
+def range_spec(partition_cols, seconds: int) -> str:
+    return (f"PARTITION BY {', '.join(map(_q, partition_cols))} ORDER BY {TS_US} ASC NULLS LAST "
+            f"RANGE BETWEEN {seconds * US} PRECEDING AND CURRENT ROW")
+
+
+def lag_exprs(spec: str) -> list[str]:
+    """Amount and result of the previous two operations."""
+    return [f"lag(amt, 1) OVER ({spec}) AS amt_lag1",
+            f"lag(oper_result, 1) OVER ({spec}) AS amt_lag1_res",
+            f"lag(amt, 2) OVER ({spec}) AS amt_lag2",
+            f"lag(oper_result, 2) OVER ({spec}) AS amt_lag2_res"]
+
+
+def range_exprs(partition_cols) -> list[str]:
+    """min/max terminal city in the last hour; W3: non-null amounts in
+    the last 20 minutes (peers included)."""
+    hour = range_spec(partition_cols, CITY_WINDOW_SECONDS)
+    twenty = range_spec(partition_cols, PROBE_WINDOW_SECONDS)
+    return [f"min(terminal_city) OVER ({hour}) AS city_1",
+            f"max(terminal_city) OVER ({hour}) AS city_2",
+            f"count(amt) OVER ({twenty}) AS cnt_20_minute_trans"]
 
 
 def with_windows(enriched: DataFrame, partition_cols=("card_num",)) -> DataFrame:
-    """Add W1 ``city_1``/W2 ``city_2`` (min/max terminal city in the last hour),
-    W3 ``cnt_20_minute_trans`` (non-null amounts in the last 20 minutes) and
-    W4/W5 the amount and result of the previous two operations."""
-    lag_w, rng = card_windows(partition_cols, tie_breakers(enriched.columns))
-    hour = rng.rangeBetween(-CITY_WINDOW_SECONDS * US, 0)
-    twenty = rng.rangeBetween(-PROBE_WINDOW_SECONDS * US, 0)
-    lagged = enriched.withColumn(TS_US, F.unix_micros(F.col("trans_date"))).select(
-        "*",
-        F.lag("amt", 1).over(lag_w).alias("amt_lag1"),
-        F.lag("oper_result", 1).over(lag_w).alias("amt_lag1_res"),
-        F.lag("amt", 2).over(lag_w).alias("amt_lag2"),
-        F.lag("oper_result", 2).over(lag_w).alias("amt_lag2_res"),
-    )
-    return lagged.select(
-        "*",
-        F.min("terminal_city").over(hour).alias("city_1"),
-        F.max("terminal_city").over(hour).alias("city_2"),
-        F.count("amt").over(twenty).alias("cnt_20_minute_trans"),
-    ).drop(TS_US)
+    """Add W1-W5 with one partition per card."""
+    spec = lag_spec(partition_cols, tie_breakers(enriched.columns))
+    lagged = (enriched.selectExpr("*", f"unix_micros(trans_date) AS {TS_US}")
+              .selectExpr("*", *lag_exprs(spec)))
+    return lagged.selectExpr("*", *range_exprs(partition_cols)).drop(TS_US)
 
 
 # ---------------------------------------------------------------------------
@@ -79,7 +89,6 @@ BKT, ROLE = "_bkt", "_role"
 NULL_BUCKET = 1 << 62          # rows without a timestamp sort after every bucket
 HALO_SECONDS = max(CITY_WINDOW_SECONDS, PROBE_WINDOW_SECONDS)
 
-
 def with_windows_split(enriched: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
     """``with_windows`` for data where one card may hold a large share of all rows.
 
@@ -107,47 +116,35 @@ def with_windows_split(enriched: DataFrame, bucket_seconds: int = 86400) -> Data
         raise ValueError("a bucket must be at least as long as the longest range frame")
     b_us = bucket_seconds * US
     halo_us = HALO_SECONDS * US
-    ts = F.col(TS_US)
-    e = enriched.withColumn(TS_US, F.unix_micros(F.col("trans_date")))
-    # exact floor division, also before 1970
-    own = F.when(ts.isNull(), F.lit(NULL_BUCKET)).otherwise(
-        F.expr(f"({TS_US} - pmod({TS_US}, {b_us})) div {b_us}"))
-    in_last_hour = ts.isNotNull() & (F.pmod(ts, F.lit(b_us)) >= b_us - halo_us)
-    targets = F.when(in_last_hour, F.array(own, own + 1)).otherwise(F.array(own))
-    e = (e.withColumn("_own", own).withColumn(BKT, F.explode(targets))
-         .withColumn(ROLE, (F.col(BKT) != F.col("_own")).cast("int")).drop("_own"))
+    # own bucket by exact floor division (also before 1970); a row in the last
+    # hour of its bucket is emitted again into the next one (role 1 = context)
+    own = (f"CASE WHEN {TS_US} IS NULL THEN {NULL_BUCKET} "
+           f"ELSE ({TS_US} - pmod({TS_US}, {b_us})) div {b_us} END")
+    last_hour = f"{TS_US} IS NOT NULL AND pmod({TS_US}, {b_us}) >= {b_us - halo_us}"
+    e = (enriched.selectExpr("*", f"unix_micros(trans_date) AS {TS_US}")
+         .selectExpr("*", f"{own} AS _own")
+         .selectExpr("*", f"explode(CASE WHEN {last_hour} THEN array(_own, _own + 1) "
+                          f"ELSE array(_own) END) AS {BKT}")
+         .selectExpr("*", f"CAST({BKT} <> _own AS INT) AS {ROLE}").drop("_own"))
     # explicit exchange on (card, bucket): a hot card spreads over its buckets
     u = e.repartition("card_num", BKT)
 
+    part = ("card_num", BKT)
     ties = tie_breakers(enriched.columns)
-    lag_w, rng = card_windows(("card_num", BKT), ties)
-    whole = Window.partitionBy("card_num", BKT)
-    hour = rng.rangeBetween(-CITY_WINDOW_SECONDS * US, 0)
-    twenty = rng.rangeBetween(-PROBE_WINDOW_SECONDS * US, 0)
-    lag_cols = ["amt_lag1", "amt_lag1_res", "amt_lag2", "amt_lag2_res"]
-
-    def lags(w):
-        return [F.lag("amt", 1).over(w).alias("amt_lag1"),
-                F.lag("oper_result", 1).over(w).alias("amt_lag1_res"),
-                F.lag("amt", 2).over(w).alias("amt_lag2"),
-                F.lag("oper_result", 2).over(w).alias("amt_lag2_res")]
-
-    p1 = u.select("*", *lags(lag_w), F.row_number().over(lag_w).alias("_pos"),
-                  F.count(F.lit(1)).over(whole).alias("_n_all")) \
-        .select("*", F.min("terminal_city").over(hour).alias("city_1"),
-                F.max("terminal_city").over(hour).alias("city_2"),
-                F.count("amt").over(twenty).alias("cnt_20_minute_trans")) \
-        .where(F.col(ROLE) == 0)
+    spec = lag_spec(part, ties)
+    p1 = (u.selectExpr("*", *lag_exprs(spec), f"row_number() OVER ({spec}) AS _pos",
+                       f"count(1) OVER (PARTITION BY card_num, {BKT}) AS _n_all")
+          .selectExpr("*", *range_exprs(part))
+          .where(f"{ROLE} = 0"))
 
     # pass 2 on heads and tails only (halo rows all sort before own rows).
     # Both branches keep every column of p1, so the (card, bucket) exchange
     # below them is one reused shuffle stage, and the result is a union: no
     # join back to the big side.
-    is_head = F.col("_pos") <= 2
-    is_tail = F.col("_pos") > F.col("_n_all") - 2
-    out_cols = [*enriched.columns, *lag_cols, "city_1", "city_2", "cnt_20_minute_trans"]
-    fix_w = card_windows(("card_num",), ties)[0]
-    fixed = (p1.where(is_head | is_tail).drop(*lag_cols)
-             .select("*", *lags(fix_w))
-             .where(is_head))
-    return p1.where(~is_head).select(out_cols).unionByName(fixed.select(out_cols))
+    out_cols = [_q(c) for c in [*enriched.columns, *LAG_COLUMNS, "city_1", "city_2",
+                                 "cnt_20_minute_trans"]]
+    fixed = (p1.where("_pos <= 2 OR _pos > _n_all - 2").drop(*LAG_COLUMNS)
+             .selectExpr("*", *lag_exprs(lag_spec(("card_num",), ties)))
+             .where("_pos <= 2"))
+    return (p1.where("_pos > 2").selectExpr(*out_cols)
+            .unionByName(fixed.selectExpr(*out_cols)))
