@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from cardlake.operators.report import fraud_report
 from cardlake.operators.scd2 import SPECS, scd2_apply
-from cardlake.schemas import empty, empty_frame
+from cardlake.schemas import empty, empty_frame, struct_type
 from cardlake.sources import staging as stg
 from cardlake.sources.files import expected_names
 
@@ -63,8 +63,15 @@ class Warehouse:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(part_col).parquet(self.path(rel)))
 
-    def _read(self, rel: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(rel))
+    def _read(self, rel: str, table: str | None = None, part_col: str | None = None) -> DataFrame:
+        """Parquet table at ``rel``; with a known schema no footer is read to infer it."""
+        r = self.spark.read
+        if table is not None:
+            schema = struct_type(table)
+            if part_col and part_col not in schema.fieldNames():
+                schema = schema.add(part_col, T.DateType())
+            r = r.schema(schema)
+        return r.parquet(self.path(rel))
 
     def _exists(self, rel: str) -> bool:
         try:
@@ -81,22 +88,23 @@ class Warehouse:
         spec = SPECS[name]
         if as_of is None:
             return empty(self.spark, spec.table)
-        return self._read(f"dim/{name}").where(F.col("as_of") == _d(as_of)).select(spec.columns)
+        return (self._read(f"dim/{name}", spec.table, "as_of")
+                .where(F.col("as_of") == _d(as_of)).select(spec.columns))
 
     # -- facts -------------------------------------------------------------
     def write_fact(self, day, fact: DataFrame) -> None:
         self._write(fact, "fact_transactions", "load_dt", day)
 
     def read_fact(self, up_to=None) -> DataFrame:
-        f = self._read("fact_transactions")
+        f = self._read("fact_transactions", "fact_transactions", "load_dt")
         return f.where(F.col("load_dt") <= _d(up_to)) if up_to is not None else f
 
     def write_blacklist(self, day, rows: DataFrame) -> None:
         self._write(rows, "fact_passport_blacklist", "as_of", day)
 
     def read_blacklist(self, as_of) -> DataFrame:
-        return (self._read("fact_passport_blacklist").where(F.col("as_of") == _d(as_of))
-                .drop("as_of"))
+        return (self._read("fact_passport_blacklist", "fact_passport_blacklist", "as_of")
+                .where(F.col("as_of") == _d(as_of)).drop("as_of"))
 
     # -- report and ledger -------------------------------------------------
     def write_report(self, day, rows: DataFrame) -> None:
@@ -105,7 +113,7 @@ class Warehouse:
          .partitionBy("report_dt").parquet(self.path("rep_fraud")))
 
     def read_report(self) -> DataFrame:
-        return self._read("rep_fraud")
+        return self._read("rep_fraud", "rep_fraud", "report_dt")
 
     def write_ledger(self, day, names: DataFrame) -> None:
         self._write(names.select("file_name"), "ledger", "load_dt", day)
