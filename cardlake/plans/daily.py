@@ -2,6 +2,7 @@
 
 Layout under the warehouse root (all Parquet):
 
+``stg/<table>``                    staging, replaced on every run (K2, optional)
 ``dim/<name>/as_of=YYYY-MM-DD``   full SCD2 history as of that batch (K3)
 ``fact_transactions/load_dt=...``  transactions of that batch (K4)
 ``fact_passport_blacklist/as_of=`` blacklist snapshot of that batch (K5)
@@ -80,6 +81,13 @@ class Warehouse:
         except Exception:  # AnalysisException: path does not exist
             return False
 
+    # -- staging (K2): replaced on every run -------------------------------
+    def write_staging(self, table: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(self.path("stg", table))
+
+    def read_staging(self, table: str) -> DataFrame:
+        return self.spark.read.schema(struct_type(table)).parquet(self.path("stg", table))
+
     # -- dimensions --------------------------------------------------------
     def write_dim(self, name: str, day, history: DataFrame) -> None:
         self._write(history, f"dim/{name}", "as_of", day)
@@ -133,39 +141,44 @@ class Warehouse:
 _LOOKUP = object()
 
 
+def _staged(spark: SparkSession, source: DailySource, day: dt.date) -> dict[str, DataFrame]:
+    """The six staging frames of a date (K2 content)."""
+    return {
+        "stg_clients": stg.stage_clients(source.clients(day)),
+        "stg_accounts": stg.stage_accounts(source.accounts(day)),
+        "stg_cards": stg.stage_cards(source.cards(day)),
+        "stg_terminals": stg.stage_terminals(source.terminals(day)),
+        "stg_blacklist": stg.stage_blacklist(source.blacklist(day)),
+        "stg_transactions": stg.stage_transactions(source.transactions(day)),
+    }
+
+
 def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
-            prev=_LOOKUP, parallel: int = 6) -> None:
+            prev=_LOOKUP, parallel: int = 6, persist_staging: bool = False) -> None:
     """Stage, maintain the four dimensions, load the facts, build the report.
 
     ``prev`` is the previous batch date (looked up in the ledger when not
     given). The six table loads of a date are independent Spark jobs and are
     submitted concurrently from ``parallel`` driver threads; the report waits
-    for all of them and reads what they wrote.
+    for all of them and reads what they wrote. With ``persist_staging`` the
+    six staging tables are first replaced under ``stg/`` (K2) and every load
+    reads them back, so all loads of the date see one consistent snapshot of
+    the operational tables.
     """
     if prev is _LOOKUP:
         prev = wh.last_loaded_before(day)
     if hasattr(source, "check"):
         source.check(day)          # every input of the date exists before any write (Q19)
-    staged = {
-        "clients": stg.stage_clients(source.clients(day)),
-        "accounts": stg.stage_accounts(source.accounts(day)),
-        "cards": stg.stage_cards(source.cards(day)),
-        "terminals": stg.stage_terminals(source.terminals(day)),
-    }
+    staged = _staged(spark, source, day)
+    if persist_staging:
+        _each([lambda t=t, df=df: wh.write_staging(t, df) for t, df in staged.items()], parallel)
+        staged = {t: wh.read_staging(t) for t in staged}
     loads = [lambda name=name, spec=spec: wh.write_dim(
-        name, day, scd2_apply(wh.read_dim(name, prev), staged[name], day, spec))
+        name, day, scd2_apply(wh.read_dim(name, prev), staged[f"stg_{name}"], day, spec))
         for name, spec in SPECS.items()]
-    loads.append(lambda: wh.write_fact(
-        day, stg.to_fact(stg.stage_transactions(source.transactions(day)))))
-    loads.append(lambda: wh.write_blacklist(
-        day, stg.to_blacklist_fact(stg.stage_blacklist(source.blacklist(day)))))
-    if parallel > 1:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            for fut in [pool.submit(f) for f in loads]:
-                fut.result()
-    else:
-        for f in loads:
-            f()
+    loads.append(lambda: wh.write_fact(day, stg.to_fact(staged["stg_transactions"])))
+    loads.append(lambda: wh.write_blacklist(day, stg.to_blacklist_fact(staged["stg_blacklist"])))
+    _each(loads, parallel)
 
     rep = fraud_report(wh.read_fact(up_to=day).drop("load_dt"),
                        wh.read_dim("cards", day), wh.read_dim("accounts", day),
@@ -177,8 +190,19 @@ def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.dat
     wh.write_ledger(day, spark.range(1).select(F.explode(F.array(*listed)).alias("file_name")))
 
 
+def _each(jobs, parallel: int) -> None:
+    """Run independent Spark jobs, concurrently from driver threads."""
+    if parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            for fut in [pool.submit(f) for f in jobs]:
+                fut.result()
+    else:
+        for f in jobs:
+            f()
+
+
 def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
-        parallel: int = 6) -> Warehouse:
+        parallel: int = 6, persist_staging: bool = False) -> Warehouse:
     """Every date in ascending order (``source.dates()`` when not given).
 
     Dates run one after the other (day *n* reads day *n-1*'s history).
@@ -186,6 +210,7 @@ def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
     days = sorted(dates if dates is not None else source.dates())
     prev = wh.last_loaded_before(days[0]) if days else None
     for day in days:
-        run_day(spark, source, wh, day, prev=prev, parallel=parallel)
+        run_day(spark, source, wh, day, prev=prev, parallel=parallel,
+                persist_staging=persist_staging)
         prev = day
     return wh

@@ -116,3 +116,19 @@ def test_missing_file_stops_the_date_before_any_write(spark, tmp_path):
     with pytest.raises(MissingInput):
         run(spark, src, wh, dates=[D1])
     assert not (tmp_path / "wh").exists()
+
+
+def test_command_line_run(spark, tmp_path):
+    from cardlake.__main__ import main
+
+    land = _landing(tmp_path)
+    _snapshots(spark, tmp_path)
+    ops = tmp_path / "ops"
+    args = ["--landing", land, "--warehouse", str(tmp_path / "wh"),
+            "--accounts", str(ops / "accounts"), "--clients", str(ops / "clients"),
+            "--cards", str(ops / "cards")]
+    main(args)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    assert {r.report_dt for r in wh.read_report().select("report_dt").distinct().collect()} == {D1, D2}
+    main(args)   # nothing pending: a second call loads nothing
+    assert wh.read_ledger().count() == 6
