@@ -49,3 +49,18 @@ def test_bucket_shorter_than_frame_is_rejected(spark):
     e = _enriched(fx.Tables(spark, SF_SMALL))
     with pytest.raises(ValueError):
         with_windows_split(e, 600)
+
+
+def test_split_equals_plain_with_null_timestamps(spark):
+    rows = [("t1", "2021-03-01 23:30:00", "C1", 30, "REJECT", "T1"),
+            ("t2", "2021-03-02 00:10:00", "C1", 20, "REJECT", "T2"),
+            ("t3", None, "C1", 10, "SUCCESS", "T1"),
+            ("t4", None, "C1", 5, "SUCCESS", "T2"),
+            ("t5", None, "C2", 5, "SUCCESS", "T2")]
+    df = flagged_rows(spark, rows, cards=[("C1", "A1"), ("C2", "A1")])
+    base = df.drop(*[c for c in df.columns if c.startswith(("city_", "cnt_", "amt_lag",
+                                                            "mark_", "bad_"))])
+    for bucket in (3600, 86400):
+        assert _multiset(with_windows_split(base, bucket)) == _multiset(with_windows(base))
+    lags = {r.trans_id: (r.amt_lag1, r.amt_lag2) for r in with_windows(base).collect()}
+    assert lags["t3"][0] is not None           # NULL timestamps sort after the dated rows
