@@ -45,11 +45,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     tests) is a private temporary folder created and registered, so that
     ``DataFrame.checkpoint()`` and written tables land in the same place.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="cardlake-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     # unique per call so that re-runs never read a half-written folder
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
