@@ -3,8 +3,9 @@
 All five windows partition by ``card_num``. The range frames (1 hour for the
 city span, 20 minutes for the count) order by ``trans_date`` alone, with
 same-timestamp peers inside the frame, as ``RANGE ... CURRENT ROW`` does. The
-lags order by ``(trans_date, trans_id)`` so that ties are deterministic
-(ledger Q2). NULL timestamps sort last (ledger Q17).
+lags order by ``(trans_date, trans_id)`` and then every other column, a total
+order, so ties are deterministic (ledger Q2). NULL timestamps sort last
+(ledger Q17).
 
 The range frames order by ``unix_micros(trans_date)`` with microsecond
 offsets: ``rangeBetween`` over a TIMESTAMP column is rejected by the
@@ -12,6 +13,10 @@ DataFrame API. That order key is materialised once as a column, and the lag
 window is applied first, so its sort ``(card_num, ts_us, trans_id)`` also
 satisfies the range windows' ordering: one exchange and one sort for all
 five windows.
+
+``with_windows_split`` computes the same columns with each card split into
+time buckets, for cards too large for one task (see ``operators.report`` for
+the routing).
 """
 
 from __future__ import annotations
