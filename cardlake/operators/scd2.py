@@ -175,7 +175,7 @@ def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
     k = _q(spec.key)
     order = ", ".join(["effective_from ASC NULLS LAST",
                        *[f"{_q(a)} ASC NULLS FIRST" for a in spec.attrs],
-                       "deleted_flg ASC NULLS FIRST"])
+                       "deleted_flg ASC NULLS FIRST", "effective_to ASC NULLS FIRST"])
     nxt = f"coalesce(_next_from, {OPEN})"
     return (history.selectExpr(
         "*", f"lead(effective_from, 1) OVER (PARTITION BY {k} ORDER BY {order}) AS _next_from")
@@ -201,8 +201,12 @@ def scd2_apply_joins(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Sp
 # Single-shuffle form (used by the pipeline).
 # ---------------------------------------------------------------------------
 
-def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
-    """Next history snapshot from the previous one and a full staging snapshot."""
+DEFAULT_HOT_KEY_ROWS = 1_000_000   # rows of one key (history + staging) that make it "hot"
+EXPAND_CHUNK = 100_000             # copies regenerated per task when expanding multiplicities
+
+
+def _union_rows(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """History (``_src`` 0) and staged rows (``_src`` 1) in one frame."""
     k = _q(spec.key)
     flag = spec.mode == FLAG
     null_ts = "CAST(NULL AS TIMESTAMP)"
@@ -213,25 +217,30 @@ def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) ->
         "CAST(NULL AS BOOLEAN) AS deleted_flg",
         "create_dt" if flag else f"{null_ts} AS create_dt",
         "update_dt" if flag else f"{null_ts} AS update_dt", "1 AS _src")
+    return h.unionByName(s)
 
-    # 1. per-key facts, all from the pre-batch history (one partitioning by key)
-    over = f"OVER (PARTITION BY {k})"
+
+def _key_facts(spec: Scd2Spec, over: str = "") -> list[str]:
+    """Per-key facts of the pre-batch history: as window expressions (``over``
+    given) or as aggregates (``over`` empty)."""
     is_cur = f"(_src = 0 AND {CURRENT})"
     cur_attrs = "named_struct(" + ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs) + ")"
-    u = h.unionByName(s).selectExpr(
-        "*",
-        f"coalesce(max(_src = 0 AND deleted_flg <=> FALSE) {over}, FALSE) AS _live",
-        f"max(_src = 0) {over} AS _known",
-        f"max(_src = 1) {over} AS _staged",
-        f"max(CASE WHEN {is_cur} THEN effective_from END) {over} AS _cur_from",
-        *([] if flag else
-          [f"max_by({cur_attrs}, CASE WHEN {is_cur} THEN effective_from END) {over} AS _cur"]))
-
-    # 2. kept history (delete mark), new rows, changed rows
+    facts = [f"coalesce(max(_src = 0 AND deleted_flg <=> FALSE) {over}, FALSE) AS _live",
+             f"max(_src = 0) {over} AS _known",
+             f"max(_src = 1) {over} AS _staged",
+             f"max(CASE WHEN {is_cur} THEN effective_from END) {over} AS _cur_from"]
+    if spec.mode != FLAG:
+        facts.append(f"max_by({cur_attrs}, CASE WHEN {is_cur} THEN effective_from END) {over} "
+                     f"AS _cur")
+    return facts
+
+
+def _classify(u: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
+    """Kept history (with the delete mark), new rows and changed rows."""
     a_of = _as_of(as_of)
     gone = "(_live AND NOT _staged)"
     new = "(_src = 1 AND NOT _live)"
-    if flag:
+    if spec.mode == FLAG:
         staged_from = _staged_from(spec)
         changed = (f"(_src = 1 AND _live AND update_dt IS NOT NULL "
                    f"AND {staged_from} > _cur_from)")
@@ -240,7 +249,7 @@ def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) ->
     else:
         changed = f"(_src = 1 AND _live AND _cur IS NOT NULL AND {_differs(spec, '_cur.')})"
         new_from = changed_from = a_of
-    rows = u.where(f"_src = 0 OR {new} OR {changed}").selectExpr(
+    return u.where(f"_src = 0 OR {new} OR {changed}").selectExpr(
         *_cols(spec),
         f"CASE WHEN _src = 0 THEN effective_from WHEN {new} THEN {new_from} "
         f"ELSE {changed_from} END AS effective_from",
@@ -248,16 +257,95 @@ def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) ->
         f"WHEN _src = 0 THEN effective_to ELSE {OPEN} END AS effective_to",
         f"CASE WHEN _src = 0 AND {gone} THEN TRUE WHEN _src = 0 THEN deleted_flg "
         f"ELSE FALSE END AS deleted_flg")
-    # 3. re-stitch over the same partitioning
-    return restitch(rows, spec)
 
 
-def initial_history(staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
+def _apply_windowed(u: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
+    over = f"OVER (PARTITION BY {_q(spec.key)})"
+    return restitch(_classify(u.selectExpr("*", *_key_facts(spec, over)), as_of, spec), spec)
+
+
+def _apply_grouped(u: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
+    """The same result for keys too large for one task: aggregates and joins
+    (AQE splits a hot key on the large side) instead of per-key windows."""
+    k = spec.key
+    facts = u.groupBy(k).agg(*[F.expr(e) for e in _key_facts(spec)]) \
+        .withColumnRenamed(k, "_fk")
+    v = u.join(facts, F.expr(f"{_q(k)} <=> _fk"), "left").drop("_fk")
+    return restitch_grouped(_classify(v, as_of, spec), spec)
+
+
+def restitch_grouped(history: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """``restitch`` without a window over the key's rows.
+
+    Within a key the rows sort by (effective_from, attributes, deleted_flg,
+    effective_to); a row's next start is its own start unless it is the last
+    of its ``(key, effective_from)`` tie group, and the last one gets the next
+    distinct start. So: exact duplicate rows are collapsed into a multiplicity
+    (aggregate), the top of each tie group is an aggregate, the next distinct
+    start is a ``lead`` over distinct starts only, and the multiplicities are
+    expanded again in chunks of at most ``EXPAND_CHUNK`` rows per task.
+    """
+    k = _q(spec.key)
+    cols = [*_cols(spec), "effective_from", "effective_to", "deleted_flg"]
+    tie = ("named_struct(" + ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs)
+           + ", '_del', deleted_flg, '_to', effective_to)")
+    c = history.groupBy(*[F.col(x) for x in cols]).agg(F.count(F.lit(1)).alias("_m"))
+    g = (c.where(f"{k} IS NOT NULL AND effective_from IS NOT NULL")
+         .groupBy(spec.key, "effective_from").agg(F.expr(f"max({tie}) AS _top"))
+         .selectExpr(f"{k} AS _gk", "effective_from AS _gf", "_top",
+                     f"lead(effective_from, 1) OVER (PARTITION BY {k} ORDER BY effective_from) "
+                     f"AS _next_from"))
+    j = c.join(g, F.expr(f"{k} = _gk AND effective_from = _gf"), "left")
+    nxt = f"coalesce(_next_from, {OPEN})"
+    last_to = f"CASE WHEN deleted_flg THEN least(effective_to, {nxt}) ELSE {nxt} END"
+    tie_to = ("CASE WHEN deleted_flg THEN least(effective_to, effective_from) "
+              "ELSE effective_from END")
+    top = f"CAST(_top IS NOT NULL AND {tie} = _top AS INT)"
+    emit = (f"CASE WHEN _top IS NULL THEN array(named_struct('to', effective_to, 'n', _m)) "
+            f"ELSE array(named_struct('to', {tie_to}, 'n', _m - {top}), "
+            f"named_struct('to', {last_to}, 'n', {top})) END")
+    e = (j.selectExpr(*cols, f"explode({emit}) AS _e").where("_e.n > 0")
+         .selectExpr(*[x for x in cols if x != "effective_to"], "_e.to AS effective_to",
+                     "_e.n AS _n"))
+    # expand n copies: chunks first (spread over tasks), then rows
+    chunked = (e.selectExpr("*", f"explode(sequence(0, (_n - 1) div {EXPAND_CHUNK})) AS _c")
+               .repartition(F.col(spec.key), F.col("effective_from"), F.col("_c")))
+    rows = chunked.selectExpr(
+        "*", f"explode(sequence(1, least({EXPAND_CHUNK}, _n - _c * {EXPAND_CHUNK}))) AS _i")
+    return rows.selectExpr(*_cols(spec), "effective_from", "effective_to", "deleted_flg")
+
+
+def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec,
+               hot_rows: int | None = None) -> DataFrame:
+    """Next history snapshot from the previous one and a full staging snapshot.
+
+    With ``hot_rows`` set, keys with more than ``hot_rows`` rows (history +
+    staging) take the aggregate form (``_apply_grouped``) and every other key
+    the single-shuffle window form; ``0`` routes every key. The routed plan
+    reads its input several times, so it is meant for an input history read
+    from storage (as the daily run does), not for long lazy chains of batches;
+    ``None`` (default) uses the window form for every key.
+    """
+    u = _union_rows(history, staging, spec)
+    if hot_rows is None:
+        return _apply_windowed(u, as_of, spec)
+    k = spec.key
+    hot = (u.groupBy(k).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {hot_rows}")
+           .selectExpr(f"{_q(k)} AS _hk", "TRUE AS _hot"))
+    marked = u.join(hot, F.expr(f"{_q(k)} <=> _hk"), "left").drop("_hk")
+    cold = _apply_windowed(marked.where("_hot IS NULL").drop("_hot"), as_of, spec)
+    hot_out = _apply_grouped(marked.where("_hot IS NOT NULL").drop("_hot"), as_of, spec)
+    return cold.unionByName(hot_out)
+
+
+def initial_history(staging: DataFrame, as_of, spec: Scd2Spec,
+                    hot_rows: int | None = None) -> DataFrame:
     """First load: ``scd2_apply`` on an empty history."""
     schema = (staging.select(spec.key, *spec.attrs).schema
               .add("effective_from", "timestamp").add("effective_to", "timestamp")
               .add("deleted_flg", "boolean"))
-    return scd2_apply(empty_frame(staging.sparkSession, schema), staging, as_of, spec)
+    return scd2_apply(empty_frame(staging.sparkSession, schema), staging, as_of, spec,
+                      hot_rows=hot_rows)
 
 
 def as_current(staging: DataFrame, spec: Scd2Spec) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlake.operators.report import fraud_report
-from cardlake.operators.scd2 import SPECS, scd2_apply
+from cardlake.operators.scd2 import DEFAULT_HOT_KEY_ROWS, SPECS, scd2_apply
 from cardlake.schemas import empty, empty_frame, struct_type
 from cardlake.sources import staging as stg
 from cardlake.sources.files import expected_names
@@ -154,7 +154,8 @@ def _staged(spark: SparkSession, source: DailySource, day: dt.date) -> dict[str,
 
 
 def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
-            prev=_LOOKUP, parallel: int = 6, persist_staging: bool = False) -> None:
+            prev=_LOOKUP, parallel: int = 6, persist_staging: bool = False,
+            hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> None:
     """Stage, maintain the four dimensions, load the facts, build the report.
 
     ``prev`` is the previous batch date (looked up in the ledger when not
@@ -163,7 +164,9 @@ def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.dat
     for all of them and reads what they wrote. With ``persist_staging`` the
     six staging tables are first replaced under ``stg/`` (K2) and every load
     reads them back, so all loads of the date see one consistent snapshot of
-    the operational tables.
+    the operational tables. Dimension keys with more than ``hot_key_rows``
+    rows take the skew-safe aggregate form of SCD2 (the input history is read
+    from Parquet, so the routed plan stays small).
     """
     if prev is _LOOKUP:
         prev = wh.last_loaded_before(day)
@@ -174,7 +177,8 @@ def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.dat
         _each([lambda t=t, df=df: wh.write_staging(t, df) for t, df in staged.items()], parallel)
         staged = {t: wh.read_staging(t) for t in staged}
     loads = [lambda name=name, spec=spec: wh.write_dim(
-        name, day, scd2_apply(wh.read_dim(name, prev), staged[f"stg_{name}"], day, spec))
+        name, day, scd2_apply(wh.read_dim(name, prev), staged[f"stg_{name}"], day, spec,
+                              hot_rows=hot_key_rows))
         for name, spec in SPECS.items()]
     loads.append(lambda: wh.write_fact(day, stg.to_fact(staged["stg_transactions"])))
     loads.append(lambda: wh.write_blacklist(day, stg.to_blacklist_fact(staged["stg_blacklist"])))
@@ -202,7 +206,8 @@ def _each(jobs, parallel: int) -> None:
 
 
 def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
-        parallel: int = 6, persist_staging: bool = False) -> Warehouse:
+        parallel: int = 6, persist_staging: bool = False,
+        hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> Warehouse:
     """Every date in ascending order (``source.dates()`` when not given).
 
     Dates run one after the other (day *n* reads day *n-1*'s history).
@@ -211,6 +216,6 @@ def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
     prev = wh.last_loaded_before(days[0]) if days else None
     for day in days:
         run_day(spark, source, wh, day, prev=prev, parallel=parallel,
-                persist_staging=persist_staging)
+                persist_staging=persist_staging, hot_key_rows=hot_key_rows)
         prev = day
     return wh
