@@ -5,7 +5,8 @@ record and ``mapInPandas`` parses it inside the executors with the standard
 library (a workbook is a zip of XML parts). Cells are returned as text and
 typed afterwards with built-in expressions: a date column accepts an Excel
 day serial or ISO text. Columns are bound by position after the header row
-(the source job does the same); a blank text cell is NULL (ledger Q14).
+(the source job does the same); a blank text cell is NULL (ledger Q14) and a
+row with no value at all is skipped.
 """
 
 from __future__ import annotations
