@@ -156,15 +156,22 @@ def _staged(spark: SparkSession, source: DailySource, day: dt.date) -> dict[str,
 def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
             prev=_LOOKUP, parallel: int = 6, persist_staging: bool = False,
             hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> None:
-    """Stage, maintain the four dimensions, load the facts, build the report.
+    """One date: ``load_day`` then ``report_day``."""
+    load_day(spark, source, wh, day, prev, parallel, persist_staging, hot_key_rows)
+    report_day(spark, source, wh, day)
+
+
+def load_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
+             prev=_LOOKUP, parallel: int = 6, persist_staging: bool = False,
+             hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> None:
+    """Stage, maintain the four dimensions, load the facts and the blacklist.
 
     ``prev`` is the previous batch date (looked up in the ledger when not
     given). The six table loads of a date are independent Spark jobs and are
-    submitted concurrently from ``parallel`` driver threads; the report waits
-    for all of them and reads what they wrote. With ``persist_staging`` the
-    six staging tables are first replaced under ``stg/`` (K2) and every load
-    reads them back, so all loads of the date see one consistent snapshot of
-    the operational tables. Dimension keys with more than ``hot_key_rows``
+    submitted concurrently from ``parallel`` driver threads. With
+    ``persist_staging`` the six staging tables are first replaced under
+    ``stg/`` (K2) and every load reads them back, so all loads of the date see
+    one consistent snapshot of the operational tables. Dimension keys with more than ``hot_key_rows``
     rows take the skew-safe aggregate form of SCD2 (the input history is read
     from Parquet, so the routed plan stays small).
     """
@@ -184,6 +191,10 @@ def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.dat
     loads.append(lambda: wh.write_blacklist(day, stg.to_blacklist_fact(staged["stg_blacklist"])))
     _each(loads, parallel)
 
+
+def report_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date) -> None:
+    """The report over every fact loaded up to ``day`` with the
+    dimensions as of ``day``, then the ledger entry of the date."""
     rep = fraud_report(wh.read_fact(up_to=day).drop("load_dt"),
                        wh.read_dim("cards", day), wh.read_dim("accounts", day),
                        wh.read_dim("clients", day), wh.read_dim("terminals", day),
@@ -210,12 +221,24 @@ def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
         hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> Warehouse:
     """Every date in ascending order (``source.dates()`` when not given).
 
-    Dates run one after the other (day *n* reads day *n-1*'s history).
+    The loads of day *n* need day *n-1*'s dimension snapshots, so loads run
+    date after date. The report of day *n* only reads what day *n*'s loads
+    wrote (facts up to *n*, snapshots as of *n*), so it runs in the
+    background while day *n+1* loads; day *n+1* writes only its own
+    partitions. A failure surfaces before the next report starts, and the
+    ledger entry of a date is written after its report, so a re-run resumes
+    at the first date without one.
     """
     days = sorted(dates if dates is not None else source.dates())
     prev = wh.last_loaded_before(days[0]) if days else None
-    for day in days:
-        run_day(spark, source, wh, day, prev=prev, parallel=parallel,
-                persist_staging=persist_staging, hot_key_rows=hot_key_rows)
-        prev = day
+    with ThreadPoolExecutor(max_workers=1) as background:
+        pending = None
+        for day in days:
+            load_day(spark, source, wh, day, prev, parallel, persist_staging, hot_key_rows)
+            if pending is not None:
+                pending.result()
+            pending = background.submit(report_day, spark, source, wh, day)
+            prev = day
+        if pending is not None:
+            pending.result()
     return wh
