@@ -64,3 +64,16 @@ def test_split_equals_plain_with_null_timestamps(spark):
         assert _multiset(with_windows_split(base, bucket)) == _multiset(with_windows(base))
     lags = {r.trans_id: (r.amt_lag1, r.amt_lag2) for r in with_windows(base).collect()}
     assert lags["t3"][0] is not None           # NULL timestamps sort after the dated rows
+
+
+def test_report_with_some_hot_cards_equals_plain_report(spark):
+    from cardlake.operators.report import fraud_report, hot_cards
+    from cardlake.plans.queries import _part_c_dims
+
+    t = fx.Tables(spark, SF_SMALL)
+    fact = fx.fact_transactions(t)
+    assert 0 < hot_cards(fact, 60).count() < fact.select("card_num").distinct().count()
+    routed = fraud_report(fact, **_part_c_dims(t), report_dt="2024-01-02", hot_rows=60)
+    plain = fraud_report(fact, **_part_c_dims(t), report_dt="2024-01-02", bucket_seconds=None)
+    assert sorted(map(tuple, routed.collect()), key=repr) == \
+        sorted(map(tuple, plain.collect()), key=repr)
