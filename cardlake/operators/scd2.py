@@ -17,6 +17,12 @@ several times. The join form is still provided step by step
 ``changed_compared``, ``restitch``): it is the readable definition, and the
 tests check that both forms agree.
 
+A business key with very many rows would make one window partition. With
+``hot_rows`` set (the daily run sets it), such keys take an aggregate form
+instead (``_apply_grouped``, ``restitch_grouped``): per-key facts by
+``groupBy`` and a skew-splittable join, and a re-stitch over collapsed
+duplicates and distinct start times.
+
 Deliberate deviations from the source job (all reads are of the state before
 the batch; see README):
 
