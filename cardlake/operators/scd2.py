@@ -288,19 +288,30 @@ def restitch_grouped(history: DataFrame, spec: Scd2Spec) -> DataFrame:
     of its ``(key, effective_from)`` tie group, and the last one gets the next
     distinct start. So: exact duplicate rows are collapsed into a multiplicity
     (aggregate), the top of each tie group is an aggregate, the next distinct
-    start is a ``lead`` over distinct starts only, and the multiplicities are
-    expanded again in chunks of at most ``EXPAND_CHUNK`` rows per task.
+    start is a ``lead`` over distinct starts within a day (plus the first
+    start of the next non-empty day), and the multiplicities are expanded
+    again in chunks of at most ``EXPAND_CHUNK`` rows per task.
     """
     k = _q(spec.key)
     cols = [*_cols(spec), "effective_from", "effective_to", "deleted_flg"]
     tie = ("named_struct(" + ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs)
            + ", '_del', deleted_flg, '_to', effective_to)")
     c = history.groupBy(*[F.col(x) for x in cols]).agg(F.count(F.lit(1)).alias("_m"))
-    g = (c.where(f"{k} IS NOT NULL AND effective_from IS NOT NULL")
-         .groupBy(spec.key, "effective_from").agg(F.expr(f"max({tie}) AS _top"))
+    # distinct starts of a key, bucketed by day: the next start is the next one
+    # in the bucket, or else the first start of the next non-empty bucket
+    day_us = 86400 * 1_000_000
+    starts = (c.where(f"{k} IS NOT NULL AND effective_from IS NOT NULL")
+              .groupBy(spec.key, "effective_from").agg(F.expr(f"max({tie}) AS _top"))
+              .selectExpr("*", f"(unix_micros(effective_from) - pmod(unix_micros(effective_from), "
+                               f"{day_us})) div {day_us} AS _b"))
+    buckets = (starts.groupBy(spec.key, "_b").agg(F.min("effective_from").alias("_bmin"))
+               .selectExpr(f"{k} AS _bk", "_b AS _bb",
+                           f"lead(_bmin, 1) OVER (PARTITION BY {k} ORDER BY _b) AS _next_bmin"))
+    g = (starts.selectExpr("*", f"lead(effective_from, 1) OVER (PARTITION BY {k}, _b "
+                                f"ORDER BY effective_from) AS _next_in")
+         .join(buckets, F.expr(f"{k} = _bk AND _b = _bb"), "left")
          .selectExpr(f"{k} AS _gk", "effective_from AS _gf", "_top",
-                     f"lead(effective_from, 1) OVER (PARTITION BY {k} ORDER BY effective_from) "
-                     f"AS _next_from"))
+                     "coalesce(_next_in, _next_bmin) AS _next_from"))
     j = c.join(g, F.expr(f"{k} = _gk AND effective_from = _gf"), "left")
     nxt = f"coalesce(_next_from, {OPEN})"
     last_to = f"CASE WHEN deleted_flg THEN least(effective_to, {nxt}) ELSE {nxt} END"

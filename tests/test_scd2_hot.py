@@ -30,6 +30,11 @@ def test_grouped_restitch_equals_window_restitch(spark):
         ("2", "POS", "A", "y", T(2024, 1, 1), T(2024, 1, 2), True),
         ("2", "POS", "A", "y", T(2024, 1, 3), OPEN, False),
         ("3", "POS", "A", "z", None, T(2024, 1, 9), False),          # NULL start kept
+        ("9", "POS", "A", "q", T(2024, 1, 1, 10), OPEN, False),       # several starts a day,
+        ("9", "POS", "B", "q", T(2024, 1, 1, 12), OPEN, False),       # then empty days
+        ("9", "POS", "C", "q", T(2024, 1, 4, 8), OPEN, False),
+        ("9", "POS", "D", "q", T(2024, 1, 4, 9), T(2024, 1, 4, 9, 30), True),
+        ("9", "POS", "E", "q", T(2023, 12, 31, 23, 59), OPEN, False),
         (None, "POS", "A", "n", T(2024, 1, 1), T(2024, 1, 4), False),  # NULL key kept
         (None, "POS", "A", "n", T(2024, 1, 1), T(2024, 1, 4), False),
     ]
