@@ -56,3 +56,12 @@ def test_persisted_staging_gives_the_same_warehouse(spark, tmp_root):
     # staging holds the last date's snapshot only
     stg = spark.read.parquet(b.path("stg", "stg_clients"))
     assert stg.count() == fx.clients_day(fx.Tables(spark, SF_SMALL), fx.DAYS[1]).count()
+
+
+def test_no_dates_and_empty_ledger(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root + "/empty")
+    assert wh.last_loaded_before(dt.date(2024, 1, 1)) is None
+    assert wh.read_ledger().count() == 0
+    run(spark, fx.FixtureSource(spark, SF_SMALL), wh, dates=[])
+    import os
+    assert not os.path.exists(tmp_root + "/empty")
