@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import quality, toxicity
+from cardlake.llm import pieces, quality, simhash, toxicity
 from cardlake.llm.common import id_remainder
 
 
@@ -24,14 +24,25 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.scores(docs, toxicity.trained(docs, _table(spark, sf_dir, "labels"))), 5, 0)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return _scored(quality.scores(docs, quality.trained(docs, _table(spark, sf_dir, "labels"))), 3, 1)
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(_table(spark, sf_dir, "documents"), keep=())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op6_simhash": op6_simhash,
     "op9_quality": op9_quality,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardlake.llm import quality, toxicity
+from cardlake.llm import pieces, quality, simhash, toxicity
 from cardlake.llm.common import stored
 
 
@@ -28,9 +28,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.filtered(docs, toxicity.trained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
 
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the least id, of each group of SimHash near duplicates (3-word shingles, 3 bits)."""
+    return simhash.one_of_each(docs)
+
+
+def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, token count, digests and ids (binary, little-endian unsigned 32-bit) of what is left."""
+    return pieces.encoded(docs, keep=("ids",))
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("toxicity", toxicity_stage),
+    ("SimHash near-dedup", near_duplicates_stage),
+    ("SentencePiece encoding and decoding", tokens_stage),
 ]
 
 #: SQL can't express fitted classifiers, fingerprints or tokenizers; tests compare the stages with brute force.
