@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import pieces, quality, simhash, toxicity
+from cardlake.llm import decontaminate, pieces, quality, simhash, toxicity
 from cardlake.llm.common import id_remainder
 
 
@@ -29,6 +29,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return _scored(quality.scores(docs, quality.trained(docs, _table(spark, sf_dir, "labels"))), 3, 1)
@@ -41,6 +47,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op6_simhash": op6_simhash,
+    "op8_winnowing": op8_winnowing,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
 }

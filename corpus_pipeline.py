@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardlake.llm import pieces, quality, simhash, toxicity
+from cardlake.llm import decontaminate, pieces, quality, simhash, toxicity
 from cardlake.llm.common import stored
 
 
@@ -33,6 +33,11 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return simhash.one_of_each(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token count, digests and ids (binary, little-endian unsigned 32-bit) of what is left."""
     return pieces.encoded(docs, keep=("ids",))
@@ -42,6 +47,7 @@ STAGES = [
     ("quality classifier", quality_stage),
     ("toxicity", toxicity_stage),
     ("SimHash near-dedup", near_duplicates_stage),
+    ("benchmark decontamination", decontamination_stage),
     ("SentencePiece encoding and decoding", tokens_stage),
 ]
 
