@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import decontaminate, pieces, quality, simhash, toxicity
+from cardlake.llm import decontaminate, idfiles, pieces, quality, simhash, toxicity
 from cardlake.llm.common import id_remainder
+from cardlake.session import scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.scores(docs, toxicity.trained(docs, _table(spark, sf_dir, "labels"))), 5, 0)
 
 
+def op5_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "id-files")
+    idfiles.write(_table(spark, sf_dir, "documents"), path)
+    return idfiles.read(spark, path, ids=False)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -46,6 +53,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op5_id_files": op5_id_files,
     "op6_simhash": op6_simhash,
     "op8_winnowing": op8_winnowing,
     "op9_quality": op9_quality,
