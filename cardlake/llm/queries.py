@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import decontaminate, idfiles, pieces, quality, simhash, toxicity
+from cardlake.llm import decontaminate, idfiles, pieces, quality, simhash, toxicity, unigram
 from cardlake.llm.common import id_remainder
 from cardlake.session import scratch_dir
 
@@ -20,6 +20,10 @@ def _scored(result: DataFrame, n: int, held: int) -> DataFrame:
     return result.select("doc_id", (id_remainder("doc_id", n) == held).alias("held_out"), "score", "predicted")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return _scored(toxicity.scores(docs, toxicity.trained(docs, _table(spark, sf_dir, "labels"))), 5, 0)
@@ -52,6 +56,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op5_id_files": op5_id_files,
     "op6_simhash": op6_simhash,
