@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, decontaminate, idfiles, pieces, quality, shards, simhash, toxicity, unigram
+from cardlake.llm import chat, decontaminate, idfiles, pieces, quality, shards, simhash, syncmers, toxicity, unigram
 from cardlake.llm.common import id_remainder, stored
 from cardlake.session import scratch_dir
 
@@ -20,6 +20,10 @@ def _scored(result: DataFrame, n: int, held: int) -> DataFrame:
     return result.select("doc_id", (id_remainder("doc_id", n) == held).alias("held_out"), "score", "predicted")
 
 
+def op1_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_fingerprints(_table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_syncmers": op1_syncmers,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_virtual_slots": op4_virtual_slots,
