@@ -65,7 +65,7 @@ def grown_map(slot_map: DataFrame, sizes: DataFrame, shards: int, more: int = 1)
         .withColumn("upto", F.sum("bytes").over(by_size.rowsBetween(Window.unboundedPreceding, 0))) \
         .withColumn("moves", (F.col("upto") <= F.col("excess")) & (F.col("bytes") > 0))
     target = (F.lit(shards) + F.pmod(F.col("rank") + F.col("shard"), F.lit(more))).cast("int")
-    return given.select("virtual_slot", F.when("moves", target).otherwise(F.col("shard")).alias("shard"))
+    return given.select("virtual_slot", F.when(F.col("moves"), target).otherwise(F.col("shard")).alias("shard"))
 
 
 def write_map(slot_map: DataFrame, path: str, version: int) -> None:

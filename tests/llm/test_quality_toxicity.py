@@ -1,0 +1,88 @@
+"""Classifiers: held-out accuracy on the given labels, and defined cases."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import pytest
+from helpers import LABELS, documents, no_documents, texts
+
+from cardlake.llm import quality, queries, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def truth(spark):
+    return {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+
+
+@pytest.mark.parametrize(("query", "label", "n", "held"), [("op9_quality", "quality", 3, 1), ("op3_toxicity", "toxic", 5, 0)])
+def test_held_out_accuracy(spark, truth, query, label, n, held):
+    rows = {r.doc_id: r for r in queries.QUERIES[query](spark, SF).collect()}
+    assert len(rows) == 1000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % n == held) for r in rows.values())
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows.values())
+    test = [(rows[k].predicted, getattr(t, label)) for k, t in truth.items() if k in rows and rows[k].held_out]
+    assert sum(p == y for p, y in test) / len(test) >= 0.9
+
+
+def toy():
+    rng = random.Random(2)
+    clean = ["".join(rng.choice("bcdfg") + rng.choice("aeu") for _ in range(rng.randint(1, 3))) for _ in range(200)]
+    sample = []
+    for k in range(400):
+        words = rng.choices(clean, k=25)
+        if k % 4 == 0:
+            words[rng.randrange(25)] = rng.choice(["stinkard", "wretch"])
+        sample.append((" ".join(words) + ".", int(k % 4 == 0)))
+    return sample
+
+
+def test_gapped_and_inserted_characters():
+    model = toxicity.fit(toy())
+    score = dict(zip(t := ["du stinkard ba.", "du s.t.i.n.k.a.r.d ba.", "du s t i n k a r d ba.", "du stinnkarrd ba.", "du wrettch", "du ba fe.", ""],
+                     toxicity.text_scores(model, t, "toy"), strict=True))
+    assert all(score[x] >= 0.5 for x in t[:5])
+    assert all(score[x] < 0.5 for x in t[5:])
+
+
+def test_kernel_is_the_gap_weighted_subsequence_kernel():
+    def brute(a, b):
+        def weights(w):
+            out = {}
+            for i in range(len(w)):
+                for j in range(i + 1, len(w)):
+                    for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
+                        out[w[i] + w[j] + w[k]] = out.get(w[i] + w[j] + w[k], 0) + toxicity.DECAY ** (k - i + 1)
+            return out
+        x, y = weights("<" + a), weights("<" + b)
+        dot = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
+        return (dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5) ** toxicity.POWER if x and y else 0.0
+
+    marks, words = ["moron", "banana", "lo"], ["moron", "mooron", "oron", "bananas", "nab", "a", "é", "lo" * 20]
+    got = toxicity.Kernel(marks)(words)
+    for k, w in enumerate(words):
+        for j, m in enumerate(marks):
+            assert got[k, j] == pytest.approx(brute(w, m), abs=1e-5)
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_defined_cases(spark, module):
+    docs = documents(spark)
+    labels = spark.createDataFrame([(4, 1, 1), (7, 0, 0), (7, 0, 0), (8, None, None), (None, 1, 1), (99, 1, 1)], LABELS)
+    for given in (labels, labels.limit(0)):
+        model = module.trained(docs, given)
+        rows = module.scores(docs, model).collect()
+        assert len(rows) == len(texts()) + 3
+        assert all(0 <= r.score <= 1 for r in rows)
+        assert len({r.score for r in rows if r.doc_id == 4}) == 1
+        assert module.filtered(docs, model).columns == docs.columns
+        assert module.scores(no_documents(spark), model).count() == 0
+        assert module.filtered(no_documents(spark), model).count() == 0
+
+
+def test_repeated_words_are_one_unit():
+    assert quality.units("a a b b b c") == ["a", quality.AGAIN, "b", quality.AGAIN, quality.AGAIN, "c"]
+    assert quality.units("") == []
