@@ -2,7 +2,7 @@
 
     spark-submit -m cardlake --landing s3://landing/cards --warehouse s3://wh/cards \\
         --snapshot-format jdbc --option url=jdbc:postgresql://... --option user=... \\
-        --accounts info.accounts --clients info.clients --cards info.cards
+        --accounts ops.accounts --clients ops.clients --cards ops.cards
 
 Without ``--date`` every date that still has unconsumed files in the landing
 folder is loaded, oldest first.
@@ -31,7 +31,8 @@ def main(argv=None) -> None:
     ap.add_argument("--clients", required=True)
     ap.add_argument("--cards", required=True)
     ap.add_argument("--date", action="append", default=[], help="YYYY-MM-DD (repeatable)")
-    ap.add_argument("--persist-staging", action="store_true")
+    ap.add_argument("--rebuild-later", action="store_true",
+                    help="also load every later date again that is already loaded (its history builds on these dates)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -45,7 +46,7 @@ def main(argv=None) -> None:
     wh = Warehouse(spark, a.warehouse)
     dates = ([dt.date.fromisoformat(d) for d in a.date] if a.date
              else src.dates(ledger=wh.read_ledger()))
-    run(spark, src, wh, dates=dates, persist_staging=a.persist_staging)
+    dates = run(spark, src, wh, dates=dates, rebuild_later=a.rebuild_later)
     print(f"loaded {len(dates)} date(s): {', '.join(map(str, dates)) or '-'}")
 
 

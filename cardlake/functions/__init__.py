@@ -1,10 +0,0 @@
-from cardlake.functions.scalar import (
-    event_day,
-    file_date,
-    full_name,
-    has_prefix,
-    is_false,
-    parse_amount,
-)
-
-__all__ = ["event_day", "file_date", "full_name", "has_prefix", "is_false", "parse_amount"]

@@ -15,30 +15,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# the same expression as SQL text over last_name, first_name, patronymic
+# ``last first middle`` with a NULL part read as empty text, which keeps its
+# separating space (``concat`` alone would give NULL, ``concat_ws`` drop the space)
 FULL_NAME_SQL = ("concat(coalesce(last_name, ''), ' ', coalesce(first_name, ''), ' ', "
                  "coalesce(patronymic, ''))")
 
 
-def full_name(last, first, middle) -> Column:
-    """``last first middle`` with a NULL part read as empty text.
-
-    A missing part keeps its separating space (``'A', NULL, 'C'`` gives
-    ``'A  C'``). Spark's ``concat`` would return NULL and ``concat_ws`` would
-    drop the space, so both are avoided.
-    """
-    parts = [F.coalesce(_c(p), F.lit("")) for p in (last, first, middle)]
-    return F.concat(parts[0], F.lit(" "), parts[1], F.lit(" "), parts[2])
-
-
-def event_day(ts) -> Column:
-    """day of a timestamp in the session zone (UTC)."""
-    return F.to_date(_c(ts))
-
-
-def is_false(flag) -> Column:
-    """P5: ``flag IS FALSE``; NULL counts as not false, result is never NULL."""
-    return _c(flag).eqNullSafe(F.lit(False))
+# day of a timestamp in the session zone (UTC), as SQL text
+EVENT_DAY_SQL = "to_date(trans_date)"
 
 
 def parse_amount(text) -> Column:

@@ -6,11 +6,12 @@ conditions only touch the previous right side re-associate, so the card chain
 is resolved first into a *card profile* that is sized by the number of cards,
 not by the number of transactions. The fact then meets
 
-* the terminals (small; Spark broadcasts them when its size estimate allows,
-  otherwise a sort-merge join), and
-* the card profile on ``card_num`` -- the same key the rule windows partition
-  on, so the join's hash partitioning is reused by the windows and the fact is
-  shuffled once.
+* the terminals, and
+* the card profile on ``card_num``.
+
+Spark broadcasts either when its size estimate allows; otherwise the joins are
+sort-merge joins. The windows that follow exchange rows on their own key, so
+AQE is free to split a card (or the rows without one) that is hot in the join.
 
 Fan-out is kept on purpose (ledger Q1): a passport listed twice, or a key with
 two current versions, duplicates the transaction before the windows count it.
@@ -43,15 +44,11 @@ def card_profile(cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist:
 
 
 def enrich(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
-           clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame,
-           carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per (transaction x matching current dimension rows).
-
-    ``carry`` names extra fact columns to pass through (e.g. a routing mark)."""
+           clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """One row per (transaction x matching current dimension rows)."""
     trm = dim_current(terminals_hist).selectExpr("terminal_id AS _trm_id", "terminal_city")
     prof = card_profile(cards_hist, accounts_hist, clients_hist, blacklist)
-    f = fact.selectExpr("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal",
-                        *carry)
+    f = fact.selectExpr("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal")
     out = (f.join(trm, F.expr("terminal = _trm_id"), "left")
            .join(prof, "card_num", "left"))
     # the name is built after the fact join: a transaction without a card,
@@ -60,4 +57,4 @@ def enrich(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
         "trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal",
         "terminal_city", "account_num", "valid_to", "client_id",
         f"{FULL_NAME_SQL} AS fio",
-        "passport_num", "passport_valid_to", "phone", "black_list_dt", *carry)
+        "passport_num", "passport_valid_to", "phone", "black_list_dt")

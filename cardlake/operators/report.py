@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from cardlake.functions.scalar import EVENT_DAY_SQL
 from cardlake.operators.enrich import enrich
-from cardlake.operators.rules import with_flags
-from cardlake.operators.windows import with_windows, with_windows_split
+from cardlake.operators.rules import RULES, with_flags
+from cardlake.operators.windows import BUCKET_SECONDS, with_windows
 from cardlake.schemas import (
     LABEL_AMOUNT_PROBE,
     LABEL_BAD_CONTRACT,
@@ -17,68 +17,30 @@ from cardlake.schemas import (
     LABEL_CITY_HOP,
 )
 
-# Window partitioning. A card with more than DEFAULT_HOT_ROWS transactions
-# is split into buckets of DEFAULT_BUCKET_SECONDS (``with_windows_split``);
-# every other card keeps one partition (``with_windows``). The set of hot
-# cards has at most (transactions / DEFAULT_HOT_ROWS) rows.
-# ``bucket_seconds=None``: never split; ``hot_rows=0``: split every card.
-DEFAULT_BUCKET_SECONDS: int | None = 86400
-DEFAULT_HOT_ROWS = 2_000_000
-
-
-# First matching rule wins; no ELSE (rows reaching here match one)
-EVENT_TYPE_SQL = (f"CASE WHEN mark_bad_passport THEN '{LABEL_BAD_PASSPORT}' "
-                  f"WHEN mark_bad_contract THEN '{LABEL_BAD_CONTRACT}' "
-                  f"WHEN bad_trans1 THEN '{LABEL_CITY_HOP}' "
-                  f"WHEN bad_trans2 THEN '{LABEL_AMOUNT_PROBE}' END")
-
-
-def event_type() -> Column:
-    return F.expr(EVENT_TYPE_SQL)
-
-
-def hot_cards(fact: DataFrame, hot_rows: int) -> DataFrame:
-    """Cards with more than ``hot_rows`` transactions (partial + final count,
-    so a hot card costs one row per map task in the shuffle)."""
-    return (fact.groupBy("card_num").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > hot_rows).select("card_num", F.lit(True).alias("_hot")))
+# A row's label is that of its first true rule, in the order of RULES
+LABELS = dict(zip(RULES, (LABEL_BAD_PASSPORT, LABEL_BAD_CONTRACT, LABEL_CITY_HOP, LABEL_AMOUNT_PROBE), strict=True))
+_FIRST_LABEL = f"coalesce({', '.join(f'''if({rule}, '{label}', NULL)''' for rule, label in LABELS.items())})"
 
 
 def flagged(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
             clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame,
-            bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-            hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+            bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """enrich (J3) -> windows (W1-W5) -> flags (R1-R4), one row per joined row."""
-    dims = (cards_hist, accounts_hist, clients_hist, terminals_hist, blacklist)
-    if bucket_seconds is None:
-        return with_flags(with_windows(enrich(fact, *dims)))
-    if hot_rows <= 0:
-        return with_flags(with_windows_split(enrich(fact, *dims), bucket_seconds))
-    # route whole cards: the mark joins on card_num, the key the fact is
-    # shuffled on for the profile join anyway
-    marked = fact.join(hot_cards(fact, hot_rows), "card_num", "left")
-    e = enrich(marked, *dims, carry=("_hot",))
-    cold = with_windows(e.where("_hot IS NULL").drop("_hot"))
-    hot = with_windows_split(e.where("_hot IS NOT NULL").drop("_hot"), bucket_seconds)
-    return with_flags(cold.unionByName(hot))
+    return with_flags(with_windows(enrich(fact, cards_hist, accounts_hist, clients_hist, terminals_hist, blacklist),
+                                   bucket_seconds))
 
 
 def report(flagged_rows: DataFrame, report_dt: dt.date | str) -> DataFrame:
     """Distinct (event_dt, passport, fio, phone, event_type, report_dt) over
     rows matching any rule."""
-    return (flagged_rows
-            .where("mark_bad_passport OR mark_bad_contract OR bad_trans1 OR bad_trans2")
-            .selectExpr("to_date(trans_date) AS event_dt",      # F2, session zone UTC
-                        "passport_num AS passport", "fio", "phone",
-                        f"{EVENT_TYPE_SQL} AS event_type",
-                        f"DATE'{report_dt}' AS report_dt")
+    return (flagged_rows.where(" OR ".join(RULES))
+            .selectExpr(f"{EVENT_DAY_SQL} AS event_dt", "passport_num AS passport", "fio", "phone",
+                        f"{_FIRST_LABEL} AS event_type", f"DATE'{report_dt}' AS report_dt")
             .distinct())
 
 
 def fraud_report(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
                  clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame,
-                 report_dt: dt.date | str,
-                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                 hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                 report_dt: dt.date | str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     return report(flagged(fact, cards_hist, accounts_hist, clients_hist, terminals_hist,
-                          blacklist, bucket_seconds, hot_rows), report_dt)
+                          blacklist, bucket_seconds), report_dt)

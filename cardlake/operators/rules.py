@@ -1,57 +1,24 @@
-"""The four fraud rules as boolean columns (never NULL).
-
-Each rule is the source job's ``CASE WHEN p THEN true ELSE false END``:
-an unknown predicate falls to false.
-"""
+"""The four fraud rules as boolean columns (never NULL: an unknown predicate is false)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cardlake.schemas import PROBE_MIN_COUNT, RESULT_REJECT, RESULT_SUCCESS
 
-FLAG_COLUMNS = ["mark_bad_passport", "mark_bad_contract", "bad_trans1", "bad_trans2"]
-
-# SQL text of each rule; a date compared with a timestamp is its midnight (Q3)
-RULE_PASSPORT = ("black_list_dt IS NOT NULL "
-                 "OR coalesce(passport_valid_to < trans_date, FALSE)")          # R1 (any date, Q8)
-RULE_CONTRACT = "coalesce(valid_to < trans_date, FALSE)"                       # R2
-RULE_CITY_HOP = "coalesce(city_1 <> city_2, FALSE)"                            # R3
-RULE_AMOUNT_PROBE = (                                                          # R4
-    f"coalesce(cnt_20_minute_trans > {PROBE_MIN_COUNT} "
-    f"AND amt < amt_lag1 AND amt_lag1 < amt_lag2 "
-    f"AND oper_result = '{RESULT_SUCCESS}' AND amt_lag1_res = '{RESULT_REJECT}' "
-    f"AND amt_lag2_res = '{RESULT_REJECT}', FALSE)")
-
-
-def rule_passport() -> Column:
-    """Passport blacklisted (any date, ledger Q8) or expired before the
-    operation (a date compares as its midnight, ledger Q3)."""
-    return F.expr(RULE_PASSPORT)
-
-
-def rule_contract() -> Column:
-    """R2: the account's contract ended before the operation."""
-    return F.expr(RULE_CONTRACT)
-
-
-def rule_city_hop() -> Column:
-    """At least two distinct known cities within the preceding hour."""
-    return F.expr(RULE_CITY_HOP)
-
-
-def rule_amount_probe() -> Column:
-    """More than three operations in 20 minutes, strictly falling amounts
-    over the last three, and results REJECT, REJECT, SUCCESS."""
-    return F.expr(RULE_AMOUNT_PROBE)
+RULES = {
+    # Passport blacklisted (any date, Q8) or expired before the operation (a date compares as its midnight, Q3)
+    "bad_passport": "black_list_dt IS NOT NULL OR coalesce(passport_valid_to < trans_date, FALSE)",
+    # R2: the account's contract ended before the operation
+    "bad_contract": "coalesce(valid_to < trans_date, FALSE)",
+    # Two known cities within the preceding hour
+    "city_hop": "city_change_1h",
+    # More than three operations in 20 minutes, amounts strictly falling over three, results REJECT, REJECT, SUCCESS
+    "amount_probe": f"coalesce(ops_20m > {PROBE_MIN_COUNT} AND amt < prev_amt AND prev_amt < prev2_amt "
+                    f"AND oper_result = '{RESULT_SUCCESS}' AND prev_result = '{RESULT_REJECT}' "
+                    f"AND prev2_result = '{RESULT_REJECT}', FALSE)",
+}
 
 
 def with_flags(windowed: DataFrame) -> DataFrame:
-    return windowed.selectExpr(
-        "*",
-        f"{RULE_PASSPORT} AS mark_bad_passport",
-        f"{RULE_CONTRACT} AS mark_bad_contract",
-        f"{RULE_CITY_HOP} AS bad_trans1",
-        f"{RULE_AMOUNT_PROBE} AS bad_trans2",
-    )
+    return windowed.selectExpr("*", *[f"{sql} AS {name}" for name, sql in RULES.items()])

@@ -1,155 +1,113 @@
-"""Per-card sliding windows over the enriched transactions.
-
-All five windows partition by ``card_num``. The range frames (1 hour for the
-city span, 20 minutes for the count) order by ``trans_date`` alone, with
-same-timestamp peers inside the frame, as ``RANGE ... CURRENT ROW`` does. The
-lags order by ``(trans_date, trans_id)`` and then every other column, a total
-order, so ties are deterministic (ledger Q2). NULL timestamps sort last
-(ledger Q17).
-
-The range frames order by ``unix_micros(trans_date)`` with microsecond
-offsets: ``rangeBetween`` over a TIMESTAMP column is rejected by the
-DataFrame API. That order key is materialised once as a column, and the lag
-window is applied first, so its sort ``(card_num, ts_us, trans_id)`` also
-satisfies the range windows' ordering: one exchange and one sort for all
-five windows.
-
-``with_windows_split`` computes the same columns with each card split into
-time buckets, for cards too large for one task (see ``operators.report`` for
-the routing).
+"""What each operation sees of its card's recent past, in one skew-safe plan.
+
+A card may hold a large share of all rows, so the partition key is (card,
+time bucket). A row of a bucket's last hour is also a context row of the next
+bucket, which completes every frame of an hour or less. One exchange on that
+key feeds everything; joins that come before it keep their own exchanges, so
+AQE can split a card that is hot there.
+
+The frames are computed with running aggregates only, so a bucket costs time
+in proportion to its rows, however dense they are:
+
+* **count of the last 20 minutes** (W3): the running count up to the row, less
+  the running count up to 20 minutes before it;
+* **two cities within an hour** (what W1 and W2 are compared for): rows with a
+  known city, in time order, change city somewhere in the last hour exactly if
+  there are two cities in it. Each change is dated by the earlier of its two
+  rows; the latest date so far tells;
+* **the two operations before** (W4, W5): lags in the order (time, id, every
+  other column), a total order, so fan-out copies sort alike in every attempt
+  (ledger Q2). The first two rows of a bucket look further back, over gaps of
+  any length: for them the lags run once more per card, over the first and
+  last two rows of each bucket, at most four rows a bucket.
+
+``city_span`` gives the least and greatest city themselves. Rows without a
+timestamp sort last (ledger Q17); they are peers and share one bucket.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cardlake.schemas import CITY_WINDOW_SECONDS, PROBE_WINDOW_SECONDS
 
 US = 1_000_000
-TS_US = "_ts_us"
-WINDOW_COLUMNS = ["city_1", "city_2", "cnt_20_minute_trans", "amt_lag1", "amt_lag1_res",
-                  "amt_lag2", "amt_lag2_res"]
-LAG_COLUMNS = ["amt_lag1", "amt_lag1_res", "amt_lag2", "amt_lag2_res"]
-
-# The projections below are SQL expression text: one ``selectExpr`` is one
-# call into the JVM however many window expressions it holds (Catalyst builds
-# the same plan as from Column objects).
-
-
-def _q(c: str) -> str:
-    return f"`{c}`"
-
-
-def tie_breakers(columns) -> list[str]:
-    """Every other column of the row, after ``(trans_date, trans_id)``: fan-out
-    copies of one transaction then sort the same way in every task attempt and
-    in every branch that re-sorts the same shuffle, and only fully identical
-    rows still tie (their order cannot change any result)."""
-    return [c for c in columns if c not in ("card_num", "trans_date", "trans_id", TS_US)
-            and not c.startswith("_")]
-
-
-def lag_spec(partition_cols, tiebreak=()) -> str:
-    order = [f"{TS_US} ASC NULLS LAST", "trans_id ASC NULLS LAST",
-             *[f"{_q(c)} ASC NULLS FIRST" for c in tiebreak]]
-    return f"PARTITION BY {', '.join(map(_q, partition_cols))} ORDER BY {', '.join(order)}"
-
-
-def range_spec(partition_cols, seconds: int) -> str:
-    return (f"PARTITION BY {', '.join(map(_q, partition_cols))} ORDER BY {TS_US} ASC NULLS LAST "
-            f"RANGE BETWEEN {seconds * US} PRECEDING AND CURRENT ROW")
-
-
-def lag_exprs(spec: str) -> list[str]:
-    """Amount and result of the previous two operations."""
-    return [f"lag(amt, 1) OVER ({spec}) AS amt_lag1",
-            f"lag(oper_result, 1) OVER ({spec}) AS amt_lag1_res",
-            f"lag(amt, 2) OVER ({spec}) AS amt_lag2",
-            f"lag(oper_result, 2) OVER ({spec}) AS amt_lag2_res"]
-
-
-def range_exprs(partition_cols) -> list[str]:
-    """min/max terminal city in the last hour; W3: non-null amounts in
-    the last 20 minutes (peers included)."""
-    hour = range_spec(partition_cols, CITY_WINDOW_SECONDS)
-    twenty = range_spec(partition_cols, PROBE_WINDOW_SECONDS)
-    return [f"min(terminal_city) OVER ({hour}) AS city_1",
-            f"max(terminal_city) OVER ({hour}) AS city_2",
-            f"count(amt) OVER ({twenty}) AS cnt_20_minute_trans"]
-
-
-def with_windows(enriched: DataFrame, partition_cols=("card_num",)) -> DataFrame:
-    """Add W1-W5 with one partition per card."""
-    spec = lag_spec(partition_cols, tie_breakers(enriched.columns))
-    lagged = (enriched.selectExpr("*", f"unix_micros(trans_date) AS {TS_US}")
-              .selectExpr("*", *lag_exprs(spec)))
-    return lagged.selectExpr("*", *range_exprs(partition_cols)).drop(TS_US)
-
-
-# ---------------------------------------------------------------------------
-# Hot cards: the same windows with each card split into time buckets
-# ---------------------------------------------------------------------------
-
-BKT, ROLE = "_bkt", "_role"
-NULL_BUCKET = 1 << 62          # rows without a timestamp sort after every bucket
+BUCKET_SECONDS = 4 * 3600
+NULL_BUCKET = 1 << 62          # rows without a timestamp come after every bucket
 HALO_SECONDS = max(CITY_WINDOW_SECONDS, PROBE_WINDOW_SECONDS)
+LAGS = ["prev_amt", "prev_result", "prev2_amt", "prev2_result"]
+WINDOW_COLUMNS = ["ops_20m", "city_change_1h", *LAGS]
+_KEY = "PARTITION BY _card, _bucket"
+
 
-def with_windows_split(enriched: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
-    """``with_windows`` for data where one card may hold a large share of all rows.
-
-    Partitioning by ``card_num`` alone puts every row of a card in one task.
-    Here each card is split into buckets of ``bucket_seconds`` and the
-    partition key is ``(card_num, bucket)``:
-
-    1. *Range halo.* A row in the last hour of its bucket is also emitted
-       (``explode``, same pass) into the next bucket as context, so every
-       1-hour / 20-minute frame of a bucket's own rows is complete. Cost:
-       ``1 hour / bucket length`` extra rows (4 % at the default day).
-    2. *Pass 1* computes all five windows per ``(card, bucket)``. A row's lags
-       are exact when at least two rows precede it in its partition.
-    3. *Pass 2* fixes the rest: each bucket's first two rows ("heads") and
-       last two own rows ("tails") form a small frame -- at most four rows per
-       card and bucket, whatever the card's volume -- whose lags, ordered per
-       card, are the exact global ones: the rows just before a head are either
-       earlier heads of its bucket or tails of the nearest non-empty earlier
-       buckets. The corrected heads replace their pass-1 copies by a union;
-       nothing is joined back to the big side.
-
-    The result equals ``with_windows`` row for row (fan-out copies included).
-    """
+def bucketed(enriched: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Rows with ``_card`` (never NULL), ``_us``, ``_bucket`` and ``_own`` (not a context row), exchanged on (card, bucket)."""
     if bucket_seconds < HALO_SECONDS:
-        raise ValueError("a bucket must be at least as long as the longest range frame")
-    b_us = bucket_seconds * US
-    halo_us = HALO_SECONDS * US
-    # own bucket by exact floor division (also before 1970); a row in the last
-    # hour of its bucket is emitted again into the next one (role 1 = context)
-    own = (f"CASE WHEN {TS_US} IS NULL THEN {NULL_BUCKET} "
-           f"ELSE ({TS_US} - pmod({TS_US}, {b_us})) div {b_us} END")
-    last_hour = f"{TS_US} IS NOT NULL AND pmod({TS_US}, {b_us}) >= {b_us - halo_us}"
-    e = (enriched.selectExpr("*", f"unix_micros(trans_date) AS {TS_US}")
-         .selectExpr("*", f"{own} AS _own")
-         .selectExpr("*", f"explode(CASE WHEN {last_hour} THEN array(_own, _own + 1) "
-                          f"ELSE array(_own) END) AS {BKT}")
-         .selectExpr("*", f"CAST({BKT} <> _own AS INT) AS {ROLE}").drop("_own"))
-    # explicit exchange on (card, bucket): a hot card spreads over its buckets
-    u = e.repartition("card_num", BKT)
-
-    part = ("card_num", BKT)
-    ties = tie_breakers(enriched.columns)
-    spec = lag_spec(part, ties)
-    p1 = (u.selectExpr("*", *lag_exprs(spec), f"row_number() OVER ({spec}) AS _pos",
-                       f"count(1) OVER (PARTITION BY card_num, {BKT}) AS _n_all")
-          .selectExpr("*", *range_exprs(part))
-          .where(f"{ROLE} = 0"))
-
-    # pass 2 on heads and tails only (halo rows all sort before own rows).
-    # Both branches keep every column of p1, so the (card, bucket) exchange
-    # below them is one reused shuffle stage, and the result is a union: no
-    # join back to the big side.
-    out_cols = [_q(c) for c in [*enriched.columns, *LAG_COLUMNS, "city_1", "city_2",
-                                 "cnt_20_minute_trans"]]
-    fixed = (p1.where("_pos <= 2 OR _pos > _n_all - 2").drop(*LAG_COLUMNS)
-             .selectExpr("*", *lag_exprs(lag_spec(("card_num",), ties)))
-             .where("_pos <= 2"))
-    return (p1.where("_pos > 2").selectExpr(*out_cols)
-            .unionByName(fixed.selectExpr(*out_cols)))
+        raise ValueError("a bucket must be at least as long as the longest frame")
+    size, halo = bucket_seconds * US, HALO_SECONDS * US
+    home = f"CASE WHEN _us IS NULL THEN {NULL_BUCKET} ELSE (_us - pmod(_us, {size})) div {size} END"
+    late = f"_us IS NOT NULL AND pmod(_us, {size}) >= {size - halo}"
+    return (enriched
+            .selectExpr("*", "unix_micros(trans_date) AS _us",
+                        "CASE WHEN card_num IS NULL THEN '' ELSE concat('c', card_num) END AS _card")
+            .selectExpr("*", f"{home} AS _home")
+            .selectExpr("*", f"explode(CASE WHEN {late} THEN array(_home, _home + 1) ELSE array(_home) END) AS _bucket")
+            .selectExpr("*", "_bucket = _home AS _own").drop("_home")
+            .repartition("_card", "_bucket"))
+
+
+def _order(columns) -> str:
+    rest = [f"`{c}` ASC NULLS FIRST" for c in columns if c not in ("trans_date", "trans_id")]
+    return "ORDER BY " + ", ".join(["_us ASC NULLS LAST", "trans_id ASC NULLS LAST", *rest])
+
+
+def _lags(over: str) -> list[str]:
+    """Amount and result of the previous two operations."""
+    return [f"lag({c}, {n}) OVER ({over}) AS {name}"
+            for (n, c), name in zip([(1, "amt"), (1, "oper_result"), (2, "amt"), (2, "oper_result")], LAGS, strict=True)]
+
+
+def _far_lags(rows: DataFrame, order: str) -> DataFrame:
+    """(card, bucket) -> the lags of its first two own rows, looked up across buckets."""
+    place = f"{_KEY} {order}"
+    edges = (rows.selectExpr("*", f"row_number() OVER ({place}) AS _place", f"count(1) OVER ({_KEY}) AS _n")
+             .where("_own AND (_place <= 2 OR _place > _n - 2)")
+             .selectExpr("*", *_lags(f"PARTITION BY _card {order}"))
+             .where("_place <= 2"))
+    packed = f"named_struct({', '.join(f'''{c!r}, {c}''' for c in LAGS)})"
+    return (edges.selectExpr("_card", "_bucket", f"CASE WHEN _place = 1 THEN {packed} END AS _one",
+                             f"CASE WHEN _place = 2 THEN {packed} END AS _two")
+            .groupBy("_card", "_bucket").agg(F.max("_one").alias("_one"), F.max("_two").alias("_two")))
+
+
+def with_windows(enriched: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Add ``ops_20m`` (W3), ``city_change_1h`` (W1 and W2 differ) and the lags."""
+    rows = bucketed(enriched, bucket_seconds)
+    order = _order(enriched.columns)
+    place = f"{_KEY} {order}"
+    by_time = f"{_KEY} ORDER BY _us ASC NULLS LAST"
+    known = "CASE WHEN terminal_city IS NOT NULL THEN named_struct('city', terminal_city, 'us', coalesce(_us, 0)) END"
+    seen = (rows
+            .selectExpr("*", *_lags(place), f"row_number() OVER ({place}) AS _place",
+                        f"last({known}, true) OVER ({place} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _last")
+            .selectExpr("*", "CASE WHEN terminal_city <> _last.city THEN _last.us END AS _change")
+            .selectExpr("*", f"count(amt) OVER ({by_time} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _upto",
+                        f"count(amt) OVER ({by_time} RANGE BETWEEN UNBOUNDED PRECEDING AND {PROBE_WINDOW_SECONDS * US + 1} PRECEDING) AS _before",
+                        f"max(_change) OVER ({by_time} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _changed")
+            .where("_own"))
+    far = _far_lags(rows, order)
+    out = [f"`{c}`" for c in enriched.columns]
+    fixed = [f"CASE _place WHEN 1 THEN _one.{c} WHEN 2 THEN _two.{c} ELSE {c} END AS {c}" for c in LAGS]
+    # the join is on the key that both sides are partitioned by
+    return seen.join(far, ["_card", "_bucket"], "left").selectExpr(
+        *out, "CASE WHEN _us IS NULL THEN _upto ELSE _upto - _before END AS ops_20m",
+        f"coalesce(_us IS NULL AND _changed IS NOT NULL OR _changed >= _us - {CITY_WINDOW_SECONDS * US}, FALSE) AS city_change_1h", *fixed)
+
+
+def city_span(enriched: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Least and greatest known city of the last hour, peers included."""
+    hour = f"{_KEY} ORDER BY _us ASC NULLS LAST RANGE BETWEEN {CITY_WINDOW_SECONDS * US} PRECEDING AND CURRENT ROW"
+    return (bucketed(enriched, bucket_seconds)
+            .selectExpr("*", f"min(terminal_city) OVER ({hour}) AS city_min_1h", f"max(terminal_city) OVER ({hour}) AS city_max_1h")
+            .where("_own").selectExpr(*[f"`{c}`" for c in enriched.columns], "city_min_1h", "city_max_1h"))

@@ -2,19 +2,23 @@
 
 Layout under the warehouse root (all Parquet):
 
-``stg/<table>``                    staging, replaced on every run (K2, optional)
+``stg/<table>``                    staging, replaced on every run (K2)
 ``dim/<name>/as_of=YYYY-MM-DD``   full SCD2 history as of that batch (K3)
-``fact_transactions/load_dt=...``  transactions of that batch (K4)
+``fact_transactions/load_dt=.../src=...``  transactions of that batch, by input file (K4)
 ``fact_passport_blacklist/as_of=`` blacklist snapshot of that batch (K5)
 ``rep_fraud/report_dt=...``        report rows stamped with the batch (K6)
 ``ledger/load_dt=...``             input files consumed by that batch (K7)
+``rejected/load_dt=...``           staged rows without a business key, counted (Q16)
 
 Every write replaces only its own partition (dynamic partition overwrite), so
 a re-run of a date neither duplicates facts nor report rows (ledger Q11), and
 no job overwrites a path it reads: a batch reads the dimension snapshot of an
 earlier date and writes its own. Reading the written snapshots back also cuts
 the lineage between days. Dates run sequentially -- day *n*'s history needs
-day *n-1*'s -- while everything inside a date is one Spark job per table.
+the history of the newest loaded date before it -- while everything inside a
+date is one Spark job per table. A date that is loaded after a later one makes
+the later one's history stale: such a run is refused, or loads the later dates
+again (``rebuild_later``).
 """
 
 from __future__ import annotations
@@ -23,13 +27,14 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlake.operators.report import fraud_report
 from cardlake.operators.scd2 import DEFAULT_HOT_KEY_ROWS, SPECS, scd2_apply
-from cardlake.schemas import empty, empty_frame, struct_type
+from cardlake.schemas import conform, empty, empty_frame, struct_type
 from cardlake.sources import staging as stg
 from cardlake.sources.files import expected_names
 
@@ -78,7 +83,9 @@ class Warehouse:
         try:
             self.spark.read.parquet(self.path(rel)).schema
             return True
-        except Exception:  # AnalysisException: path does not exist
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # anything else must not read as "nothing loaded yet"
+                raise
             return False
 
     # -- staging (K2): replaced on every run -------------------------------
@@ -90,7 +97,7 @@ class Warehouse:
 
     # -- dimensions --------------------------------------------------------
     def write_dim(self, name: str, day, history: DataFrame) -> None:
-        self._write(history, f"dim/{name}", "as_of", day)
+        self._write(conform(history, SPECS[name].table), f"dim/{name}", "as_of", day)
 
     def read_dim(self, name: str, as_of) -> DataFrame:
         spec = SPECS[name]
@@ -101,10 +108,17 @@ class Warehouse:
 
     # -- facts -------------------------------------------------------------
     def write_fact(self, day, fact: DataFrame) -> None:
-        self._write(fact, "fact_transactions", "load_dt", day)
+        """The date's transactions file; a second write of the same date replaces it."""
+        src = F.element_at(F.array(*expected_names(_d(day))), 3)
+        self.write_fact_files(conform(fact, "fact_transactions").withColumn("load_dt", _d(day)).withColumn("src", src))
+
+    def write_fact_files(self, fact: DataFrame) -> None:
+        """Fact rows with ``load_dt`` and ``src``, their input file: only the partitions of these files are replaced."""
+        (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("load_dt", "src").parquet(self.path("fact_transactions")))
 
     def read_fact(self, up_to=None) -> DataFrame:
-        f = self._read("fact_transactions", "fact_transactions", "load_dt")
+        f = self._read("fact_transactions", "fact_transactions", "load_dt").drop("src")
         return f.where(F.col("load_dt") <= _d(up_to)) if up_to is not None else f
 
     def write_blacklist(self, day, rows: DataFrame) -> None:
@@ -117,7 +131,7 @@ class Warehouse:
     # -- report and ledger -------------------------------------------------
     def write_report(self, day, rows: DataFrame) -> None:
         # report_dt is already a column of the rows; partition on it
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (conform(rows, "rep_fraud").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("report_dt").parquet(self.path("rep_fraud")))
 
     def read_report(self) -> DataFrame:
@@ -130,7 +144,19 @@ class Warehouse:
         if not self._exists("ledger"):
             return empty_frame(self.spark, T.StructType([T.StructField("file_name", T.StringType()),
                                                          T.StructField("load_dt", T.DateType())]))
-        return self._read("ledger")
+        return self.spark.read.schema("file_name string, load_dt date").parquet(self.path("ledger"))
+
+    def write_rejected(self, day, staged: dict[str, DataFrame]) -> None:
+        """Count the staged dimension rows that cannot be loaded for want of a key."""
+        keys = {f"stg_{name}": spec.key for name, spec in SPECS.items() if f"stg_{name}" in staged}
+        self._write(stg.rejected_rows(staged, keys), "rejected", "load_dt", day)
+
+    def read_rejected(self) -> DataFrame:
+        return self.spark.read.schema("table_name string, key_name string, n_rows long, load_dt date").parquet(self.path("rejected"))
+
+    def loaded_dates(self) -> list[dt.date]:
+        """Batch dates in the ledger, ascending (one row for each date)."""
+        return sorted(r.load_dt for r in self.read_ledger().select("load_dt").distinct().collect())
 
     def last_loaded_before(self, day) -> dt.date | None:
         """Newest batch date before ``day`` (a one-row aggregate over the ledger)."""
@@ -154,41 +180,37 @@ def _staged(spark: SparkSession, source: DailySource, day: dt.date) -> dict[str,
 
 
 def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
-            prev=_LOOKUP, parallel: int = 6, persist_staging: bool = False,
-            hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> None:
+            prev=_LOOKUP, parallel: int = 6) -> None:
     """One date: ``load_day`` then ``report_day``."""
-    load_day(spark, source, wh, day, prev, parallel, persist_staging, hot_key_rows)
+    load_day(spark, source, wh, day, prev, parallel)
     report_day(spark, source, wh, day)
 
 
 def load_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
-             prev=_LOOKUP, parallel: int = 6, persist_staging: bool = False,
-             hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> None:
+             prev=_LOOKUP, parallel: int = 6) -> None:
     """Stage, maintain the four dimensions, load the facts and the blacklist.
 
     ``prev`` is the previous batch date (looked up in the ledger when not
-    given). The six table loads of a date are independent Spark jobs and are
-    submitted concurrently from ``parallel`` driver threads. With
-    ``persist_staging`` the six staging tables are first replaced under
-    ``stg/`` (K2) and every load reads them back, so all loads of the date see
-    one consistent snapshot of the operational tables. Dimension keys with more than ``hot_key_rows``
-    rows take the skew-safe aggregate form of SCD2 (the input history is read
-    from Parquet, so the routed plan stays small).
+    given). The six staging tables are first replaced under ``stg/`` (K2) and
+    every load reads them back, so all loads of the date see one snapshot of
+    the operational tables, read once. Rows without a business key are counted
+    in ``rejected``. The loads are independent Spark jobs and are submitted
+    from ``parallel`` driver threads.
     """
     if prev is _LOOKUP:
         prev = wh.last_loaded_before(day)
     if hasattr(source, "check"):
         source.check(day)          # every input of the date exists before any write (Q19)
     staged = _staged(spark, source, day)
-    if persist_staging:
-        _each([lambda t=t, df=df: wh.write_staging(t, df) for t, df in staged.items()], parallel)
-        staged = {t: wh.read_staging(t) for t in staged}
+    _each([lambda t=t, df=df: wh.write_staging(t, df) for t, df in staged.items()], parallel)
+    staged = {t: wh.read_staging(t) for t in staged}
     loads = [lambda name=name, spec=spec: wh.write_dim(
         name, day, scd2_apply(wh.read_dim(name, prev), staged[f"stg_{name}"], day, spec,
-                              hot_rows=hot_key_rows))
+                              hot_rows=DEFAULT_HOT_KEY_ROWS))
         for name, spec in SPECS.items()]
     loads.append(lambda: wh.write_fact(day, stg.to_fact(staged["stg_transactions"])))
     loads.append(lambda: wh.write_blacklist(day, stg.to_blacklist_fact(staged["stg_blacklist"])))
+    loads.append(lambda: wh.write_rejected(day, staged))
     _each(loads, parallel)
 
 
@@ -216,29 +238,41 @@ def _each(jobs, parallel: int) -> None:
             f()
 
 
+class StaleHistory(RuntimeError):
+    pass
+
+
 def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
-        parallel: int = 6, persist_staging: bool = False,
-        hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> Warehouse:
-    """Every date in ascending order (``source.dates()`` when not given).
-
-    The loads of day *n* need day *n-1*'s dimension snapshots, so loads run
-    date after date. The report of day *n* only reads what day *n*'s loads
-    wrote (facts up to *n*, snapshots as of *n*), so it runs in the
-    background while day *n+1* loads; day *n+1* writes only its own
-    partitions. A failure surfaces before the next report starts, and the
-    ledger entry of a date is written after its report, so a re-run resumes
-    at the first date without one.
+        parallel: int = 6, rebuild_later: bool = False) -> list[dt.date]:
+    """Every date in ascending order (``source.dates()`` when not given); returns the dates loaded.
+
+    A date's history builds on the newest date before it that is loaded, in
+    the ledger or in this run. A date already loaded that is later than one of
+    ``dates`` builds on what is about to change: unless it is among ``dates``,
+    the run is refused (``StaleHistory``), or, with ``rebuild_later``, loads
+    it again as well.
+
+    The report of day *n* only reads what day *n*'s loads wrote (facts up to
+    *n*, snapshots as of *n*), so it runs in the background while day *n+1*
+    loads; day *n+1* writes only its own partitions. A failure surfaces before
+    the next report starts, and the ledger entry of a date is written after
+    its report, so a re-run resumes at the first date without one.
     """
-    days = sorted(dates if dates is not None else source.dates())
-    prev = wh.last_loaded_before(days[0]) if days else None
+    days = sorted(set(dates if dates is not None else source.dates()))
+    loaded = wh.loaded_dates() if days else []
+    later = [d for d in loaded if days and d > days[0] and d not in days]
+    if later and not rebuild_later:
+        raise StaleHistory(f"{', '.join(map(str, later))}: loaded already and built on earlier dates than {days[0]}; "
+                           "load them again too (rebuild_later)")
+    days = sorted({*days, *later})
     with ThreadPoolExecutor(max_workers=1) as background:
         pending = None
-        for day in days:
-            load_day(spark, source, wh, day, prev, parallel, persist_staging, hot_key_rows)
+        for k, day in enumerate(days):
+            prev = max([d for d in [*loaded, *days[:k]] if d < day], default=None)
+            load_day(spark, source, wh, day, prev, parallel)
             if pending is not None:
                 pending.result()
             pending = background.submit(report_day, spark, source, wh, day)
-            prev = day
         if pending is not None:
             pending.result()
-    return wh
+    return days

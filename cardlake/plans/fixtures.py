@@ -109,6 +109,13 @@ def accounts_snapshot(t: Tables) -> DataFrame:
                                     f"{_KEY} AS client", _CREATE, _NO_UPDATE)
 
 
+def fractional_accounts(t: Tables) -> DataFrame:
+    """Accounts whose time stamps have fractions of a second (multiples of 0.05 s from 0 to 0.95)."""
+    stamp = f"CAST(TIMESTAMP'{CREATE_DT}' + make_interval(0, 0, 0, 0, 0, 0, CAST((c_custkey % 20) * 0.05 AS DECIMAL(18, 6))) AS TIMESTAMP)"
+    return t("customer").selectExpr(f"{_KEY} AS account_num", "CAST(NULL AS DATE) AS valid_to", f"{_KEY} AS client",
+                                    f"{stamp} AS create_dt", f"CASE WHEN c_custkey % 3 = 0 THEN {stamp} END AS update_dt")
+
+
 def _client_cols(phone: str = "CAST(c_nationkey AS STRING)") -> list[str]:
     return [
         f"{_KEY} AS client_id",

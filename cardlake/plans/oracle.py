@@ -3,7 +3,8 @@
 The same fixture recipes as ``plans.fixtures``, written as CTEs over the
 driver's views, and the warehouse logic written the way a relational
 database would run it: SCD2 as anti/semi/inner joins (the Spark side uses one
-keyed window plan), windows with ``RANGE ... INTERVAL`` frames. Output columns
+keyed window plan), the rules by joining each operation with its card's
+earlier ones (the Spark side uses running aggregates). Output columns
 are rendered like ``present.for_check``: dates and timestamps as text,
 decimals as doubles.
 """
@@ -264,62 +265,65 @@ def _hist_out(spec: Scd2Spec, src: str) -> str:
 # Enrich, windows, rules, report
 # ---------------------------------------------------------------------------
 
+def _current(hist: str) -> str:
+    return f"(SELECT * FROM {hist} WHERE deleted_flg IS FALSE AND effective_to = {OPEN})"
+
+
 def enrich_ctes(p: str, fact: str, cards: str, accounts: str, clients: str, terminals: str,
                 blacklist: str) -> dict[str, str]:
-    """J3 exactly as the source job chains it, then W1-W5 and R1-R4."""
+    """The rules as they are worded: who holds a card, then each operation against the card's operations before it."""
+    earlier = "b.ck = a.ck AND b.trans_date <= a.trans_date AND b.trans_date >= a.trans_date - INTERVAL"
     return {
+        f"{p}_holder": f"""
+            SELECT client_id, passport_num, passport_valid_to, phone, entry_dt AS black_list_dt,
+                   coalesce(last_name, '') || ' ' || coalesce(first_name, '') || ' ' || coalesce(patronymic, '') AS fio
+            FROM {_current(clients)} LEFT JOIN {blacklist} ON passport = passport_num""",
+        f"{p}_profile": f"""
+            SELECT card_num, a.account_num, valid_to, h.*
+            FROM {_current(cards)} JOIN {_current(accounts)} a USING (account_num) LEFT JOIN {p}_holder h ON h.client_id = a.client
+            UNION ALL
+            SELECT card_num, account_num, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+            FROM {_current(cards)} WHERE account_num IS NULL OR account_num NOT IN
+                (SELECT account_num FROM {_current(accounts)} WHERE account_num IS NOT NULL)""",
         f"{p}_enriched": f"""
-            SELECT f.trans_id, f.trans_date, f.card_num, f.amt, f.oper_result, f.terminal,
-                   crd.account_num, acc.valid_to, cli.client_id,
-                   concat(cli.last_name, ' ', cli.first_name, ' ', cli.patronymic) AS fio,
-                   cli.passport_num, cli.passport_valid_to, cli.phone,
-                   trm.terminal_city, blc.entry_dt AS black_list_dt
-            FROM {fact} f
-            LEFT JOIN {cards} crd ON f.card_num = crd.card_num
-                 AND crd.effective_to = {OPEN} AND crd.deleted_flg IS FALSE
-            LEFT JOIN {accounts} acc ON crd.account_num = acc.account_num
-                 AND acc.effective_to = {OPEN} AND acc.deleted_flg IS FALSE
-            LEFT JOIN {clients} cli ON acc.client = cli.client_id
-                 AND cli.effective_to = {OPEN} AND cli.deleted_flg IS FALSE
-            LEFT JOIN {terminals} trm ON f.terminal = trm.terminal_id
-                 AND trm.effective_to = {OPEN} AND trm.deleted_flg IS FALSE
-            LEFT JOIN {blacklist} blc ON cli.passport_num = blc.passport""",
+            SELECT f.trans_id, f.trans_date, f.card_num, f.amt, f.oper_result, terminal_city,
+                   pr.account_num, valid_to, client_id, coalesce(fio, '  ') AS fio, passport_num, passport_valid_to, phone, black_list_dt,
+                   coalesce(f.card_num, '') AS ck,
+                   row_number() OVER (PARTITION BY f.card_num ORDER BY f.trans_date NULLS LAST, f.trans_id, black_list_dt, terminal_city,
+                                      client_id, valid_to) AS n
+            FROM {fact} f LEFT JOIN {p}_profile pr ON pr.card_num = f.card_num
+                 LEFT JOIN {_current(terminals)} tr ON tr.terminal_id = f.terminal""",
+        f"{p}_hour": f"""
+            SELECT a.ck, a.n, min(b.terminal_city) AS city_min_1h, max(b.terminal_city) AS city_max_1h,
+                   count(DISTINCT b.terminal_city) AS cities
+            FROM {p}_enriched a JOIN {p}_enriched b ON {earlier} 1 HOUR GROUP BY a.ck, a.n""",
+        f"{p}_minutes": f"""
+            SELECT a.ck, a.n, count(b.amt) AS ops_20m
+            FROM {p}_enriched a JOIN {p}_enriched b ON {earlier} 20 MINUTE GROUP BY a.ck, a.n""",
         f"{p}_windowed": f"""
-            SELECT *,
-              min(terminal_city) OVER (PARTITION BY card_num ORDER BY trans_date ASC NULLS LAST
-                  RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS city_1,
-              max(terminal_city) OVER (PARTITION BY card_num ORDER BY trans_date ASC NULLS LAST
-                  RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS city_2,
-              count(amt) OVER (PARTITION BY card_num ORDER BY trans_date ASC NULLS LAST
-                  RANGE BETWEEN INTERVAL 20 MINUTE PRECEDING AND CURRENT ROW) AS cnt_20_minute_trans,
-              lag(amt, 1) OVER w AS amt_lag1, lag(oper_result, 1) OVER w AS amt_lag1_res,
-              lag(amt, 2) OVER w AS amt_lag2, lag(oper_result, 2) OVER w AS amt_lag2_res
-            FROM {p}_enriched
-            WINDOW w AS (PARTITION BY card_num ORDER BY trans_date ASC NULLS LAST,
-                         trans_id ASC NULLS LAST)""",
+            SELECT e.*, city_min_1h, city_max_1h, coalesce(cities, 0) AS cities, coalesce(ops_20m, 0) AS ops_20m,
+                   one.amt AS prev_amt, one.oper_result AS prev_result, two.amt AS prev2_amt, two.oper_result AS prev2_result
+            FROM {p}_enriched e LEFT JOIN {p}_hour h ON h.ck = e.ck AND h.n = e.n
+                 LEFT JOIN {p}_minutes m ON m.ck = e.ck AND m.n = e.n
+                 LEFT JOIN {p}_enriched one ON one.ck = e.ck AND one.n = e.n - 1
+                 LEFT JOIN {p}_enriched two ON two.ck = e.ck AND two.n = e.n - 2""",
         f"{p}_flagged": f"""
-            SELECT *,
-              (black_list_dt IS NOT NULL OR coalesce(passport_valid_to < trans_date, FALSE))
-                  AS mark_bad_passport,
-              coalesce(valid_to < trans_date, FALSE) AS mark_bad_contract,
-              coalesce(city_1 <> city_2, FALSE) AS bad_trans1,
-              coalesce(cnt_20_minute_trans > 3 AND amt < amt_lag1 AND amt_lag1 < amt_lag2
-                       AND oper_result = 'SUCCESS' AND amt_lag1_res = 'REJECT'
-                       AND amt_lag2_res = 'REJECT', FALSE) AS bad_trans2
+            SELECT *, black_list_dt IS NOT NULL OR coalesce(passport_valid_to < trans_date, FALSE) AS bad_passport,
+                   coalesce(valid_to < trans_date, FALSE) AS bad_contract,
+                   cities >= 2 AS city_hop,
+                   coalesce(ops_20m > 3 AND prev2_amt > prev_amt AND prev_amt > amt
+                            AND [prev2_result, prev_result, oper_result] = ['REJECT', 'REJECT', 'SUCCESS'], FALSE) AS amount_probe
             FROM {p}_windowed""",
     }
 
 
 def report_sql(flagged: str, report_dt: str) -> str:
+    labels = ", ".join(f"'{x}'" for x in (LABEL_BAD_PASSPORT, LABEL_BAD_CONTRACT, LABEL_CITY_HOP, LABEL_AMOUNT_PROBE))
+    first = "list_position([bad_passport, bad_contract, city_hop, amount_probe], TRUE)"
     return f"""
         SELECT DISTINCT CAST(trans_date AS DATE) AS event_dt, passport_num AS passport, fio, phone,
-               CASE WHEN mark_bad_passport THEN '{LABEL_BAD_PASSPORT}'
-                    WHEN mark_bad_contract THEN '{LABEL_BAD_CONTRACT}'
-                    WHEN bad_trans1 THEN '{LABEL_CITY_HOP}'
-                    WHEN bad_trans2 THEN '{LABEL_AMOUNT_PROBE}' END AS event_type,
-               DATE '{report_dt}' AS report_dt
-        FROM {flagged}
-        WHERE mark_bad_passport OR mark_bad_contract OR bad_trans1 OR bad_trans2"""
+               list_extract([{labels}], {first}) AS event_type, DATE '{report_dt}' AS report_dt
+        FROM {flagged} WHERE {first} > 0"""
 
 
 def _as_current(src: str) -> str:
@@ -373,6 +377,15 @@ def _accumulated() -> str:
     return _with(ctes, final)
 
 
+def _skewed(card: str) -> str:
+    """Rules over transactions of which two thirds are on one card."""
+    ctes = {**PART_C, **PART_C_DIMS}
+    ctes["fx_skewed"] = (f"SELECT * REPLACE (CASE WHEN CAST(trans_id AS BIGINT) % 3 <> 0 THEN {card} ELSE card_num END AS card_num) "
+                         "FROM fx_fact")
+    ctes.update(enrich_ctes("k", "fx_skewed", "c_cards", "c_accounts", "c_clients", "c_terminals", "fx_blacklist"))
+    return _with(ctes, "SELECT trans_id, card_num, bad_passport, bad_contract, city_hop, amount_probe FROM k_flagged")
+
+
 def _day2_step(name: str, step: str, select: str) -> str:
     h, last = history_ctes(name, 1)
     ctes = dict(h)
@@ -438,8 +451,23 @@ def build() -> dict[str, str]:
         "stage_transactions": _with(PART_C, f"SELECT transaction_id, transaction_date, "
                                             f"{_dbl('amount')}, card_num, oper_type, oper_result, "
                                             f"terminal FROM fx_stg_tx"),
-        "conform_schema": _with(PART_C, f"SELECT trans_id, {_ts('trans_date')}, card_num, oper_type, "
-                                        f"{_dbl('amt')}, oper_result, terminal FROM fx_fact"),
+        "conform_schema": _with(PART_C, f"""
+            SELECT trans_id AS id, {_ts('trans_date', 'a')}, NULL::VARCHAR AS b, card_num, oper_type, {_dbl('amt')} FROM fx_fact
+            UNION ALL
+            SELECT 'a' || {_k('c_custkey')}, {_ts('stamp', 'a')}, CASE WHEN c_custkey % 3 = 0 THEN {_ts('stamp', 'b').split(' AS ')[0]} END,
+                   {_k('c_custkey')}, NULL, NULL
+            FROM (SELECT c_custkey, TIMESTAMP '{fx.CREATE_DT}' + to_seconds(CASE WHEN c_custkey % 20 >= 10 THEN 1 ELSE 0 END) AS stamp
+                  FROM customer)"""),
+        "csv_scan": _with(PART_C, "SELECT transaction_id, transaction_date, amount, card_num, oper_type, oper_result, terminal "
+                                  "FROM fx_text"),
+        "staging_replace": _with(part_d(2), f"SELECT {_CLIENT_STAGE_OUT} FROM clients_d2"),
+        "rejected_rows": _with(part_d(1), f"""
+            SELECT 'stg_clients' AS table_name, 'client_id' AS key_name,
+                   count(*) FILTER (WHERE CAST(client_id AS BIGINT) % 10 = 3) AS n_rows, '{DAYS[0]}' AS load_dt FROM clients_d1
+            UNION ALL SELECT 'stg_accounts', 'account_num', 0, '{DAYS[0]}' FROM (SELECT count(*) FROM accounts_d1)
+            UNION ALL SELECT 'stg_cards', 'card_num', 0, '{DAYS[0]}' FROM (SELECT count(*) FROM cards_d1)
+            UNION ALL SELECT 'stg_terminals', 'terminal_id', count(*) FILTER (WHERE CAST(terminal_id AS BIGINT) % 10 = 2),
+                             '{DAYS[0]}' FROM terminals_d1"""),
         "fact_append": _with(PART_C, f"SELECT trans_id, {_ts('trans_date')}, card_num, oper_type, "
                                      f"{_dbl('amt')}, oper_result, terminal, "
                                      f"{_d('trans_day', 'load_dt')} FROM fx_fact_s "
@@ -459,23 +487,27 @@ def build() -> dict[str, str]:
         "scd2_accounts_day2": _history_key("accounts", 2),
         "scd2_cards_day2": _history_key("cards", 2),
         "scd2_terminals_day2": _history_key("terminals", 2),
+        "scd2_out_of_order": _history_key("clients", 3),
         "dim_current": _history_key("clients", 3, current_only=True),
         "txn_enriched": _with(_c(), f"""
             SELECT trans_id, card_num, {_dbl('amt')}, terminal_city, account_num,
                    {_d('valid_to')}, client_id, fio, passport_num, {_d('passport_valid_to')},
                    phone, {_d('black_list_dt')} FROM c_enriched"""),
         "blacklist_fanout": _with(PART_C, f"""
-            SELECT cli.client_id, cli.passport_num, {_d('blc.entry_dt', 'black_list_dt')}
-            FROM fx_clients cli LEFT JOIN fx_blacklist blc ON cli.passport_num = blc.passport"""),
-        "win_city_span_1h": _with(_c(), "SELECT trans_id, card_num, city_1, city_2 FROM c_windowed"),
-        "win_count_20m": _with(_c(), "SELECT trans_id, card_num, cnt_20_minute_trans FROM c_windowed"),
+            SELECT card_num, client_id, passport_num, {_d('entry_dt', 'black_list_dt')}
+            FROM fx_cards JOIN fx_accounts USING (account_num) LEFT JOIN fx_clients ON client_id = client
+                 LEFT JOIN fx_blacklist ON passport_num = passport"""),
+        "win_city_span_1h": _with(_c(), "SELECT trans_id, card_num, city_min_1h, city_max_1h FROM c_windowed"),
+        "win_count_20m": _with(_c(), "SELECT trans_id, card_num, ops_20m FROM c_windowed"),
         "win_lag12": _with(_c(), f"""
-            SELECT trans_id, card_num, {_dbl('amt_lag1')}, amt_lag1_res, {_dbl('amt_lag2')},
-                   amt_lag2_res FROM c_windowed"""),
-        "rule_passport": _with(_c(), "SELECT trans_id, card_num, mark_bad_passport FROM c_flagged"),
-        "rule_contract": _with(_c(), "SELECT trans_id, card_num, mark_bad_contract FROM c_flagged"),
-        "rule_city_hop": _with(_c(), "SELECT trans_id, card_num, bad_trans1 FROM c_flagged"),
-        "rule_amount_probe": _with(_c(), "SELECT trans_id, card_num, bad_trans2 FROM c_flagged"),
+            SELECT trans_id, card_num, {_dbl('prev_amt')}, prev_result, {_dbl('prev2_amt')},
+                   prev2_result FROM c_windowed"""),
+        "rule_passport": _with(_c(), "SELECT trans_id, card_num, bad_passport FROM c_flagged"),
+        "rule_contract": _with(_c(), "SELECT trans_id, card_num, bad_contract FROM c_flagged"),
+        "rule_city_hop": _with(_c(), "SELECT trans_id, card_num, city_hop FROM c_flagged"),
+        "rule_amount_probe": _with(_c(), "SELECT trans_id, card_num, amount_probe FROM c_flagged"),
+        "report_hot_card": _skewed("'7'"),
+        "report_null_card": _skewed("NULL"),
         "scalar_full_name": _with(PART_C, """
             SELECT client_id, concat(last_name, ' ', first_name, ' ', patronymic) AS fio
             FROM fx_clients"""),

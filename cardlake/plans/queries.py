@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.functions.scalar import date_token, event_day, full_name
+from cardlake.functions.scalar import EVENT_DAY_SQL, FULL_NAME_SQL, date_token
 from cardlake.operators import scd2
-from cardlake.operators.enrich import enrich
+from cardlake.operators.enrich import card_profile, enrich
 from cardlake.operators.report import flagged, fraud_report
-from cardlake.operators.windows import with_windows
+from cardlake.operators.rules import RULES
+from cardlake.operators.windows import LAGS, city_span, with_windows
 from cardlake.plans import fixtures as fx
 from cardlake.plans.daily import Warehouse, run
 from cardlake.plans.present import for_check
@@ -49,8 +50,10 @@ def _enriched(t: fx.Tables) -> DataFrame:
     return enrich(fx.fact_transactions(t), **_part_c_dims(t))
 
 
-def _flagged(t: fx.Tables) -> DataFrame:
-    return flagged(fx.fact_transactions(t), **_part_c_dims(t))
+def _skewed_fact(t: fx.Tables, card: str) -> DataFrame:
+    """Two thirds of all transactions on one card (``card`` is its SQL text)."""
+    f = fx.fact_transactions(t)
+    return f.withColumn("card_num", F.expr(f"CASE WHEN CAST(trans_id AS BIGINT) % 3 <> 0 THEN {card} ELSE card_num END"))
 
 
 _DAY_STAGERS = {
@@ -114,7 +117,42 @@ def q_stage_transactions(spark, sf_dir):
 
 
 def q_conform_schema(spark, sf_dir):
-    return for_check(conform(fx.fact_transactions(fx.Tables(spark, sf_dir)), "fact_transactions"))
+    """K1: transactions as a fact; orders' dates with fractions as staged accounts (timestamps to the second)."""
+    t = fx.Tables(spark, sf_dir)
+    acc = fx.fractional_accounts(t)
+    return for_check(conform(fx.fact_transactions(t), "fact_transactions")
+                     .selectExpr("trans_id AS id", "trans_date AS a", "CAST(NULL AS TIMESTAMP) AS b", "card_num", "oper_type", "amt")
+                     .unionByName(conform(acc, "stg_accounts").selectExpr(
+                         "concat('a', account_num) AS id", "create_dt AS a", "update_dt AS b", "client AS card_num",
+                         "CAST(NULL AS STRING) AS oper_type", "CAST(NULL AS DECIMAL(18,2)) AS amt")))
+
+
+def q_csv_scan(spark, sf_dir):
+    """The transactions as a text file in the shared scratch folder, read back with the job's reader."""
+    path = scratch_dir(spark, "csv_scan")
+    fx.transactions_text(fx.Tables(spark, sf_dir)).write.option("sep", ";").option("header", True).csv(path)
+    return for_check(files.read_transactions(spark, path).drop("file_dt"))
+
+
+def q_staging_replace(spark, sf_dir):
+    """K2: the second date's staging replaces the first one's."""
+    t = fx.Tables(spark, sf_dir)
+    wh = Warehouse(spark, scratch_dir(spark, "staging_replace"))
+    for day in (D1, D2):
+        wh.write_staging("stg_clients", _staged_day(t, "clients", day))
+    return for_check(wh.read_staging("stg_clients"))
+
+
+def q_rejected_rows(spark, sf_dir):
+    """Q16: staged rows without a business key are counted, not loaded."""
+    t = fx.Tables(spark, sf_dir)
+    staged = {f"stg_{n}": _staged_day(t, n, D1) for n in _DAY_STAGERS}
+    for n, digit in (("clients", 3), ("terminals", 2)):
+        key = scd2.SPECS[n].key
+        staged[f"stg_{n}"] = staged[f"stg_{n}"].withColumn(key, F.expr(f"CASE WHEN CAST({key} AS BIGINT) % 10 <> {digit} THEN {key} END"))
+    wh = Warehouse(spark, scratch_dir(spark, "rejected_rows"))
+    wh.write_rejected(D1, staged)
+    return for_check(wh.read_rejected())
 
 
 def q_fact_append(spark, sf_dir):
@@ -127,13 +165,12 @@ def q_fact_append(spark, sf_dir):
 
 
 def q_blacklist_refresh(spark, sf_dir):
-    """K5: the day-2 file replaces the day-1 file."""
+    """K5: each date's file is the whole blacklist; a date reads its own."""
     t = fx.Tables(spark, sf_dir)
-    path = scratch_dir(spark, "blacklist")
+    wh = Warehouse(spark, scratch_dir(spark, "blacklist"))
     for day in (D1, D2):
-        staging.to_blacklist_fact(staging.stage_blacklist(fx.blacklist_snapshot(t, up_to=day))) \
-            .write.mode("overwrite").parquet(path)
-    return for_check(spark.read.parquet(path))
+        wh.write_blacklist(day, staging.to_blacklist_fact(staging.stage_blacklist(fx.blacklist_snapshot(t, up_to=day))))
+    return for_check(wh.read_blacklist(D2))
 
 
 def q_ledger_pending_files(spark, sf_dir):
@@ -216,47 +253,41 @@ def q_txn_enriched(spark, sf_dir):
 
 
 def q_blacklist_fanout(spark, sf_dir):
-    """Clients joined to the blacklist on passport, 1..n rows per client."""
+    """A card's profile has a row for each blacklist entry of its client's passport."""
     d = _part_c_dims(fx.Tables(spark, sf_dir))
-    cli = scd2.dim_current(d["clients_hist"]).select("client_id", "passport_num")
-    out = cli.join(d["blacklist"], F.col("passport_num") == F.col("passport"), "left")
-    return for_check(out.select("client_id", "passport_num",
-                                F.col("entry_dt").alias("black_list_dt")))
-
-
-def _windowed(spark, sf_dir):
-    return with_windows(_enriched(fx.Tables(spark, sf_dir)))
+    prof = card_profile(d["cards_hist"], d["accounts_hist"], d["clients_hist"], d["blacklist"])
+    return for_check(prof.select("card_num", "client_id", "passport_num", "black_list_dt"))
 
 
 def q_win_city_span_1h(spark, sf_dir):
-    return for_check(_windowed(spark, sf_dir).select("trans_id", "card_num", "city_1", "city_2"))
+    return for_check(city_span(_enriched(fx.Tables(spark, sf_dir)))
+                     .select("trans_id", "card_num", "city_min_1h", "city_max_1h"))
 
 
 def q_win_count_20m(spark, sf_dir):
-    return for_check(_windowed(spark, sf_dir).select("trans_id", "card_num", "cnt_20_minute_trans"))
+    return for_check(with_windows(_enriched(fx.Tables(spark, sf_dir))).select("trans_id", "card_num", "ops_20m"))
 
 
 def q_win_lag12(spark, sf_dir):
-    return for_check(_windowed(spark, sf_dir).select(
-        "trans_id", "card_num", "amt_lag1", "amt_lag1_res", "amt_lag2", "amt_lag2_res"))
+    return for_check(with_windows(_enriched(fx.Tables(spark, sf_dir))).select("trans_id", "card_num", *LAGS))
 
 
-def _q_rule(flag):
+def _q_rule(rule):
     def q(spark, sf_dir):
-        return for_check(_flagged(fx.Tables(spark, sf_dir)).select("trans_id", "card_num", flag))
-    q.__name__ = f"q_rule_{flag}"
+        t = fx.Tables(spark, sf_dir)
+        return for_check(flagged(fx.fact_transactions(t), **_part_c_dims(t)).select("trans_id", "card_num", rule))
+    q.__name__ = f"q_rule_{rule}"
     return q
 
 
 def q_scalar_full_name(spark, sf_dir):
     c = staging.stage_clients(fx.clients_snapshot(fx.Tables(spark, sf_dir)))
-    return for_check(c.select("client_id", full_name("last_name", "first_name", "patronymic")
-                              .alias("fio")))
+    return for_check(c.selectExpr("client_id", f"{FULL_NAME_SQL} AS fio"))
 
 
 def q_scalar_event_day(spark, sf_dir):
     f = fx.fact_transactions(fx.Tables(spark, sf_dir))
-    return for_check(f.select("trans_id", event_day("trans_date").alias("event_dt")))
+    return for_check(f.selectExpr("trans_id", f"{EVENT_DAY_SQL} AS event_dt"))
 
 
 # -- report ---------------------------------------------------------------------
@@ -267,6 +298,23 @@ def q_fraud_report(spark, sf_dir):
                                   report_dt=fx.REPORT_DT))
 
 
+def _q_report_skewed(card):
+    def q(spark, sf_dir):
+        t = fx.Tables(spark, sf_dir)
+        rows = flagged(_skewed_fact(t, card), **_part_c_dims(t))
+        return for_check(rows.select("trans_id", "card_num", *RULES))
+    return q
+
+
+def q_scd2_out_of_order(spark, sf_dir):
+    """Day 2 first, then days 1 and 3; the history is that of the dates in order."""
+    src = fx.FixtureSource(spark, sf_dir)
+    wh = Warehouse(spark, scratch_dir(spark, "out_of_order"))
+    run(spark, src, wh, dates=[D2])
+    run(spark, src, wh, dates=[D1, D3], rebuild_later=True)
+    return for_check(wh.read_dim("clients", D3))
+
+
 def q_fraud_report_accumulated(spark, sf_dir):
     """R6 + K6: three daily batches through the warehouse; the report table."""
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
@@ -281,6 +329,9 @@ QUERIES: dict[str, Query] = {
     "stage_cards": q_stage_cards,
     "stage_transactions": q_stage_transactions,
     "conform_schema": q_conform_schema,
+    "csv_scan": q_csv_scan,
+    "staging_replace": q_staging_replace,
+    "rejected_rows": q_rejected_rows,
     "fact_append": q_fact_append,
     "blacklist_refresh": q_blacklist_refresh,
     "ledger_pending_files": q_ledger_pending_files,
@@ -294,16 +345,19 @@ QUERIES: dict[str, Query] = {
     "scd2_accounts_day2": _q_day2("accounts"),
     "scd2_cards_day2": _q_day2("cards"),
     "scd2_terminals_day2": _q_day2("terminals"),
+    "scd2_out_of_order": q_scd2_out_of_order,
     "dim_current": q_dim_current,
     "txn_enriched": q_txn_enriched,
     "blacklist_fanout": q_blacklist_fanout,
     "win_city_span_1h": q_win_city_span_1h,
     "win_count_20m": q_win_count_20m,
     "win_lag12": q_win_lag12,
-    "rule_passport": _q_rule("mark_bad_passport"),
-    "rule_contract": _q_rule("mark_bad_contract"),
-    "rule_city_hop": _q_rule("bad_trans1"),
-    "rule_amount_probe": _q_rule("bad_trans2"),
+    "rule_passport": _q_rule("bad_passport"),
+    "rule_contract": _q_rule("bad_contract"),
+    "rule_city_hop": _q_rule("city_hop"),
+    "rule_amount_probe": _q_rule("amount_probe"),
+    "report_hot_card": _q_report_skewed("'7'"),
+    "report_null_card": _q_report_skewed("CAST(NULL AS STRING)"),
     "scalar_full_name": q_scalar_full_name,
     "scalar_event_day": q_scalar_event_day,
     "fraud_report": q_fraud_report,

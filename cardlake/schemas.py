@@ -2,7 +2,7 @@
 
 Every column is nullable and no key is declared unique, as in the source
 warehouse. ``varchar(n)`` columns keep their limit as metadata; ``conform``
-casts to the declared type and fails the job (JVM-side ``raise_error``) when a
+casts to the declared type, rounds ``timestamp(0)`` columns to the second, and fails the job (JVM-side ``raise_error``) when a
 value is longer than the limit, which is what an insert into such a column does.
 """
 
@@ -46,6 +46,7 @@ class Col:
     name: str
     dtype: T.DataType
     max_len: int | None = None     # varchar(n)
+    seconds: bool = False          # timestamp(0): rounded to the second
 
 
 def _vc(name: str, n: int | None = None) -> Col:
@@ -56,20 +57,24 @@ def _ts(name: str) -> Col:
     return Col(name, T.TimestampType())
 
 
+def _ts0(name: str) -> Col:
+    return Col(name, T.TimestampType(), seconds=True)
+
+
 def _d(name: str) -> Col:
     return Col(name, T.DateType())
 
 
-SCD2_COLS = [_ts("effective_from"), _ts("effective_to"), Col("deleted_flg", T.BooleanType())]
+SCD2_COLS = [_ts0("effective_from"), _ts0("effective_to"), Col("deleted_flg", T.BooleanType())]
 
 TABLES: dict[str, list[Col]] = {
     # staging
     "stg_accounts": [_vc("account_num", 20), _d("valid_to"), _vc("client", 10),
-                     _ts("create_dt"), _ts("update_dt")],
+                     _ts0("create_dt"), _ts0("update_dt")],
     "stg_clients": [_vc("client_id", 10), _vc("last_name", 20), _vc("first_name", 20),
                     _vc("patronymic", 20), _d("date_of_birth"), _vc("passport_num", 15),
-                    _d("passport_valid_to"), _vc("phone", 16), _ts("create_dt"), _ts("update_dt")],
-    "stg_cards": [_vc("card_num", 20), _vc("account_num", 20), _ts("create_dt"), _ts("update_dt")],
+                    _d("passport_valid_to"), _vc("phone", 16), _ts0("create_dt"), _ts0("update_dt")],
+    "stg_cards": [_vc("card_num", 20), _vc("account_num", 20), _ts0("create_dt"), _ts0("update_dt")],
     "stg_blacklist": [_d("date"), _vc("passport", 20)],
     "stg_terminals": [_vc("terminal_id", 10), _vc("terminal_type", 20), _vc("terminal_city", 100),
                       _vc("terminal_address", 200)],
@@ -99,14 +104,11 @@ def struct_type(table: str) -> T.StructType:
     return T.StructType([T.StructField(c.name, c.dtype, True) for c in TABLES[table]])
 
 
-def ddl(table: str) -> str:
-    """``name type, ...`` string, handy for readers that take a DDL schema."""
-    return ", ".join(f"`{c.name}` {c.dtype.simpleString()}" for c in TABLES[table])
-
-
 def _checked(c: Col, table: str) -> str:
     """SQL text of the cast (+ length check) of one column."""
     v = f"CAST(`{c.name}` AS {c.dtype.simpleString()})"
+    if c.seconds:
+        v = f"date_trunc('SECOND', {v} + INTERVAL '0.5' SECOND)"
     if c.max_len is not None:
         msg = f"value too long for {table}.{c.name} (varchar({c.max_len}))"
         v = f"CASE WHEN length({v}) > {c.max_len} THEN raise_error('{msg}') ELSE {v} END"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
 # Settings every job in this package relies on. The session zone is pinned to
@@ -41,18 +42,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session; only when it is unset (local runs,
-    tests) is a private temporary folder created and registered, so that
-    ``DataFrame.checkpoint()`` and written tables land in the same place.
+    The setting is read from the session. Where it is unset, a session in
+    local mode gets a private temporary folder, registered as its checkpoint
+    folder; on a cluster that is an error, since executors would write to
+    their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect: no SparkContext on the client
         sc = None
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cardlake-")
         if sc is not None:
             sc.setCheckpointDir(root)

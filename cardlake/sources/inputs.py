@@ -30,6 +30,10 @@ class MissingInput(RuntimeError):
     pass
 
 
+class UnknownInput(RuntimeError):
+    pass
+
+
 class FileSource:
     def __init__(self, spark: SparkSession, landing: str, accounts: Snapshot,
                  clients: Snapshot, cards: Snapshot):
@@ -57,13 +61,20 @@ class FileSource:
                 self._name("transactions_", day, "txt")]
 
     def check(self, day: dt.date) -> None:
-        """Q19: all three files of a date must be present before anything is written."""
-        want = self.file_names(day)
-        have = {r.file_name for r in input_files(self.listing())
-                .where(F.col("file_name").isin(want)).select("file_name").collect()}
-        missing = sorted(set(want) - have)
-        if missing:
+        """Q19: all three files of a date must be present before anything is written.
+
+        Any other input file of that date is refused: it would be neither
+        loaded nor entered in the ledger, and its date would stay pending.
+        Only names with the date's token are listed.
+        """
+        want = set(self.file_names(day))
+        listed = list_files(self.spark, self.landing, f"*{day.strftime('%d%m%Y')}*")
+        have = {r.file_name for r in input_files(listed).where(F.col("file_dt") == F.lit(str(day)).cast("date"))
+                .select("file_name").collect()}
+        if missing := sorted(want - have):
             raise MissingInput(f"{day}: missing {missing}")
+        if unknown := sorted(have - want):
+            raise UnknownInput(f"{day}: not known {unknown}")
 
     def _path(self, name: str) -> str:
         return f"{self.landing}/{name}"

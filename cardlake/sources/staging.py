@@ -7,6 +7,8 @@ fuse into the scan's codegen stage.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,9 +66,12 @@ def stage_transactions(text_rows: DataFrame, keep: tuple[str, ...] = ()) -> Data
     return conform(text_rows.withColumn("amount", amount), "stg_transactions", keep)
 
 
-def null_key_rows(staged: DataFrame, key: str) -> DataFrame:
-    """Q16: staged rows whose business key is NULL; they are not loaded."""
-    return staged.where(F.col(key).isNull())
+def rejected_rows(staged: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
+    """Q16: for each staging table of ``keys`` (table -> business key), the number of rows
+    whose key is NULL; they are not loaded."""
+    counts = [staged[t].agg(F.count(F.when(F.col(k).isNull(), 1)).alias("n_rows"))
+              .select(F.lit(t).alias("table_name"), F.lit(k).alias("key_name"), "n_rows") for t, k in keys.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def to_fact(stg_transactions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -2,10 +2,11 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardlake.plans import fixtures as fx
-from cardlake.plans.daily import Warehouse, run, run_day
+from cardlake.plans.daily import StaleHistory, Warehouse, run, run_day
 from tests.conftest import SF_SMALL
 
 
@@ -15,7 +16,8 @@ def _snapshot(df):
 
 def test_three_days_then_rerun_changes_nothing(spark, tmp_root):
     src = fx.FixtureSource(spark, SF_SMALL)
-    wh = run(spark, src, Warehouse(spark, tmp_root + "/wh"))
+    wh = Warehouse(spark, tmp_root + "/wh")
+    run(spark, src, wh)
     report = _snapshot(wh.read_report())
     facts = _snapshot(wh.read_fact())
     dims = {n: _snapshot(spark.read.parquet(wh.path("dim", n))) for n in
@@ -39,7 +41,8 @@ def test_three_days_then_rerun_changes_nothing(spark, tmp_root):
 
 def test_report_rows_accumulate_by_report_date(spark, tmp_root):
     src = fx.FixtureSource(spark, SF_SMALL)
-    wh = run(spark, src, Warehouse(spark, tmp_root + "/wh"), dates=fx.DAYS[:2])
+    wh = Warehouse(spark, tmp_root + "/wh")
+    run(spark, src, wh, dates=fx.DAYS[:2])
     by_day = {r.report_dt: r.n for r in
               wh.read_report().groupBy("report_dt").agg(F.count("*").alias("n")).collect()}
     assert set(by_day) == set(fx.DAYS[:2])
@@ -47,15 +50,36 @@ def test_report_rows_accumulate_by_report_date(spark, tmp_root):
     assert by_day[fx.DAYS[0]] > 0 and by_day[fx.DAYS[1]] > 0
 
 
-def test_persisted_staging_gives_the_same_warehouse(spark, tmp_root):
+def test_staging_holds_the_last_date(spark, tmp_root):
     src = fx.FixtureSource(spark, SF_SMALL)
-    a = run(spark, src, Warehouse(spark, tmp_root + "/a"), dates=fx.DAYS[:2])
-    b = run(spark, src, Warehouse(spark, tmp_root + "/b"), dates=fx.DAYS[:2], persist_staging=True)
-    assert _snapshot(a.read_report()) == _snapshot(b.read_report())
-    assert _snapshot(a.read_fact()) == _snapshot(b.read_fact())
-    # staging holds the last date's snapshot only
-    stg = spark.read.parquet(b.path("stg", "stg_clients"))
-    assert stg.count() == fx.clients_day(fx.Tables(spark, SF_SMALL), fx.DAYS[1]).count()
+    wh = Warehouse(spark, tmp_root + "/a")
+    run(spark, src, wh, dates=fx.DAYS[:2])
+    assert wh.read_staging("stg_clients").count() == fx.clients_day(fx.Tables(spark, SF_SMALL), fx.DAYS[1]).count()
+    assert {(r.table_name, r.n_rows) for r in wh.read_rejected().collect()} == {
+        ("stg_clients", 0), ("stg_accounts", 0), ("stg_cards", 0), ("stg_terminals", 0)}
+
+
+def test_a_date_before_loaded_ones(spark, tmp_root):
+    """A late or repeated date must not leave later histories built on what was there before it."""
+    src = fx.FixtureSource(spark, SF_SMALL)
+    straight, wh = Warehouse(spark, tmp_root + "/a"), Warehouse(spark, tmp_root + "/b")
+    run(spark, src, straight)
+    run(spark, src, wh, dates=fx.DAYS[1:])
+    with pytest.raises(StaleHistory):
+        run(spark, src, wh, dates=fx.DAYS[:1])
+    assert run(spark, src, wh, dates=fx.DAYS[:1], rebuild_later=True) == fx.DAYS
+    # dates that skip a loaded one build on it
+    assert run(spark, src, wh, dates=[fx.DAYS[0], fx.DAYS[2]], rebuild_later=True) == fx.DAYS
+    assert run(spark, src, wh, dates=[fx.DAYS[2]]) == [fx.DAYS[2]]
+    for name in ("clients", "terminals"):
+        assert _snapshot(wh.read_dim(name, fx.DAYS[2])) == _snapshot(straight.read_dim(name, fx.DAYS[2]))
+    assert _snapshot(wh.read_report()) == _snapshot(straight.read_report())
+
+
+def test_an_unreadable_ledger_is_not_an_empty_one(spark):
+    wh = Warehouse(spark, "nosuchfs://nowhere/wh")
+    with pytest.raises(Exception, match="nosuchfs"):
+        wh.loaded_dates()
 
 
 def test_no_dates_and_empty_ledger(spark, tmp_root):

@@ -141,6 +141,6 @@ def test_fan_out_is_kept_before_counting(spark):
     rows = [("t1", f"{D} 10:00:00", "C1", 10, "SUCCESS", "T1"),
             ("t2", f"{D} 10:10:00", "C1", 10, "SUCCESS", "T1")]
     out = flagged_rows(spark, rows, blacklist=[("2021-01-01", "P1"), ("2021-01-02", "P1")])
-    got = sorted((r.trans_id, r.cnt_20_minute_trans) for r in out.collect())
+    got = sorted((r.trans_id, r.ops_20m) for r in out.collect())
     assert len(got) == 4
     assert [c for t, c in got if t == "t2"] == [4, 4]

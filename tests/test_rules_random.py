@@ -6,13 +6,15 @@ from decimal import Decimal
 
 import pytest
 
-from tests.world import flagged_rows
+from cardlake.operators.enrich import enrich
+from cardlake.operators.windows import city_span
+from tests.world import dims, fact, flagged_rows
 
 CITY = {"T1": "CITY_A", "T2": "CITY_B", "T3": "CITY_C"}   # T9 is unknown
 
 
 def _model(rows):
-    """rows: (tid, ts, card, amt, res, term) -> {tid: (city_1, city_2, cnt, lag1, lag1r, lag2, lag2r, r3, r4)}"""
+    """rows: (tid, ts, card, amt, res, term) -> {tid: (least city, greatest city, count, lags, R3, R4)}"""
     out = {}
     by_card = {}
     for r in rows:
@@ -54,11 +56,11 @@ def test_windows_and_rules_match_brute_force(spark, seed):
              Decimal(amt) if amt is not None else None, res, term)
             for tid, t, card, amt, res, term in txns]
     expected = _model(rows)
-    # plain; split everything (1 h and 1 day buckets); split only the hot card
-    for bucket, hot_rows in ((None, 0), (3600, 0), (86400, 0), (3600, 40)):
-        got = {r.trans_id: (r.city_1, r.city_2, r.cnt_20_minute_trans, r.amt_lag1, r.amt_lag1_res,
-                            r.amt_lag2, r.amt_lag2_res, r.bad_trans1, r.bad_trans2)
-               for r in flagged_rows(spark, txns, cards=[("C1", "A1"), ("C2", "A1"), ("C3", "A1")],
-                                     terminals=[(k, v) for k, v in CITY.items()],
-                                     bucket_seconds=bucket, hot_rows=hot_rows).collect()}
-        assert got == expected, (bucket, hot_rows)
+    world = dict(cards=[("C1", "A1"), ("C2", "A1"), ("C3", "A1")], terminals=list(CITY.items()))
+    for bucket in (3600, 4 * 3600, 86400):
+        got = {r.trans_id: (r.ops_20m, r.prev_amt, r.prev_result, r.prev2_amt, r.prev2_result, r.city_hop, r.amount_probe)
+               for r in flagged_rows(spark, txns, bucket_seconds=bucket, **world).collect()}
+        assert got == {k: v[2:] for k, v in expected.items()}, bucket
+        span = {r.trans_id: (r.city_min_1h, r.city_max_1h)
+                for r in city_span(enrich(fact(spark, txns), **dims(spark, **world)), bucket).collect()}
+        assert span == {k: v[:2] for k, v in expected.items()}, bucket

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from cardlake.functions.scalar import file_date, file_date_or_null, full_name, has_prefix, parse_amount
+from cardlake.functions.scalar import FULL_NAME_SQL, file_date, file_date_or_null, has_prefix, parse_amount
 from cardlake.schemas import conform
 from cardlake.sources.staging import stage_transactions
 
@@ -15,7 +15,7 @@ from cardlake.sources.staging import stage_transactions
 def test_full_name_null_parts(spark):
     df = spark.createDataFrame([("A", None, "C"), (None, None, None), ("A", "B", "C")],
                                "l string, f string, m string")
-    assert [r[0] for r in df.select(full_name("l", "f", "m")).collect()] == ["A  C", "  ", "A B C"]
+    assert [r[0] for r in df.toDF("last_name", "first_name", "patronymic").selectExpr(FULL_NAME_SQL).collect()] == ["A  C", "  ", "A B C"]
 
 
 def test_parse_amount_both_decimal_marks(spark):

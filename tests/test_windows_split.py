@@ -1,30 +1,36 @@
-"""The time-split windows equal the plain per-card windows, row for row."""
+"""Windows do not depend on the bucket length, whatever the rows look like."""
 
 import random
 
 import pytest
 
-from cardlake.operators.windows import with_windows, with_windows_split
+from cardlake.operators.enrich import enrich
+from cardlake.operators.windows import WINDOW_COLUMNS, city_span, with_windows
 from cardlake.plans import fixtures as fx
 from cardlake.plans.queries import _enriched
 from tests.conftest import SF_SMALL
-from tests.world import flagged_rows
+from tests.world import dims, fact
 
-COLS = ["trans_id", "card_num", "city_1", "city_2", "cnt_20_minute_trans", "amt_lag1",
-        "amt_lag1_res", "amt_lag2", "amt_lag2_res"]
+LONG = 1000 * 86400  # one bucket for all rows with a timestamp
 
 
-def _multiset(df):
-    return sorted((tuple(r) for r in df.select(COLS).collect()), key=repr)
+def _multiset(df, columns=("trans_id", "card_num", *WINDOW_COLUMNS)):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-@pytest.mark.parametrize("bucket", [3600, 7200, 86400])
-def test_split_equals_plain_on_fixture(spark, bucket):
-    e = _enriched(fx.Tables(spark, SF_SMALL))
-    assert _multiset(with_windows_split(e, bucket)) == _multiset(with_windows(e))
+def _same(e, buckets=(3600, 4 * 3600)):
+    whole, span = _multiset(with_windows(e, LONG)), _multiset(city_span(e, LONG), ("trans_id", "city_min_1h", "city_max_1h"))
+    for b in buckets:
+        assert _multiset(with_windows(e, b)) == whole
+        assert _multiset(city_span(e, b), ("trans_id", "city_min_1h", "city_max_1h")) == span
+    return whole
+
 
+def test_fixture(spark):
+    _same(_enriched(fx.Tables(spark, SF_SMALL)))
 
-def test_split_equals_plain_on_a_hot_card_with_gaps_ties_and_fanout(spark):
+
+def test_hot_card_with_gaps_ties_and_fanout(spark):
     rnd = random.Random(7)
     rows, tid = [], 0
     for day in range(1, 4):
@@ -35,45 +41,36 @@ def test_split_equals_plain_on_a_hot_card_with_gaps_ties_and_fanout(spark):
                          rnd.choice([10, 20, 30, 40]), rnd.choice(["SUCCESS", "REJECT"]),
                          rnd.choice(["T1", "T2", "T9"])))
             tid += 1
-        # a sparse card: one operation per day
+        # a sparse card: one operation per day; rows without a card
         rows.append((f"u{day}", f"2021-03-0{day} 12:00:00", "C2", 5, "REJECT", "T1"))
-    df = flagged_rows(spark, rows, cards=[("C1", "A1"), ("C2", "A1")],
-                      blacklist=[("2021-01-01", "P1"), ("2021-01-02", "P1")])  # fan-out x2
-    base = df.drop(*[c for c in df.columns if c.startswith(("city_", "cnt_", "amt_lag",
-                                                            "mark_", "bad_"))])
-    for bucket in (3600, 5400, 86400):
-        assert _multiset(with_windows_split(base, bucket)) == _multiset(with_windows(base))
+        rows += [(f"n{day}{k}", f"2021-03-0{day} 23:5{k}:00", None, 9 - k, "REJECT", "T2") for k in range(3)]
+    _same(enrich(fact(spark, rows), **dims(spark, cards=[("C1", "A1"), ("C2", "A1")],
+                                           blacklist=[("2021-01-01", "P1"), ("2021-01-02", "P1")])))  # fan-out x2
+
+
+def test_null_timestamps_are_last_and_peers(spark):
+    rows = [("t1", "2021-03-01 23:30:00", "C1", 30, "REJECT", "T1"),
+            ("t2", "2021-03-02 00:10:00", "C1", 20, "REJECT", "T2"),
+            ("t3", None, "C1", 10, "SUCCESS", "T1"), ("t4", None, "C1", 5, "SUCCESS", "T2"),
+            ("t5", None, "C2", 5, "SUCCESS", "T2")]
+    e = enrich(fact(spark, rows), **dims(spark, cards=[("C1", "A1"), ("C2", "A1")]))
+    _same(e)
+    got = {r.trans_id: r for r in with_windows(e).collect()}
+    assert (got["t3"].prev_amt, got["t3"].prev2_amt) == (20, 30)
+    assert [got[t].ops_20m for t in ("t3", "t4", "t5")] == [2, 2, 1]
+    assert [got[t].city_change_1h for t in ("t2", "t3", "t4", "t5")] == [True, True, True, False]
 
 
 def test_bucket_shorter_than_frame_is_rejected(spark):
-    e = _enriched(fx.Tables(spark, SF_SMALL))
     with pytest.raises(ValueError):
-        with_windows_split(e, 600)
+        with_windows(_enriched(fx.Tables(spark, SF_SMALL)), 600)
 
 
-def test_split_equals_plain_with_null_timestamps(spark):
-    rows = [("t1", "2021-03-01 23:30:00", "C1", 30, "REJECT", "T1"),
-            ("t2", "2021-03-02 00:10:00", "C1", 20, "REJECT", "T2"),
-            ("t3", None, "C1", 10, "SUCCESS", "T1"),
-            ("t4", None, "C1", 5, "SUCCESS", "T2"),
-            ("t5", None, "C2", 5, "SUCCESS", "T2")]
-    df = flagged_rows(spark, rows, cards=[("C1", "A1"), ("C2", "A1")])
-    base = df.drop(*[c for c in df.columns if c.startswith(("city_", "cnt_", "amt_lag",
-                                                            "mark_", "bad_"))])
-    for bucket in (3600, 86400):
-        assert _multiset(with_windows_split(base, bucket)) == _multiset(with_windows(base))
-    lags = {r.trans_id: (r.amt_lag1, r.amt_lag2) for r in with_windows(base).collect()}
-    assert lags["t3"][0] is not None           # NULL timestamps sort after the dated rows
-
-
-def test_report_with_some_hot_cards_equals_plain_report(spark):
-    from cardlake.operators.report import fraud_report, hot_cards
-    from cardlake.plans.queries import _part_c_dims
-
-    t = fx.Tables(spark, SF_SMALL)
-    fact = fx.fact_transactions(t)
-    assert 0 < hot_cards(fact, 60).count() < fact.select("card_num").distinct().count()
-    routed = fraud_report(fact, **_part_c_dims(t), report_dt="2024-01-02", hot_rows=60)
-    plain = fraud_report(fact, **_part_c_dims(t), report_dt="2024-01-02", bucket_seconds=None)
-    assert sorted(map(tuple, routed.collect()), key=repr) == \
-        sorted(map(tuple, plain.collect()), key=repr)
+def test_plan_scans_the_fact_once_for_windows(spark):
+    """One exchange on (card, bucket), used by both the windows and the lags across buckets."""
+    e = _enriched(fx.Tables(spark, SF_SMALL))
+    df = with_windows(e)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("REPARTITION_BY_COL") - final.count("ReusedExchange") <= 1 or "ReusedExchange" in final

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardlake.operators.report import flagged, report
 from cardlake.operators.scd2 import open_end
+from cardlake.operators.windows import BUCKET_SECONDS
 
 
 def ts(s: str) -> dt.datetime:
@@ -60,17 +61,12 @@ def flags(spark, txns, **dim_rows):
     """{trans_id: (passport, contract, city_hop, probe)} for one row per id
     (asserts that there is no fan-out unless the caller asked for it)."""
     rows = flagged(fact(spark, txns), **dims(spark, **dim_rows)).collect()
-    return {r.trans_id: (r.mark_bad_passport, r.mark_bad_contract, r.bad_trans1, r.bad_trans2)
+    return {r.trans_id: (r.bad_passport, r.bad_contract, r.city_hop, r.amount_probe)
             for r in rows}
 
 
-def flagged_rows(spark, txns, bucket_seconds="default", hot_rows=None, **dim_rows):
-    kw = {}
-    if bucket_seconds != "default":
-        kw["bucket_seconds"] = bucket_seconds
-    if hot_rows is not None:
-        kw["hot_rows"] = hot_rows
-    return flagged(fact(spark, txns), **dims(spark, **dim_rows), **kw)
+def flagged_rows(spark, txns, bucket_seconds=BUCKET_SECONDS, **dim_rows):
+    return flagged(fact(spark, txns), **dims(spark, **dim_rows), bucket_seconds=bucket_seconds)
 
 
 def report_rows(spark, txns, report_dt="2021-03-10", **dim_rows):
