@@ -1,27 +1,24 @@
-"""Type-2 history maintenance.
+"""Type-2 history maintenance, in one plan for keys of any size.
 
 ``scd2_apply(history, staging, as_of, spec)`` returns the next history
-snapshot. It is written as a single keyed plan: history and staging rows are
-put in one frame, hash-partitioned **once** by the business key, and
-
-1. per-key window aggregates tell, for every row, whether the key has a live
-   version, any history, a staged row, and what its current version is;
-2. a projection/filter turns that into kept history rows (with the delete
-   mark of vanished keys), new rows and changed rows;
-3. a ``lead`` window over the same partitioning re-stitches the intervals.
-
-That is one shuffle of (history + staging) per batch, where the join form
-(anti join, anti join, semi join, inner join, then a window) shuffles history
-several times. The join form is still provided step by step
-(``new_keys``, ``vanished_keys``, ``soft_delete``, ``changed_flagged``,
-``changed_compared``, ``restitch``): it is the readable definition, and the
-tests check that both forms agree.
-
-A business key with very many rows would make one window partition. With
-``hot_rows`` set (the daily run sets it), such keys take an aggregate form
-instead (``_apply_grouped``, ``restitch_grouped``): per-key facts by
-``groupBy`` and a skew-splittable join, and a re-stitch over collapsed
-duplicates and distinct start times.
+snapshot. History and staging rows are put in one frame, and
+
+1. per-key facts (has a live version, any history, a staged row; the current
+   version) are an aggregate, with a partial sum in each task, joined back on
+   the key: AQE splits a key that is hot in that join;
+2. a projection turns them into kept history rows (with the delete mark of
+   vanished keys), new rows and changed rows. The steps ``new_keys``,
+   ``vanished_keys``, ``soft_delete``, ``changed_flagged`` and
+   ``changed_compared`` are parts of this frame;
+3. the intervals are re-stitched. Rows of a key that start together form a tie
+   group, of which the last one (an aggregate) gets the key's next start and
+   the others end where they start. Next starts are found among distinct
+   starts, per key and day, and across days among the days' first starts.
+
+No window holds a key's rows; every step works on rows, or on one row for each
+key, distinct start, or day. Rows of a tie group are told apart by a number
+given as they are read, so history and staging must be read from storage (as
+the daily run does), not be the result of a shuffle.
 
 Deliberate deviations from the source job (all reads are of the state before
 the batch; see README):
@@ -32,7 +29,7 @@ the batch; see README):
 * Q6  compare mode compares null-safely with the *current* version only.
 * Q7  a delete flags all versions but closes only the open one; re-stitching
       keeps ``least(delete date, next effective_from)`` for deleted rows.
-* Q16 staged rows with a NULL key are not loaded (counted by the stager).
+* Q16 staged rows with a NULL key are not loaded (the daily run counts them).
 * Q22 a key that has history but no live version starts at the batch date.
 """
 
@@ -117,252 +114,133 @@ def _new_row(df: DataFrame, spec: Scd2Spec, effective_from: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Join form, step by step (D1-D5); each reads the pre-batch history.
+# Classify rows by facts about their key
 # ---------------------------------------------------------------------------
 
-def live_keys(history: DataFrame, spec: Scd2Spec) -> DataFrame:
-    return history.where("deleted_flg <=> FALSE").select(spec.key).distinct()
+def _keyed(df: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Add ``_k``, the key without NULLs, and ``_id``, a number for each row of the scan."""
+    return df.selectExpr("*", f"CASE WHEN {_q(spec.key)} IS NULL THEN '' ELSE concat('k', {_q(spec.key)}) END AS _k",
+                         "monotonically_increasing_id() AS _id")
+
+
+def _union_rows(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """History (``_src`` 0) and staged rows with a key (``_src`` 1) in one frame."""
+    null_ts = "CAST(NULL AS TIMESTAMP)"
+    h = history.selectExpr(*_cols(spec), "effective_from", "effective_to", "deleted_flg",
+                           f"{null_ts} AS create_dt", f"{null_ts} AS update_dt", "0 AS _src")
+    stamps = ("create_dt", "update_dt") if spec.mode == FLAG else (f"{null_ts} AS create_dt", f"{null_ts} AS update_dt")
+    s = staging.where(f"{_q(spec.key)} IS NOT NULL").selectExpr(
+        *_cols(spec), f"{null_ts} AS effective_from", f"{null_ts} AS effective_to",
+        "CAST(NULL AS BOOLEAN) AS deleted_flg", *stamps, "1 AS _src")
+    return _keyed(h.unionByName(s), spec)
+
+
+def _key_facts(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """One row for each key: what the history before the batch and staging say about it."""
+    cur_from = f"CASE WHEN _src = 0 AND {CURRENT} THEN effective_from END"
+    facts = ["coalesce(max(_src = 0 AND deleted_flg <=> FALSE), FALSE) AS _live", "max(_src = 0) AS _known",
+             "max(_src = 1) AS _staged", f"max({cur_from}) AS _cur_from"]
+    if spec.mode != FLAG:
+        attrs = ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs)
+        facts.append(f"max_by(named_struct({attrs}), {cur_from}) AS _cur")
+    return rows.groupBy("_k").agg(*map(F.expr, facts))
+
+
+def _classified(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
+    """Rows of the next history before re-stitching, with ``_kind``: kept, new or changed."""
+    rows = _union_rows(history, staging, spec)
+    rows = rows.join(_key_facts(rows, spec), "_k")
+    a_of = _as_of(as_of)
+    if spec.mode == FLAG:
+        start = _staged_from(spec)
+        changed = f"update_dt IS NOT NULL AND {start} > _cur_from"
+        new_start = f"CASE WHEN _known THEN {a_of} ELSE {start} END"
+    else:
+        changed = f"_cur IS NOT NULL AND {_differs(spec, '_cur.')}"
+        start = new_start = a_of
+    gone = "_live AND NOT _staged"
+    return rows.selectExpr("*", f"CASE WHEN _src = 0 THEN 'kept' WHEN NOT _live THEN 'new' WHEN {changed} THEN 'changed' END AS _kind") \
+        .where("_kind IS NOT NULL").selectExpr(
+            "_k", "_id", "_kind", *_cols(spec),
+            f"CASE _kind WHEN 'kept' THEN effective_from WHEN 'new' THEN {new_start} ELSE {start} END AS effective_from",
+            f"CASE WHEN _kind <> 'kept' THEN {OPEN} WHEN {gone} AND effective_to = {OPEN} THEN {a_of} ELSE effective_to END AS effective_to",
+            f"CASE WHEN _kind <> 'kept' THEN FALSE WHEN {gone} THEN TRUE ELSE deleted_flg END AS deleted_flg")
+
+
+def _kind(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec, kind: str) -> DataFrame:
+    return _classified(history, staging, as_of, spec).where(F.col("_kind") == kind).select(spec.columns)
 
 
 def new_keys(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """D1 (J4): staged rows without a live version -> new open versions."""
-    k = spec.key
-    fresh = (staging.where(f"{_q(k)} IS NOT NULL")
-             .join(live_keys(history, spec), k, "left_anti")
-             .join(history.select(k).distinct().selectExpr("*", "TRUE AS _seen"), k, "left"))
-    eff = (f"CASE WHEN _seen THEN {_as_of(as_of)} ELSE {_staged_from(spec)} END"
-           if spec.mode == FLAG else _as_of(as_of))
-    return _new_row(fresh, spec, eff)
+    return _kind(history, staging, as_of, spec, "new")
 
 
 def vanished_keys(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> DataFrame:
     """D2 (J5): live keys absent from staging."""
-    k = spec.key
-    return live_keys(history, spec).join(staging.select(k), k, "left_anti")
+    facts = _key_facts(_union_rows(history, staging, spec), spec)
+    return facts.where("_live AND NOT _staged AND _k <> ''").selectExpr(f"substring(_k, 2) AS {_q(spec.key)}")
 
 
 def soft_delete(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """D2 (J6 as a mark): flag every version of a vanished key, close the open one."""
-    k = spec.key
-    gone = vanished_keys(history, staging, spec).selectExpr("*", "TRUE AS _gone")
-    return history.join(gone, k, "left").selectExpr(
-        *_cols(spec), "effective_from",
-        f"CASE WHEN _gone AND effective_to = {OPEN} THEN {_as_of(as_of)} "
-        f"ELSE effective_to END AS effective_to",
-        "CASE WHEN _gone THEN TRUE ELSE deleted_flg END AS deleted_flg")
+    return _kind(history, staging, as_of, spec, "kept")
 
 
-def changed_flagged(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> DataFrame:
+def changed_flagged(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """D3 (flag mode): staged rows with ``update_dt`` newer than the current version."""
-    k = spec.key
-    cur = dim_current(history).groupBy(k).agg(F.max("effective_from").alias("_cur_from"))
-    eff = _staged_from(spec)
-    rows = (staging.where(f"{_q(k)} IS NOT NULL AND update_dt IS NOT NULL")
-            .join(cur, k, "inner").where(f"{eff} > _cur_from"))
-    return _new_row(rows, spec, eff)
+    return _kind(history, staging, as_of, spec, "changed")
 
 
 def changed_compared(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """D4 (J7, compare mode): staged rows differing null-safely from the current version."""
-    k = spec.key
-    cur = dim_current(history).selectExpr(_q(k), *[f"{_q(a)} AS `_cur_{a}`" for a in spec.attrs])
-    same = " AND ".join(f"{_q(a)} <=> `_cur_{a}`" for a in spec.attrs)
-    rows = (staging.where(f"{_q(k)} IS NOT NULL").join(cur, k, "inner")
-            .where(f"NOT ({same})"))
-    return _new_row(rows, spec, _as_of(as_of))
+    return _kind(history, staging, as_of, spec, "changed")
 
 
-def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """D5 (W6): ``effective_to`` = next ``effective_from`` of the key, else open end.
+# ---------------------------------------------------------------------------
+# Re-stitch
+# ---------------------------------------------------------------------------
 
-    Deleted versions keep the earlier of their delete date and the next start;
-    rows with a NULL key or NULL ``effective_from`` keep their ``effective_to``.
-    """
-    k = _q(spec.key)
-    order = ", ".join(["effective_from ASC NULLS LAST",
-                       *[f"{_q(a)} ASC NULLS FIRST" for a in spec.attrs],
-                       "deleted_flg ASC NULLS FIRST", "effective_to ASC NULLS FIRST"])
-    nxt = f"coalesce(_next_from, {OPEN})"
-    return (history.selectExpr(
-        "*", f"lead(effective_from, 1) OVER (PARTITION BY {k} ORDER BY {order}) AS _next_from")
-        .selectExpr(*_cols(spec), "effective_from",
-                    f"CASE WHEN {k} IS NULL OR effective_from IS NULL THEN effective_to "
-                    f"WHEN deleted_flg THEN least(effective_to, {nxt}) "
-                    f"ELSE {nxt} END AS effective_to",
-                    "deleted_flg"))
-
-
-def scd2_apply_joins(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
-    """D6/D7 composed from the steps above (reference form for the tests)."""
-    kept = soft_delete(history, staging, as_of, spec)
-    new = new_keys(history, staging, as_of, spec)
-    if spec.mode == FLAG:
-        changed = changed_flagged(history, staging, spec)
-    else:
-        changed = changed_compared(history, staging, as_of, spec)
-    return restitch(kept.unionByName(new).unionByName(changed), spec)
+DAY_US = 86400 * 1_000_000
 
 
-# ---------------------------------------------------------------------------
-# Single-shuffle form (used by the pipeline).
-# ---------------------------------------------------------------------------
+def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """D5 (W6): ``effective_to`` = next ``effective_from`` of the key, else open end.
 
-DEFAULT_HOT_KEY_ROWS = 1_000_000   # rows of one key (history + staging) that make it "hot"
-EXPAND_CHUNK = 100_000             # copies regenerated per task when expanding multiplicities
+    A key's rows are ordered by start, then attributes, ``deleted_flg`` and
+    ``effective_to``. Deleted versions keep the earlier of their delete date and the
+    next start; rows with a NULL key or NULL ``effective_from`` keep their
+    ``effective_to``.
+    """
+    rows = history if "_id" in history.columns else _keyed(history, spec)
+    tie = ", ".join(f"'{c}', {_q(c)}" for c in [*spec.attrs, "deleted_flg", "effective_to", "_id"])
+    us = "unix_micros(effective_from)"
+    starts = (rows.where("_k <> '' AND effective_from IS NOT NULL")
+              .groupBy("_k", "effective_from").agg(F.expr(f"max(named_struct({tie}))._id AS _last"))
+              .selectExpr("*", f"({us} - pmod({us}, {DAY_US})) div {DAY_US} AS _day"))
+    days = (starts.groupBy("_k", "_day").agg(F.min("effective_from").alias("_first"))
+            .selectExpr("_k", "_day", "lead(_first) OVER (PARTITION BY _k ORDER BY _day) AS _next_day"))
+    after = (starts.selectExpr("*", "lead(effective_from) OVER (PARTITION BY _k, _day ORDER BY effective_from) AS _next")
+             .join(days, ["_k", "_day"])
+             .selectExpr("_k", "effective_from", "_last", f"coalesce(_next, _next_day, {OPEN}) AS _next"))
+    end = "CASE WHEN _id = _last THEN _next ELSE effective_from END"
+    return rows.join(after, ["_k", "effective_from"], "left").selectExpr(
+        *_cols(spec), "effective_from",
+        f"CASE WHEN _last IS NULL THEN effective_to WHEN deleted_flg THEN least(effective_to, {end}) ELSE {end} END AS effective_to",
+        "deleted_flg")
 
 
-def _union_rows(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """History (``_src`` 0) and staged rows (``_src`` 1) in one frame."""
-    k = _q(spec.key)
-    flag = spec.mode == FLAG
-    null_ts = "CAST(NULL AS TIMESTAMP)"
-    h = history.selectExpr(*_cols(spec), "effective_from", "effective_to", "deleted_flg",
-                           f"{null_ts} AS create_dt", f"{null_ts} AS update_dt", "0 AS _src")
-    s = staging.where(f"{k} IS NOT NULL").selectExpr(
-        *_cols(spec), f"{null_ts} AS effective_from", f"{null_ts} AS effective_to",
-        "CAST(NULL AS BOOLEAN) AS deleted_flg",
-        "create_dt" if flag else f"{null_ts} AS create_dt",
-        "update_dt" if flag else f"{null_ts} AS update_dt", "1 AS _src")
-    return h.unionByName(s)
-
-
-def _key_facts(spec: Scd2Spec, over: str = "") -> list[str]:
-    """Per-key facts of the pre-batch history: as window expressions (``over``
-    given) or as aggregates (``over`` empty)."""
-    is_cur = f"(_src = 0 AND {CURRENT})"
-    cur_attrs = "named_struct(" + ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs) + ")"
-    facts = [f"coalesce(max(_src = 0 AND deleted_flg <=> FALSE) {over}, FALSE) AS _live",
-             f"max(_src = 0) {over} AS _known",
-             f"max(_src = 1) {over} AS _staged",
-             f"max(CASE WHEN {is_cur} THEN effective_from END) {over} AS _cur_from"]
-    if spec.mode != FLAG:
-        facts.append(f"max_by({cur_attrs}, CASE WHEN {is_cur} THEN effective_from END) {over} "
-                     f"AS _cur")
-    return facts
+def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
+    """Next history snapshot from the previous one and a full staging snapshot, both read from storage."""
+    return restitch(_classified(history, staging, as_of, spec).drop("_kind"), spec)
 
 
-def _classify(u: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
-    """Kept history (with the delete mark), new rows and changed rows."""
-    a_of = _as_of(as_of)
-    gone = "(_live AND NOT _staged)"
-    new = "(_src = 1 AND NOT _live)"
-    if spec.mode == FLAG:
-        staged_from = _staged_from(spec)
-        changed = (f"(_src = 1 AND _live AND update_dt IS NOT NULL "
-                   f"AND {staged_from} > _cur_from)")
-        new_from = f"CASE WHEN _known THEN {a_of} ELSE {staged_from} END"
-        changed_from = staged_from
-    else:
-        changed = f"(_src = 1 AND _live AND _cur IS NOT NULL AND {_differs(spec, '_cur.')})"
-        new_from = changed_from = a_of
-    return u.where(f"_src = 0 OR {new} OR {changed}").selectExpr(
-        *_cols(spec),
-        f"CASE WHEN _src = 0 THEN effective_from WHEN {new} THEN {new_from} "
-        f"ELSE {changed_from} END AS effective_from",
-        f"CASE WHEN _src = 0 AND {gone} AND effective_to = {OPEN} THEN {a_of} "
-        f"WHEN _src = 0 THEN effective_to ELSE {OPEN} END AS effective_to",
-        f"CASE WHEN _src = 0 AND {gone} THEN TRUE WHEN _src = 0 THEN deleted_flg "
-        f"ELSE FALSE END AS deleted_flg")
-
-
-def _apply_windowed(u: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
-    over = f"OVER (PARTITION BY {_q(spec.key)})"
-    return restitch(_classify(u.selectExpr("*", *_key_facts(spec, over)), as_of, spec), spec)
-
-
-def _apply_grouped(u: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
-    """The same result for keys too large for one task: aggregates and joins
-    (AQE splits a hot key on the large side) instead of per-key windows."""
-    k = spec.key
-    facts = u.groupBy(k).agg(*[F.expr(e) for e in _key_facts(spec)]) \
-        .withColumnRenamed(k, "_fk")
-    v = u.join(facts, F.expr(f"{_q(k)} <=> _fk"), "left").drop("_fk")
-    return restitch_grouped(_classify(v, as_of, spec), spec)
-
-
-def restitch_grouped(history: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """``restitch`` without a window over the key's rows.
-
-    Within a key the rows sort by (effective_from, attributes, deleted_flg,
-    effective_to); a row's next start is its own start unless it is the last
-    of its ``(key, effective_from)`` tie group, and the last one gets the next
-    distinct start. So: exact duplicate rows are collapsed into a multiplicity
-    (aggregate), the top of each tie group is an aggregate, the next distinct
-    start is a ``lead`` over distinct starts within a day (plus the first
-    start of the next non-empty day), and the multiplicities are expanded
-    again in chunks of at most ``EXPAND_CHUNK`` rows per task.
-    """
-    k = _q(spec.key)
-    cols = [*_cols(spec), "effective_from", "effective_to", "deleted_flg"]
-    tie = ("named_struct(" + ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs)
-           + ", '_del', deleted_flg, '_to', effective_to)")
-    c = history.groupBy(*[F.col(x) for x in cols]).agg(F.count(F.lit(1)).alias("_m"))
-    # distinct starts of a key, bucketed by day: the next start is the next one
-    # in the bucket, or else the first start of the next non-empty bucket
-    day_us = 86400 * 1_000_000
-    starts = (c.where(f"{k} IS NOT NULL AND effective_from IS NOT NULL")
-              .groupBy(spec.key, "effective_from").agg(F.expr(f"max({tie}) AS _top"))
-              .selectExpr("*", f"(unix_micros(effective_from) - pmod(unix_micros(effective_from), "
-                               f"{day_us})) div {day_us} AS _b"))
-    buckets = (starts.groupBy(spec.key, "_b").agg(F.min("effective_from").alias("_bmin"))
-               .selectExpr(f"{k} AS _bk", "_b AS _bb",
-                           f"lead(_bmin, 1) OVER (PARTITION BY {k} ORDER BY _b) AS _next_bmin"))
-    g = (starts.selectExpr("*", f"lead(effective_from, 1) OVER (PARTITION BY {k}, _b "
-                                f"ORDER BY effective_from) AS _next_in")
-         .join(buckets, F.expr(f"{k} = _bk AND _b = _bb"), "left")
-         .selectExpr(f"{k} AS _gk", "effective_from AS _gf", "_top",
-                     "coalesce(_next_in, _next_bmin) AS _next_from"))
-    j = c.join(g, F.expr(f"{k} = _gk AND effective_from = _gf"), "left")
-    nxt = f"coalesce(_next_from, {OPEN})"
-    last_to = f"CASE WHEN deleted_flg THEN least(effective_to, {nxt}) ELSE {nxt} END"
-    tie_to = ("CASE WHEN deleted_flg THEN least(effective_to, effective_from) "
-              "ELSE effective_from END")
-    top = f"CAST(_top IS NOT NULL AND {tie} = _top AS INT)"
-    emit = (f"CASE WHEN _top IS NULL THEN array(named_struct('to', effective_to, 'n', _m)) "
-            f"ELSE array(named_struct('to', {tie_to}, 'n', _m - {top}), "
-            f"named_struct('to', {last_to}, 'n', {top})) END")
-    e = (j.selectExpr(*cols, f"explode({emit}) AS _e").where("_e.n > 0")
-         .selectExpr(*[x for x in cols if x != "effective_to"], "_e.to AS effective_to",
-                     "_e.n AS _n"))
-    # expand n copies: chunks first (spread over tasks), then rows
-    chunked = (e.selectExpr("*", f"explode(sequence(0, (_n - 1) div {EXPAND_CHUNK})) AS _c")
-               .repartition(F.col(spec.key), F.col("effective_from"), F.col("_c")))
-    rows = chunked.selectExpr(
-        "*", f"explode(sequence(1, least({EXPAND_CHUNK}, _n - _c * {EXPAND_CHUNK}))) AS _i")
-    return rows.selectExpr(*_cols(spec), "effective_from", "effective_to", "deleted_flg")
-
-
-def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec,
-               hot_rows: int | None = None) -> DataFrame:
-    """Next history snapshot from the previous one and a full staging snapshot.
-
-    With ``hot_rows`` set, keys with more than ``hot_rows`` rows (history +
-    staging) take the aggregate form (``_apply_grouped``) and every other key
-    the single-shuffle window form; ``0`` routes every key. The routed plan
-    reads its input several times, so it is meant for an input history read
-    from storage (as the daily run does), not for long lazy chains of batches;
-    ``None`` (default) uses the window form for every key.
-    """
-    u = _union_rows(history, staging, spec)
-    if hot_rows is None:
-        return _apply_windowed(u, as_of, spec)
-    k = spec.key
-    hot = (u.groupBy(k).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {hot_rows}")
-           .selectExpr(f"{_q(k)} AS _hk", "TRUE AS _hot"))
-    marked = u.join(hot, F.expr(f"{_q(k)} <=> _hk"), "left").drop("_hk")
-    cold = _apply_windowed(marked.where("_hot IS NULL").drop("_hot"), as_of, spec)
-    hot_out = _apply_grouped(marked.where("_hot IS NOT NULL").drop("_hot"), as_of, spec)
-    return cold.unionByName(hot_out)
-
-
-def initial_history(staging: DataFrame, as_of, spec: Scd2Spec,
-                    hot_rows: int | None = None) -> DataFrame:
+def initial_history(staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """First load: ``scd2_apply`` on an empty history."""
     schema = (staging.select(spec.key, *spec.attrs).schema
               .add("effective_from", "timestamp").add("effective_to", "timestamp")
               .add("deleted_flg", "boolean"))
-    return scd2_apply(empty_frame(staging.sparkSession, schema), staging, as_of, spec,
-                      hot_rows=hot_rows)
+    return scd2_apply(empty_frame(staging.sparkSession, schema), staging, as_of, spec)
 
 
 def as_current(staging: DataFrame, spec: Scd2Spec) -> DataFrame:

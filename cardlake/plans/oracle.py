@@ -417,6 +417,22 @@ def _history_key(name: str, ndays: int, current_only: bool = False) -> str:
     return _with(h, _hist_out(SPECS[name], src))
 
 
+def _hot_key() -> str:
+    """Two dates of clients of which two thirds share a key; exact copies and ties as they come."""
+    spec = SPECS["clients"]
+    ctes: dict[str, str] = {}
+    for n in (1, 2):
+        ctes[f"plain{n}"] = part_d(n)["clients_d" + str(n)]
+        key = "CAST(client_id AS BIGINT) % 9"
+        ctes[f"hot{n}"] = (f"SELECT * REPLACE (CASE WHEN {key} < 6 THEN '7' WHEN {key} = 6 THEN NULL ELSE client_id END AS client_id) "
+                           f"FROM plain{n}")
+    ctes["h0"] = _empty_hist(spec, "hot1")
+    ctes.update(scd2_steps("a", spec, "h0", "hot1", DAYS[0]))
+    ctes["h1"] = "SELECT * FROM a_result"
+    ctes.update(scd2_steps("b", spec, "h1", "hot2", DAYS[1]))
+    return _with(ctes, _hist_out(spec, "b_result"))
+
+
 _NAMES_CTE = {
     "names": """
         SELECT unnest([
@@ -487,6 +503,7 @@ def build() -> dict[str, str]:
         "scd2_accounts_day2": _history_key("accounts", 2),
         "scd2_cards_day2": _history_key("cards", 2),
         "scd2_terminals_day2": _history_key("terminals", 2),
+        "scd2_hot_key": _hot_key(),
         "scd2_out_of_order": _history_key("clients", 3),
         "dim_current": _history_key("clients", 3, current_only=True),
         "txn_enriched": _with(_c(), f"""

@@ -69,13 +69,14 @@ def _staged_day(t: fx.Tables, name: str, day) -> DataFrame:
     return stager(snap(t, day))
 
 
-def _history_after(t: fx.Tables, name: str, days) -> DataFrame:
-    spec = scd2.SPECS[name]
-    hist = None
+def _history_after(t: fx.Tables, name: str, days, staged=_staged_day) -> DataFrame:
+    """The history after the given dates, each date's snapshot written and read back as the daily run does."""
+    wh = Warehouse(t.spark, scratch_dir(t.spark, f"history-{name}"))
+    prev = None
     for day in days:
-        s = _staged_day(t, name, day)
-        hist = scd2.initial_history(s, day, spec) if hist is None else scd2.scd2_apply(hist, s, day, spec)
-    return hist
+        wh.write_dim(name, day, scd2.scd2_apply(wh.read_dim(name, prev), staged(t, name, day), day, scd2.SPECS[name]))
+        prev = day
+    return wh.read_dim(name, prev)
 
 
 def _names_from_events(t: fx.Tables) -> DataFrame:
@@ -206,7 +207,7 @@ def q_scd2_soft_delete(spark, sf_dir):
 
 def q_scd2_changed_flagged(spark, sf_dir):
     h, s, spec = _day2_inputs(spark, sf_dir, "clients")
-    return for_check(scd2.changed_flagged(h, s, spec))
+    return for_check(scd2.changed_flagged(h, s, D2, spec))
 
 
 def q_scd2_changed_compared(spark, sf_dir):
@@ -237,6 +238,15 @@ def _q_day2(name):
     return q
 
 
+def q_scd2_hot_key(spark, sf_dir):
+    """D6 with two thirds of all staged rows on one key and some on none, over two dates."""
+    def staged(t, name, day):
+        key = "CAST(client_id AS BIGINT) % 9"
+        return _staged_day(t, name, day).withColumn("client_id", F.expr(
+            f"CASE WHEN {key} < 6 THEN '7' WHEN {key} = 6 THEN CAST(NULL AS STRING) ELSE client_id END"))
+    return for_check(_history_after(fx.Tables(spark, sf_dir), "clients", [D1, D2], staged))
+
+
 def q_dim_current(spark, sf_dir):
     """D8 over the clients history after all three days."""
     t = fx.Tables(spark, sf_dir)
@@ -345,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "scd2_accounts_day2": _q_day2("accounts"),
     "scd2_cards_day2": _q_day2("cards"),
     "scd2_terminals_day2": _q_day2("terminals"),
+    "scd2_hot_key": q_scd2_hot_key,
     "scd2_out_of_order": q_scd2_out_of_order,
     "dim_current": q_dim_current,
     "txn_enriched": q_txn_enriched,

@@ -1,24 +1,25 @@
-"""The aggregate SCD2 form for hot keys equals the window form."""
+"""Re-stitching and batches with hot keys, ties and exact copies equal the window definition."""
 
 import datetime as dt
+import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from cardlake.operators import scd2
 from cardlake.plans import fixtures as fx
-from cardlake.plans.queries import _staged_day
-from tests.conftest import SF_SMALL
+from tests.test_scd2 import stored, window_restitch
 
 T = dt.datetime
 OPEN = dt.datetime(3000, 1, 1)
+SCHEMA = ("terminal_id string, terminal_type string, terminal_city string, terminal_address string, "
+          "effective_from timestamp, effective_to timestamp, deleted_flg boolean")
 
 
 def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_grouped_restitch_equals_window_restitch(spark):
+def test_restitch_equals_the_window(spark):
     rows = [
         # key, type, city, address, from, to, deleted
         ("1", "POS", "A", "x", T(2024, 1, 1), OPEN, False),
@@ -38,54 +39,27 @@ def test_grouped_restitch_equals_window_restitch(spark):
         (None, "POS", "A", "n", T(2024, 1, 1), T(2024, 1, 4), False),  # NULL key kept
         (None, "POS", "A", "n", T(2024, 1, 1), T(2024, 1, 4), False),
     ]
-    h = spark.createDataFrame(rows, "terminal_id string, terminal_type string, "
-                                    "terminal_city string, terminal_address string, "
-                                    "effective_from timestamp, effective_to timestamp, "
-                                    "deleted_flg boolean")
-    assert _same(scd2.restitch_grouped(h, scd2.TERMINALS), scd2.restitch(h, scd2.TERMINALS))
+    h = spark.createDataFrame(rows, SCHEMA)
+    assert _same(scd2.restitch(h, scd2.TERMINALS), window_restitch(h, scd2.TERMINALS))
 
 
-def test_grouped_restitch_expands_large_multiplicities(spark, monkeypatch):
-    monkeypatch.setattr(scd2, "EXPAND_CHUNK", 3)
-    h = spark.range(10).selectExpr(
-        "'1' AS terminal_id", "'POS' AS terminal_type", "'A' AS terminal_city",
-        "'x' AS terminal_address", "TIMESTAMP'2024-01-01 00:00:00' AS effective_from",
-        f"{scd2.OPEN} AS effective_to", "FALSE AS deleted_flg")
-    out = scd2.restitch_grouped(h, scd2.TERMINALS)
-    assert _same(out, scd2.restitch(h, scd2.TERMINALS))
-    assert out.where(F.col("effective_to") == F.col("effective_from")).count() == 9
-
-
-@pytest.mark.parametrize("name", ["terminals", "clients"])
-def test_routed_apply_equals_windowed_over_three_days(spark, tmp_path, name):
-    """Each batch reads the previous history from Parquet, as the daily run does."""
-    t = fx.Tables(spark, SF_SMALL)
-    spec = scd2.SPECS[name]
-    prev = {}
-    for i, day in enumerate(fx.DAYS):
-        s = _staged_day(t, name, day)
-        out = {}
-        for mode, hot in (("win", None), ("all", 0), ("mix", 1)):
-            h = (scd2.initial_history(s, day, spec, hot_rows=hot) if i == 0
-                 else scd2.scd2_apply(spark.read.parquet(prev[mode]), s, day, spec, hot_rows=hot))
-            out[mode] = str(tmp_path / f"{mode}{i}")
-            h.write.parquet(out[mode])
-        win = spark.read.parquet(out["win"])
-        assert _same(spark.read.parquet(out["all"]), win), (name, day)
-        assert _same(spark.read.parquet(out["mix"]), win), (name, day)
-        prev = out
+def test_hot_key_with_duplicated_staging_rows(spark, tmp_root):
+    dup = [("7", "POS", "A", "x")] * 50 + [("7", "ATM", "A", "x")] * 20 + [("8", "POS", "B", "y")]
+    schema = "terminal_id string, terminal_type string, terminal_city string, terminal_address string"
+    h1 = stored(scd2.initial_history(spark.createDataFrame(dup, schema), fx.DAYS[0], scd2.TERMINALS), tmp_root + "/1")
+    assert _same(h1, window_restitch(h1, scd2.TERMINALS))
+    assert h1.count() == 71
+    # of 70 rows that start together, one is open
+    assert h1.where("terminal_id = '7' AND effective_to > effective_from").count() == 1
+    h2 = stored(scd2.scd2_apply(h1, spark.createDataFrame(dup[:30] + dup[-1:], schema), fx.DAYS[1], scd2.TERMINALS), tmp_root + "/2")
+    assert h2.count() >= 71 and _same(h2, window_restitch(h2, scd2.TERMINALS))
 
 
-def test_hot_key_with_duplicated_staging_rows(spark):
-    dup = [("7", "POS", "A", "x")] * 50 + [("7", "ATM", "A", "x")] * 20 + [("8", "POS", "B", "y")]
-    s1 = spark.createDataFrame(dup, "terminal_id string, terminal_type string, "
-                                    "terminal_city string, terminal_address string")
-    s2 = spark.createDataFrame(dup[:30] + dup[-1:], s1.schema)
-    for hot in (None, 10):
-        h1 = scd2.initial_history(s1, fx.DAYS[0], scd2.TERMINALS, hot_rows=hot)
-        h2 = scd2.scd2_apply(h1, s2, fx.DAYS[1], scd2.TERMINALS, hot_rows=hot)
-        if hot is None:
-            ref1, ref2 = h1, h2
-        else:
-            assert _same(h1, ref1) and _same(h2, ref2)
-    assert ref1.count() == 71 and ref2.count() == 71
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_histories(spark, tmp_root, seed):
+    rnd = random.Random(seed)
+    rows = [(rnd.choice(["1", "1", "1", "2", None]), rnd.choice(["POS", None]), "A", rnd.choice(["x", "y"]),
+             rnd.choice([None, T(2024, 1, rnd.randint(1, 9), rnd.choice([0, 12]))]), rnd.choice([OPEN, T(2024, 1, 5)]),
+             rnd.choice([True, False])) for _ in range(200)]
+    h = stored(spark.createDataFrame(rows, SCHEMA), tmp_root + "/h")
+    assert _same(scd2.restitch(h, scd2.TERMINALS), window_restitch(h, scd2.TERMINALS))
