@@ -13,10 +13,12 @@ chunk of consecutive whole documents:
 ``manifest`` has a row for each part: ``part``, ``base`` (ids of all parts
 before it), ``n_ids``; one row for each writing task, however many documents.
 
-**Encoding** is that of the tokenizers library. Byte-level pre-tokens never
-reach over a single space between two non-space characters, so texts are cut
-there and words' ids are kept in a bounded cache of the worker; a text in
-which such a cut is not safe goes to the library whole.
+**Encoding** is that of the tokenizers library. Texts of ASCII and Latin-1
+letters are cut into pre-tokens as the library does it, and pre-tokens' ids
+are kept in a bounded cache of the worker. Other texts are cut only where a
+pre-token never reaches over, at a single space between two non-space
+characters, and their words are cached; a text in which such a cut is not
+safe goes to the library whole.
 
 Defined cases: NULL counts as empty, which is the end id alone; rows are in
 ascending doc_id order, NULL ids first, repeated ids in the order of their
@@ -38,9 +40,10 @@ from pyspark.sql import functions as F
 from cardlake.llm.common import CACHE_WORDS, grouped_texts
 
 BLOCK, CHUNK, LEVEL, END = 1 << 16, 1 << 18, 3, 0
+_PLAIN_TEXT = re.compile(r"[\n\r\t -~À-ÖØ-öø-ÿ]*")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-#: Pre-tokens of a plain word with an optional space before it, as byte-level pre-tokenizing cuts them.
-_CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+")
+#: Pre-tokens of plain text, as byte-level pre-tokenizing cuts them.
+_CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+")
 
 
 def default_tokenizer() -> str:
@@ -88,10 +91,24 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
         if len(self.cuts) > CACHE_WORDS:
             self.cuts.clear()
+        cuts = [_CUT.findall(t) if _PLAIN_TEXT.fullmatch(t) and not any([s in t for s in self.special]) else None for t in texts]
+        new = list(set().union(*filter(None, cuts)).difference(self.cuts))
+        self.cuts.update(zip(new, self.library(new), strict=True))
+        get = self.cuts.__getitem__
+        out = [b"".join(map(get, c)) if c is not None else b"" for c in cuts]
+        other = [k for k, c in enumerate(cuts) if c is None]
+        for k, ids in zip(other, self.encode_words([texts[k] for k in other]), strict=True):
+            out[k] = ids
+        return out
+
+    def encode_words(self, texts: list[str]) -> list[bytes]:
+        """The same for texts of any characters, through the cache of words."""
+        if not texts:
+            return []
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
         split = [t.split(" ") for t in texts]
         self.learn(set().union(*split).difference(self.words))
         # the first word has no space before it; in front of one that a space can follow, the text's start is a safe cut

@@ -4,7 +4,7 @@ A text is cut into sentences (one of over ``PIECE`` tokens into pieces of that
 length) and a sentence into its set of lower-case tokens without ASCII
 punctuation; a run of single-character tokens counts as one token, so
 spaced-out insults are seen too. Two tokens are compared by the gap-weighted subsequence kernel: every
-subsequence of three characters (a token begins with a mark) that spans at
+subsequence of three characters (a token begins with two marks) that spans at
 most ``SPAN`` characters counts,
 with weight ``DECAY`` to the power of its span, normalised to 1 for equal
 tokens and raised to ``POWER``. Gapped, padded and suffixed forms of a word
@@ -41,8 +41,10 @@ from pyspark.sql import functions as F
 from cardlake.llm.common import CACHE_WORDS, id_remainder, in_groups, labelled_sample
 
 SPAN, DECAY, POWER = 7, 0.7, 3
-LANDMARKS, ROUNDS, EPOCHS, PIECE = 48, 3, 6, 32
+LANDMARKS, ROUNDS, EPOCHS, PIECE = 96, 3, 6, 32
 SAMPLE_ROWS, SAMPLE_CHARS = 3500, 12_000
+#: Marks a token's beginning, so that common beginnings weigh more than common middles.
+START = "<<"
 _SENTENCE = re.compile(r"[.!?]*\s*\n\s*|[.!?]+\s+")
 _DROP = str.maketrans("", "", string.punctuation)
 _BASE = np.uint64(1_000_003)
@@ -77,8 +79,8 @@ def sentences_of(text: str) -> list[set[str]]:
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code, weight and owner of every three-character subsequence within ``SPAN``; a code may repeat."""
-    c = np.frombuffer("".join([f"<{w}" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    owner = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) + 1 for w in words])
+    c = np.frombuffer("".join([START + w for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) + len(START) for w in words])
     codes, weights, owners = [], [], []
     for far in range(2, SPAN):
         if far >= len(c):
@@ -96,7 +98,7 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def merged(codes: np.ndarray, weights: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Equal codes of one owner added up."""
-    order = np.lexsort((codes, owners))
+    order = np.argsort((owners.astype(np.uint64) << np.uint64(44)) | (codes >> np.uint64(20)))  # 44 bits tell a token's codes apart
     codes, weights, owners = codes[order], weights[order], owners[order]
     first = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (owners[1:] != owners[:-1])][:len(codes)])
     return codes[first], np.add.reduceat(weights, first) if len(first) else weights, owners[first]
@@ -225,22 +227,26 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model | None:
 
 
 def landmark_tokens(odd: Counter, clean: Counter, rng: np.random.Generator) -> list[str]:
-    """Landmarks: three quarters from tokens tied to toxic documents, spread by their kernel; the rest from clean ones."""
-    want = LANDMARKS * 3 // 4
-    pool = [t for t, _ in sorted(odd.items(), key=lambda x: (-x[1], x[0]))[:600]]
+    """Half the landmarks from tokens tied to toxic documents, spread by their kernel; the rest from clean ones, most of them
+    those that resemble the toxic landmarks."""
+    pool = [t for t, _ in sorted(odd.items(), key=lambda x: (-x[1], x[0]))[:800]]
     chosen: list[str] = []
     if pool:
         # the next landmark is the most frequent token that no earlier one resembles
         like = Kernel(pool)(pool)
         best = np.zeros(len(pool))
         weight = np.array([odd[t] for t in pool], float)
-        while len(chosen) < min(want, len(pool)):
+        while len(chosen) < min(LANDMARKS // 2, len(pool)):
             k = int(np.argmax(weight * (1 - best.clip(0, 1)) ** 2))
             if best[k] >= 0.999:
                 break
             chosen.append(pool[k])
             best = np.maximum(best, like[:, k])
-    rest = sorted(t for t in clean if len(t) >= 3 and t not in chosen)
+    rest = sorted(t for t in clean if len(t) >= 3 and t not in odd)
+    if rest and chosen:
+        near = Kernel(chosen)(rest).max(axis=1) * np.log1p([clean[t] for t in rest])
+        chosen += [rest[k] for k in np.argsort(-near, kind="stable")[:LANDMARKS // 3]]
+    rest = [t for t in rest if t not in set(chosen)]
     if rest:
         p = np.array([clean[t] for t in rest], float)
         chosen += [rest[k] for k in rng.choice(len(rest), min(LANDMARKS - len(chosen), len(rest)), replace=False, p=p / p.sum())]
