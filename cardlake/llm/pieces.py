@@ -11,8 +11,8 @@ give. Multi-space runs are the exception: their pieces share one score, so
 merges compete by place, and they are merged directly with a heap.
 
 Texts are cut at places that no piece crosses (before a run of spaces, around
-line ends and characters that no piece has); the ids of a cut are kept in a
-bounded cache of the worker. Every text is read and encoded whole.
+line ends, before punctuation; ``cut_pattern`` looks the pieces through); the
+ids of a cut are kept in a bounded cache of the worker. Every text is read and encoded whole.
 
 Defined cases: NULL counts as empty, which gives the begin and end ids alone;
 characters outside the vocabulary become byte pieces; control strings in a
@@ -26,6 +26,7 @@ import codecs
 import hashlib
 import heapq
 import re
+import string
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +44,22 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def cut_pattern(pieces) -> re.Pattern:
+    """Pattern of the parts of a text that no piece reaches across; the whole text if there are no such places.
+
+    Parts end before spaces, around line ends and between a Latin letter and ASCII punctuation, as far as no piece holds
+    these neighbours.
+    """
+    mark, letter = re.escape(string.punctuation), "A-Za-zÀ-ÖØ-öø-ÿ"
+    if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces):
+        return re.compile("(?s).+")
+    line = "" if any("\n" in p and len(p) > 1 for p in pieces) else "\n"
+    parts = [line] if line else []
+    if not any(re.search(f"[{letter}][{mark}]", p) for p in pieces):
+        parts.append(f"{SPACE}*+[{mark}]*+[{letter}]++(?=[{mark}{SPACE}{line}]|\\Z)")
+    return re.compile("|".join([*parts, f"{SPACE}*[^{SPACE}{line}]+", f"{SPACE}+"]))
+
+
 class Pieces:
     """Encoder and decoder of one model file."""
 
@@ -60,8 +77,6 @@ class Pieces:
         self.byte_id = {int(names[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         if len(self.byte_id) != 256 or any(sp.is_unused(i) for i in range(n)):
             raise ValueError(f"{path}: a merge-type model with all byte pieces and no unused ones is needed")
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id_of):
-            raise ValueError(f"{path}: a piece goes on beyond a space")
         self.dummy = sp.encode("a", out_type=str)[0].startswith(SPACE)
         self.blob = [names[i].replace(SPACE, " ").encode() for i in range(n)]
         for i in range(n):
@@ -77,11 +92,8 @@ class Pieces:
         for p in self.id_of:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
-        # characters that only stand alone: a cut is possible on both sides
-        joined = {c for p in self.id_of if len(p) > 1 for c in p}
-        alone = "" if "\n" in joined else "\n"
-        self.cut = re.compile(f"{alone}|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.known = joined
+        self.cut = cut_pattern(self.id_of)
+        self.known = {c for p in self.id_of if len(p) > 1 for c in p}
         self.fits: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
         self.cache: dict[str, bytes] = {}

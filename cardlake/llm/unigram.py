@@ -27,7 +27,6 @@ counts; extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Callable
 
 import numpy as np
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm.common import CACHE_WORDS, in_groups
-from cardlake.llm.pieces import SPACE, default_model
+from cardlake.llm.pieces import SPACE, cut_pattern, default_model
 
 PENALTY, GRAIN = 10.0, 16
 
@@ -63,8 +62,7 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = float(np.float32(min(scores.values()) - PENALTY))
         grained = all((s * GRAIN).is_integer() for s in scores.values())
-        apart = not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in scores)
-        self.cut = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+") if grained and apart else None
+        self.cut = cut_pattern(scores) if grained else None
         self.cache: dict[str, int] = {}
 
     def best(self, text: str, sum_of: Callable[[float], float] = float) -> tuple[float, int]:
