@@ -18,10 +18,11 @@ documents. A clean document's sentences are all clean. Of a toxic document
 only the document is known to be toxic, so its sentences get their labels in
 rounds: at first those with a token unknown to clean documents, then those
 that the machine itself finds toxic, the best one at least. A document's
-score is a logistic function of its most toxic sentence.
+score is a logistic function of its three most toxic sentences and its length,
+since a long clean text meets an insult's likeness by chance.
 
 Defined cases: NULL, empty and punctuation-only texts have no token and get
-the score of a sentence without any; repeated rows get equal scores; extra
+the least margin; repeated rows get equal scores; extra
 columns are kept by ``filtered`` and ignored by ``scores``; without labelled
 rows of both classes every score is 0.
 """
@@ -45,6 +46,8 @@ LANDMARKS, ROUNDS, EPOCHS, PIECE = 96, 3, 6, 32
 SAMPLE_ROWS, SAMPLE_CHARS = 3500, 12_000
 #: Marks a token's beginning, so that common beginnings weigh more than common middles.
 START = "<<"
+#: The least margin that counts: that of a sentence without tokens, or of one that is not there.
+FLOOR = -2.0
 _SENTENCE = re.compile(r"[.!?]*\s*\n\s*|[.!?]+\s+")
 _DROP = str.maketrans("", "", string.punctuation)
 _BASE = np.uint64(1_000_003)
@@ -111,31 +114,30 @@ class Kernel:
         self.landmarks = landmarks
         codes, weights, owners = merged(*subsequences(landmarks))
         norm = np.sqrt(np.bincount(owners, weights * weights, len(landmarks)))
-        self.codes, row = np.unique(codes, return_inverse=True)
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.first, self.number = np.unique(codes[order], return_index=True, return_counts=True)
         self.seen = np.zeros(1 << 16, bool)  # of the codes' first 16 bits, to pass over most others at once
         self.seen[self.codes >> np.uint64(48)] = True
-        self.table = np.zeros((len(self.codes), len(landmarks)), np.float32)
-        self.table[row, owners] = weights / norm[owners]
+        # the landmarks that hold a code, and its weight in each
+        self.holder, self.weight = owners[order].astype(np.int64), (weights / norm[owners])[order]
 
     def part(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.landmarks)))
+        n, width = len(words), len(self.landmarks)
         codes, weights, owners = subsequences(words)
         hit = np.flatnonzero(self.seen[codes >> np.uint64(48)])
         at = np.searchsorted(self.codes, codes[hit]).clip(0, len(self.codes) - 1)
         known = self.codes[at] == codes[hit]
         hit, at = hit[known], at[known]
-        near = np.zeros(len(words), bool)
+        number = self.number[at]
+        each = np.repeat(np.arange(len(hit)), number)  # a row for each hit and landmark that holds its code
+        entry = self.first[at][each] + np.arange(len(each)) - np.repeat(np.cumsum(number) - number, number)
+        out = np.bincount(owners[hit][each] * width + self.holder[entry], weights[hit][each] * self.weight[entry], n * width).reshape(n, width)
+        near = np.zeros(n, bool)
         near[owners[hit]] = True
-        if len(hit):
-            order = np.argsort(owners[hit], kind="stable")
-            hit, at = hit[order], at[order]
-            who = owners[hit]
-            first = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-            out[who[first]] = np.add.reduceat(self.table[at] * weights[hit, None], first)
-            mine = near[owners]  # only these tokens' norms are needed
-            _, w, o = merged(codes[mine], weights[mine], owners[mine])
-            out[near] /= np.sqrt(np.bincount(o, w * w, len(words)))[near, None]
-        return out ** POWER
+        mine = near[owners]  # only these tokens' norms are needed
+        _, w, o = merged(codes[mine], weights[mine], owners[mine])
+        out[near] /= np.sqrt(np.bincount(o, w * w, n))[near, None]
+        return out * out * out if POWER == 3 else out ** POWER
 
     def __call__(self, words: list[str], combine: np.ndarray | None = None) -> np.ndarray:
         """One row per token; with ``combine``, its product with that vector or matrix."""
@@ -148,13 +150,17 @@ class Kernel:
 
 @dataclass
 class Model:
-    """A token adds ``kernel(token) @ beta``; a sentence's margin is the sum plus ``bias``; ``slope``, ``shift`` give the score."""
+    """A token adds ``kernel(token) @ beta``; a sentence's margin is the sum plus ``bias``; ``weights`` give a document's score."""
 
     landmarks: list[str]
     beta: np.ndarray
     bias: float
-    slope: float
-    shift: float
+    weights: np.ndarray
+
+    def margins(self, documents: list[list[set[str]]], of: dict[str, float]) -> list[np.ndarray]:
+        """Each document's sentence margins, from its tokens' margins ``of``."""
+        get = of.__getitem__
+        return [np.array([sum(map(get, s), self.bias) if s else FLOOR for s in own]) for own in documents]
 
     def token_margins(self, words: list[str]) -> np.ndarray:
         if not hasattr(self, "_kernel"):
@@ -185,45 +191,46 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model | None:
     if len({label for _, label in sample}) < 2:
         return None
     rng = np.random.default_rng(seed)
+    distinct = list(dict.fromkeys(sample))
+    split = [sentences_of(text) for text, _ in distinct]
+    label = np.array([y for _, y in distinct])
     in_toxic, in_clean = Counter(), Counter()
-    bags = []
-    for text, label in dict.fromkeys(sample):
-        own = [t for t in dict.fromkeys(tuple(sorted(s)) for s in sentences_of(text)) if t]
-        (in_toxic if label else in_clean).update({t for s in own for t in s})
-        if own:
-            bags.append((own, label))
+    for own, y in zip(split, label, strict=True):
+        (in_toxic if y else in_clean).update(set().union(*own))
     odd = Counter({t: n for t, n in in_toxic.items() if n >= 3 and len(t) >= 3 and n > 20 * in_clean[t]})
     landmarks = landmark_tokens(odd, in_clean, rng)
-    sentences: list[tuple[str, ...]] = []
-    bag, truth = [], []
-    for k, (own, label) in enumerate(bags):
-        if not label and len(own) > 40:  # clean sentences are plenty
-            own = [own[j] for j in rng.choice(len(own), 40, replace=False)]
-        sentences += own
-        bag += [k] * len(own)
-        truth += [label] * len(own)
-    bag, truth = np.array(bag), np.array(truth)
-    words = sorted({t for s in sentences for t in s})
-    place = {t: k for k, t in enumerate(words)}
     kernel = Kernel(landmarks)
     near = kernel(landmarks)
     value, vector = np.linalg.eigh((near + near.T) / 2 + 1e-4 * np.eye(len(landmarks)))
     whiten = vector / np.sqrt(np.maximum(value, 1e-3))
-    per_token = kernel(words, whiten).astype(np.float32)
+    words = sorted(in_toxic.keys() | in_clean.keys())
+    place = {t: k for k, t in enumerate(words)}
+    per_token = kernel(words, whiten)
+    sentences: list[list[int]] = []
+    bag: list[int] = []
+    for k, own in enumerate(split):
+        kept = [sorted(place[t] for t in s) for s in dict.fromkeys(map(frozenset, own)) if s]
+        if not label[k] and len(kept) > 40:  # clean sentences are plenty
+            kept = [kept[j] for j in rng.choice(len(kept), 40, replace=False)]
+        sentences += kept
+        bag += [k] * len(kept)
+    owner, truth = np.array(bag), label[bag]
     size = [len(s) for s in sentences]
-    x = np.add.reduceat(per_token[[place[t] for s in sentences for t in s]], np.cumsum(size) - size)
-    toxic = np.array([any(t in odd for t in s) for s in sentences]) & (truth == 1)
+    x = np.add.reduceat(per_token[np.concatenate(sentences)], np.cumsum(size) - size)
+    toxic = np.array([any(words[t] in odd for t in s) for s in sentences]) & (truth == 1)
     for _ in range(ROUNDS):
         y = np.where(toxic, 1.0, -1.0)
         doubtful = (truth == 1) & ~toxic  # a toxic document's other sentences teach nothing
         cost = np.where(toxic, (~toxic & ~doubtful).sum() / max(1, toxic.sum()) * 0.3, 1.0) * ~doubtful
         w, b = svm(x, y, np.minimum(cost, 10), rng)
         margin = x @ w + b
-        best = np.full(len(bags), -np.inf)
-        np.maximum.at(best, bag, margin)
-        toxic = (truth == 1) & ((margin > 0) | (margin == best[bag]))
-    slope, shift = logistic(best, np.array([label for _, label in bags]))
-    return Model(landmarks, whiten @ w, b, slope, shift)
+        best = np.full(len(split), -np.inf)
+        np.maximum.at(best, owner, margin)
+        toxic = (truth == 1) & ((margin > 0) | (margin == best[owner]))
+    model = Model(landmarks, whiten @ w, b, np.zeros(5))
+    margins = model.margins(split, dict(zip(words, (per_token @ w).tolist(), strict=True)))
+    model.weights = logistic(document_features(margins), label)
+    return model
 
 
 def landmark_tokens(odd: Counter, clean: Counter, rng: np.random.Generator) -> list[str]:
@@ -253,15 +260,24 @@ def landmark_tokens(odd: Counter, clean: Counter, rng: np.random.Generator) -> l
     return chosen or ["aaa"]
 
 
-def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve from a document's best margin to its label (classes weigh equally)."""
-    weight = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum()))
-    slope, shift = 2.0, 0.0
-    for _ in range(500):
-        p = 1 / (1 + np.exp(-np.clip(slope * margin + shift, -30, 30)))
-        slope += 2 * float(weight @ ((label - p) * margin))
-        shift += 2 * float(weight @ (label - p))
-    return slope, shift
+def document_features(margins: list[np.ndarray]) -> np.ndarray:
+    """The three largest sentence margins, clipped, the logarithm of the number of sentences, and 1."""
+    out = np.ones((len(margins), 5))
+    for k, m in enumerate(margins):
+        top = np.sort(m)[::-1][:3]
+        out[k, :3] = np.clip(np.r_[top, np.full(3 - len(top), FLOOR)], FLOOR, -FLOOR)
+        out[k, 3] = np.log(len(m))
+    return out
+
+
+def logistic(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression by Newton steps with a small ridge; a toxic document counts twice."""
+    w, own = np.zeros(x.shape[1]), 1.0 + label
+    ridge = np.diag([*[1.0] * (x.shape[1] - 1), 1e-3])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w -= np.linalg.solve((x * (own * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (own * (p - label)) + ridge @ w)
+    return w
 
 
 _CACHE: dict[str, float] = {}
@@ -278,9 +294,7 @@ def text_scores(model: Model | None, texts: list[str], key: object) -> np.ndarra
     split = [sentences_of(t) for t in texts]
     new = list(set().union(*(s for own in split for s in own)).difference(_CACHE))
     _CACHE.update(zip(new, model.token_margins(new).tolist(), strict=True))
-    get = _CACHE.__getitem__
-    best = np.array([max(sum(map(get, s)) for s in own) for own in split]) + model.bias
-    return 1 / (1 + np.exp(-np.clip(model.slope * best + model.shift, -60, 60)))
+    return 1 / (1 + np.exp(-np.clip(document_features(model.margins(split, _CACHE)) @ model.weights, -60, 60)))
 
 
 def trained(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_chars: int = SAMPLE_CHARS) -> Model | None:
@@ -289,7 +303,7 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_cha
 
 
 def _key(model: Model | None) -> int:
-    return 0 if model is None else hash((tuple(model.landmarks), model.bias, model.beta.tobytes()))
+    return 0 if model is None else hash((tuple(model.landmarks), model.bias, model.beta.tobytes(), model.weights.tobytes()))
 
 
 def scores(docs: DataFrame, model: Model | None) -> DataFrame:
