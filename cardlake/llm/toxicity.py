@@ -144,8 +144,8 @@ class Kernel:
         width = [len(self.landmarks)] if combine is None else list(combine.shape[1:])
         if not len(self.codes):
             return np.zeros([len(words), *width])
-        parts = [self.part(words[k:k + 2000]) for k in range(0, len(words), 2000)]
-        return np.concatenate([p if combine is None else p @ combine for p in parts] or [np.zeros([0, *width])])
+        parts = (self.part(words[k:k + 2000]) for k in range(0, len(words), 2000))  # one at a time in memory
+        return np.concatenate([(p if combine is None else p @ combine).astype(np.float32) for p in parts] or [np.zeros([0, *width])])
 
 
 @dataclass
@@ -192,7 +192,8 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model | None:
         return None
     rng = np.random.default_rng(seed)
     distinct = list(dict.fromkeys(sample))
-    split = [sentences_of(text) for text, _ in distinct]
+    shared: dict[str, str] = {}  # one copy of each token
+    split = [[{shared.setdefault(t, t) for t in s} for s in sentences_of(text)] for text, _ in distinct]
     label = np.array([y for _, y in distinct])
     in_toxic, in_clean = Counter(), Counter()
     for own, y in zip(split, label, strict=True):
@@ -206,17 +207,17 @@ def fit(sample: list[tuple[str, int]], seed: int = 11) -> Model | None:
     words = sorted(in_toxic.keys() | in_clean.keys())
     place = {t: k for k, t in enumerate(words)}
     per_token = kernel(words, whiten)
-    sentences: list[list[int]] = []
+    sentences: list[np.ndarray] = []
     bag: list[int] = []
     for k, own in enumerate(split):
-        kept = [sorted(place[t] for t in s) for s in dict.fromkeys(map(frozenset, own)) if s]
+        kept = [np.array(sorted(place[t] for t in s), np.int32) for s in dict.fromkeys(map(frozenset, own)) if s]
         if not label[k] and len(kept) > 40:  # clean sentences are plenty
             kept = [kept[j] for j in rng.choice(len(kept), 40, replace=False)]
         sentences += kept
         bag += [k] * len(kept)
     owner, truth = np.array(bag), label[bag]
-    size = [len(s) for s in sentences]
-    x = np.add.reduceat(per_token[np.concatenate(sentences)], np.cumsum(size) - size)
+    x = np.concatenate([np.add.reduceat(per_token[np.concatenate(some)], np.cumsum([0, *map(len, some[:-1])]))
+                        for some in (sentences[k:k + 1000] for k in range(0, len(sentences), 1000))])
     toxic = np.array([any(words[t] in odd for t in s) for s in sentences]) & (truth == 1)
     for _ in range(ROUNDS):
         y = np.where(toxic, 1.0, -1.0)

@@ -57,7 +57,7 @@ def test_kernel_is_the_gap_weighted_subsequence_kernel():
                     for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
                         out[w[i] + w[j] + w[k]] = out.get(w[i] + w[j] + w[k], 0) + toxicity.DECAY ** (k - i + 1)
             return out
-        x, y = weights("<" + a), weights("<" + b)
+        x, y = weights(toxicity.START + a), weights(toxicity.START + b)
         dot = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
         return (dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5) ** toxicity.POWER if x and y else 0.0
 
