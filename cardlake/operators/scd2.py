@@ -119,7 +119,7 @@ def _new_row(df: DataFrame, spec: Scd2Spec, effective_from: str) -> DataFrame:
 
 def _keyed(df: DataFrame, spec: Scd2Spec) -> DataFrame:
     """Add ``_k``, the key without NULLs, and ``_id``, a number for each row of the scan."""
-    return df.selectExpr("*", f"CASE WHEN {_q(spec.key)} IS NULL THEN '' ELSE concat('k', {_q(spec.key)}) END AS _k",
+    return df.selectExpr("*", f"coalesce(concat('k', {_q(spec.key)}), '') AS _k",
                          "monotonically_increasing_id() AS _id")
 
 

@@ -50,7 +50,7 @@ def bucketed(enriched: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataF
     late = f"_us IS NOT NULL AND pmod(_us, {size}) >= {size - halo}"
     return (enriched
             .selectExpr("*", "unix_micros(trans_date) AS _us",
-                        "CASE WHEN card_num IS NULL THEN '' ELSE concat('c', card_num) END AS _card")
+                        "coalesce(concat('c', card_num), '') AS _card")
             .selectExpr("*", f"{home} AS _home")
             .selectExpr("*", f"explode(CASE WHEN {late} THEN array(_home, _home + 1) ELSE array(_home) END) AS _bucket")
             .selectExpr("*", "_bucket = _home AS _own").drop("_home")
@@ -58,7 +58,8 @@ def bucketed(enriched: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataF
 
 
 def _order(columns) -> str:
-    rest = [f"`{c}` ASC NULLS FIRST" for c in columns if c not in ("trans_date", "trans_id")]
+    # every column is named, so that the windows and the lags across buckets read the same exchange
+    rest = [f"`{c}` ASC NULLS FIRST" for c in columns if c != "trans_id"]
     return "ORDER BY " + ", ".join(["_us ASC NULLS LAST", "trans_id ASC NULLS LAST", *rest])
 
 
