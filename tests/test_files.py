@@ -10,7 +10,7 @@ from cardlake.operators.report import fraud_report
 from cardlake.plans.daily import Warehouse, run
 from cardlake.schemas import LABEL_BAD_PASSPORT, LABEL_CITY_HOP, struct_type
 from cardlake.sources.files import daily_dates, list_files, pending_files, read_transactions
-from cardlake.sources.inputs import FileSource, MissingInput
+from cardlake.sources.inputs import FileSource, MissingInput, UnknownInput
 from cardlake.sources.staging import snapshot_reader
 from cardlake.sources.workbook import read_workbooks
 from tests.xlsx import write_xlsx
@@ -118,6 +118,18 @@ def test_missing_file_stops_the_date_before_any_write(spark, tmp_path):
     assert not (tmp_path / "wh").exists()
 
 
+def test_unknown_file_of_a_date_is_refused(spark, tmp_path):
+    """A second transactions file would be neither loaded nor entered in the ledger."""
+    land = _landing(tmp_path, days=(D1,))
+    with open(f"{land}/transactions_extra_01032021.txt", "w") as f:
+        f.write("x")
+    snaps = _snapshots(spark, tmp_path)
+    src = FileSource(spark, land, snaps["accounts"], snaps["clients"], snaps["cards"])
+    with pytest.raises(UnknownInput):
+        run(spark, src, Warehouse(spark, str(tmp_path / "wh")), dates=[D1])
+    assert not (tmp_path / "wh").exists()
+
+
 def test_command_line_run(spark, tmp_path):
     from cardlake.__main__ import main
 
