@@ -16,6 +16,17 @@ GROUP_CHARS = 2_000_000
 CACHE_WORDS = 400_000
 
 
+_HOLDER: list = [None]
+
+
+def claim_cache(clear: Callable[[], None]) -> None:
+    """A worker that serves several operators keeps the cache of one at a time: the last holder's is cleared."""
+    if _HOLDER[0] != clear:
+        if _HOLDER[0] is not None:
+            _HOLDER[0]()
+        _HOLDER[0] = clear
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared scratch folder and read it back.
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import CACHE_WORDS, grouped_texts
+from cardlake.llm.common import CACHE_WORDS, claim_cache, grouped_texts
 
 BLOCK, CHUNK, LEVEL, END = 1 << 16, 1 << 18, 3, 0
 _PLAIN_TEXT = re.compile(r"[\n\r\t -~À-ÖØ-öø-ÿ]*")
@@ -127,6 +127,8 @@ _LOADED: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    """The worker's one copy of a tokenizer."""
+    claim_cache(_LOADED.clear)
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
     return _LOADED[path]

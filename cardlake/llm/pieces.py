@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import CACHE_WORDS, in_groups
+from cardlake.llm.common import CACHE_WORDS, claim_cache, in_groups
 
 SPACE = "▁"
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -219,6 +219,7 @@ _LOADED: dict[str, Pieces] = {}
 
 def pieces(path: str) -> Pieces:
     """The worker's one copy of a model."""
+    claim_cache(_LOADED.clear)
     if path not in _LOADED:
         _LOADED[path] = Pieces(path)
     return _LOADED[path]

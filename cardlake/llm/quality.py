@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import CACHE_WORDS, id_remainder, in_groups, labelled_sample
+from cardlake.llm.common import CACHE_WORDS, claim_cache, id_remainder, in_groups, labelled_sample
 
 BUCKET_BITS, DIM, GRAMS = 17, 8, (3, 4, 5)
 BUCKETS = 1 << BUCKET_BITS
@@ -123,6 +123,7 @@ _CACHE_OF: list = [None]
 
 def text_scores(model: Model, texts: list[str], key: object) -> np.ndarray:
     """Probability of label 1 for each whole text; words are looked up in the worker's cache for model ``key``."""
+    claim_cache(_CACHE.clear)
     if _CACHE_OF[0] != key or len(_CACHE) > CACHE_WORDS:
         _CACHE.clear()
         _CACHE_OF[0] = key

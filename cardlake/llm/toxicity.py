@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import CACHE_WORDS, id_remainder, in_groups, labelled_sample
+from cardlake.llm.common import CACHE_WORDS, claim_cache, id_remainder, in_groups, labelled_sample
 
 SPAN, DECAY, POWER = 7, 0.7, 3
 LANDMARKS, ROUNDS, EPOCHS, PIECE = 96, 3, 6, 32
@@ -289,6 +289,7 @@ def text_scores(model: Model | None, texts: list[str], key: object) -> np.ndarra
     """Score of each whole text; token margins are looked up in the worker's cache for model ``key``."""
     if model is None:
         return np.zeros(len(texts))
+    claim_cache(_CACHE.clear)
     if _CACHE_OF[0] != key or len(_CACHE) > CACHE_WORDS:
         _CACHE.clear()
         _CACHE_OF[0] = key

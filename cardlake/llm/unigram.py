@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import CACHE_WORDS, in_groups
+from cardlake.llm.common import CACHE_WORDS, claim_cache, in_groups
 from cardlake.llm.pieces import SPACE, cut_pattern, default_model
 
 PENALTY, GRAIN = 10.0, 16
@@ -114,6 +114,7 @@ def token_counts(docs: DataFrame, scores: dict[str, float] | None = None) -> Dat
 
     def rows(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
         key = path if scores is None else hash(tuple(scores.items()))
+        claim_cache(_LOADED.clear)
         if key not in _LOADED:
             _LOADED[key] = Counter(scores if scores is not None else rank_scores(path))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
