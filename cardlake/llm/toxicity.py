@@ -49,14 +49,14 @@ START = "<<"
 #: The least margin that counts: that of a sentence without tokens, or of one that is not there.
 FLOOR = -2.0
 _SENTENCE = re.compile(r"[.!?]*\s*\n\s*|[.!?]+\s+")
-_DROP = str.maketrans("", "", string.punctuation)
+_DROP = re.compile(f"[{re.escape(string.punctuation)}]+")
 _BASE = np.uint64(1_000_003)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(sentence: str) -> list[str]:
-    """Lower-case tokens without punctuation; runs of single characters are joined."""
-    words = sentence.lower().translate(_DROP).split()
+    """Tokens of a sentence without punctuation; runs of single characters are joined."""
+    words = sentence.split()
     if min(map(len, words), default=2) > 1:
         return words
     out, run = [], ""
@@ -74,10 +74,13 @@ def tokens(sentence: str) -> list[str]:
 def sentences_of(text: str) -> list[set[str]]:
     """The token sets of a text's sentences, long ones in pieces; one empty set for a text without tokens."""
     out = []
-    for s in _SENTENCE.split(text):
+    for s in _DROP.sub("", _SENTENCE.sub("\n", text).lower()).split("\n"):
         own = tokens(s)
-        out += [set(own[k:k + PIECE]) for k in range(0, len(own), PIECE)]
-    return out or [set()]
+        if len(own) <= PIECE:
+            out.append(set(own))
+        else:
+            out += [set(own[k:k + PIECE]) for k in range(0, len(own), PIECE)]
+    return [s for s in out if s] or [set()]
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
