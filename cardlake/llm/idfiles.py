@@ -28,6 +28,7 @@ texts' hash; extra columns are ignored; an empty table gives an empty set.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -40,12 +41,19 @@ from pyspark.sql import functions as F
 from cardlake.llm.common import CACHE_WORDS, claim_cache, grouped_texts
 
 BLOCK, CHUNK, LEVEL, END = 1 << 16, 1 << 18, 3, 0
+#: Pre-tokens in a worker's cache (their entries are small); a full cache is emptied.
+CACHE_CUTS = 2 * CACHE_WORDS
 _PLAIN_TEXT = re.compile(r"[\n\r\t -~À-ÖØ-öø-ÿ]*")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 #: Pre-tokens of plain text, as byte-level pre-tokenizing cuts them.
 _CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+")
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -64,7 +72,7 @@ class Encoder:
         self.cuts: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[str]) -> None:
         """Put the ids of each word after a single space into the cache; None if a cut before or after it is not safe."""
@@ -91,7 +99,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers."""
-        if len(self.cuts) > CACHE_WORDS:
+        if len(self.cuts) > CACHE_CUTS:
             self.cuts.clear()
         cuts = [_CUT.findall(t) if _PLAIN_TEXT.fullmatch(t) and not any([s in t for s in self.special]) else None for t in texts]
         new = list(set().union(*filter(None, cuts)).difference(self.cuts))
