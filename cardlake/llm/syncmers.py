@@ -8,6 +8,11 @@ last's. That depends on the k-mer alone, not on its surroundings, so an edit
 changes only the anchors that touch it. ``anchors`` gives their places and
 hashes; the fingerprint is a sketch of the set, its ``SKETCH`` least hashes.
 
+Every text has the anchors of its words; texts around and below the switch
+(``BAND``, ``LONG_BAND``) have those of their characters as well. Two texts are
+compared by characters if both have them, else by words, so that texts on
+either side of a switch are compared like with like.
+
 The likeness of two fingerprints is the share of anchors that two texts have
 in common, 2c / (a + b), estimated from the least hashes of the union.
 
@@ -30,6 +35,9 @@ from pyspark.sql import functions as F
 #: k and s for words and for characters.
 WORDS, CHARS = (4, 2), (6, 3)
 SHORT, LONG_WORD, SKETCH = 400, 32, 64
+#: Texts of up to ``BAND`` times ``SHORT`` characters, or with words of over 1 / ``LONG_BAND`` of ``LONG_WORD``, have anchors of both kinds.
+BAND, LONG_BAND = 4, 2
+KINDS = ("words", "chars")
 BUCKET_ROWS, MAX_BUCKETS = 256, 16_384
 
 
@@ -50,33 +58,60 @@ def _anchors(symbols: str, k: int, s: int) -> str:
     return _let(f"transform({symbols}, w -> xxhash64(w))", "h", _let(f"transform(h, (x, i) -> xxhash64({inner}))", "m", found))
 
 
+def _spaced(text: str) -> str:
+    return f"split(translate({text}, '\\n\\r\\t', '   '), ' ')"
+
+
+def _or_whole(found: str, text: str) -> str:
+    return _let(found, "f", f"if(size(f) > 0, f, array(named_struct('place', 0, 'hash', xxhash64({text}))))")
+
+
+def _words(text: str) -> str:
+    return _or_whole(_anchors(_spaced(text), *WORDS), text)
+
+
+def _chars(text: str) -> str:
+    return _or_whole(_anchors(f"split({text}, '')", *CHARS), text)
+
+
 def anchors(text: str) -> Column:
-    """place and hash of all anchors of the text column, in order."""
-    spaced = f"split(translate({text}, '\\n\\r\\t', '   '), ' ')"
-    by_char = f"(char_length({text}) <= {SHORT} or size({spaced}) * {LONG_WORD} < char_length({text}))"
-    found = f"if({by_char}, {_anchors(f'''split({text}, '')''', *CHARS)}, {_anchors(spaced, *WORDS)})"
-    return F.expr(_let(found, "f", f"if(size(f) > 0, f, array(named_struct('place', 0, 'hash', xxhash64({text}))))"))
+    """place and hash of all anchors of the text column, in order: those of its characters if it is short or has long words, else its words'."""
+    by_char = f"(char_length({text}) <= {SHORT} or size({_spaced(text)}) * {LONG_WORD} < char_length({text}))"
+    return F.expr(f"if({by_char}, {_chars(text)}, {_words(text)})")
+
 
+def anchored(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+    """``df`` with all anchors (place, hash) of the text column: ``words`` of every text, ``chars`` of texts around and below the switch, else NULL."""
+    near_switch = f"(char_length({text}) <= {BAND * SHORT} or size({_spaced(text)}) * {LONG_WORD} < {LONG_BAND} * char_length({text}))"
+    return df.withColumns({f"{prefix}words": F.expr(_words(text)), f"{prefix}chars": F.expr(f"if({near_switch}, {_chars(text)}, null)")})
 
-def sketch(text: str) -> Column:
-    """The least hashes of the text column's anchors, ascending."""
-    return F.slice(F.sort_array(F.array_distinct(anchors(text).getField("hash"))), 1, SKETCH)
 
+def sketched(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+    """``df`` with the sketches of the text column's anchors: the least hashes of each kind, ascending."""
+    found = anchored(df, text, "found_")
+    least = {f"{prefix}{x}": F.slice(F.sort_array(F.array_distinct(F.col(f"found_{x}.hash"))), 1, SKETCH) for x in KINDS}
+    return found.withColumns(least).drop(*[f"found_{x}" for x in KINDS])
 
-def fingerprint(of: str) -> Column:
-    """A sketch as text, 16 hexadecimal digits for each hash."""
-    return F.expr(f"array_join(transform({of}, x -> lpad(lower(hex(x)), 16, '0')), '')")
+
+def fingerprint(prefix: str = "") -> Column:
+    """The sketches of both kinds as text, 16 hexadecimal digits for each hash, with a dash between."""
+    words, chars = (f"array_join(transform({prefix}{x}, x -> lpad(lower(hex(x)), 16, '0')), '')" for x in KINDS)
+    return F.expr(f"concat({words}, '-', coalesce({chars}, ''))")
 
 
 def likeness(a: str, b: str) -> Column:
-    """Estimated share of anchors in common of two sketches, 0 to 1."""
-    least = f"slice(sort_array(array_union({a}, {b})), 1, {SKETCH})"
-    return F.expr(_let(least, "u", f"(2D * size(array_intersect(array_intersect(u, {a}), {b}))) / "
-                                   f"(size(u) + size(array_intersect(array_intersect(u, {a}), {b})))"))
+    """Estimated share of anchors in common of two texts' sketches, 0 to 1: by characters if both have those, else by words."""
+
+    def share(x: str, y: str) -> str:
+        least = f"slice(sort_array(array_union({x}, {y})), 1, {SKETCH})"
+        return _let(least, "u", f"(2D * size(array_intersect(array_intersect(u, {x}), {y}))) / "
+                                f"(size(u) + size(array_intersect(array_intersect(u, {x}), {y})))")
+
+    return F.expr(f"if({a}chars is not null and {b}chars is not null, {share(f'{a}chars', f'{b}chars')}, {share(f'{a}words', f'{b}words')})")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Every document with its sketch, and text and sketch of the next one by id (after the last: the first).
+    """Every document with its sketches, and text and sketches of the next one by id (after the last: the first).
 
     Ids are cut into ranges of about ``BUCKET_ROWS`` rows (at most
     ``MAX_BUCKETS`` ranges) at approximate quantiles. A range is one window's
@@ -99,9 +134,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = firsts.select("k", F.coalesce(F.lag("bucket").over(every), last).alias("host"))
     guests = d.join(F.broadcast(firsts), "k").select("doc_id", "text", "k", F.col("host").alias("bucket"), F.lit(True).alias("guest"))
     rows = d.withColumn("guest", F.lit(False)).select("doc_id", "text", "k", "bucket", "guest").unionByName(guests)
-    rows = rows.repartition("bucket").withColumn("sketch", sketch("text"))
+    rows = sketched(rows.repartition("bucket"))
     order = Window.partitionBy("bucket").orderBy("guest", "k", F.xxhash64("text"))
-    return rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order)) \
+    return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in ("text", *KINDS)}) \
         .where("not guest").drop("guest", "bucket", "k")
 
 
@@ -119,7 +154,6 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     half = F.expr("char_length(text) div 2").cast("int")
     d = with_next(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     d = d.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), F.substring("next_text", F.lit(1), half)))
-    d = d.select("doc_id", "n_chars", "sketch", "next_sketch", F.sha2("edited", 256).alias("edited_sha256"), sketch("edited").alias("edited_sketch"))
-    return d.select("doc_id", "n_chars", "edited_sha256", fingerprint("sketch").alias("fingerprint"),
-                    fingerprint("edited_sketch").alias("edited_fingerprint"), likeness("sketch", "edited_sketch").alias("near_edited"),
-                    likeness("sketch", "next_sketch").alias("near_next"))
+    d = sketched(d, "edited", "edited_").withColumn("edited_sha256", F.sha2("edited", 256))
+    return d.select("doc_id", "n_chars", "edited_sha256", fingerprint().alias("fingerprint"), fingerprint("edited_").alias("edited_fingerprint"),
+                    likeness("", "edited_").alias("near_edited"), likeness("", "next_").alias("near_next"))

@@ -203,6 +203,30 @@ def test_edited_fingerprints(spark, monkeypatch, rows_each):
     assert syncmers.edited_fingerprints(documents(spark)).count() == len(texts()) + 3
 
 
+def test_near_copies_on_both_sides_of_a_switch(spark):
+    """Texts of about 400 and 1,600 characters, and with words of about 16 and 32: one more word leaves them near."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    rows = []
+    for limit, size in ((syncmers.SHORT, 4), (syncmers.BAND * syncmers.SHORT, 4), (5000, 15), (5000, 31)):
+        t = " ".join(word(size) for _ in range(limit // (size + 1)))
+        rows += [t, t + " " + word(60), t[:len(t) // 2] + word(99) + t[len(t) // 2:]]
+    rows += [rows[0], rows[3] + rows[0]]  # a short text and one beyond the band that ends with it
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in syncmers.edited_fingerprints(df).collect()}
+    assert all(got[k].near_next > 0.4 for k in range(12) if k % 3 < 2)
+    assert 0.1 < got[12].near_next < 0.6
+
+
+def test_edited_text_below_the_switch(spark):
+    """A long text whose edited one is short, since the next text is."""
+    rng = random.Random(9)
+    t = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(100))
+    df = spark.createDataFrame([(0, t), (1, "end")], "doc_id long, text string")
+    r = syncmers.edited_fingerprints(df).where("doc_id = 0").first()
+    assert len(t) > syncmers.SHORT > len(t) // 2 + 3 and r.near_edited > 0.5
+
+
 def test_registered_queries_run_on_small_tables(spark):
     for name in ("op1_syncmers", "op6_simhash", "op8_winnowing"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
