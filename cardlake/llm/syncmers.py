@@ -5,16 +5,18 @@ A text is a sequence of symbols: its words, or its characters if it is short
 each s symbols in it an inner substring; a k-mer is an anchor (a closed
 syncmer) if the least hash of its inner substrings is the first's or the
 last's. That depends on the k-mer alone, not on its surroundings, so an edit
-changes only the anchors that touch it. ``anchors`` gives their places and
-hashes; the fingerprint is a sketch of the set, its ``SKETCH`` least hashes.
+changes only the anchors that touch it. ``all_anchors`` gives the places and
+hashes of all; the fingerprint is a short form, the ``SKETCH`` least hashes.
 
 Every text has the anchors of its words; texts around and below the switch
 (``BAND``, ``LONG_BAND``) have those of their characters as well. Two texts are
 compared by characters if both have them, else by words, so that texts on
 either side of a switch are compared like with like.
 
-The likeness of two fingerprints is the share of anchors that two texts have
-in common, 2c / (a + b), estimated from the least hashes of the union.
+The likeness of two texts is the share of anchors that they have in common,
+2c / (a + b), of all their anchors, repeats counted. The positional match is
+the same share of links: an anchor, the next one, and the places between them.
+So a shared passage matches wherever it stands, and moved pieces do not.
 
 Higher-order functions do the work on arrays within a row; arrays are bound by
 one-element ``transform`` calls so that each is computed once.
@@ -38,6 +40,7 @@ SHORT, LONG_WORD, SKETCH = 400, 32, 64
 #: Texts of up to ``BAND`` times ``SHORT`` characters, or with words of over 1 / ``LONG_BAND`` of ``LONG_WORD``, have anchors of both kinds.
 BAND, LONG_BAND = 4, 2
 KINDS = ("words", "chars")
+COMPARED = (*KINDS, *(f"{x}_links" for x in KINDS))
 BUCKET_ROWS, MAX_BUCKETS = 256, 16_384
 
 
@@ -86,32 +89,41 @@ def anchored(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     return df.withColumns({f"{prefix}words": F.expr(_words(text)), f"{prefix}chars": F.expr(f"if({near_switch}, {_chars(text)}, null)")})
 
 
-def sketched(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """``df`` with the sketches of the text column's anchors: the least hashes of each kind, ascending."""
+def _counted(values: str) -> str:
+    """SQL for an array in which a repeated value's further occurrences are values of their own, so that sets of them count repeats."""
+    starts = "filter(sequence(0, size(v) - 1), i -> i = 0 or v[i] != v[i - 1])"
+    runs = """flatten(transform(starts, (a, j) -> transform(sequence(0, coalesce(get(starts, j + 1), size(v)) - a - 1),
+                  o -> if(o = 0, v[a], xxhash64(v[a], o)))))"""
+    return f"if(size(array_distinct({values})) = size({values}), {values}, {_let(f'sort_array({values})', 'v', _let(starts, 'starts', runs))})"
+
+
+def compared(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+    """``df`` with what is compared of the text column: fingerprint, and by kind all anchors (``words``, ``chars``) and all links.
+
+    A link is an anchor, the one after it, and the places between them.
+    """
     found = anchored(df, text, "found_")
-    least = {f"{prefix}{x}": F.slice(F.sort_array(F.array_distinct(F.col(f"found_{x}.hash"))), 1, SKETCH) for x in KINDS}
-    return found.withColumns(least).drop(*[f"found_{x}" for x in KINDS])
+    links = """transform(found_{0}, (x, i) -> xxhash64(x.hash, get(found_{0}, i + 1).hash, get(found_{0}, i + 1).place - x.place))"""
+    found = found.select(*df.columns, fingerprint("found_").alias(f"{prefix}fingerprint"),
+                         *[F.expr(f"found_{x}.hash").alias(f"all_{x}") for x in KINDS], *[F.expr(links.format(x)).alias(f"all_{x}_links") for x in KINDS])
+    return found.select(*df.columns, f"{prefix}fingerprint", *[F.expr(_counted(f"all_{x}")).alias(f"{prefix}{x}") for x in COMPARED])
 
 
 def fingerprint(prefix: str = "") -> Column:
-    """The sketches of both kinds as text, 16 hexadecimal digits for each hash, with a dash between."""
-    words, chars = (f"array_join(transform({prefix}{x}, x -> lpad(lower(hex(x)), 16, '0')), '')" for x in KINDS)
+    """The ``SKETCH`` least hashes of both kinds of anchors as text, 16 hexadecimal digits for each, with a dash between."""
+    words, chars = (f"array_join(transform(slice(sort_array(array_distinct({prefix}{x}.hash)), 1, {SKETCH}), x -> lpad(lower(hex(x)), 16, '0')), '')"
+                    for x in KINDS)
     return F.expr(f"concat({words}, '-', coalesce({chars}, ''))")
 
 
-def likeness(a: str, b: str) -> Column:
-    """Estimated share of anchors in common of two texts' sketches, 0 to 1: by characters if both have those, else by words."""
-
-    def share(x: str, y: str) -> str:
-        least = f"slice(sort_array(array_union({x}, {y})), 1, {SKETCH})"
-        return _let(least, "u", f"(2D * size(array_intersect(array_intersect(u, {x}), {y}))) / "
-                                f"(size(u) + size(array_intersect(array_intersect(u, {x}), {y})))")
-
-    return F.expr(f"if({a}chars is not null and {b}chars is not null, {share(f'{a}chars', f'{b}chars')}, {share(f'{a}words', f'{b}words')})")
+def likeness(a: str, b: str, of: str = "") -> Column:
+    """Share of anchors (or, ``of`` "_links", of links) in common of two texts, 2c / (a + b): by characters if both have those, else by words."""
+    share = lambda x, y: f"2D * size(array_intersect({x}, {y})) / (size({x}) + size({y}))"
+    return F.expr(f"if({a}chars is not null and {b}chars is not null, {share(f'{a}chars{of}', f'{b}chars{of}')}, {share(f'{a}words{of}', f'{b}words{of}')})")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Every document with its sketches, and text and sketches of the next one by id (after the last: the first).
+    """Every document as ``compared``, with the same of the next one by id (after the last: the first).
 
     Ids are cut into ranges of about ``BUCKET_ROWS`` rows (at most
     ``MAX_BUCKETS`` ranges) at approximate quantiles. A range is one window's
@@ -134,9 +146,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = firsts.select("k", F.coalesce(F.lag("bucket").over(every), last).alias("host"))
     guests = d.join(F.broadcast(firsts), "k").select("doc_id", "text", "k", F.col("host").alias("bucket"), F.lit(True).alias("guest"))
     rows = d.withColumn("guest", F.lit(False)).select("doc_id", "text", "k", "bucket", "guest").unionByName(guests)
-    rows = sketched(rows.repartition("bucket"))
+    rows = compared(rows.repartition("bucket"))
     order = Window.partitionBy("bucket").orderBy("guest", "k", F.xxhash64("text"))
-    return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in ("text", *KINDS)}) \
+    return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in ("text", *COMPARED)}) \
         .where("not guest").drop("guest", "bucket", "k")
 
 
@@ -150,10 +162,16 @@ def _bucket(bounds: list[int], step: int = 128) -> Column:
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text and of the text whose last half is replaced by the next document's beginning, and likenesses."""
+    """Fingerprints of every text and of the text whose last half is replaced by the next document's beginning, likenesses and positional matches."""
     half = F.expr("char_length(text) div 2").cast("int")
     d = with_next(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     d = d.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), F.substring("next_text", F.lit(1), half)))
-    d = sketched(d, "edited", "edited_").withColumn("edited_sha256", F.sha2("edited", 256))
-    return d.select("doc_id", "n_chars", "edited_sha256", fingerprint().alias("fingerprint"), fingerprint("edited_").alias("edited_fingerprint"),
-                    likeness("", "edited_").alias("near_edited"), likeness("", "next_").alias("near_next"))
+    d = compared(d.drop("text", "next_text"), "edited", "edited_").withColumn("edited_sha256", F.sha2("edited", 256))
+    return d.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                    likeness("", "edited_").alias("near_edited"), likeness("", "next_").alias("near_next"),
+                    likeness("", "edited_", "_links").alias("match_edited"), likeness("", "next_", "_links").alias("match_next"))
+
+
+def all_anchors(docs: DataFrame) -> DataFrame:
+    """doc_id, and all anchors (place, hash) of every document: ``words``, and ``chars`` or NULL."""
+    return anchored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).drop("text")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -227,6 +228,32 @@ def test_edited_text_below_the_switch(spark):
     assert len(t) > syncmers.SHORT > len(t) // 2 + 3 and r.near_edited > 0.5
 
 
+def brute_share(a, b):
+    a, b = Counter(a), Counter(b)
+    return 2 * (a & b).total() / (a.total() + b.total())
+
+
+def test_likeness_and_match_of_all_anchors(spark):
+    """A small shared passage, one changed word, repeats and order, against sets of all anchors."""
+    rng = random.Random(10)
+    long = lambda n: ["".join(rng.choices("abcdefgh", k=rng.randint(3, 9))) for _ in range(n)]
+    a, b, passage = long(4000), long(4000), long(40)
+    rows = [a[:2000] + passage + a[2000:], b[:500] + passage + b[500:], [*b[:500], *passage, "other", *b[501:]], b[2000:] + b[:2000], b + b]
+    rows = [" ".join(x) for x in rows] + ["a b " * 150, "a b " * 1500, "x", "x"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: r for r in syncmers.all_anchors(df).collect()}
+    got = {r.doc_id: r for r in syncmers.edited_fingerprints(df).collect()}
+    for k in range(len(rows)):
+        x, y = found[k], found[(k + 1) % len(rows)]
+        x, y = (x.chars, y.chars) if x.chars and y.chars else (x.words, y.words)
+        links = [[(p.hash, q and q.hash, q and q.place - p.place) for p, q in zip(z, [*z[1:], None], strict=True)] for z in (x, y)]
+        assert got[k].near_next == pytest.approx(brute_share([p.hash for p in x], [p.hash for p in y]))
+        assert got[k].match_next == pytest.approx(brute_share(*links))
+    assert 0 < got[0].near_next < 0.05 and 0.99 < got[1].near_next < 1 and got[7].near_next == got[7].match_next == 1
+    assert got[3].near_next < 0.7 and got[5].near_next < 0.5
+    assert brute_anchors(spark, rows[0].split(" "), *syncmers.WORDS) == [(p.place, p.hash) for p in found[0].words]
+
+
 def test_registered_queries_run_on_small_tables(spark):
     for name in ("op1_syncmers", "op6_simhash", "op8_winnowing"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
