@@ -127,7 +127,7 @@ def bitmap(windows: DataFrame) -> tuple[np.ndarray, int, list[int]]:
 
 
 def candidates(docs: DataFrame, bits: tuple[np.ndarray, int, list[int]]) -> DataFrame:
-    """doc_id, n_words, and the windows (first word, length, fingerprint, words) whose bit is set, of every document."""
+    """doc_id, given_row, n_words, and the windows (first word, length, fingerprint, words) whose bit is set, of every document."""
     table, power, short = bits
     lengths = [WINDOW, *short]
 
@@ -141,10 +141,11 @@ def candidates(docs: DataFrame, bits: tuple[np.ndarray, int, list[int]]) -> Data
                 d = w.text[k]
                 found[d].append({"at": int(k - w.first[d]), "n": n, "fp": int(fp[k].view(np.int64)), "words": w.words(k, n)})
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(w.count, pa.int64()), pa.array(found, _FOUND)], ["doc_id", "n_words", "found"])
+            [batch.column("doc_id"), batch.column("given_row"), pa.array(w.count, pa.int64()), pa.array(found, _FOUND)],
+            ["doc_id", "given_row", "n_words", "found"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        in_groups(rows, "text"), "doc_id long, n_words long, found array<struct<at:int, n:int, fp:long, words:string>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "given_row", "text").mapInArrow(
+        in_groups(rows, "text"), "doc_id long, given_row long, n_words long, found array<struct<at:int, n:int, fp:long, words:string>>")
 
 
 _FOUND = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("fp", pa.int64()), ("words", pa.string())]))
@@ -152,6 +153,17 @@ _FOUND = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("fp", pa.in
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (sorted ids) of every document."""
+    base, member, per_row = _hits(docs.select("doc_id", "text", F.lit(None).cast("long").alias("given_row")), benchmark)
+    items = per_row.groupBy("set").agg(F.first("wids").alias("wids")).select("set", F.explode("wids").alias("wid")) \
+        .join(member, "wid").groupBy("set").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    return base.select("row", "doc_id", "n_words").join(per_row.select("row", "n_hit", "set").join(items, "set", "left"), "row", "left") \
+        .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+                F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with a row number, the items of the benchmark's windows, and the hits of each row that has any."""
     windows = stored(windows_of(benchmark), "winnow-items")
     known = stored(windows.groupBy("n", "fp", "words").agg(F.first(F.lit(1)).alias("one"))
                    .select("n", "fp", "words", F.monotonically_increasing_id().alias("wid")), "winnow-windows")
@@ -164,15 +176,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     per_row = stored(hit.withColumn("gain", gain).groupBy("row").agg(
         F.sum("gain").alias("n_hit"), F.sort_array(F.collect_set("wid")).alias("wids"))
         .withColumn("set", F.sha2(F.array_join("wids", ","), 256)), "winnow-hits")
-    items = per_row.groupBy("set").agg(F.first("wids").alias("wids")).select("set", F.explode("wids").alias("wid")) \
-        .join(member, "wid").groupBy("set").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    return base.select("row", "doc_id", "n_words").join(per_row.select("row", "n_hit", "set").join(items, "set", "left"), "row", "left") \
-        .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-                F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return base, member, per_row
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a benchmark window, all columns; documents without an id are judged like the others."""
-    hit = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    """The documents without a benchmark window, all columns; each row is judged by its own text, whatever its id."""
+    numbered = stored(docs.select(F.struct(*docs.columns).alias("given"), F.monotonically_increasing_id().alias("given_row")), "winnow-given")
+    base, _, per_row = _hits(numbered.select("given.doc_id", "given.text", "given_row"), benchmark)
+    hit = base.join(per_row, "row", "left_semi").select("given_row")
+    return numbered.join(hit, "given_row", "left_anti").select("given.*")

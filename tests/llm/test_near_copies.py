@@ -147,6 +147,13 @@ def test_contamination(spark):
         assert [r.n_hit for r in decontaminate.contamination(d, b).collect()] == [0] * d.count()
 
 
+def test_clean_judges_rows_not_ids(spark):
+    """Of rows without an id, or with one id, only those with a benchmark window go."""
+    rows = [(k, t, *[None] * 8) for k in (None, 5) for t in ("clean words", "x " + ITEM, "other clean words", "clean words")]
+    kept = decontaminate.clean(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(1, ITEM, "w", 1)], BENCH))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted((str(r[0]), r[1]) for r in rows if ITEM not in r[1])
+
+
 def test_winnowing_guarantee():
     """Equal windows have equal fingerprints wherever they stand."""
     span = " ".join(f"w{k}" for k in range(10))
