@@ -204,11 +204,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The document with the least doc_id of each component, all columns; of rows that repeat it, one.
+    """One row of each component, all columns: that with the least doc_id (NULL last), and of those the first as stored.
 
-    Documents without an id stay as they are: no component can name them.
+    Components are those of rows: rows without an id, or that repeat one, are judged by their texts.
     """
-    named = near_duplicates(docs.where(F.col("doc_id").isNotNull()), shingle, distance)
-    kept = named.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns) \
-        .unionByName(docs.where(F.col("doc_id").isNull()))
+    numbered = stored(docs.select(F.struct(*docs.columns).alias("given"), F.monotonically_increasing_id().alias("row")), "simhash-given")
+    named = near_duplicates(numbered.select(F.col("row").alias("doc_id"), "given.text"), shingle, distance)
+    ids = numbered.select("row", F.col("given.doc_id").cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
+    kept = named.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row") \
+        .groupBy("component_id").agg(F.min(order).getField("row").alias("row"))
+    return numbered.join(kept, "row", "left_semi").select("given.*")

@@ -104,6 +104,17 @@ def test_dense_group_chains_and_split_keys(spark, monkeypatch):
     assert [roots.get(f, f) for f in fps] == want
 
 
+def test_one_of_each_keeps_one_row_of_each_group(spark):
+    """Different texts under one id all stay; of copies without an id one stays, and none beside a copy with an id."""
+    rng = random.Random(4)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(50)) for _ in range(4))
+    rows = [(5, a), (5, b), (5, a), (None, c), (None, c), (None, c), (None, d), (9, d), (None, a), (7, b)]
+    df = spark.createDataFrame([(k, t, *[None] * 8) for k, t in rows], DOCS)
+    out = simhash.one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == sorted([("5", a), ("5", b), ("None", c), ("9", d)])
+
+
 # --- decontamination ----------------------------------------------------
 
 def brute_windows(docs, items):
