@@ -74,12 +74,15 @@ def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, lab
 
     The bound: the ``rows`` usable labelled rows with the smallest hash of
     their id, of which those whose text has at most ``max_chars`` characters
-    are used. Everything else the classifiers do covers all documents.
+    are used. An id that several documents have gives one text, that with the
+    least hash. Everything else the classifiers do covers all documents.
     """
     ids = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable)
            .select("doc_id", F.col(label).cast("int").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= max_chars)
-    # both sides of the broadcast are bounded: `rows` ids
-    found = texts.join(F.broadcast(ids), "doc_id").select("text", "label", F.xxhash64("doc_id").alias("h"), "doc_id")
+    # both sides of the broadcast are bounded: `rows` ids; and so is what is collected: one text for each id
+    one = texts.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi") \
+        .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("of"), F.col("text"))).getField("text").alias("text"))
+    found = one.join(F.broadcast(ids), "doc_id").select("text", "label", F.xxhash64("doc_id").alias("h"), "doc_id")
     return [(r.text, r.label) for r in sorted(found.collect(), key=lambda r: (r.h, r.doc_id, r.label, r.text))]

@@ -7,8 +7,9 @@ import zlib
 
 import pytest
 from helpers import LABELS, documents, no_documents, texts
+from pyspark.sql import functions as F
 
-from cardlake.llm import quality, queries, toxicity
+from cardlake.llm import common, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -83,6 +84,15 @@ def test_defined_cases(spark, module):
         assert module.filtered(no_documents(spark), model).count() == 0
 
 
+def test_sample_is_bounded_by_labels(spark):
+    """A sampled id that many documents have gives one text, the same in any order of rows."""
+    rows = [(1, f"text {k}") for k in range(300)] + [(2, "two"), (3, "x" * 50), (None, "none")]
+    labels = spark.createDataFrame([(k, 1, 0) for k in (1, 2, 2, 3, None)], LABELS)
+    got = [common.labelled_sample(spark, spark.createDataFrame(x, "doc_id long, text string"), labels, "quality", F.lit(True), 4, 20)
+           for x in (rows, rows[::-1])]
+    assert got[0] == got[1] and sorted(t[:4] for t, _ in got[0]) == ["text", "two", "two"]
+
+
 def test_repeated_words_are_one_unit():
     assert quality.units("a a b b b c") == ["a", quality.AGAIN, "b", quality.AGAIN, quality.AGAIN, "c"]
     assert quality.units("") == []
