@@ -3,13 +3,18 @@
 A conversation's turns are put into windows of about ``BUDGET`` tokens that
 begin and end with a turn. Prefix sums of the turns' tokens choose the spans:
 with the steps of a grid of half the budget that is left beside system turn
-and history, a turn goes to the window in whose step it begins. So a window
-holds at most twice a step, unless a turn is longer than a step; such a
-window is marked ``over_budget``, since turns are never cut.
+and history, a turn goes to the window in whose step it begins, so that a
+window of turns no longer than a step holds at most twice a step. A longer
+turn that would take its window beyond the budget has a window of its own
+instead. If the system turn leaves less than a 32nd of the budget for a step,
+every turn has. So only a single turn that does not fit beside the system turn
+makes a window exceed the budget; it is marked ``over_budget``, since turns
+are never cut. Windows of short turns are about half full: the grid needs no
+pass along the conversation.
 
 Every window begins with the conversation's system turn (its first turn, if
 of role ``system``) and repeats up to ``HISTORY`` tokens of the turns before
-it. Assistant texts are training targets once: the mask (``spans``) has no
+it, unless it would exceed the budget with them. Assistant texts are training targets once: the mask (``spans``) has no
 target in a repeated turn.
 
 The template is ``<|im_start|>role`` + line end + text + ``<|im_end|>`` + line
@@ -66,7 +71,7 @@ def turns_of(conversations: DataFrame, tokens: Column | None = None) -> DataFram
     blocks = blocks.select(
         F.col("conv_id").alias("of"), F.col("block").alias("of_block"), F.coalesce(F.sum("sum").over(past), F.lit(0)).alias("sum_before"),
         F.coalesce(F.sum("n").over(past), F.lit(0)).alias("n_before"),
-        F.sum("sum").over(Window.partitionBy("conv_id")).alias("sum_all"),
+        F.sum("sum").over(Window.partitionBy("conv_id")).alias("sum_all"), F.sum("n").over(Window.partitionBy("conv_id")).alias("n_all"),
         F.coalesce(F.first("system").over(over), F.lit(0)).alias("system_tokens"))
     t = t.join(blocks, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("block") == F.col("of_block"))) \
         .withColumn("seq", F.col("n_before") + F.col("place"))
@@ -74,7 +79,7 @@ def turns_of(conversations: DataFrame, tokens: Column | None = None) -> DataFram
     return t.select("conv_id", "seq", F.replace(escaped(F.col("role")), F.lit("\n"), F.lit(LINE)).alias("role"),
                     escaped(F.col("text")).alias("text"), (F.col("role") == "assistant").alias("assistant"), "tokens", head.alias("head"),
                     F.greatest(F.lit(0), F.col("sum_before") + F.col("upto") - F.col("tokens") - F.col("system_tokens")).alias("before"),
-                    (F.col("sum_all") - F.col("system_tokens")).alias("total"), "system_tokens")
+                    (F.col("sum_all") - F.col("system_tokens")).alias("total"), "n_all", "system_tokens")
 
 
 def windows_of(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Column | None = None) -> DataFrame:
@@ -86,20 +91,39 @@ def windows_of(conversations: DataFrame, budget: int = BUDGET, history: int = HI
     if history * 4 > budget:
         raise ValueError("history is limited to a quarter of the budget")
     turns = turns_of(conversations, tokens)
-    # a long system turn leaves a step of a quarter of the budget, not less than the history
-    step = F.greatest(F.lit(max(1, history, budget // 4)), F.floor((F.lit(budget - history) - F.col("system_tokens")) / 2))
-    dealt = turns.withColumn("step", step).withColumn("window", F.floor(F.col("before") / F.col("step")))
-    end = F.max(F.when(~F.col("head"), F.col("before") + F.col("tokens"))).over(Window.partitionBy("conv_id", "window"))
-    dealt = dealt.withColumn("end", end)
+    turns = turns.withColumn("reach", F.lit(budget - history) - F.col("system_tokens")).withColumn("step", F.greatest(F.lit(1), F.floor(F.col("reach") / 2)))
+    # beside a system turn that leaves next to nothing, every turn has a window of its own (from 0; the system turn is 1)
+    turns = turns.withColumn("tight", F.col("step") < max(2, budget // 32))
+
+    def grid(seq: Column, at: Column) -> Column:
+        return F.when(F.col("tight"), F.greatest(F.lit(0), seq - 2)).otherwise(F.floor(at / F.col("step")))
+
+    dealt = turns.withColumn("window", grid(F.col("seq"), F.col("before")))
+    # a turn that ends beyond the reach of its window's start ends beyond the next step too, where no other turn begins:
+    # it takes that step's window (but the first turn of a window stays)
+    of_step = Window.partitionBy("conv_id", "window")
+    stop = F.col("before") + F.col("tokens")
+    start = F.min(F.when(~F.col("head"), F.col("before"))).over(of_step)
+    dealt = dealt.withColumn("start", start) \
+        .withColumn("cut", ~F.col("head") & (F.col("before") > F.col("start")) & (stop > F.col("start") + F.col("reach")))
+    dealt = dealt.withColumn("end", F.max(F.when(~F.col("head") & ~F.col("cut"), stop)).over(of_step)) \
+        .withColumn("followed", F.max("cut").over(of_step) & ~F.col("cut")) \
+        .withColumn("end", F.when(F.col("cut"), stop).otherwise(F.col("end"))) \
+        .withColumn("next", F.when(F.col("followed"), F.col("window") + 1).otherwise(grid(F.col("seq") + 1, F.col("end")))) \
+        .withColumn("window", F.when(F.col("cut"), F.col("window") + 1).otherwise(F.col("window")))
     recalled = ~F.col("head") & (F.col("end") < F.col("total")) & (F.col("end") - F.col("before") <= history)
     # each turn once as itself and, near a window's end, once as the next window's history; the system turn in every window
     uses = F.when(F.col("head"), F.expr("transform(sequence(0L, last), w -> struct(w as window, w > 0 as repeated))")) \
         .otherwise(F.concat(F.array(F.struct(F.col("window"), F.lit(False).alias("repeated"))),
-                            F.when(recalled, F.array(F.struct(F.floor(F.col("end") / F.col("step")).alias("window"), F.lit(True).alias("repeated"))))
+                            F.when(recalled, F.array(F.struct(F.col("next").alias("window"), F.lit(True).alias("repeated"))))
                             .otherwise(F.array().cast("array<struct<window:bigint,repeated:boolean>>"))))
     # windows are numbered by the grid: a window that no turn begins in is left out below
-    dealt = dealt.withColumn("last", F.greatest(F.lit(0), F.floor((F.col("total") - 1) / F.col("step"))))
+    last = F.when(F.col("tight"), F.col("n_all") - 2).otherwise(F.floor((F.col("total") - 1) / F.col("step")))
+    dealt = dealt.withColumn("last", F.greatest(F.lit(0), last))
     rows = dealt.withColumn("u", F.explode(uses)).select("conv_id", "u.window", "u.repeated", "seq", "role", "text", "tokens", "assistant", "head")
+    # history is left out of a window that would exceed the budget with it
+    full = F.sum("tokens").over(Window.partitionBy("conv_id", "window"))
+    rows = rows.withColumn("full", full).where(~F.col("repeated") | F.col("head") | (F.col("full") <= budget)).drop("full")
     piece = F.concat(F.lit(OPEN), "role", F.lit("\n"), "text", F.lit(CLOSE))
     in_window = Window.partitionBy("conv_id", "window").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("piece", piece).withColumn("at", F.coalesce(F.sum(F.length("piece")).over(in_window), F.lit(0)) + len(OPEN) + 1)

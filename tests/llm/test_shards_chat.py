@@ -111,6 +111,27 @@ def test_windows_keep_the_budget(spark):
     assert not any(r.over_budget for r in got) and sum(r.tokens for r in got) > 0 and len(got) > 20
 
 
+def test_long_turns_keep_the_budget(spark):
+    """Turns of 1,000 to 1,700 tokens among short ones, beside system turns of any length: only one that can't fit exceeds it."""
+    rng = random.Random(11)
+    rows = []
+    for c in range(60):
+        if c % 2:
+            rows.append((c, 0, "system", "s" * rng.choice([40, 400, 3600, 5200, 6800, 7700])))
+        for t in range(1, 60):
+            rows.append((c, t, rng.choice(["user", "assistant"]), "w" * 4 * (rng.randint(1000, 1700) if rng.random() < 0.3 else rng.randint(1, 300))))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.windows_of(df).select("conv_id", "tokens", "over_budget", "spans").collect()
+    first = {c: role for c, t, role, _ in reversed(rows)}
+    for w in got:
+        own = [s for s in w.spans if not s.repeated and (first[w.conv_id] != "system" or s.seq > 1)]
+        assert own and w.over_budget == (w.tokens > chat.BUDGET)
+        if w.over_budget:
+            assert first[w.conv_id] == "system" and len(own) == 1 and not [s for s in w.spans if s.repeated and s.seq > 1]
+    assert any(sum(s.text_length > 4000 for s in w.spans) for w in got if not w.over_budget)
+    assert sum(len([s for s in w.spans if not s.repeated]) for w in got) == len(rows)
+
+
 def test_query_equals_its_sql(spark):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
