@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, decontaminate, idfiles, pieces, quality, shards, simhash, syncmers, toxicity, unigram
+from cardlake.llm import chat, decontaminate, idfiles, packing, periodic, pieces, quality, shards, simhash, syncmers, toxicity, unigram, whitening
 from cardlake.llm.common import id_remainder, stored
 from cardlake.session import scratch_dir
 
@@ -79,6 +79,43 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(_table(spark, sf_dir, "documents"), keep=())
 
 
+def _let(value: str, name: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+#: The query's own rule: of a tenth of the documents, words from a on repeat the p words that begin there.
+_REPEATED = _let(r"regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0)", "w",
+                 "if(size(w) = 0, '', " + _let("cast(g % size(w) as int)", "a", _let(
+                     "cast(1 + (size(w) - a) div (3 + g % 8) as int)", "p",
+                     "array_join(transform(w, (x, i) -> if(i >= a, get(w, a + (i - a) % p), x)), ' ')")) + ")")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h")).withColumn("g", F.expr("h div 10"))
+    found = periodic.periodic_runs(docs.withColumn("text", F.when(F.expr("h % 10 = 0"), F.expr(_REPEATED)).otherwise(F.col("text"))))
+    best = F.expr("array_min(transform(runs, r -> struct(-r.length as l, r.start as start, r.period as period)))")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return found.select("*", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.l")).alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * -best.l div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(packing.pieces(_table(spark, sf_dir, "documents"))) \
+        .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, fitted, error = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    share = F.array(*[F.lit(x).cast("double") for x in fitted.explained()]) if fitted else F.array().cast("array<double>")
+    each = F.posexplode("whitened").alias("at", "whitened")
+    return rows.select("vec_id", F.expr("try_cast(deviation as bigint)").alias("deviation"), share.alias("share"), each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fitted.n if fitted else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get("share", F.col("at")).alias("explained"), F.lit(error).cast("double").alias("identity_error"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_syncmers": op1_syncmers,
     "op2_token_counts": op2_token_counts,
@@ -90,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_best_fit": op12_best_fit,
+    "op13_whitening": op13_whitening,
 }
 
 #: The windows' contents need no SQL of their own: what is read back is the conversations' turns; only the formatted
