@@ -14,9 +14,11 @@ dealt by that number: so a task that is run again packs the same pieces in the
 same order, and a hot or missing id, or repeated rows, are spread like any
 others. Only rows of some fifty bytes are dealt out, unless ids are kept.
 
-Encoding is that of the tokenizers library. The tokenizer drops white space
-and cuts at it before anything else, so words between spaces or line ends are
-encoded on their own, with a bounded cache of the worker.
+Encoding is that of the tokenizers library. Texts of ASCII and Latin-1 letters
+are cut into lower-case pre-tokens as the library does it, and pre-tokens' ids
+are kept in a bounded cache of the worker. The tokenizer drops white space and
+cuts at it before anything else, so other texts are encoded by the words
+between spaces or line ends, with a cache as well.
 
 Defined cases: NULL counts as empty, which is the end id alone; NULL and
 repeated ids are documents of their own; a very long text is encoded whole,
@@ -28,7 +30,10 @@ table gives an empty result.
 from __future__ import annotations
 
 import math
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +45,11 @@ from pyspark.sql import functions as F
 from cardlake.llm.common import CACHE_WORDS, claim_cache, grouped_texts, stored
 
 SEQUENCE, OPEN, END, TASK_PIECES = 4096, 512, 1, 50_000
-#: Longest word that is cached, in characters.
-CACHED_CHARS = 64
+#: Longest word or pre-token that is cached, in characters; pre-tokens in a worker's cache (a full one is emptied).
+CACHED_CHARS, CACHE_CUTS = 64, 2 * CACHE_WORDS
+_PLAIN_TEXT = re.compile(r"[\n\r\t -~À-ÖØ-öø-ÿ]*")
+#: Pre-tokens of a lower-case plain text.
+_CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
 def default_tokenizer() -> str:
@@ -54,30 +62,41 @@ class WordEncoder:
     """Whole texts to ids (little-endian unsigned 32-bit) of a tokenizer that drops white space."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's idle threads would take CPU time
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        if [e.ids for e in self.tokenizer.encode_batch(["a b", "a\nb"], add_special_tokens=False)] != 2 * [
-                [i for e in self.tokenizer.encode_batch(["a", "b"], add_special_tokens=False) for i in e.ids]]:
+        apart = b"".join(self.library(["a", "b"]))
+        if self.library(["a b", "a\nb"]) != [apart, apart]:
             raise ValueError(f"{path}: white space is not dropped, so words can't be encoded on their own")
+        if self.library(["Don'T!!x12"]) != [b"".join(self.library(_CUT.findall("don't!!x12")))]:
+            raise ValueError(f"{path}: words are cut otherwise than here")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.cuts: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.words))
-        self.words.update(zip(new, self.library(new), strict=True))
-        get = self.words.__getitem__
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def joined(self, split: list[list[str]], cache: dict[str, bytes], most: int) -> list[bytes]:
+        """The ids of each list of parts that the library can encode on their own."""
+        if len(cache) > most:
+            cache.clear()
+        new = list(set().union(*split).difference(cache))
+        cache.update(zip(new, self.library(new), strict=True))
+        get = cache.__getitem__
         out = [b"".join(map(get, s)) for s in split]
         for w in new:
             if len(w) > CACHED_CHARS:
-                del self.words[w]
+                del cache[w]
         return out
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [_PLAIN_TEXT.fullmatch(t) is not None and not any([s in t for s in self.special]) for t in texts]
+        cut = iter(self.joined([_CUT.findall(t.lower()) for t, p in zip(texts, plain, strict=True) if p], self.cuts, CACHE_CUTS))
+        other = iter(self.joined([t.replace("\n", " ").split(" ") for t, p in zip(texts, plain, strict=True) if not p], self.words, CACHE_WORDS))
+        return [next(cut if p else other) for p in plain]
+
 
 _LOADED: dict[str, WordEncoder] = {}
 

@@ -133,10 +133,11 @@ def test_words_encode_as_whole_texts():
                "漢", "😀", "\x00", "12", "½", "\x1c", "\x85", "\xa0", " ", "!!", "ﬁ", "가", "ᄀ", "ᅡ", "x" * 70]
     own = packing.WordEncoder(packing.default_tokenizer())
     some = ["".join(rng.choices(symbols, k=rng.randint(0, 25))) for _ in range(4000)] + [t or "" for t in texts()]
+    some += ["".join(rng.choices(symbols[:8] + ["é", "É", "ß", "'s", "'S", "'", "12", "!!", "-", "x" * 70], k=rng.randint(0, 25))) for _ in range(4000)]
     for _ in range(2):
         for t, ids in zip(some, own.encode(some), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == library(t), repr(t[:80])
-    assert max(map(len, own.words)) <= packing.CACHED_CHARS
+    assert max(map(len, [*own.words, *own.cuts])) <= packing.CACHED_CHARS
 
 
 def check_places(rows, size):
