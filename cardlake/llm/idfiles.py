@@ -13,6 +13,12 @@ chunk of consecutive whole documents:
 ``manifest`` has a row for each part: ``part``, ``base`` (ids of all parts
 before it), ``n_ids``; one row for each writing task, however many documents.
 
+``format`` has one row, written last: format ``version``, ``planes`` (byte or
+bit), ``block`` (ids), ``end`` (the end id) and ``tokenizer`` (SHA-256 of its
+file). A set says itself how it is read; a set without that row is not
+finished, and reading it is an error, as are another version, settings that
+the caller expects otherwise, and chunks that do not fit their index.
+
 **Encoding** is that of the tokenizers library. Texts of ASCII and Latin-1
 letters are cut into pre-tokens as the library does it, and pre-tokens' ids
 are kept in a bounded cache of the worker. Other texts are cut only where a
@@ -22,27 +28,34 @@ safe goes to the library whole.
 
 Defined cases: NULL counts as empty, which is the end id alone; rows are in
 ascending doc_id order, NULL ids first, repeated ids in the order of their
-texts' hash; extra columns are ignored; an empty table gives an empty set.
+texts' hash, and rows alike in both as they are read (so however many there
+are, they are cut into ranges like others); a very long text is encoded whole
+and is at least a chunk of its own; extra columns are ignored; an empty table
+gives an empty set.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
-import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardlake.llm.common import CACHE_WORDS, claim_cache, grouped_texts
 
-BLOCK, CHUNK, LEVEL, END = 1 << 16, 1 << 18, 3, 0
+BLOCK, CHUNK, LEVEL, END, VERSION = 1 << 16, 1 << 18, 3, 0, 2
 #: Pre-tokens in a worker's cache (their entries are small); a full cache is emptied.
-CACHE_CUTS = 2 * CACHE_WORDS
+CACHE_CUTS = 3 * CACHE_WORDS
 _PLAIN_TEXT = re.compile(r"[\n\r\t -~À-ÖØ-öø-ÿ]*")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 #: Pre-tokens of plain text, as byte-level pre-tokenizing cuts them.
@@ -51,7 +64,10 @@ _CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?
 
 def pack_ids(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 def default_tokenizer() -> str:
@@ -64,6 +80,7 @@ class Encoder:
     """Whole texts to ids through the tokenizers library, with a cache of words."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's idle threads would take CPU time
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -154,14 +171,16 @@ def pack(ids: np.ndarray, bits: bool) -> tuple[bytes, list[int]]:
     return b"".join(out), [len(x) for x in out]
 
 
-def unpack(payload: bytes, index: list[int], n: int, bits: bool) -> np.ndarray:
+def unpack(payload: bytes, index: list[int], n: int, bits: bool, block: int = BLOCK) -> np.ndarray:
     """The ids of a chunk."""
     import zstandard
 
     press, out, at = zstandard.ZstdDecompressor(), [], 0
     planes_of = 32 if bits else 4
+    if len(payload) != sum(index) or len(index) != planes_of * -(-n // block):
+        raise ValueError("a chunk does not fit its index")
     for k in range(0, len(index), planes_of):
-        size = min(BLOCK, n - k // planes_of * BLOCK)
+        size = min(block, n - k // planes_of * block)
         planes = []
         for length in index[k:k + planes_of]:
             planes.append(np.frombuffer(press.decompress(payload[at:at + length]), np.uint8))
@@ -205,26 +224,63 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, bits: bool =
         if ids:
             yield row()
 
-    # the hash of the text parts rows that repeat an id, and orders them
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")) \
-        .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    # the hash of the text parts rows that repeat an id, and orders them; the number parts rows that are alike
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("nr")) \
+        .repartitionByRange("doc_id", "h", "nr").sortWithinPartitions("doc_id", "h", "nr").select("doc_id", "text")
     ordered.mapInArrow(chunks, _CHUNK_SQL).write.parquet(f"{path}/chunks")
     spark = docs.sparkSession
     parts = spark.read.schema(_CHUNK_SQL).parquet(f"{path}/chunks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     # one row for each writing task: their number is the plan's, not the data's
     base = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts.select("part", F.coalesce(base, F.lit(0)).alias("base"), "n_ids").write.parquet(f"{path}/manifest")
-
-
-def read(spark: SparkSession, path: str, bits: bool = False, ids: bool = True) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and, if asked for, the ids of every document of a file set."""
+    spark.range(1).select(F.lit(VERSION).alias("version"), F.lit(_planes(bits)).alias("planes"), F.lit(BLOCK).alias("block"),
+                          F.lit(end).cast("long").alias("end"), F.lit(digest_of(tokenizer)).alias("tokenizer")).write.parquet(f"{path}/format")
+
+
+def _planes(bits: bool) -> str:
+    return "bit" if bits else "byte"
+
+
+def digest_of(tokenizer: str) -> str:
+    """SHA-256 of a tokenizer file."""
+    with open(tokenizer, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
+def format_of(spark: SparkSession, path: str) -> dict:
+    """How a file set was written: version, planes, block, end, tokenizer."""
+    try:
+        found = spark.read.schema("version int, planes string, block int, end long, tokenizer string").parquet(f"{path}/format").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = []
+    if len(found) != 1:
+        raise ValueError(f"{path}: not a finished set of id files")
+    if found[0].version != VERSION:
+        raise ValueError(f"{path}: format version {found[0].version}, not {VERSION}")
+    return found[0].asDict()
+
+
+def read(spark: SparkSession, path: str, ids: bool = True, **expected) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and, if asked for, the ids of every document of a file set.
+
+    The set's own format row says how. ``expected`` are items of it that the
+    caller relies on, e.g. ``end=0`` or ``tokenizer=digest_of(file)``; another
+    value is an error.
+    """
+    own = format_of(spark, path)
+    for item, value in expected.items():
+        if own[item] != value:
+            raise ValueError(f"{path}: {item} is {own[item]!r}, not {value!r}")
+    bits, block = own["planes"] == _planes(True), own["block"]
     chunks = spark.read.schema(_CHUNK_SQL).parquet(f"{path}/chunks")
     parts = spark.read.schema("part int, base long").parquet(f"{path}/manifest")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
-                flat = unpack(c["payload"], c["index"], c["n_ids"], bits)
+                flat = unpack(c["payload"], c["index"], c["n_ids"], bits, block)
                 end = np.cumsum(c["counts"])
                 own = [flat[b - n:b] for b, n in zip(end, c["counts"], strict=True)]
                 out = {"doc_id": pa.array(c["doc_ids"], pa.int64()), "start": pa.array(c["first"] + end - c["counts"], pa.int64()),

@@ -119,7 +119,7 @@ def test_id_files(spark, tmp_path, bits):
     t = Tokenizer.from_file(idfiles.default_tokenizer())
     docs = documents(spark)
     idfiles.write(docs, str(tmp_path / "set"), bits=bits)
-    rows = sorted(idfiles.read(spark, str(tmp_path / "set"), bits=bits).collect(), key=lambda r: r.start)
+    rows = sorted(idfiles.read(spark, str(tmp_path / "set")).collect(), key=lambda r: r.start)
     want = sorted(((r.doc_id is not None, r.doc_id or 0), r.text or "") for r in docs.collect())
     assert [r.doc_id for r in rows] == [k[1] if k[0] else None for k, _ in want]
     at = 0
@@ -130,3 +130,39 @@ def test_id_files(spark, tmp_path, bits):
         at += len(ids)
     idfiles.write(no_documents(spark), str(tmp_path / "none"))
     assert idfiles.read(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_id_files_say_how_they_are_read(spark, tmp_path):
+    docs, path = documents(spark), str(tmp_path / "set")
+    digest = idfiles.digest_of(idfiles.default_tokenizer())
+    idfiles.write(docs, path, bits=True, end=9)
+    assert idfiles.format_of(spark, path) == {"version": idfiles.VERSION, "planes": "bit", "block": idfiles.BLOCK, "end": 9, "tokenizer": digest}
+    assert idfiles.read(spark, path, planes="bit", end=9, tokenizer=digest).count() == docs.count()
+    for wrong in ({"planes": "byte"}, {"end": 0}, {"tokenizer": "0" * 64}, {"block": 1}):
+        with pytest.raises(ValueError, match=next(iter(wrong))):
+            idfiles.read(spark, path, **wrong)
+    spark.read.parquet(f"{path}/chunks").write.parquet(str(tmp_path / "half/chunks"))  # a writer that was lost
+    with pytest.raises(ValueError, match="not a finished set"):
+        idfiles.read(spark, str(tmp_path / "half"))
+    spark.read.parquet(f"{path}/format").selectExpr("99 as version", "planes", "block", "end", "tokenizer").write.parquet(str(tmp_path / "half/format"))
+    with pytest.raises(ValueError, match="version 99"):
+        idfiles.read(spark, str(tmp_path / "half"))
+    payload, index = idfiles.pack(np.arange(10, dtype=np.uint32), False)
+    for broken in ((payload[:-1], index, 10), (payload, index * 2, 10), (payload, index, idfiles.BLOCK + 1)):
+        with pytest.raises(ValueError, match="index"):
+            idfiles.unpack(*broken, False)
+
+
+def test_rows_alike_are_cut_into_ranges(spark, tmp_path):
+    docs = spark.range(0, 6000, 1, 8).selectExpr("if(id % 3 = 0, null, id) as doc_id", "if(id % 3 = 0, 'one text', 'text ' || id) as text")
+    path = str(tmp_path / "set")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else ranges as small as these become one
+    try:
+        idfiles.write(docs, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = spark.read.parquet(f"{path}/chunks").selectExpr("part", "size(counts) as n").groupBy("part").sum("n").collect()
+    assert max(r[1] for r in parts) < 2 * 6000 / len(parts) and len(parts) == 8
+    rows = idfiles.read(spark, path, ids=False).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None] * 2000 + [k for k in range(6000) if k % 3]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:], strict=False))
