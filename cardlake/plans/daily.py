@@ -1,47 +1,56 @@
 """The daily load, written so that re-running a date is harmless.
 
-Layout under the warehouse root (all Parquet):
-
-``stg/<table>``                    staging, replaced on every run (K2)
-``dim/<name>/as_of=YYYY-MM-DD``   full SCD2 history as of that batch (K3)
-``fact_transactions/load_dt=.../src=...``  transactions of that batch, by input file (K4)
-``fact_passport_blacklist/as_of=`` blacklist snapshot of that batch (K5)
-``rep_fraud/report_dt=...``        report rows stamped with the batch (K6)
-``ledger/load_dt=...``             input files consumed by that batch (K7)
-``rejected/load_dt=...``           staged rows without a business key, counted (Q16)
-
-Every write replaces only its own partition (dynamic partition overwrite), so
-a re-run of a date neither duplicates facts nor report rows (ledger Q11), and
-no job overwrites a path it reads: a batch reads the dimension snapshot of an
-earlier date and writes its own. Reading the written snapshots back also cuts
-the lineage between days. Dates run sequentially -- day *n*'s history needs
-the history of the newest loaded date before it -- while everything inside a
-date is one Spark job per table. A date that is loaded after a later one makes
-the later one's history stale: such a run is refused, or loads the later dates
-again (``rebuild_later``).
+Layout under the warehouse root (all Parquet). Every write goes to a new
+version folder ``v=...``; ``commits`` says which of them are current
+(``plans.commits``):
+
+``stg/<table>/v=...``                    staging of each date (K2), kept as an archive; equal content is stored once
+``dim/<name>/v=...``                     full SCD2 history as of a batch (K3)
+``fact_transactions/v=.../load_dt=.../src=...``  transactions of a batch, by input file (K4)
+``fact_passport_blacklist/v=...``        blacklist snapshot as of a batch (K5)
+``rep_fraud/v=...``                      report rows stamped with the batch (K6)
+``ledger/v=...``                         input files consumed by a batch, with length, time and digest (K7)
+``rejected/v=...``                       staged rows without a business key, counted (Q16)
+
+A date's tables become visible together, by one commit after its report; a run
+that is lost half way is invisible. A re-run replaces the date's rows, also
+when there are none (Q11), and no job overwrites what it reads. Reading the
+written snapshots back also cuts the lineage between days. Dates run
+sequentially -- day *n*'s history needs the history of the newest loaded date
+before it -- while everything inside a date is one Spark job per table.
+
+A date loaded after a later one makes the later one's history stale: such a
+run is refused, or builds the later dates again (``rebuild_later``), from
+their archived staging, not from what the operational tables hold today. A
+commit names the version that its history was built on, so a rebuild that was
+lost half way is known as stale too.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlake.operators.report import fraud_report
 from cardlake.operators.scd2 import SPECS, scd2_apply
+from cardlake.plans.commits import CommitLog, Entry, Key, new_id
 from cardlake.schemas import conform, empty, empty_frame, struct_type
 from cardlake.sources import staging as stg
-from cardlake.sources.files import expected_names
+from cardlake.sources.files import LEDGER_SCHEMA, expected_file_names, remove
+
+SNAPSHOTS = ("stg_clients", "stg_accounts", "stg_cards")
 
 
 class DailySource(Protocol):
     """What a batch date needs; see ``plans.fixtures.FixtureSource`` and
-    ``sources.inputs.FileSource``."""
+    ``sources.inputs.FileSource``. ``dated_snapshots`` (True if missing) says
+    whether clients, accounts and cards of a past date can be had from it."""
 
     def accounts(self, day: dt.date) -> DataFrame: ...
     def clients(self, day: dt.date) -> DataFrame: ...
@@ -55,186 +64,307 @@ def _d(day) -> F.Column:
     return F.lit(str(day)).cast("date")
 
 
-class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
+def _escaped(name: str) -> str:
+    """A partition value as Spark writes it in a path."""
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in name)
+
+
+class Tables:
+    """Reads and writes of the warehouse's tables over a set of current entries."""
+
+    spark: SparkSession
+    root: str
+    entries: dict[Key, Entry]
+
+    def _add(self, entries: list[Entry]) -> None:
+        raise NotImplementedError
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    # -- generic partitioned tables ---------------------------------------
-    def _write(self, df: DataFrame, rel: str, part_col: str, day) -> None:
-        (df.withColumn(part_col, _d(day)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part_col).parquet(self.path(rel)))
-
-    def _read(self, rel: str, table: str | None = None, part_col: str | None = None) -> DataFrame:
-        """Parquet table at ``rel``; with a known schema no footer is read to infer it."""
-        r = self.spark.read
-        if table is not None:
-            schema = struct_type(table)
-            if part_col and part_col not in schema.fieldNames():
-                schema = schema.add(part_col, T.DateType())
-            r = r.schema(schema)
-        return r.parquet(self.path(rel))
-
-    def _exists(self, rel: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(rel)).schema
-            return True
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":  # anything else must not read as "nothing loaded yet"
-                raise
-            return False
-
-    # -- staging (K2): replaced on every run -------------------------------
-    def write_staging(self, table: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path("stg", table))
-
-    def read_staging(self, table: str) -> DataFrame:
-        return self.spark.read.schema(struct_type(table)).parquet(self.path("stg", table))
+    # -- generic versioned tables -------------------------------------------
+    def _write(self, day, table: str, df: DataFrame, part: str = "", below: str = "", metrics: dict[str, F.Column] | None = None,
+               parent: str | None = None, check: Callable[[dict], None] | None = None, without: tuple[str, ...] = ()) -> dict:
+        """Write one date's rows of a table to a new folder. ``metrics`` are taken while writing, and checked before the
+        folder becomes an entry; columns ``without`` are there for the metrics only."""
+        version, path, got = self._version(), f"{table}/v={new_id()}{below}", {}
+        if metrics:
+            seen = Observation()
+            df = df.observe(seen, *[c.alias(k) for k, c in metrics.items()]).drop(*without)
+        df.write.parquet(self.path(path))
+        if metrics:
+            got = seen.get
+        if check is not None:
+            check(got)
+        digest = f"{got['n_rows']}-{got['content']}-{got['content_2']}" if "content" in got else None
+        if digest is not None:
+            same = [e for e in self.entries.values() if e.table == table and e.digest == digest]
+            if same:  # the content is stored already: the new copy goes
+                remove(self.spark, self.path(path))
+                path = same[0].path
+        self._add([Entry(str(day), table, part, path, got.get("n_rows"), digest, version, parent)])
+        return got
+
+    def _version(self) -> str:
+        return new_id()
+
+    def _of(self, table: str, day=None, up_to=None) -> list[Entry]:
+        """Current entries of a table, by date, without those known to have no rows."""
+        return sorted((e for e in list(self.entries.values()) if e.table == table and e.n_rows != 0 and (day is None or e.load_dt == str(day))
+                       and (up_to is None or e.load_dt <= str(up_to))), key=lambda e: e.key)
+
+    def _read(self, table: str, schema: T.StructType, day=None) -> DataFrame:
+        found = sorted({e.path for e in self._of(table, day)})
+        if not found:
+            return empty_frame(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(*map(self.path, found))
+
+    # -- staging (K2): replaced on every run, kept by date -----------------
+    def write_staging(self, table: str, df: DataFrame, day, metrics: dict[str, F.Column] | None = None,
+                      check: Callable[[dict], None] | None = None, without: tuple[str, ...] = ()) -> dict:
+        """A date's staging; content that an earlier date's staging has already is stored once."""
+        cols = [F.col(c) for c in struct_type(table).fieldNames()]
+        whole = [*cols, *[c.isNull() for c in cols]]  # NULLs do not change a hash of their own
+        content = {"n_rows": F.count(F.lit(1)),
+                   **{f"content{k}": F.coalesce(F.sum(F.xxhash64(F.lit(k), *whole).cast("decimal(38,0)")), F.lit(0)) for k in ("", "_2")}}
+        return self._write(day, f"stg/{table}", df, metrics={**content, **(metrics or {})}, check=check, without=without)
+
+    def read_staging(self, table: str, day=None) -> DataFrame:
+        """A date's staging, or the newest date's."""
+        dates = [e.load_dt for e in list(self.entries.values()) if e.table == f"stg/{table}"]
+        return self._read(f"stg/{table}", struct_type(table), day if day is not None else max(dates, default=""))
+
+    def staged(self, day) -> set[str]:
+        """The staging tables that the archive has of a date."""
+        return {e.table.removeprefix("stg/") for e in list(self.entries.values()) if e.load_dt == str(day) and e.table.startswith("stg/")}
 
     # -- dimensions --------------------------------------------------------
-    def write_dim(self, name: str, day, history: DataFrame) -> None:
-        self._write(conform(history, SPECS[name].table), f"dim/{name}", "as_of", day)
+    def write_dim(self, name: str, day, history: DataFrame, prev=None) -> None:
+        """``prev`` is the date whose history this one was built on."""
+        self._write(day, f"dim/{name}", conform(history, SPECS[name].table), parent=self.version_of(prev))
 
     def read_dim(self, name: str, as_of) -> DataFrame:
         spec = SPECS[name]
         if as_of is None:
             return empty(self.spark, spec.table)
-        return (self._read(f"dim/{name}", spec.table, "as_of")
-                .where(F.col("as_of") == _d(as_of)).select(spec.columns))
+        return self._read(f"dim/{name}", struct_type(spec.table), as_of).select(spec.columns)
+
+    def version_of(self, day, entries: dict[Key, Entry] | None = None) -> str | None:
+        """The version of a date's histories (None: not loaded)."""
+        entries = self.entries if entries is None else entries
+        return next((e.version for n in SPECS if (e := entries.get((str(day), f"dim/{n}", ""))) is not None), None)
 
     # -- facts -------------------------------------------------------------
     def write_fact(self, day, fact: DataFrame) -> None:
         """The date's transactions file; a second write of the same date replaces it."""
-        src = F.element_at(F.array(*expected_names(_d(day))), 3)
-        self.write_fact_files(conform(fact, "fact_transactions").withColumn("load_dt", _d(day)).withColumn("src", src))
+        src = expected_file_names(_date(day))[2]
+        self._write(day, "fact_transactions", conform(fact, "fact_transactions"), part=src, below=f"/load_dt={day}/src={_escaped(src)}")
 
     def write_fact_files(self, fact: DataFrame) -> None:
-        """Fact rows with ``load_dt`` and ``src``, their input file: only the partitions of these files are replaced."""
-        (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_dt", "src").parquet(self.path("fact_transactions")))
+        """Fact rows with ``load_dt`` and ``src``, their input file: only the rows of these files are replaced."""
+        path = f"fact_transactions/v={new_id()}"
+        fact.write.partitionBy("load_dt", "src").parquet(self.path(path))
+        if fact.isEmpty():
+            return
+        files = self.spark.read.parquet(self.path(path)).groupBy(F.col("load_dt").cast("string"), "src").count().collect()
+        self._add([Entry(r.load_dt, "fact_transactions", r.src, f"{path}/load_dt={r.load_dt}/src={_escaped(r.src)}", r["count"], None, new_id())
+                   for r in files])  # one row for each input file
 
     def read_fact(self, up_to=None) -> DataFrame:
-        f = self._read("fact_transactions", "fact_transactions", "load_dt").drop("src")
-        return f.where(F.col("load_dt") <= _d(up_to)) if up_to is not None else f
+        schema = struct_type("fact_transactions").add("load_dt", T.DateType())
+        found = [self.path(e.path) for e in self._of("fact_transactions", up_to=up_to)]
+        if not found:
+            return empty_frame(self.spark, schema)
+        read = self.spark.read.schema(schema).option("basePath", self.path("fact_transactions"))
+        return read.parquet(*found).select(schema.fieldNames())
 
     def write_blacklist(self, day, rows: DataFrame) -> None:
-        self._write(rows, "fact_passport_blacklist", "as_of", day)
+        self._write(day, "fact_passport_blacklist", rows)
 
     def read_blacklist(self, as_of) -> DataFrame:
-        return (self._read("fact_passport_blacklist", "fact_passport_blacklist", "as_of")
-                .where(F.col("as_of") == _d(as_of)).drop("as_of"))
+        return self._read("fact_passport_blacklist", struct_type("fact_passport_blacklist"), as_of)
 
     # -- report and ledger -------------------------------------------------
     def write_report(self, day, rows: DataFrame) -> None:
-        # report_dt is already a column of the rows; partition on it
-        (conform(rows, "rep_fraud").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("report_dt").parquet(self.path("rep_fraud")))
+        self._write(day, "rep_fraud", conform(rows, "rep_fraud"))
 
     def read_report(self) -> DataFrame:
-        return self._read("rep_fraud", "rep_fraud", "report_dt")
+        return self._read("rep_fraud", struct_type("rep_fraud"))
 
-    def write_ledger(self, day, names: DataFrame) -> None:
-        self._write(names.select("file_name"), "ledger", "load_dt", day)
+    def write_ledger(self, day, files: DataFrame) -> None:
+        """The files that a date consumed: file_name and, as far as known, length, modified and digest."""
+        files = files.withColumn("load_dt", _d(day))
+        known = [F.col(f.name) if f.name in files.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA]
+        self._write(day, "ledger", files.select(known).coalesce(1))
 
     def read_ledger(self) -> DataFrame:
-        if not self._exists("ledger"):
-            return empty_frame(self.spark, T.StructType([T.StructField("file_name", T.StringType()),
-                                                         T.StructField("load_dt", T.DateType())]))
-        return self.spark.read.schema("file_name string, load_dt date").parquet(self.path("ledger"))
+        return self._read("ledger", LEDGER_SCHEMA)
 
-    def write_rejected(self, day, staged: dict[str, DataFrame]) -> None:
-        """Count the staged dimension rows that cannot be loaded for want of a key."""
-        keys = {f"stg_{name}": spec.key for name, spec in SPECS.items() if f"stg_{name}" in staged}
-        self._write(stg.rejected_rows(staged, keys), "rejected", "load_dt", day)
+    def write_rejected(self, day, counts: DataFrame) -> None:
+        """Staged rows of each table that cannot be loaded for want of a key (``staging.REJECTED``)."""
+        self._write(day, "rejected", counts.select(*stg.REJECTED.fieldNames(), _d(day).alias("load_dt")).coalesce(1))
 
     def read_rejected(self) -> DataFrame:
-        return self.spark.read.schema("table_name string, key_name string, n_rows long, load_dt date").parquet(self.path("rejected"))
+        return self._read("rejected", T.StructType([*stg.REJECTED, T.StructField("load_dt", T.DateType())]))
 
     def loaded_dates(self) -> list[dt.date]:
-        """Batch dates in the ledger, ascending (one row for each date)."""
-        return sorted(r.load_dt for r in self.read_ledger().select("load_dt").distinct().collect())
+        """Batch dates in the ledger, ascending."""
+        return sorted(dt.date.fromisoformat(e.load_dt) for e in list(self.entries.values()) if e.table == "ledger")
 
     def last_loaded_before(self, day) -> dt.date | None:
-        """Newest batch date before ``day`` (a one-row aggregate over the ledger)."""
-        led = self.read_ledger()
-        return led.where(F.col("load_dt") < _d(day)).agg(F.max("load_dt")).first()[0]
+        """Newest batch date before ``day``."""
+        return max((d for d in self.loaded_dates() if d < _date(day)), default=None)
+
+    def stale_dates(self) -> list[dt.date]:
+        """Loaded dates whose history was not built on the current one of the date before (a rebuild was lost half way)."""
+        entries, stale = self.entries, []
+        dates = sorted(e.load_dt for e in entries.values() if e.table == "ledger")
+        for prev, day in zip([None, *dates], dates, strict=False):
+            parents = [e.parent for n in SPECS if (e := entries.get((day, f"dim/{n}", ""))) is not None]
+            if stale or any(p != self.version_of(prev, entries) for p in parents):
+                stale.append(dt.date.fromisoformat(day))
+        return stale
+
+
+class Warehouse(Tables):
+    """The published tables. Its own writes are published one by one; ``batch`` publishes several at once."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.log = CommitLog(spark, self.path("commits"))
+
+    @property
+    def entries(self) -> dict[Key, Entry]:
+        return self.log.state()
+
+    def _add(self, entries: list[Entry]) -> None:
+        self.log.publish(entries)
+
+    def batch(self, on: Tables | None = None) -> Batch:
+        """Writes to be published together; reads see what ``on`` (the published tables, or an earlier batch) has, and the batch's own."""
+        return Batch(self, on or self)
+
+
+class Batch(Tables):
+    def __init__(self, wh: Warehouse, on: Tables):
+        self.spark, self.root, self.wh, self.on = wh.spark, wh.root, wh, on
+        self.entries, self.own, self.version, self.done = dict(on.entries), [], new_id(), False
+
+    def _version(self) -> str:
+        return self.version
+
+    def _add(self, entries: list[Entry]) -> None:
+        self.own += entries
+        self.entries |= {e.key: e for e in entries}
+
+    def publish(self) -> None:
+        """One commit of all that was written; after the batch that this one was built on."""
+        if isinstance(self.on, Batch) and self.on.own and not self.on.done:
+            raise RuntimeError("the batch that this one was built on is not published")
+        self.wh.log.publish(self.own)
+        self.done = True
+
+
+def _date(day) -> dt.date:
+    return day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day))
+
+
+class MissingSnapshot(RuntimeError):
+    """A past date's operational tables can be had neither from the source nor from the archive."""
 
 
 _LOOKUP = object()
 
 
-def _staged(spark: SparkSession, source: DailySource, day: dt.date) -> dict[str, DataFrame]:
+def _staged(source: DailySource, day: dt.date) -> dict[str, Callable[[], DataFrame]]:
     """The six staging frames of a date (K2 content)."""
     return {
-        "stg_clients": stg.stage_clients(source.clients(day)),
-        "stg_accounts": stg.stage_accounts(source.accounts(day)),
-        "stg_cards": stg.stage_cards(source.cards(day)),
-        "stg_terminals": stg.stage_terminals(source.terminals(day)),
-        "stg_blacklist": stg.stage_blacklist(source.blacklist(day)),
-        "stg_transactions": stg.stage_transactions(source.transactions(day)),
+        "stg_clients": lambda: stg.stage_clients(source.clients(day)),
+        "stg_accounts": lambda: stg.stage_accounts(source.accounts(day)),
+        "stg_cards": lambda: stg.stage_cards(source.cards(day)),
+        "stg_terminals": lambda: stg.stage_terminals(source.terminals(day)),
+        "stg_blacklist": lambda: stg.stage_blacklist(source.blacklist(day)),
+        "stg_transactions": lambda: stg.stage_transactions(source.transactions(day), lenient=True),
     }
 
 
+def stage(to: Tables, day: dt.date, frames: dict[str, Callable[[], DataFrame]], parallel: int = 6) -> dict[str, DataFrame]:
+    """Write staging tables and read them back; counts are taken while writing.
+
+    Unparsable amounts fail the date before anything of it is published, with
+    their number and the first of them (Q13); rows without a business key are
+    counted in ``rejected`` (Q16).
+    """
+    keys = {f"stg_{name}": spec.key for name, spec in SPECS.items()}
+
+    def one(table: str, df: DataFrame) -> int | None:
+        if table == "stg_transactions":
+            to.write_staging(table, df, day, stg.bad_amounts(), check=lambda got: stg.refuse_bad_amounts(day, got), without=(stg.BAD,))
+            return None
+        null = {"no_key": F.count_if(F.col(keys[table]).isNull())} if table in keys else {}
+        return to.write_staging(table, df, day, null).get("no_key")
+
+    counts = dict(zip(frames, _each([lambda t=t, f=f: one(t, f()) for t, f in frames.items()], parallel), strict=True))
+    rejected = [(t, keys[t], n) for t, n in counts.items() if n is not None]
+    if rejected:
+        to.write_rejected(day, to.spark.createDataFrame(rejected, stg.REJECTED))
+    return {t: to.read_staging(t, day) for t in frames}
+
+
 def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
             prev=_LOOKUP, parallel: int = 6) -> None:
-    """One date: ``load_day`` then ``report_day``."""
-    load_day(spark, source, wh, day, prev, parallel)
-    report_day(spark, source, wh, day)
+    """One date: ``load_day``, ``report_day``, and the commit that publishes both."""
+    batch = wh.batch()
+    load_day(spark, source, batch, day, prev, parallel)
+    report_day(spark, source, batch, day)
+    batch.publish()
 
 
-def load_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
-             prev=_LOOKUP, parallel: int = 6) -> None:
+def load_day(spark: SparkSession, source: DailySource, batch: Tables, day: dt.date,
+             prev=_LOOKUP, parallel: int = 6, archived: Iterable[str] = ()) -> None:
     """Stage, maintain the four dimensions, load the facts and the blacklist.
 
-    ``prev`` is the previous batch date (looked up in the ledger when not
-    given). The six staging tables are first replaced under ``stg/`` (K2) and
-    every load reads them back, so all loads of the date see one snapshot of
-    the operational tables, read once. Rows without a business key are counted
-    in ``rejected``. The loads are independent Spark jobs and are submitted
-    from ``parallel`` driver threads.
+    ``prev`` is the previous batch date (the newest loaded one before ``day``
+    when not given). The staging tables of the date are written first (K2),
+    but for the ``archived`` ones, which are those of an earlier load of the
+    date; every load reads them back, so all loads of the date see one
+    snapshot of the operational tables, read once. The loads are independent
+    Spark jobs and are submitted from ``parallel`` driver threads.
     """
     if prev is _LOOKUP:
-        prev = wh.last_loaded_before(day)
-    if hasattr(source, "check"):
+        prev = batch.last_loaded_before(day)
+    if hasattr(source, "check") and len(set(archived)) < 6:
         source.check(day)          # every input of the date exists before any write (Q19)
-    staged = _staged(spark, source, day)
-    _each([lambda t=t, df=df: wh.write_staging(t, df) for t, df in staged.items()], parallel)
-    staged = {t: wh.read_staging(t) for t in staged}
-    loads = [lambda name=name, spec=spec: wh.write_dim(
-        name, day, scd2_apply(wh.read_dim(name, prev), staged[f"stg_{name}"], day, spec))
+    frames = {t: f for t, f in _staged(source, day).items() if t not in set(archived)}
+    staged = stage(batch, day, frames, parallel) | {t: batch.read_staging(t, day) for t in archived}
+    loads = [lambda name=name, spec=spec: batch.write_dim(
+        name, day, scd2_apply(batch.read_dim(name, prev), staged[f"stg_{name}"], day, spec), prev)
         for name, spec in SPECS.items()]
-    loads.append(lambda: wh.write_fact(day, stg.to_fact(staged["stg_transactions"])))
-    loads.append(lambda: wh.write_blacklist(day, stg.to_blacklist_fact(staged["stg_blacklist"])))
-    loads.append(lambda: wh.write_rejected(day, staged))
+    loads.append(lambda: batch.write_fact(day, stg.to_fact(staged["stg_transactions"])))
+    loads.append(lambda: batch.write_blacklist(day, stg.to_blacklist_fact(staged["stg_blacklist"])))
     _each(loads, parallel)
 
 
-def report_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date) -> None:
+def report_day(spark: SparkSession, source: DailySource, batch: Tables, day: dt.date, keep_ledger: bool = False) -> None:
     """The report over every fact loaded up to ``day`` with the
-    dimensions as of ``day``, then the ledger entry of the date."""
-    rep = fraud_report(wh.read_fact(up_to=day).drop("load_dt"),
-                       wh.read_dim("cards", day), wh.read_dim("accounts", day),
-                       wh.read_dim("clients", day), wh.read_dim("terminals", day),
-                       wh.read_blacklist(day), day)
-    wh.write_report(day, rep)
-    listed = ([F.lit(n) for n in source.file_names(day)] if hasattr(source, "file_names")
-              else expected_names(_d(day)))
-    wh.write_ledger(day, spark.range(1).select(F.explode(F.array(*listed)).alias("file_name")))
-
-
-def _each(jobs, parallel: int) -> None:
+    dimensions as of ``day``, then the ledger entry of the date (but not for a
+    date that is built again from the archive: it consumed no file)."""
+    rep = fraud_report(batch.read_fact(up_to=day).drop("load_dt"),
+                       batch.read_dim("cards", day), batch.read_dim("accounts", day),
+                       batch.read_dim("clients", day), batch.read_dim("terminals", day),
+                       batch.read_blacklist(day), day)
+    batch.write_report(day, rep)
+    if not keep_ledger:
+        batch.write_ledger(day, source.consumed(day) if hasattr(source, "consumed") else
+                           spark.createDataFrame([(n,) for n in expected_file_names(day)], "file_name string"))
+
+
+def _each(jobs, parallel: int) -> list:
     """Run independent Spark jobs, concurrently from driver threads."""
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            for fut in [pool.submit(f) for f in jobs]:
-                fut.result()
-    else:
-        for f in jobs:
-            f()
+            return [fut.result() for fut in [pool.submit(f) for f in jobs]]
+    return [f() for f in jobs]
 
 
 class StaleHistory(RuntimeError):
@@ -245,33 +375,54 @@ def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
         parallel: int = 6, rebuild_later: bool = False) -> list[dt.date]:
     """Every date in ascending order (``source.dates()`` when not given); returns the dates loaded.
 
-    A date's history builds on the newest date before it that is loaded, in
-    the ledger or in this run. A date already loaded that is later than one of
-    ``dates`` builds on what is about to change: unless it is among ``dates``,
-    the run is refused (``StaleHistory``), or, with ``rebuild_later``, loads
-    it again as well.
+    A date's history builds on the newest date before it that is loaded, or in
+    this run. Loaded dates that are later than one of ``dates`` build on what
+    is about to change, as do dates that an interrupted rebuild left stale:
+    unless they are among ``dates``, the run is refused (``StaleHistory``),
+    or, with ``rebuild_later``, builds them again from their archived staging.
+
+    A source whose operational tables are always today's
+    (``dated_snapshots`` False) cannot serve a date before a loaded one: such
+    a date takes clients, accounts and cards from the archive, and is refused
+    (``MissingSnapshot``) before anything is written if it was never staged.
 
     The report of day *n* only reads what day *n*'s loads wrote (facts up to
     *n*, snapshots as of *n*), so it runs in the background while day *n+1*
-    loads; day *n+1* writes only its own partitions. A failure surfaces before
-    the next report starts, and the ledger entry of a date is written after
-    its report, so a re-run resumes at the first date without one.
+    loads. A date is published when its report is written, and dates are
+    published in order; a failure surfaces before the next report starts, and
+    a re-run resumes at the first date that is not published.
     """
     days = sorted(set(dates if dates is not None else source.dates()))
-    loaded = wh.loaded_dates() if days else []
-    later = [d for d in loaded if days and d > days[0] and d not in days]
+    if not days:
+        return []
+    now = wh.batch()
+    loaded, stale, archive, asked = now.loaded_dates(), now.stale_dates(), {}, set(days)
+    later = [d for d in loaded if (d > days[0] or d in stale) and d not in asked]
     if later and not rebuild_later:
-        raise StaleHistory(f"{', '.join(map(str, later))}: loaded already and built on earlier dates than {days[0]}; "
-                           "load them again too (rebuild_later)")
+        raise StaleHistory(f"{', '.join(map(str, later))}: loaded already and built on earlier dates than {days[0]}, or on others than "
+                           "are loaded now; build them again too (rebuild_later)")
     days = sorted({*days, *later})
+    for day in days:
+        if day in asked:
+            past = any(d > day for d in loaded) and not getattr(source, "dated_snapshots", True)
+            archive[day] = set(SNAPSHOTS) if past else set()
+        else:
+            archive[day] = set(_staged(source, day))
+        if missing := sorted(archive[day] - now.staged(day)):
+            raise MissingSnapshot(f"{day}: {', '.join(missing)} not archived, and the source has only today's")
     with ThreadPoolExecutor(max_workers=1) as background:
-        pending = None
+        pending, on = None, now
         for k, day in enumerate(days):
             prev = max([d for d in [*loaded, *days[:k]] if d < day], default=None)
-            load_day(spark, source, wh, day, prev, parallel)
+            batch = wh.batch(on)
+            load_day(spark, source, batch, day, prev, parallel, archive[day])
             if pending is not None:
                 pending.result()
-            pending = background.submit(report_day, spark, source, wh, day)
-        if pending is not None:
-            pending.result()
+
+            def finish(batch=batch, day=day):
+                report_day(spark, source, batch, day, keep_ledger=day not in asked)
+                batch.publish()
+
+            pending, on = background.submit(finish), batch
+        pending.result()
     return days

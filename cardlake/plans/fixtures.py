@@ -225,10 +225,16 @@ def terminals_day(t: Tables, day: dt.date) -> DataFrame:
 
 
 class FixtureSource:
-    """Daily inputs for ``plans.daily.run`` derived from the driver tables."""
+    """Daily inputs for ``plans.daily.run`` derived from the driver tables.
+
+    The transactions and blacklist files of the dates ``without`` are empty.
+    """
+
+    dated_snapshots = True
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.t = Tables(spark, sf_dir)
+        self.without: set[dt.date] = set()
 
     def dates(self) -> list[dt.date]:
         return list(DAYS)
@@ -246,7 +252,25 @@ class FixtureSource:
         return terminals_day(self.t, day)
 
     def blacklist(self, day):
-        return blacklist_snapshot(self.t, up_to=day)
+        rows = blacklist_snapshot(self.t, up_to=day)
+        return rows.where("false") if day in self.without else rows
 
     def transactions(self, day):
-        return transactions_text(self.t, day)
+        rows = transactions_text(self.t, day)
+        return rows.where("false") if day in self.without else rows
+
+
+class TodaySource(FixtureSource):
+    """The same with operational tables that are always those of ``today``."""
+
+    dated_snapshots = False
+    today: dt.date
+
+    def accounts(self, day):
+        return accounts_day(self.t, self.today)
+
+    def clients(self, day):
+        return clients_day(self.t, self.today)
+
+    def cards(self, day):
+        return cards_day(self.t, self.today)

@@ -377,6 +377,24 @@ def _accumulated() -> str:
     return _with(ctes, final)
 
 
+def _empty_rerun() -> str:
+    """Day 2 reported over day 1's transactions, with no blacklist."""
+    ctes = _c()
+    for name in SPECS:
+        ctes.update(history_ctes(name, 2)[0])
+    for n in (1, 2):
+        ctes.update(part_d(n))
+    ctes["left_fact"] = f"SELECT * FROM fx_fact_s WHERE trans_day = DATE '{DAYS[0]}'"
+    ctes["left_trans"] = "SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal FROM left_fact"
+    ctes["no_blacklist"] = "SELECT * FROM fx_blacklist WHERE FALSE"
+    ctes.update(enrich_ctes("e", "left_trans", "cards_h2", "accounts_h2", "clients_h2", "terminals_h2", "no_blacklist"))
+    ctes["left_report"] = report_sql("e_flagged", DAYS[1])
+    return _with(ctes, f"""
+        SELECT 'fact' AS table_name, {_d('trans_day', 'day')}, count(*) AS n_rows FROM left_fact GROUP BY trans_day
+        UNION ALL SELECT 'blacklist_day1', {_d('entry_dt', 'day')}, count(*) FROM fx_blacklist WHERE entry_dt <= DATE '{DAYS[0]}' GROUP BY entry_dt
+        UNION ALL SELECT 'report_day2', {_d('event_dt', 'day')}, count(*) FROM left_report GROUP BY event_dt""")
+
+
 def _skewed(card: str) -> str:
     """Rules over transactions of which two thirds are on one card."""
     ctes = {**PART_C, **PART_C_DIMS}
@@ -493,6 +511,9 @@ def build() -> dict[str, str]:
         "ledger_pending_files": _with(_NAMES_CTE, f"""
             SELECT DISTINCT file_name, {_d('file_dt')} FROM inputs
             WHERE file_dt >= DATE '2024-01-11'"""),
+        "ledger_redelivered": _with(_NAMES_CTE, f"""
+            SELECT DISTINCT file_name, {_d('file_dt')} FROM inputs
+            WHERE file_dt >= DATE '2024-01-11' OR file_dt = DATE '2024-01-05'"""),
         "scd2_new_keys": _day2_step("clients", "new", _hist_out(spec_c, "{src}")),
         "scd2_vanished_keys": _day2_step("clients", "gone", "SELECT client_id FROM {src}"),
         "scd2_soft_delete": _day2_step("clients", "kept", _hist_out(spec_c, "{src}")),
@@ -505,6 +526,8 @@ def build() -> dict[str, str]:
         "scd2_terminals_day2": _history_key("terminals", 2),
         "scd2_hot_key": _hot_key(),
         "scd2_out_of_order": _history_key("clients", 3),
+        "scd2_rebuild_archived": _history_key("clients", 3),
+        "empty_rerun": _empty_rerun(),
         "dim_current": _history_key("clients", 3, current_only=True),
         "txn_enriched": _with(_c(), f"""
             SELECT trans_id, card_num, {_dbl('amt')}, terminal_city, account_num,

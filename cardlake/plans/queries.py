@@ -8,6 +8,7 @@ Each takes ``(spark, sf_dir)``, derives its inputs from the driver tables with
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from cardlake.operators.report import flagged, fraud_report
 from cardlake.operators.rules import RULES
 from cardlake.operators.windows import LAGS, city_span, with_windows
 from cardlake.plans import fixtures as fx
-from cardlake.plans.daily import Warehouse, run
+from cardlake.plans.daily import Warehouse, run, stage
 from cardlake.plans.present import for_check
 from cardlake.schemas import conform
 from cardlake.session import scratch_dir
@@ -71,10 +72,10 @@ def _staged_day(t: fx.Tables, name: str, day) -> DataFrame:
 
 def _history_after(t: fx.Tables, name: str, days, staged=_staged_day) -> DataFrame:
     """The history after the given dates, each date's snapshot written and read back as the daily run does."""
-    wh = Warehouse(t.spark, scratch_dir(t.spark, f"history-{name}"))
+    wh = Warehouse(t.spark, scratch_dir(t.spark, f"history-{name}")).batch()
     prev = None
     for day in days:
-        wh.write_dim(name, day, scd2.scd2_apply(wh.read_dim(name, prev), staged(t, name, day), day, scd2.SPECS[name]))
+        wh.write_dim(name, day, scd2.scd2_apply(wh.read_dim(name, prev), staged(t, name, day), day, scd2.SPECS[name]), prev)
         prev = day
     return wh.read_dim(name, prev)
 
@@ -140,7 +141,7 @@ def q_staging_replace(spark, sf_dir):
     t = fx.Tables(spark, sf_dir)
     wh = Warehouse(spark, scratch_dir(spark, "staging_replace"))
     for day in (D1, D2):
-        wh.write_staging("stg_clients", _staged_day(t, "clients", day))
+        wh.write_staging("stg_clients", _staged_day(t, "clients", day), day)
     return for_check(wh.read_staging("stg_clients"))
 
 
@@ -152,7 +153,7 @@ def q_rejected_rows(spark, sf_dir):
         key = scd2.SPECS[n].key
         staged[f"stg_{n}"] = staged[f"stg_{n}"].withColumn(key, F.expr(f"CASE WHEN CAST({key} AS BIGINT) % 10 <> {digit} THEN {key} END"))
     wh = Warehouse(spark, scratch_dir(spark, "rejected_rows"))
-    wh.write_rejected(D1, staged)
+    stage(wh, D1, {name: lambda df=df: df for name, df in staged.items()}, parallel=1)
     return for_check(wh.read_rejected())
 
 
@@ -179,8 +180,23 @@ def q_ledger_pending_files(spark, sf_dir):
     t = fx.Tables(spark, sf_dir)
     listing = _names_from_events(t).distinct()
     loaded = files.input_files(listing).where(F.col("file_dt") < F.lit("2024-01-11").cast("date"))
-    ledger = files.ledger_entries(loaded, D1)
-    return for_check(files.pending_files(listing, ledger))
+    wh = Warehouse(spark, scratch_dir(spark, "ledger"))
+    wh.write_ledger(D1, loaded)
+    return for_check(files.pending_files(listing, wh.read_ledger()))
+
+
+def q_ledger_redelivered(spark, sf_dir):
+    """K7: as above, with lengths, times and digests; then the files of the 5th come again with other content, those of the 6th with the same."""
+    t = fx.Tables(spark, sf_dir)
+    found = files.input_files(_names_from_events(t).groupBy("file_name").agg(F.count("*").alias("length"))) \
+        .selectExpr("file_name", "file_dt", "length", "cast(file_dt as timestamp) AS modified", "sha2(cast(length as string), 256) AS digest")
+    wh = Warehouse(spark, scratch_dir(spark, "ledger"))
+    wh.write_ledger(D1, found.where("file_dt < DATE'2024-01-11'").drop("file_dt"))
+    now = found.selectExpr("file_name", "CASE WHEN file_dt = DATE'2024-01-05' THEN length + 1 ELSE length END AS length",
+                           "CASE WHEN file_dt IN (DATE'2024-01-05', DATE'2024-01-06') THEN modified + INTERVAL 1 HOUR ELSE modified END AS modified") \
+        .selectExpr("*", "sha2(cast(length as string), 256) AS digest")
+    pending = files.pending_files(now, wh.read_ledger())
+    return for_check(pending.join(files.unchanged(pending, wh.read_ledger()), "file_name", "left_anti").select("file_name", "file_dt"))
 
 
 # -- SCD2 steps (clients / terminals, day 1 history + day 2 staging) ------------
@@ -325,6 +341,31 @@ def q_scd2_out_of_order(spark, sf_dir):
     return for_check(wh.read_dim("clients", D3))
 
 
+def q_scd2_rebuild_archived(spark, sf_dir):
+    """The dates in order, then day 2 again and day 3 rebuilt, from a source that has only today's operational tables."""
+    src = fx.TodaySource(spark, sf_dir)
+    wh = Warehouse(spark, scratch_dir(spark, "rebuild_archived"))
+    for src.today in fx.DAYS:
+        run(spark, src, wh, dates=[src.today])
+    run(spark, src, wh, dates=[D2], rebuild_later=True)
+    return for_check(wh.read_dim("clients", D3))
+
+
+def q_empty_rerun(spark, sf_dir):
+    """K4-K6, Q11, Q19: day 2 is loaded with its data, then again with transactions and blacklist empty: rows of each table and date."""
+    src = fx.FixtureSource(spark, sf_dir)
+    wh = Warehouse(spark, scratch_dir(spark, "empty_rerun"))
+    run(spark, src, wh, dates=[D1, D2])
+    src.without = {D2}
+    run(spark, src, wh, dates=[D2])
+    n = F.count("*").alias("n_rows")
+    counted = [df.groupBy(F.col(day).alias("day")).agg(n).withColumn("table_name", F.lit(name)) for name, day, df in (
+        ("fact", "load_dt", wh.read_fact()), ("blacklist_day2", "entry_dt", wh.read_blacklist(D2)),
+        ("blacklist_day1", "entry_dt", wh.read_blacklist(D1)))]
+    report = wh.read_report().where(F.col("report_dt") == F.lit(str(D2)).cast("date")).groupBy(F.col("event_dt").alias("day")).agg(n)
+    return for_check(reduce(DataFrame.unionByName, [*counted, report.withColumn("table_name", F.lit("report_day2"))]))
+
+
 def q_fraud_report_accumulated(spark, sf_dir):
     """R6 + K6: three daily batches through the warehouse; the report table."""
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
@@ -345,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "fact_append": q_fact_append,
     "blacklist_refresh": q_blacklist_refresh,
     "ledger_pending_files": q_ledger_pending_files,
+    "ledger_redelivered": q_ledger_redelivered,
     "scd2_new_keys": q_scd2_new_keys,
     "scd2_vanished_keys": q_scd2_vanished_keys,
     "scd2_soft_delete": q_scd2_soft_delete,
@@ -357,6 +399,8 @@ QUERIES: dict[str, Query] = {
     "scd2_terminals_day2": _q_day2("terminals"),
     "scd2_hot_key": q_scd2_hot_key,
     "scd2_out_of_order": q_scd2_out_of_order,
+    "scd2_rebuild_archived": q_scd2_rebuild_archived,
+    "empty_rerun": q_empty_rerun,
     "dim_current": q_dim_current,
     "txn_enriched": q_txn_enriched,
     "blacklist_fanout": q_blacklist_fanout,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.functions.scalar import date_token, file_date, has_prefix
+from cardlake.functions.scalar import file_date, has_prefix
 from cardlake.schemas import FILE_PREFIXES
 
 TRANSACTIONS_TEXT_SCHEMA = T.StructType([
@@ -28,13 +28,35 @@ TRANSACTIONS_TEXT_SCHEMA = T.StructType([
 ])
 
 
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("file_name", T.StringType()),
+    T.StructField("load_dt", T.DateType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("digest", T.StringType()),
+])
+
+
 def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """``(path, file_name)`` of the files directly in ``folder``."""
+    """``(path, file_name, length, modified)`` of the files directly in ``folder``; no content is read."""
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return (r.load(folder).select("path")
-            .withColumn("file_name", F.element_at(F.split("path", "/"), -1)))
+    return r.load(folder).select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", F.col("modificationTime").alias("modified"))
+
+
+def with_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, file_name, length, modified, digest)``: files with the SHA-256 of their whole content, read in the executors."""
+    return spark.read.format("binaryFile").load(paths).select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", F.col("modificationTime").alias("modified"),
+        F.sha2("content", 256).alias("digest"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark knows (not through Spark Connect, where it stays)."""
+    if hasattr(spark, "_jvm"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def input_files(names: DataFrame, prefixes=FILE_PREFIXES) -> DataFrame:
@@ -53,22 +75,31 @@ def batch_dates(names: DataFrame, prefixes=FILE_PREFIXES) -> list[dt.date]:
     return [r.file_dt for r in daily_dates(names, prefixes).collect()]
 
 
-def expected_names(day_col) -> list:
-    """The trio of file names the job needs for one date (Q19)."""
-    tok = date_token(day_col)
-    return [F.concat(F.lit("passport_blacklist_"), tok, F.lit(".xlsx")),
-            F.concat(F.lit("terminals_"), tok, F.lit(".xlsx")),
-            F.concat(F.lit("transactions_"), tok, F.lit(".txt"))]
+def expected_file_names(day: dt.date) -> list[str]:
+    """The trio of files the job needs for one date (Q19)."""
+    tok = day.strftime("%d%m%Y")
+    return [f"passport_blacklist_{tok}.xlsx", f"terminals_{tok}.xlsx", f"transactions_{tok}.txt"]
 
 
 def pending_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """K7: input files not yet recorded in the ledger (``left_anti`` on name)."""
-    return input_files(listing).join(ledger.select("file_name"), "file_name", "left_anti")
-
-
-def ledger_entries(names: DataFrame, load_dt: dt.date) -> DataFrame:
-    """Rows to append to the ledger after a date was loaded."""
-    return names.select("file_name", F.lit(str(load_dt)).cast("date").alias("load_dt"))
+    """K7: input files not yet consumed.
+
+    A name that the ledger does not know is pending. With ``length`` and
+    ``modified`` on both sides, a known name whose file has changed in either
+    since it was last entered is pending as well (``redelivered`` tells those
+    whose content is the same).
+    """
+    files = input_files(listing)
+    if not {"length", "modified"} <= {*files.columns} & {*ledger.columns}:
+        return files.join(ledger.select("file_name"), "file_name", "left_anti")
+    last = ledger.groupBy("file_name").agg(F.max_by(F.struct("length", "modified", F.lit(1).alias("known")), F.struct("load_dt", "modified")).alias("was"))
+    same = F.col("was.length").isNull() | ((F.col("length") == F.col("was.length")) & (F.col("modified") == F.col("was.modified")))
+    return files.join(last, "file_name", "left").where(F.col("was.known").isNull() | ~same).drop("was")
+
+
+def unchanged(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Of files with a digest, the names whose content the ledger has under that name: delivered again without a change."""
+    return files.join(ledger.where("digest is not null").select("file_name", "digest").distinct(), ["file_name", "digest"], "left_semi").select("file_name")
 
 
 def read_transactions(spark: SparkSession, paths) -> DataFrame:

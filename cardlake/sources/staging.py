@@ -7,10 +7,9 @@ fuse into the scan's codegen stage.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardlake.functions.scalar import parse_amount
 from cardlake.schemas import conform
@@ -51,27 +50,42 @@ def stage_blacklist(rows: DataFrame) -> DataFrame:
     return conform(rows, "stg_blacklist")
 
 
-def stage_transactions(text_rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+#: Column that a lenient ``stage_transactions`` adds: what is wrong with the row's amount, or NULL.
+BAD = "bad_amount"
+
+
+class BadAmounts(ValueError):
+    pass
+
+
+def stage_transactions(text_rows: DataFrame, keep: tuple[str, ...] = (), lenient: bool = False) -> DataFrame:
     """Amount text (decimal comma or point) -> decimal(18,2).
 
     An amount that does not parse -- including an empty one -- fails the
-    load of that date (ledger Q13); the check is a lazy JVM-side expression,
-    evaluated while the rows are written, with no extra pass.
+    load of that date (ledger Q13): either at the first such row, by a lazy
+    JVM-side expression, or, ``lenient``, after the write, in which the rows
+    with ``BAD`` are counted (``bad_amounts``, ``refuse_bad_amounts``).
     """
     parsed = parse_amount("amount")
-    amount = F.when(parsed.isNull(), F.raise_error(F.concat(
-        F.lit("unparsable amount in transaction "),
-        F.coalesce(F.col("transaction_id").cast("string"), F.lit("?")), F.lit(": "),
-        F.coalesce(F.col("amount"), F.lit("NULL"))))).otherwise(parsed)
-    return conform(text_rows.withColumn("amount", amount), "stg_transactions", keep)
-
-
-def rejected_rows(staged: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
-    """Q16: for each staging table of ``keys`` (table -> business key), the number of rows
-    whose key is NULL; they are not loaded."""
-    counts = [staged[t].agg(F.count(F.when(F.col(k).isNull(), 1)).alias("n_rows"))
-              .select(F.lit(t).alias("table_name"), F.lit(k).alias("key_name"), "n_rows") for t, k in keys.items()]
-    return reduce(DataFrame.unionByName, counts)
+    said = F.concat(F.lit("unparsable amount in transaction "), F.coalesce(F.col("transaction_id").cast("string"), F.lit("?")), F.lit(": "),
+                    F.coalesce(F.col("amount"), F.lit("NULL")))
+    if lenient:
+        return conform(text_rows.withColumns({BAD: F.when(parsed.isNull(), said), "amount": parsed}), "stg_transactions", (*keep, BAD))
+    return conform(text_rows.withColumn("amount", F.when(parsed.isNull(), F.raise_error(said)).otherwise(parsed)), "stg_transactions", keep)
+
+
+def bad_amounts() -> dict[str, Column]:
+    """Metrics of a lenient staging: number of bad rows, and the first and last of what is said of them."""
+    return {"n_bad": F.count(BAD), "first_bad": F.min(BAD), "last_bad": F.max(BAD)}
+
+
+def refuse_bad_amounts(day, got: dict) -> None:
+    if got["n_bad"]:
+        examples = "; ".join(dict.fromkeys([got["first_bad"], got["last_bad"]]))
+        raise BadAmounts(f"{day}: {got['n_bad']} row(s), e.g. {examples}")
+
+
+REJECTED = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("key_name", T.StringType()), T.StructField("n_rows", T.LongType())])
 
 
 def to_fact(stg_transactions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -1,12 +1,15 @@
 """The daily run through a warehouse folder, and its re-run safety."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from cardlake.plans import daily
 from cardlake.plans import fixtures as fx
-from cardlake.plans.daily import StaleHistory, Warehouse, run, run_day
+from cardlake.plans.daily import MissingSnapshot, StaleHistory, Warehouse, run, run_day
+from cardlake.sources.staging import BadAmounts
 from tests.conftest import SF_SMALL
 
 
@@ -20,17 +23,16 @@ def test_three_days_then_rerun_changes_nothing(spark, tmp_root):
     run(spark, src, wh)
     report = _snapshot(wh.read_report())
     facts = _snapshot(wh.read_fact())
-    dims = {n: _snapshot(spark.read.parquet(wh.path("dim", n))) for n in
-            ("clients", "accounts", "cards", "terminals")}
+    dims = {(n, d): _snapshot(wh.read_dim(n, d)) for n in ("clients", "accounts", "cards", "terminals") for d in fx.DAYS}
     assert {r[-1] for r in report} == set(fx.DAYS)
     assert len(facts) == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
 
-    # re-running the middle date (its inputs unchanged) rewrites the same partitions
+    # re-running the middle date (its inputs unchanged) leaves the tables as they were
     run_day(spark, src, wh, fx.DAYS[1], parallel=1)
     assert _snapshot(wh.read_report()) == report
     assert _snapshot(wh.read_fact()) == facts
-    for n, rows in dims.items():
-        assert _snapshot(spark.read.parquet(wh.path("dim", n))) == rows
+    for (n, d), rows in dims.items():
+        assert rows and _snapshot(wh.read_dim(n, d)) == rows
 
     # the ledger knows every date; a later run resumes after the last one
     assert wh.last_loaded_before(dt.date(2024, 1, 4)) == fx.DAYS[-1]
@@ -87,5 +89,111 @@ def test_no_dates_and_empty_ledger(spark, tmp_root):
     assert wh.last_loaded_before(dt.date(2024, 1, 1)) is None
     assert wh.read_ledger().count() == 0
     run(spark, fx.FixtureSource(spark, SF_SMALL), wh, dates=[])
-    import os
     assert not os.path.exists(tmp_root + "/empty")
+
+
+def _state(wh):
+    dims = {(n, d): _snapshot(wh.read_dim(n, d)) for n in ("clients", "accounts", "cards", "terminals") for d in fx.DAYS}
+    return dims, _snapshot(wh.read_fact()), _snapshot(wh.read_report()), _snapshot(wh.read_ledger())
+
+
+def test_an_empty_rerun_replaces(spark, tmp_root):
+    src = fx.FixtureSource(spark, SF_SMALL)
+    wh = Warehouse(spark, tmp_root + "/wh")
+    run(spark, src, wh, dates=fx.DAYS[:1])
+    assert wh.read_fact().count() and wh.read_report().count() and wh.read_blacklist(fx.DAYS[0]).count()
+    src.without = {fx.DAYS[0]}
+    run(spark, src, wh, dates=fx.DAYS[:1])
+    assert [wh.read_fact().count(), wh.read_report().count(), wh.read_blacklist(fx.DAYS[0]).count()] == [0, 0, 0]
+    assert wh.loaded_dates() == fx.DAYS[:1] and wh.read_dim("clients", fx.DAYS[0]).count()
+
+
+class Lost(RuntimeError):
+    pass
+
+
+def test_a_run_lost_half_way_is_invisible(spark, tmp_root, monkeypatch):
+    src = fx.FixtureSource(spark, SF_SMALL)
+    wh = Warehouse(spark, tmp_root + "/wh")
+    run(spark, src, wh, dates=fx.DAYS[:2])
+    before = _state(wh)
+    src.without = {fx.DAYS[1]}
+    def lost(*_):
+        raise Lost
+
+    with monkeypatch.context() as m:
+        m.setattr(daily.Tables, "write_ledger", lost)  # the last step: all else of the date is written
+        with pytest.raises(Lost):
+            run(spark, src, wh, dates=fx.DAYS[1:2])
+    assert _state(Warehouse(spark, wh.root)) == before
+    assert len(os.listdir(f"{wh.root}/rep_fraud")) == 3  # the lost report is there, but in no commit
+
+
+def test_a_rebuild_lost_half_way_is_stale(spark, tmp_root, monkeypatch):
+    src = fx.FixtureSource(spark, SF_SMALL)
+    wh = Warehouse(spark, tmp_root + "/wh")
+    run(spark, src, wh)
+    before = _state(wh)
+    real = daily.report_day
+
+    def lost(spark, source, batch, day, **kw):
+        if day == fx.DAYS[2]:
+            raise Lost
+        return real(spark, source, batch, day, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(daily, "report_day", lost)
+        with pytest.raises(Lost):
+            run(spark, src, wh, dates=[fx.DAYS[0]], rebuild_later=True)
+    assert wh.stale_dates() == [fx.DAYS[2]]
+    with pytest.raises(StaleHistory):
+        run(spark, src, wh, dates=[dt.date(2024, 1, 9)])
+    assert run(spark, src, wh, dates=[fx.DAYS[1]], rebuild_later=True) == fx.DAYS[1:]
+    assert wh.stale_dates() == [] and _state(wh) == before
+
+
+def test_rebuilds_read_the_archive_and_not_todays_tables(spark, tmp_root):
+    src = fx.TodaySource(spark, SF_SMALL)
+    wh = Warehouse(spark, tmp_root + "/wh")
+    for src.today in fx.DAYS[1:]:
+        run(spark, src, wh, dates=[src.today])
+
+    def day3():
+        rows = wh.read_dim("clients", fx.DAYS[2])
+        return rows.count(), rows.where("deleted_flg").count(), _snapshot(rows)
+
+    before = day3()
+    with pytest.raises(MissingSnapshot):  # day 1 was never staged, and the source has only day 3's tables
+        run(spark, src, wh, dates=[fx.DAYS[0]], rebuild_later=True)
+    assert day3() == before and wh.loaded_dates() == fx.DAYS[1:]
+    assert run(spark, src, wh, dates=[fx.DAYS[1]], rebuild_later=True) == fx.DAYS[1:]
+    assert day3() == before
+
+
+def test_unchanged_staging_is_stored_once(spark, tmp_root):
+    src = fx.TodaySource(spark, SF_SMALL)
+    src.today = fx.DAYS[0]
+    wh = Warehouse(spark, tmp_root + "/wh")
+    run(spark, src, wh, dates=fx.DAYS[:2])  # accounts, clients and cards never change
+    for table in ("stg_clients", "stg_accounts", "stg_cards"):
+        folders = [f for f in os.listdir(f"{wh.root}/stg/{table}") if f.startswith("v=")]
+        assert len(folders) == 1
+        assert len({_snapshot(wh.read_staging(table, d))[0] for d in fx.DAYS[:2]}) == 1
+    assert len([f for f in os.listdir(f"{wh.root}/stg/stg_terminals") if f.startswith("v=")]) == 2
+    a, b = (spark.createDataFrame([r], "terminal_id string, terminal_type string, terminal_city string, terminal_address string")
+            for r in ((None, "x", "x", "x"), ("x", None, "x", "x")))
+    for df in (a, b):  # hashes alone would not tell which column is NULL
+        wh.write_staging("stg_terminals", df, fx.DAYS[0])
+        assert _snapshot(wh.read_staging("stg_terminals", fx.DAYS[0])) == _snapshot(df)
+
+
+def test_bad_amounts_fail_the_date_with_their_number(spark, tmp_root):
+    class Bad(fx.FixtureSource):
+        def transactions(self, day):
+            return super().transactions(day).withColumn("amount", F.expr("CASE WHEN transaction_id % 50 = 7 THEN '1 500,5' ELSE amount END"))
+
+    src, wh = Bad(spark, SF_SMALL), Warehouse(spark, tmp_root + "/wh")
+    n = src.transactions(fx.DAYS[0]).where("amount = '1 500,5'").count()
+    with pytest.raises(BadAmounts, match=rf"{fx.DAYS[0]}: {n} row.*unparsable amount in transaction \d+: 1 500,5"):
+        run(spark, src, wh, dates=fx.DAYS[:1])
+    assert wh.loaded_dates() == [] and wh.read_fact().count() == 0

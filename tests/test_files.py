@@ -1,6 +1,8 @@
 """A landing folder of dated files driving the daily run."""
 
 import datetime as dt
+import hashlib
+import os
 from decimal import Decimal
 
 import pytest
@@ -144,3 +146,24 @@ def test_command_line_run(spark, tmp_path):
     assert {r.report_dt for r in wh.read_report().select("report_dt").distinct().collect()} == {D1, D2}
     main(args)   # nothing pending: a second call loads nothing
     assert wh.read_ledger().count() == 6
+
+
+def test_a_file_delivered_again(spark, tmp_path):
+    """Changed content under a known name is pending; the same content with another time is not."""
+    land = _landing(tmp_path)
+    snaps = _snapshots(spark, tmp_path)
+    src = FileSource(spark, land, snaps["accounts"], snaps["clients"], snaps["cards"])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    run(spark, src, wh, dates=src.dates())
+    led = {r.file_name: r for r in wh.read_ledger().collect()}
+    name = "transactions_02032021.txt"
+    text = open(f"{land}/{name}", "rb").read()
+    assert len(led) == 6 and led[name].length == len(text) and led[name].digest == hashlib.sha256(text).hexdigest()
+    os.utime(f"{land}/transactions_01032021.txt", (1, 1))
+    assert src.dates(ledger=wh.read_ledger()) == []
+    with open(f"{land}/{name}", "ab") as f:
+        f.write(text.splitlines(keepends=True)[-1])
+    assert src.dates(ledger=wh.read_ledger()) == [D2]
+    n = wh.read_fact().count()
+    run(spark, src, wh, dates=src.dates(ledger=wh.read_ledger()))
+    assert wh.read_fact().count() == n + 1 and src.dates(ledger=wh.read_ledger()) == []
