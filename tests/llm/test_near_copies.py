@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from helpers import BENCH, DOCS, ITEM, SHORT_ITEM, documents, no_documents, texts
 
 from cardlake.llm import decontaminate, golay, queries, simhash, syncmers
@@ -186,26 +187,26 @@ def edited_of(rows):
     return out
 
 
-def brute_anchors(spark, symbols, k, s):
+def brute_anchors(spark, text):
+    """(place, hash) by the definition; the marks stand before and after the symbols."""
+    k, s = syncmers.K, syncmers.S
     hashed = lambda rows: [r[0] for r in spark.createDataFrame(rows).selectExpr("xxhash64(*)").collect()] if rows else []
-    h = hashed([(x,) for x in symbols])
+    symbols = re.findall(r"[^ \n\r\t]{1,%d}" % syncmers.PIECE, text)
+    h = hashed([(x,) for x in [""] * (k - 1) + symbols + [" "] * (k - 1)]) if symbols else []
     m = hashed([tuple(h[i:i + s]) for i in range(len(h) - s + 1)])
-    places = [i for i in range(len(symbols) - k + 1) if min(m[i:i + k - s + 1]) in (m[i], m[i + k - s])]
-    return list(zip(places, hashed([(m[i], m[i + k - s]) for i in places]), strict=True))
+    places = [i for i in range(len(h) - k + 1) if min(m[i:i + k - s + 1]) in (m[i], m[i + k - s])]
+    return list(zip(places, hashed([(m[i], m[i + k - s]) for i in places]), strict=True)) or [(0, hashed([(text,)])[0])]
 
 
-@pytest.mark.parametrize("n", [3, 90])
-def test_anchors(spark, n):
-    rng = random.Random(n)
-    text = " ".join("".join(rng.choices("abcdef", k=rng.randint(2, 9))) for _ in range(n))
+@pytest.mark.parametrize("text", ["", " \n ", "one", "two words", "  spaced \n\r\t out  ", "x" * 300, "a b " * 90, "naïve café 漢字 😀 " * 9 + "é" * 40])
+def test_anchors(spark, text):
     got = spark.createDataFrame([(text,)], "text string").select(syncmers.anchors("text").alias("a")).first().a
-    want = brute_anchors(spark, list(text), *syncmers.CHARS) if len(text) <= syncmers.SHORT else brute_anchors(spark, text.split(" "), *syncmers.WORDS)
-    assert [(x.place, x.hash) for x in got] == want
+    assert [(x.place, x.hash) for x in got] == brute_anchors(spark, text)
 
 
 @pytest.mark.parametrize("rows_each", [3, 256])
 def test_edited_fingerprints(spark, monkeypatch, rows_each):
-    monkeypatch.setattr(syncmers, "BUCKET_ROWS", rows_each)
+    monkeypatch.setattr(syncmers, "RANGE_ROWS", rows_each)
     docs = documents(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
     given = sorted((r.doc_id, r.text or "") for r in docs.collect())
     got = {r.doc_id: r for r in syncmers.edited_fingerprints(docs).collect()}
@@ -222,12 +223,12 @@ def test_edited_fingerprints(spark, monkeypatch, rows_each):
     assert syncmers.edited_fingerprints(documents(spark)).count() == len(texts()) + 3
 
 
-def test_near_copies_on_both_sides_of_a_switch(spark):
-    """Texts of about 400 and 1,600 characters, and with words of about 16 and 32: one more word leaves them near."""
+def test_near_copies_of_any_length(spark):
+    """Texts of different lengths, and with words of about a piece and two: one more word leaves them near."""
     rng = random.Random(8)
     word = lambda n: "".join(rng.choices("abcdefgh", k=n))
     rows = []
-    for limit, size in ((syncmers.SHORT, 4), (syncmers.BAND * syncmers.SHORT, 4), (5000, 15), (5000, 31)):
+    for limit, size in ((400, 4), (1600, 4), (5000, 15), (5000, 31)):
         t = " ".join(word(size) for _ in range(limit // (size + 1)))
         rows += [t, t + " " + word(60), t[:len(t) // 2] + word(99) + t[len(t) // 2:]]
     rows += [rows[0], rows[3] + rows[0]]  # a short text and one beyond the band that ends with it
@@ -237,13 +238,13 @@ def test_near_copies_on_both_sides_of_a_switch(spark):
     assert 0.1 < got[12].near_next < 0.6
 
 
-def test_edited_text_below_the_switch(spark):
-    """A long text whose edited one is short, since the next text is."""
+def test_a_long_text_with_a_short_edited_one(spark):
+    """The next text is short, so the edited one is about half as long."""
     rng = random.Random(9)
     t = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(100))
     df = spark.createDataFrame([(0, t), (1, "end")], "doc_id long, text string")
     r = syncmers.edited_fingerprints(df).where("doc_id = 0").first()
-    assert len(t) > syncmers.SHORT > len(t) // 2 + 3 and r.near_edited > 0.5
+    assert r.near_edited > 0.5
 
 
 def brute_share(a, b):
@@ -259,17 +260,59 @@ def test_likeness_and_match_of_all_anchors(spark):
     rows = [a[:2000] + passage + a[2000:], b[:500] + passage + b[500:], [*b[:500], *passage, "other", *b[501:]], b[2000:] + b[:2000], b + b]
     rows = [" ".join(x) for x in rows] + ["a b " * 150, "a b " * 1500, "x", "x"]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
-    found = {r.doc_id: r for r in syncmers.all_anchors(df).collect()}
+    found = {r.doc_id: r.anchors for r in syncmers.all_anchors(df).collect()}
     got = {r.doc_id: r for r in syncmers.edited_fingerprints(df).collect()}
     for k in range(len(rows)):
-        x, y = found[k], found[(k + 1) % len(rows)]
-        x, y = (x.chars, y.chars) if x.chars and y.chars else (x.words, y.words)
-        links = [[(p.hash, q and q.hash, q and q.place - p.place) for p, q in zip(z, [*z[1:], None], strict=True)] for z in (x, y)]
-        assert got[k].near_next == pytest.approx(brute_share([p.hash for p in x], [p.hash for p in y]))
+        x, y = ([(p.hash >> 32, p.place) for p in found[j]] for j in (k, (k + 1) % len(rows)))
+        assert got[k].fingerprint == " ".join(str(v) for v, _ in x)  # every anchor, in order
+        links = [[(p[0], q and q[0], q and q[1] - p[1]) for p, q in zip(z, [*z[1:], None], strict=True)] for z in (x, y)]
+        assert got[k].near_next == pytest.approx(brute_share([v for v, _ in x], [v for v, _ in y]))
         assert got[k].match_next == pytest.approx(brute_share(*links))
     assert 0 < got[0].near_next < 0.05 and 0.99 < got[1].near_next < 1 and got[7].near_next == got[7].match_next == 1
     assert got[3].near_next < 0.7 and got[5].near_next < 0.5
-    assert brute_anchors(spark, rows[0].split(" "), *syncmers.WORDS) == [(p.place, p.hash) for p in found[0].words]
+    assert brute_anchors(spark, rows[0]) == [(p.place, p.hash) for p in found[0]]
+
+
+def test_likeness_comes_from_the_fingerprints(spark):
+    """Long texts that differ in a single word have different fingerprints, and the likeness can be computed from them."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
+    rows = [" ".join([*words[:at], "changed", *words[at + 1:]]) for at in (5, 900, 1700, 2500, 3300, 3999)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    got = [r for r in syncmers.edited_fingerprints(df).orderBy("doc_id").collect()]
+    assert len({r.fingerprint for r in got}) == 6
+    for r, s in zip(got, [*got[1:], got[0]], strict=True):
+        assert r.near_next == pytest.approx(brute_share(r.fingerprint.split(), s.fingerprint.split())) and 0.99 < r.near_next < 1
+        assert r.near_edited == pytest.approx(brute_share(r.fingerprint.split(), r.edited_fingerprint.split()))
+
+
+@pytest.mark.parametrize("hot", [None, 700])
+def test_a_third_of_all_rows_with_one_id(spark, monkeypatch, hot):
+    """Ranges of one id are cut too, each range has one guest, and each document one next."""
+    monkeypatch.setattr(syncmers, "RANGE_ROWS", 50)
+    df = spark.range(0, 3000, 1, 6).selectExpr("if(id % 3 = 0, CAST(NULL AS LONG), id) AS doc_id" if hot is None else f"if(id % 3 = 0, {hot}L, id) AS doc_id",
+                                               "if(id % 6 = 0, 'one text for many', 'text ' || id || ' ' || id * id) AS text")
+    seen = {}
+    real = syncmers.compared
+
+    def watched(rows, *a):
+        seen.setdefault("ranges", rows.groupBy("bucket", "sub").agg(F.count("*").alias("n"), F.count_if("guest").alias("guests")) if "guest" in rows.columns else None)
+        return real(rows, *a)
+
+    monkeypatch.setattr(syncmers, "compared", watched)
+    out = syncmers.with_next(df)
+    rows = out.select("doc_id", "text", "next_text").collect()
+    ranges = seen["ranges"].collect()
+    assert max(r.n for r in ranges) < 160 and {r.guests for r in ranges} == {1}
+    given = Counter((r.doc_id, r.text) for r in df.collect())
+    assert Counter((r.doc_id, r.text) for r in rows) == given
+    assert Counter(r.next_text for r in rows) == Counter(t for _, t in given.elements())  # a ring: each text is next once
+    single = {k: t for k, t in given if k is not None and k != hot}
+    order = sorted(single)
+    after = {r.doc_id: r.next_text for r in rows if r.doc_id in single}
+    for a, b in zip(order, order[1:], strict=False):
+        if hot is None or not a < hot < b:
+            assert after[a] == single[b]
 
 
 def test_registered_queries_run_on_small_tables(spark):
