@@ -11,9 +11,17 @@ the shard with the least bytes so far. So the law is ``bytes``: shards' sizes
 are near equal. Growing to more shards moves from each old shard just the
 slots that exceed the new mean, and only into the new shards.
 
-Defined cases: NULL ids hash like the empty text; NULL texts have no bytes;
-repeated rows are records of their own with the same slot; extra columns are
-ignored; an empty table has a map (every slot empty) and no rows.
+Records are stored before they are placed, with a number for each row. A
+record whose id is its own is hashed by that id alone. Ids that several rows
+have, or none, would put all of them into one slot, however many; such rows
+are hashed by id, text and row number, so they spread over all slots like
+others. Their slot is fixed with the stored record.
+
+Defined cases: NULL and repeated ids as above, repeated rows included (equal
+texts need not share a shard: the law is about sizes); NULL texts have no
+bytes; a very long text counts as it is, so it may alone exceed a shard's mean;
+a slot's rows are numbered by id, checksum, size and row number; extra columns
+are ignored; an empty table has a map (every slot empty) and no rows.
 """
 
 from __future__ import annotations
@@ -27,11 +35,17 @@ SLOTS, SHARDS, OVERHEAD = 8192, 40, 16
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size (UTF-8 bytes and ``OVERHEAD``), crc32 of the text, and virtual slot of every document."""
+    """doc_id, size (UTF-8 bytes and ``OVERHEAD``), crc32 of the text, row number and virtual slot of every document (stored)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"), F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("virtual_slot"))
+    recs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
+                       F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("nr"))
+    recs = stored(recs, "shard-records")
+    own, spread = F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("doc_id", "h", "nr")
+    repeated = recs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("repeated"))
+    named = recs.where("doc_id is not null").join(repeated, "doc_id", "left").withColumn("hash", F.when(F.col("repeated"), spread).otherwise(own))
+    every = named.drop("repeated").unionByName(recs.where("doc_id is null").withColumn("hash", spread))
+    placed = every.select("doc_id", "size", "text_crc32", "nr", F.pmod("hash", F.lit(slots)).cast("int").alias("virtual_slot"))
+    return stored(placed, "shard-slots-of")
 
 
 def slot_sizes(recs: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -89,14 +103,14 @@ def placed(recs: DataFrame, sizes: DataFrame, slot_map: DataFrame) -> DataFrame:
     """
     before = F.sum("rows").over(Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1))
     offsets = slot_map.join(sizes, "virtual_slot").withColumn("before", F.coalesce(before, F.lit(0)))
-    own = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size"))
+    own = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "nr"))
     return recs.withColumn("own", own).join(F.broadcast(offsets.drop("bytes", "rows")), "virtual_slot") \
-        .withColumn("slot", (F.col("before") + F.col("own") - 1).cast("long")).drop("own", "before")
+        .withColumn("slot", (F.col("before") + F.col("own") - 1).cast("long")).drop("own", "before", "nr")
 
 
 def shard(docs: DataFrame, map_path: str, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """Place every document; writes version 1 of the map to ``map_path`` and returns records with shard, slot and version."""
-    recs = stored(records(docs, slots), "shard-records")
+    recs = records(docs, slots)
     sizes = stored(slot_sizes(recs, slots), "shard-slots")
     write_map(first_map(sizes, shards), map_path, 1)
     return placed(recs, sizes, read_map(docs.sparkSession, map_path))

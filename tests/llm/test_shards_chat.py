@@ -61,6 +61,23 @@ def test_shards_defined_cases(spark, tmp_path):
     assert shards.read_map(spark, str(tmp_path / "b")).count() == shards.SLOTS
 
 
+def test_law_holds_with_a_third_of_all_rows_alike(spark, tmp_path):
+    """NULL ids, and one id, each with a third of the rows, half of these with one text."""
+    docs = spark.range(0, 36_000, 1, 6).selectExpr("CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN 5 ELSE id END AS doc_id",
+                                                   "CASE WHEN id % 2 = 0 THEN 'one text' ELSE repeat('x', id % 40) END AS text")
+    recs = shards.records(docs)
+    assert recs.groupBy("virtual_slot").count().agg(F.max("count")).first()[0] < 30
+    rows = shards.shard(docs, str(tmp_path / "map"))
+    load = [r for r in rows.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("last"),
+                                                 F.countDistinct("slot").alias("slots")).collect()]
+    assert len(load) == 40 and sum(r.n for r in load) == 36_000
+    assert max(r.b for r in load) < 1.02 * sum(r.b for r in load) / 40
+    assert all(r.last == r.n - 1 and r.slots == r.n for r in load)
+    alone = {r.doc_id: r.virtual_slot for r in recs.where("doc_id % 3 = 2 and doc_id <> 5").collect()}
+    again = {r.doc_id: r.virtual_slot for r in shards.records(docs.where("doc_id = 2 or doc_id between 8 and 900")).collect()}
+    assert all(alone[k] == again[k] for k in again)  # the id alone decides, whatever else is there
+
+
 TURNS = "conv_id long, turn long, role string, text string, seq long, window long, block long, tokens long"
 
 
