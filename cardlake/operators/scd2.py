@@ -1,24 +1,30 @@
-"""Type-2 history maintenance, in one plan for keys of any size.
+"""Type-2 history maintenance, for keys of any size.
 
 ``scd2_apply(history, staging, as_of, spec)`` returns the next history
-snapshot. History and staging rows are put in one frame, and
-
-1. per-key facts (has a live version, any history, a staged row; the current
-   version) are an aggregate, with a partial sum in each task, joined back on
-   the key: AQE splits a key that is hot in that join;
-2. a projection turns them into kept history rows (with the delete mark of
-   vanished keys), new rows and changed rows. The steps ``new_keys``,
-   ``vanished_keys``, ``soft_delete``, ``changed_flagged`` and
-   ``changed_compared`` are parts of this frame;
-3. the intervals are re-stitched. Rows of a key that start together form a tie
-   group, of which the last one (an aggregate) gets the key's next start and
-   the others end where they start. Next starts are found among distinct
-   starts, per key and day, and across days among the days' first starts.
-
-No window holds a key's rows; every step works on rows, or on one row for each
-key, distinct start, or day. Rows of a tie group are told apart by a number
-given as they are read, so history and staging must be read from storage (as
-the daily run does), not be the result of a shuffle.
+snapshot. History and staging rows are put in one frame, and each row learns
+what both say about its key (has a live version, any history, a staged row;
+the current version). A projection turns rows into kept history rows (with the
+delete mark of vanished keys), new rows and changed rows, and the intervals
+are re-stitched: a row ends where the key's next one starts.
+
+*Usual keys.* One exchange on the key: the facts and the next start are
+windows over the key's rows, and each input is scanned once.
+
+*Keys with more than* ``HOT_ROWS`` *rows* (and rows without a key) are found
+by a count of the key column and go another way, with the same result, that
+puts no key's rows into one task:
+
+1. per-key facts are an aggregate, with a partial sum in each task, joined
+   back on the key: AQE splits a key that is hot in that join;
+2. rows of a key that start together form a tie group, of which the last one
+   (an aggregate) gets the key's next start and the others end where they
+   start. Next starts are found among distinct starts, per key and day, and
+   across days among the days' first starts.
+
+There rows of a tie group are told apart by a number, which they get as these
+keys' rows are written to the shared scratch folder; so histories and staging
+may come from anywhere. ``restitch``, the second step alone, numbers rows as
+they are read: it takes a history from storage.
 
 Deliberate deviations from the source job (all reads are of the state before
 the batch; see README):
@@ -42,6 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.schemas import OPEN_END_SQL, empty_frame
+from cardlake.session import scratch_dir
 
 FLAG = "flag"        # a staged row with update_dt set is a new version
 COMPARE = "compare"  # a staged row differing from the current version is one
@@ -135,21 +142,41 @@ def _union_rows(history: DataFrame, staging: DataFrame, spec: Scd2Spec) -> DataF
     return _keyed(h.unionByName(s), spec)
 
 
+def _current_version(spec: Scd2Spec) -> str:
+    """Start and attributes of a current version; of several the greatest counts, so that ties give the same in every run."""
+    attrs = ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs)
+    return f"CASE WHEN _src = 0 AND {CURRENT} AND effective_from IS NOT NULL THEN named_struct('_from', effective_from, {attrs}) END"
+
+
 def _key_facts(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
     """One row for each key: what the history before the batch and staging say about it."""
     cur_from = f"CASE WHEN _src = 0 AND {CURRENT} THEN effective_from END"
     facts = ["coalesce(max(_src = 0 AND deleted_flg <=> FALSE), FALSE) AS _live", "max(_src = 0) AS _known",
              "max(_src = 1) AS _staged", f"max({cur_from}) AS _cur_from"]
     if spec.mode != FLAG:
-        attrs = ", ".join(f"'{a}', {_q(a)}" for a in spec.attrs)
-        facts.append(f"max_by(named_struct({attrs}), {cur_from}) AS _cur")
+        facts.append(f"max({_current_version(spec)}) AS _cur")
     return rows.groupBy("_k").agg(*map(F.expr, facts))
 
 
+def _facts_over_key(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """``rows`` with the facts of ``_key_facts``, as windows over the key."""
+    w = "OVER (PARTITION BY _k)"
+    cur_from = f"CASE WHEN _src = 0 AND {CURRENT} THEN effective_from END"
+    facts = [f"max(_src = 0 AND deleted_flg <=> FALSE) {w} AS _live", f"max(_src = 0) {w} AS _known",
+             f"max(_src = 1) {w} AS _staged", f"max({cur_from}) {w} AS _cur_from"]
+    if spec.mode != FLAG:
+        facts.append(f"max({_current_version(spec)}) {w} AS _cur")
+    return rows.selectExpr("*", *facts)
+
+
 def _classified(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """Rows of the next history before re-stitching, with ``_kind``: kept, new or changed."""
     rows = _union_rows(history, staging, spec)
-    rows = rows.join(_key_facts(rows, spec), "_k")
+    return _classify(rows.join(_key_facts(rows, spec), "_k"), as_of, spec)
+
+
+def _classify(rows: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
+    """The same of rows that have their key's facts."""
     a_of = _as_of(as_of)
     if spec.mode == FLAG:
         start = _staged_from(spec)
@@ -230,9 +257,37 @@ def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
         "deleted_flg")
 
 
-def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
-    """Next history snapshot from the previous one and a full staging snapshot, both read from storage."""
-    return restitch(_classified(history, staging, as_of, spec).drop("_kind"), spec)
+#: Rows of a key, history and staging together, up to which they are one window's work.
+HOT_ROWS = 100_000
+
+
+def _restitch_over_key(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """``restitch`` as a window over the key, in the same order."""
+    order = ", ".join(["effective_from IS NULL", "effective_from", *map(_q, spec.attrs), "deleted_flg", "effective_to"])
+    end = f"coalesce(lead(effective_from) OVER (PARTITION BY _k ORDER BY {order}), {OPEN})"
+    return rows.selectExpr("*", f"{end} AS _end").selectExpr(
+        *_cols(spec), "effective_from",
+        "CASE WHEN effective_from IS NULL THEN effective_to WHEN deleted_flg THEN least(effective_to, _end) ELSE _end END AS effective_to",
+        "deleted_flg")
+
+
+def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Next history snapshot from the previous one and a full staging snapshot (runs a count of the keys)."""
+    rows = _union_rows(history, staging, spec)
+    hot = rows.groupBy("_k").count().where(f"count > {hot_rows} OR _k = ''").select("_k")
+    if hot.isEmpty():
+        return _restitch_over_key(_classify(_facts_over_key(rows, spec), as_of, spec), spec)
+    hot = _written(hot, "hot-keys")
+    usual = _restitch_over_key(_classify(_facts_over_key(rows.join(hot, "_k", "left_anti"), spec), as_of, spec), spec)
+    some = _written(rows.join(hot, "_k", "left_semi"), "hot-rows")
+    found = _written(_classify(some.join(_key_facts(some, spec), "_k"), as_of, spec).drop("_kind"), "hot-classified")
+    return usual.unionByName(restitch(found, spec))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def initial_history(staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:

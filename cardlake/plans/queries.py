@@ -70,12 +70,12 @@ def _staged_day(t: fx.Tables, name: str, day) -> DataFrame:
     return stager(snap(t, day))
 
 
-def _history_after(t: fx.Tables, name: str, days, staged=_staged_day) -> DataFrame:
+def _history_after(t: fx.Tables, name: str, days, staged=_staged_day, hot_rows: int = scd2.HOT_ROWS) -> DataFrame:
     """The history after the given dates, each date's snapshot written and read back as the daily run does."""
     wh = Warehouse(t.spark, scratch_dir(t.spark, f"history-{name}")).batch()
     prev = None
     for day in days:
-        wh.write_dim(name, day, scd2.scd2_apply(wh.read_dim(name, prev), staged(t, name, day), day, scd2.SPECS[name]), prev)
+        wh.write_dim(name, day, scd2.scd2_apply(wh.read_dim(name, prev), staged(t, name, day), day, scd2.SPECS[name], hot_rows), prev)
         prev = day
     return wh.read_dim(name, prev)
 
@@ -255,12 +255,12 @@ def _q_day2(name):
 
 
 def q_scd2_hot_key(spark, sf_dir):
-    """D6 with two thirds of all staged rows on one key and some on none, over two dates."""
+    """D6 with two thirds of all staged rows on one key and some on none, over two dates; keys of over 32 rows count as hot."""
     def staged(t, name, day):
         key = "CAST(client_id AS BIGINT) % 9"
         return _staged_day(t, name, day).withColumn("client_id", F.expr(
             f"CASE WHEN {key} < 6 THEN '7' WHEN {key} = 6 THEN CAST(NULL AS STRING) ELSE client_id END"))
-    return for_check(_history_after(fx.Tables(spark, sf_dir), "clients", [D1, D2], staged))
+    return for_check(_history_after(fx.Tables(spark, sf_dir), "clients", [D1, D2], staged, hot_rows=32))
 
 
 def q_dim_current(spark, sf_dir):

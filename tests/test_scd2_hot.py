@@ -7,6 +7,7 @@ import pytest
 
 from cardlake.operators import scd2
 from cardlake.plans import fixtures as fx
+from cardlake.sources.staging import stage_clients
 from tests.test_scd2 import stored, window_restitch
 
 T = dt.datetime
@@ -55,6 +56,34 @@ def test_hot_key_with_duplicated_staging_rows(spark, tmp_root):
     assert h2.count() >= 71 and _same(h2, window_restitch(h2, scd2.TERMINALS))
 
 
+@pytest.mark.parametrize("spec", [scd2.TERMINALS, scd2.ACCOUNTS])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_hot_and_usual_keys_give_the_same(spark, tmp_root, spec, seed):
+    """A batch over random histories (ties, copies, NULL starts and keys) with every key hot, some hot, and none."""
+    rnd = random.Random(seed)
+    key = lambda: rnd.choice(["1", "1", "1", "2", "3", "4", None])
+    when = lambda: rnd.choice([None, T(2024, 1, rnd.randint(1, 9), rnd.choice([0, 12]))])
+    attrs = {"valid_to": lambda: rnd.choice([None, dt.date(2024, 5, 1)])}
+    def values():
+        return [attrs.get(a, lambda: rnd.choice(["x", "y", None]))() for a in spec.attrs]
+    cols = ", ".join(f"{a} {'date' if a in attrs else 'string'}" for a in spec.attrs)
+    h = [(key(), *values(), when(), rnd.choice([OPEN, OPEN, T(2024, 1, 5)]), rnd.choice([True, False, False])) for _ in range(120)]
+    s = [(key(), *values(), when() or T(2024, 1, 1), when()) for _ in range(40)]
+    h = stored(spark.createDataFrame(h, f"{spec.key} string, {cols}, effective_from timestamp, effective_to timestamp, deleted_flg boolean"), tmp_root + "/h")
+    s = spark.createDataFrame(s, f"{spec.key} string, {cols}, create_dt timestamp, update_dt timestamp")
+    one_plan = stored(scd2.restitch(scd2._classified(h, s, fx.DAYS[2], spec).drop("_kind"), spec), tmp_root + "/want")
+    for hot_rows in (0, 30, 1000):
+        assert _same(scd2.scd2_apply(h, s, fx.DAYS[2], spec, hot_rows), one_plan)
+
+
+def test_usual_keys_take_one_exchange_and_one_scan_of_each_input(spark, tmp_root):
+    src = fx.FixtureSource(spark, "/root/testdata/sf0.001")
+    s = stored(stage_clients(src.clients(fx.DAYS[0])), tmp_root + "/s")
+    h = stored(scd2.initial_history(s, fx.DAYS[0], scd2.CLIENTS), tmp_root + "/h")
+    plan = scd2.scd2_apply(h, s, fx.DAYS[1], scd2.CLIENTS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 2, plan
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_histories(spark, tmp_root, seed):
     rnd = random.Random(seed)
