@@ -2,8 +2,8 @@
 
 ``pieces`` encodes every document, appends the end id, and cuts documents
 longer than a sequence into whole sequences and a rest. ``packed`` deals the
-pieces out to tasks of about ``TASK_PIECES``; a task keeps ``OPEN`` open bins
-at most. A piece goes into the bin with the least free space that has room for
+pieces out to tasks of about ``TASK_PIECES``, each of which gets the longest
+first and keeps ``OPEN`` open bins at most. A piece goes into the bin with the least free space that has room for
 it (a bitset with one bit for each free space that some open bin has gives it
 in one shift); without such a bin a new one is opened, for which the fullest
 closes if ``OPEN`` are open. ``sequences`` puts the ids of packed pieces
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from cardlake.llm.common import CACHE_WORDS, claim_cache, grouped_texts, stored
 
-SEQUENCE, OPEN, END, TASK_PIECES = 4096, 512, 1, 50_000
+SEQUENCE, OPEN, END, TASK_PIECES = 4096, 4096, 1, 25_000
 #: Longest word or pre-token that is cached, in characters; pre-tokens in a worker's cache (a full one is emptied).
 CACHED_CHARS, CACHE_CUTS = 64, 2 * CACHE_WORDS
 _PLAIN_TEXT = re.compile(r"[\n\r\t -~À-ÖØ-öø-ÿ]*")
@@ -184,7 +184,7 @@ def packed(cut: DataFrame, size: int = SEQUENCE, most: int = OPEN, task_pieces:
             yield pa.RecordBatch.from_pydict(out)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", sequence_id long, offset long"
-    return rows.repartition(tasks, "row").sortWithinPartitions("row").mapInArrow(fit, schema).drop("row")
+    return rows.repartition(tasks, "row").sortWithinPartitions(F.desc("length"), "row").mapInArrow(fit, schema).drop("row")
 
 
 def sequences(packed_pieces: DataFrame) -> DataFrame:

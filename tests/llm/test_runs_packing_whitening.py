@@ -193,7 +193,7 @@ def test_packing_query(spark):
             assert r.start == 4096 * r.piece and len(part) == r.length and r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
         assert sum(r.length for r in own) == len(ids)
     bins = check_places(rows, 4096)
-    assert bins <= 1 + math.ceil(1.01 * sum(r.length for r in rows) / 4096)
+    assert bins <= 1 + math.ceil(sum(r.length for r in rows) / 4096)
 
 
 def test_packed_sequences_hold_the_ids(spark):
