@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pytest
 from helpers import LABELS, documents, no_documents, texts
 from pyspark.sql import functions as F
@@ -96,3 +97,85 @@ def test_sample_is_bounded_by_labels(spark):
 def test_repeated_words_are_one_unit():
     assert quality.units("a a b b b c") == ["a", quality.AGAIN, "b", quality.AGAIN, quality.AGAIN, "c"]
     assert quality.units("") == []
+
+
+# -- quality: features, a fit and word scores against plain loops ------------------------------------------------------
+
+def plain_features(word):
+    """Hashed ids of a word and of its character n-grams, marks included, one by one."""
+    u64 = (1 << 64) - 1
+    c = [ord(x) + 1 for x in f"<{word}>"]
+    found = []
+    for n in quality.GRAMS:
+        for i in range(len(c) - n + 1):
+            h = c[i]
+            for x in c[i + 1:i + n]:
+                h = (h * 1_000_003 + x) & u64
+            found.append((h + n) & u64)
+    found.append(sum(x * pow(0x100000001B3, i + 1, 1 << 64) for i, x in enumerate(c)) & u64)
+    mix = int(quality._MIX)
+    mixed = [h * mix & u64 for h in found]
+    return [((m ^ (m >> 29)) * mix & u64) >> (64 - quality.BUCKET_BITS) for m in mixed]
+
+
+WORDS = ["a", "ab", "abc", "naïve", "漢字", "😀😀", "x" * 40, "it's", ""]
+
+
+def test_quality_features_by_plain_loops():
+    ids, owners = quality.word_features(WORDS)
+    for k, w in enumerate(WORDS):
+        assert sorted(ids[owners == k].tolist()) == sorted(plain_features(w)), w
+
+
+def test_quality_word_logits_are_means_over_features():
+    logit = np.random.default_rng(3).normal(size=quality.BUCKETS)
+    got = quality.Model(logit).word_logits(WORDS * 1000)  # more than one part
+    want = [np.mean([logit[i] for i in plain_features(w)]) for w in WORDS]
+    assert np.allclose(got, want * 1000)
+
+
+def test_quality_document_features_are_shares():
+    text = "one two two three one"
+    units = quality.units(text)
+    want = {}
+    for u in units:
+        own = plain_features(u)
+        for i in own:
+            want[i] = want.get(i, 0.0) + 1 / len(units) / len(own)
+    feature, weight = quality.document_features(text)
+    assert dict(zip(feature.tolist(), weight.tolist(), strict=True)) == pytest.approx(want)
+    assert weight.sum() == pytest.approx(1.0)
+
+
+def test_quality_fit_by_plain_loops(monkeypatch):
+    """Two epochs over three documents; the layer's step is the gradient of the log loss, by finite differences."""
+    monkeypatch.setattr(quality, "EPOCHS", 2)
+    sample = [("good words here", 1), ("bad noise noise zz", 0), ("more good words", 1)]
+    got = quality.fit(sample, seed=4)
+    rng = np.random.default_rng(4)
+    vec = rng.uniform(-1 / quality.DIM, 1 / quality.DIM, (quality.BUCKETS, quality.DIM)).astype(np.float32).astype(float)
+    layer = np.zeros((quality.DIM, 2))
+
+    def loss(hidden, layer, label):
+        out = [sum(h * w for h, w in zip(hidden, layer[:, j], strict=True)) for j in (0, 1)]
+        return -(out[label] - np.log(sum(np.exp(o) for o in out)))
+
+    for epoch in range(2):
+        rate = quality.RATE * (1 - epoch / 2)
+        for k in rng.permutation(3):
+            text, label = sample[k]
+            feature, weight = quality.document_features(text)
+            hidden = sum(w * vec[f] for f, w in zip(feature, weight, strict=True))
+            step = np.zeros_like(layer)
+            for d in range(quality.DIM):
+                for j in (0, 1):
+                    e = np.zeros_like(layer)
+                    e[d, j] = 1e-5
+                    step[d, j] = (loss(hidden, layer + e, label) - loss(hidden, layer - e, label)) / 2e-5
+            back = np.array([(loss(hidden + 1e-5 * u, layer, label) - loss(hidden - 1e-5 * u, layer, label)) / 2e-5 for u in np.eye(quality.DIM)])
+            layer = layer - rate * step
+            norm = sum(float(w) ** 2 for w in weight)
+            for f, w in zip(feature, weight, strict=True):
+                vec[f] = vec[f] - w * rate / norm * 0.1 * back
+    assert np.allclose(got.logit, vec @ (layer[:, 1] - layer[:, 0]), atol=1e-3)
+    assert np.abs(got.logit).max() > 0.01
