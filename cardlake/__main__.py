@@ -32,7 +32,7 @@ def main(argv=None) -> None:
     ap.add_argument("--cards", required=True)
     ap.add_argument("--date", action="append", default=[], help="YYYY-MM-DD (repeatable)")
     ap.add_argument("--rebuild-later", action="store_true",
-                    help="also load every later date again that is already loaded (its history builds on these dates)")
+                    help="also build every later date again that is already loaded (its history builds on these dates), from its archived staging")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
