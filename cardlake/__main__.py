@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from cardlake.plans.daily import Warehouse, run
+from cardlake.plans.daily import SCOPES, Warehouse, run
 from cardlake.session import get_spark
 from cardlake.sources.inputs import FileSource
 from cardlake.sources.staging import snapshot_reader
@@ -33,6 +33,8 @@ def main(argv=None) -> None:
     ap.add_argument("--date", action="append", default=[], help="YYYY-MM-DD (repeatable)")
     ap.add_argument("--rebuild-later", action="store_true",
                     help="also build every later date again that is already loaded (its history builds on these dates), from its archived staging")
+    ap.add_argument("--report-scope", choices=SCOPES, default="all",
+                    help="what a date's report covers: every operation loaded so far, or the date's own")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -46,7 +48,7 @@ def main(argv=None) -> None:
     wh = Warehouse(spark, a.warehouse)
     dates = ([dt.date.fromisoformat(d) for d in a.date] if a.date
              else src.dates(ledger=wh.read_ledger()))
-    dates = run(spark, src, wh, dates=dates, rebuild_later=a.rebuild_later)
+    dates = run(spark, src, wh, dates=dates, rebuild_later=a.rebuild_later, scope=a.report_scope)
     print(f"loaded {len(dates)} date(s): {', '.join(map(str, dates)) or '-'}")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cardlake.functions.scalar import EVENT_DAY_SQL
 from cardlake.operators.enrich import enrich
@@ -24,12 +25,18 @@ _FIRST_LABEL = f"coalesce({', '.join(f'''if({rule}, '{label}', NULL)''' for rule
 
 def flagged(fact: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
             clients_hist: DataFrame, terminals_hist: DataFrame, blacklist: DataFrame,
-            bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+            bucket_seconds: int = BUCKET_SECONDS, dedupe: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """enrich (J3) -> windows (W1-W5) -> flags (R1-R4), one row per joined row."""
-    return with_flags(with_windows(enrich(fact, cards_hist, accounts_hist, clients_hist, terminals_hist, blacklist),
+    return with_flags(with_windows(enrich(fact, cards_hist, accounts_hist, clients_hist, terminals_hist, blacklist, dedupe, keep),
                                    bucket_seconds))
 
 
+def flagged_day(fact: DataFrame, before: DataFrame, **dims) -> DataFrame:
+    """``flagged`` rows of ``fact`` alone, whose windows also see the operations ``before`` (``operators.tails``)."""
+    rows = fact.withColumn("_new", F.lit(True)).unionByName(before.withColumn("_new", F.lit(False)))
+    return flagged(rows, **dims, keep=("_new",)).where("_new").drop("_new")
+
+
 def report(flagged_rows: DataFrame, report_dt: dt.date | str) -> DataFrame:
     """Distinct (event_dt, passport, fio, phone, event_type, report_dt) over
     rows matching any rule."""

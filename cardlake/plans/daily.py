@@ -9,6 +9,7 @@ version folder ``v=...``; ``commits`` says which of them are current
 ``fact_transactions/v=.../load_dt=.../src=...``  transactions of a batch, by input file (K4)
 ``fact_passport_blacklist/v=...``        blacklist snapshot as of a batch (K5)
 ``rep_fraud/v=...``                      report rows stamped with the batch (K6)
+``card_tail/v=...``                      what a later date's windows see of each card (scope "day", ``operators.tails``)
 ``ledger/v=...``                         input files consumed by a batch, with length, time and digest (K7)
 ``rejected/v=...``                       staged rows without a business key, counted (Q16)
 
@@ -29,6 +30,7 @@ lost half way is known as stale too.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -37,7 +39,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.operators.report import fraud_report
+from cardlake.operators import tails
+from cardlake.operators.report import flagged_day, fraud_report, report
 from cardlake.operators.scd2 import SPECS, scd2_apply
 from cardlake.plans.commits import CommitLog, Entry, Key, new_id
 from cardlake.schemas import conform, empty, empty_frame, struct_type
@@ -45,6 +48,8 @@ from cardlake.sources import staging as stg
 from cardlake.sources.files import LEDGER_SCHEMA, expected_file_names, remove
 
 SNAPSHOTS = ("stg_clients", "stg_accounts", "stg_cards")
+#: What a date's report covers: every loaded operation up to the date (Q10), or the date's own.
+SCOPES = ("all", "day")
 
 
 class DailySource(Protocol):
@@ -108,10 +113,10 @@ class Tables:
     def _version(self) -> str:
         return new_id()
 
-    def _of(self, table: str, day=None, up_to=None) -> list[Entry]:
+    def _of(self, table: str, day=None, up_to=None, before=None) -> list[Entry]:
         """Current entries of a table, by date, without those known to have no rows."""
         return sorted((e for e in list(self.entries.values()) if e.table == table and e.n_rows != 0 and (day is None or e.load_dt == str(day))
-                       and (up_to is None or e.load_dt <= str(up_to))), key=lambda e: e.key)
+                       and (up_to is None or e.load_dt <= str(up_to)) and (before is None or e.load_dt < str(before))), key=lambda e: e.key)
 
     def _read(self, table: str, schema: T.StructType, day=None) -> DataFrame:
         found = sorted({e.path for e in self._of(table, day)})
@@ -170,14 +175,36 @@ class Tables:
         self._add([Entry(r.load_dt, "fact_transactions", r.src, f"{path}/load_dt={r.load_dt}/src={_escaped(r.src)}", r["count"], None, new_id())
                    for r in files])  # one row for each input file
 
-    def read_fact(self, up_to=None) -> DataFrame:
+    def read_fact(self, up_to=None, day=None, before=None) -> DataFrame:
         schema = struct_type("fact_transactions").add("load_dt", T.DateType())
-        found = [self.path(e.path) for e in self._of("fact_transactions", up_to=up_to)]
+        found = [self.path(e.path) for e in self._of("fact_transactions", day, up_to, before)]
         if not found:
             return empty_frame(self.spark, schema)
         read = self.spark.read.schema(schema).option("basePath", self.path("fact_transactions"))
         return read.parquet(*found).select(schema.fieldNames())
 
+    # -- card tails: state of the reports with scope "day" -------------------
+    def _covered(self, facts: list[Entry]) -> str:
+        """Identity of the fact folders that a tail was taken of."""
+        return hashlib.sha256("\n".join(e.path for e in facts).encode()).hexdigest()
+
+    def tail_before(self, day) -> DataFrame:
+        """Card tails of all facts loaded for dates before ``day``. They are kept with the newest of these dates; if
+        they are missing, or those of other facts (loaded again or by the stream), they are taken of all facts once."""
+        facts = self._of("fact_transactions", before=day)
+        if not facts:
+            return empty(self.spark, "fact_transactions")
+        last, covered = facts[-1].load_dt, self._covered(facts)
+        found = self.entries.get((last, "card_tail", ""))
+        if found is None or found.parent != covered:
+            self._write(last, "card_tail", tails.tail(self.read_fact(before=day)), parent=covered)
+        return self._read("card_tail", struct_type("fact_transactions"), last)
+
+    def write_tail(self, day) -> None:
+        """Carry the tails on over the date's facts, which are loaded."""
+        new = self.read_fact(day=day).drop("load_dt")
+        self._write(day, "card_tail", tails.tail(self.tail_before(day).unionByName(new)), parent=self._covered(self._of("fact_transactions", up_to=day)))
+
     def write_blacklist(self, day, rows: DataFrame) -> None:
         self._write(day, "fact_passport_blacklist", rows)
 
@@ -312,17 +339,17 @@ def stage(to: Tables, day: dt.date, frames: dict[str, Callable[[], DataFrame]],
 
 
 def run_day(spark: SparkSession, source: DailySource, wh: Warehouse, day: dt.date,
-            prev=_LOOKUP, parallel: int = 6) -> None:
+            prev=_LOOKUP, parallel: int = 6, scope: str = "all") -> None:
     """One date: ``load_day``, ``report_day``, and the commit that publishes both."""
     batch = wh.batch()
-    load_day(spark, source, batch, day, prev, parallel)
-    report_day(spark, source, batch, day)
+    load_day(spark, source, batch, day, prev, parallel, scope=scope)
+    report_day(spark, source, batch, day, scope=scope)
     batch.publish()
 
 
 def load_day(spark: SparkSession, source: DailySource, batch: Tables, day: dt.date,
-             prev=_LOOKUP, parallel: int = 6, archived: Iterable[str] = ()) -> None:
-    """Stage, maintain the four dimensions, load the facts and the blacklist.
+             prev=_LOOKUP, parallel: int = 6, archived: Iterable[str] = (), scope: str = "all") -> None:
+    """Stage, maintain the four dimensions, load the facts and the blacklist; with scope "day" the card tails too.
 
     ``prev`` is the previous batch date (the newest loaded one before ``day``
     when not given). The staging tables of the date are written first (K2),
@@ -340,19 +367,45 @@ def load_day(spark: SparkSession, source: DailySource, batch: Tables, day: dt.da
     loads = [lambda name=name, spec=spec: batch.write_dim(
         name, day, scd2_apply(batch.read_dim(name, prev), staged[f"stg_{name}"], day, spec), prev)
         for name, spec in SPECS.items()]
-    loads.append(lambda: batch.write_fact(day, stg.to_fact(staged["stg_transactions"])))
+
+    def facts() -> None:
+        batch.write_fact(day, stg.to_fact(staged["stg_transactions"]))
+        if scope == "day":
+            batch.write_tail(day)
+
+    loads.append(facts)
     loads.append(lambda: batch.write_blacklist(day, stg.to_blacklist_fact(staged["stg_blacklist"])))
     _each(loads, parallel)
 
 
-def report_day(spark: SparkSession, source: DailySource, batch: Tables, day: dt.date, keep_ledger: bool = False) -> None:
-    """The report over every fact loaded up to ``day`` with the
-    dimensions as of ``day``, then the ledger entry of the date (but not for a
-    date that is built again from the archive: it consumed no file)."""
-    rep = fraud_report(batch.read_fact(up_to=day).drop("load_dt"),
-                       batch.read_dim("cards", day), batch.read_dim("accounts", day),
-                       batch.read_dim("clients", day), batch.read_dim("terminals", day),
-                       batch.read_blacklist(day), day)
+def day_report(batch: Tables, day: dt.date) -> DataFrame:
+    """The report of the operations loaded for ``day`` alone, with the dimensions as of ``day``.
+
+    It equals the part of the full report that these operations make. Earlier
+    dates' facts are read only if there are late cards, and for them only.
+    """
+    fact, carried = batch.read_fact(day=day).drop("load_dt"), batch.tail_before(day)
+    late, earlier = tails.late_cards(carried, fact), None
+    if late.isEmpty():
+        late = None
+    else:
+        earlier = batch.read_fact(before=day)
+    return report(flagged_day(fact, tails.before(carried, fact, late, earlier), **_dims(batch, day)), day)
+
+
+def _dims(batch: Tables, day: dt.date) -> dict[str, DataFrame]:
+    return {**{f"{n}_hist": batch.read_dim(n, day) for n in ("cards", "accounts", "clients", "terminals")}, "blacklist": batch.read_blacklist(day)}
+
+
+def report_day(spark: SparkSession, source: DailySource, batch: Tables, day: dt.date, keep_ledger: bool = False, scope: str = "all") -> None:
+    """The report over every fact loaded up to ``day`` (scope "day":
+    the date's own) with the dimensions as of ``day``, then the ledger entry of
+    the date (but not for a date that is built again from the archive: it
+    consumed no file)."""
+    if scope == "day":
+        rep = day_report(batch, day)
+    else:
+        rep = fraud_report(batch.read_fact(up_to=day).drop("load_dt"), **_dims(batch, day), report_dt=day)
     batch.write_report(day, rep)
     if not keep_ledger:
         batch.write_ledger(day, source.consumed(day) if hasattr(source, "consumed") else
@@ -372,7 +425,7 @@ class StaleHistory(RuntimeError):
 
 
 def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
-        parallel: int = 6, rebuild_later: bool = False) -> list[dt.date]:
+        parallel: int = 6, rebuild_later: bool = False, scope: str = "all") -> list[dt.date]:
     """Every date in ascending order (``source.dates()`` when not given); returns the dates loaded.
 
     A date's history builds on the newest date before it that is loaded, or in
@@ -386,12 +439,17 @@ def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
     a date takes clients, accounts and cards from the archive, and is refused
     (``MissingSnapshot``) before anything is written if it was never staged.
 
+    ``scope`` says what each report covers (``SCOPES``). With "day" its cost
+    does not grow with the dates loaded before.
+
     The report of day *n* only reads what day *n*'s loads wrote (facts up to
     *n*, snapshots as of *n*), so it runs in the background while day *n+1*
     loads. A date is published when its report is written, and dates are
     published in order; a failure surfaces before the next report starts, and
     a re-run resumes at the first date that is not published.
     """
+    if scope not in SCOPES:
+        raise ValueError(f"scope {scope!r} is none of {SCOPES}")
     days = sorted(set(dates if dates is not None else source.dates()))
     if not days:
         return []
@@ -415,12 +473,12 @@ def run(spark: SparkSession, source: DailySource, wh: Warehouse, dates=None,
         for k, day in enumerate(days):
             prev = max([d for d in [*loaded, *days[:k]] if d < day], default=None)
             batch = wh.batch(on)
-            load_day(spark, source, batch, day, prev, parallel, archive[day])
+            load_day(spark, source, batch, day, prev, parallel, archive[day], scope)
             if pending is not None:
                 pending.result()
 
             def finish(batch=batch, day=day):
-                report_day(spark, source, batch, day, keep_ledger=day not in asked)
+                report_day(spark, source, batch, day, keep_ledger=day not in asked, scope=scope)
                 batch.publish()
 
             pending, on = background.submit(finish), batch

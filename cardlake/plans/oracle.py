@@ -358,7 +358,8 @@ def _c(extra: dict[str, str] | None = None) -> dict[str, str]:
 # Per-key SQL
 # ---------------------------------------------------------------------------
 
-def _accumulated() -> str:
+def _accumulated(own_day: bool = False) -> str:
+    """Three dates' reports over all operations so far, or only the rows that each date's own operations make."""
     ctes = _c()
     for name in SPECS:
         h, _ = history_ctes(name, 3)
@@ -370,13 +371,37 @@ def _accumulated() -> str:
                                 f"terminal FROM fx_fact_s WHERE trans_day <= DATE '{day}'")
         ctes.update(enrich_ctes(f"r{n}", f"acc_fact{n}", f"cards_h{n}", f"accounts_h{n}",
                                 f"clients_h{n}", f"terminals_h{n}", f"blacklist_d{n}"))
-        ctes[f"rep{n}"] = report_sql(f"r{n}_flagged", day)
+        of = f"trans_id IN (SELECT trans_id FROM fx_fact_s WHERE trans_day = DATE '{day}')" if own_day else "TRUE"
+        ctes[f"own{n}"] = f"SELECT * FROM r{n}_flagged WHERE {of}"
+        ctes[f"rep{n}"] = report_sql(f"own{n}", day)
     final = " UNION ALL ".join(
         f"SELECT {_d('event_dt')}, passport, fio, phone, event_type, {_d('report_dt')} FROM rep{n}"
         for n in (1, 2, 3))
     return _with(ctes, final)
 
 
+def _deduped() -> str:
+    """Lookups with second versions, of which the newest (or greatest) counts."""
+    ctes = {**PART_C}
+    one = "QUALIFY row_number() OVER (PARTITION BY {} ORDER BY {} DESC NULLS LAST) = 1"
+    again = "UNION ALL SELECT * REPLACE ({}) FROM {} WHERE CAST({} AS BIGINT) % 5 = 0"
+    ctes["two_acc"] = (f"SELECT *, 0 AS v FROM fx_accounts UNION ALL SELECT * REPLACE (CAST(valid_to - INTERVAL 30 DAY AS DATE) AS valid_to), 1 "
+                       f"FROM fx_accounts WHERE CAST(account_num AS BIGINT) % 5 = 0")
+    ctes["one_acc"] = f"SELECT * FROM two_acc {one.format('account_num', 'v')}"
+    ctes["two_trm"] = f"SELECT * FROM fx_terminals {again.format("'CITY_Z' AS terminal_city", 'fx_terminals', 'terminal_id')}"
+    ctes["one_trm"] = f"SELECT terminal_id, max(terminal_city) AS terminal_city FROM two_trm GROUP BY terminal_id"
+    ctes["two_cli"] = f"SELECT * FROM fx_clients {again.format("phone || '0' AS phone", 'fx_clients', 'client_id')}"
+    ctes["one_cli"] = f"SELECT * FROM two_cli {one.format('client_id', 'phone')}"
+    ctes["one_bl"] = "SELECT passport, CAST(max(entry_dt) + INTERVAL 1 DAY AS DATE) AS black_list_dt FROM fx_blacklist GROUP BY passport"
+    return _with(ctes, f"""
+        SELECT f.trans_id, f.card_num, terminal_city, c.account_num, {_d('a.valid_to')}, client_id,
+               coalesce(last_name, '') || ' ' || coalesce(first_name, '') || ' ' || coalesce(patronymic, '') AS fio,
+               passport_num, phone, {_d('black_list_dt')}
+        FROM fx_fact f LEFT JOIN fx_cards c ON c.card_num = f.card_num
+             LEFT JOIN one_acc a ON a.account_num = c.account_num LEFT JOIN one_cli ON client_id = a.client
+             LEFT JOIN one_bl ON passport = passport_num LEFT JOIN one_trm tr ON tr.terminal_id = f.terminal""")
+
+
 def _empty_rerun() -> str:
     """Day 2 reported over day 1's transactions, with no blacklist."""
     ctes = _c()
@@ -533,6 +558,7 @@ def build() -> dict[str, str]:
             SELECT trans_id, card_num, {_dbl('amt')}, terminal_city, account_num,
                    {_d('valid_to')}, client_id, fio, passport_num, {_d('passport_valid_to')},
                    phone, {_d('black_list_dt')} FROM c_enriched"""),
+        "txn_enriched_deduped": _deduped(),
         "blacklist_fanout": _with(PART_C, f"""
             SELECT card_num, client_id, passport_num, {_d('entry_dt', 'black_list_dt')}
             FROM fx_cards JOIN fx_accounts USING (account_num) LEFT JOIN fx_clients ON client_id = client
@@ -556,6 +582,7 @@ def build() -> dict[str, str]:
         "fraud_report": _with(_c({"rep": report_sql("c_flagged", str(fx.REPORT_DT))}), f"""
             SELECT {_d('event_dt')}, passport, fio, phone, event_type, {_d('report_dt')} FROM rep"""),
         "fraud_report_accumulated": _accumulated(),
+        "fraud_report_day": _accumulated(own_day=True),
     }
 
 

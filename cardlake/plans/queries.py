@@ -278,6 +278,20 @@ def q_txn_enriched(spark, sf_dir):
                               "passport_valid_to", "phone", "black_list_dt"))
 
 
+def q_txn_enriched_deduped(spark, sf_dir):
+    """J3, J9 with ``dedupe``: every fifth account, terminal and client has a second current version, every passport a second entry."""
+    t = fx.Tables(spark, sf_dir)
+    d = _part_c_dims(t)
+    twice = lambda df, key, **changed: df.unionByName(
+        df.where(f"CAST({key} AS BIGINT) % 5 = 0").withColumns({c: F.expr(sql) for c, sql in changed.items()}))
+    d["accounts_hist"] = twice(d["accounts_hist"], "account_num", valid_to="date_sub(valid_to, 30)", effective_from="effective_from + INTERVAL 1 DAY")
+    d["terminals_hist"] = twice(d["terminals_hist"], "terminal_id", terminal_city="'CITY_Z'")
+    d["clients_hist"] = twice(d["clients_hist"], "client_id", phone="concat(phone, '0')")
+    d["blacklist"] = d["blacklist"].unionByName(d["blacklist"].withColumn("entry_dt", F.expr("date_add(entry_dt, 1)")))
+    return for_check(enrich(fx.fact_transactions(t), **d, dedupe=True).select(
+        "trans_id", "card_num", "terminal_city", "account_num", "valid_to", "client_id", "fio", "passport_num", "phone", "black_list_dt"))
+
+
 def q_blacklist_fanout(spark, sf_dir):
     """A card's profile has a row for each blacklist entry of its client's passport."""
     d = _part_c_dims(fx.Tables(spark, sf_dir))
@@ -373,6 +387,13 @@ def q_fraud_report_accumulated(spark, sf_dir):
     return for_check(wh.read_report())
 
 
+def q_fraud_report_day(spark, sf_dir):
+    """R5, R6 with scope "day": three daily batches, each reporting its own operations from card tails."""
+    wh = Warehouse(spark, scratch_dir(spark, "day_scope"))
+    run(spark, fx.FixtureSource(spark, sf_dir), wh, scope="day")
+    return for_check(wh.read_report())
+
+
 QUERIES: dict[str, Query] = {
     "daily_dates": q_daily_dates,
     "stage_accounts": q_stage_accounts,
@@ -403,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "empty_rerun": q_empty_rerun,
     "dim_current": q_dim_current,
     "txn_enriched": q_txn_enriched,
+    "txn_enriched_deduped": q_txn_enriched_deduped,
     "blacklist_fanout": q_blacklist_fanout,
     "win_city_span_1h": q_win_city_span_1h,
     "win_count_20m": q_win_count_20m,
@@ -417,4 +439,5 @@ QUERIES: dict[str, Query] = {
     "scalar_event_day": q_scalar_event_day,
     "fraud_report": q_fraud_report,
     "fraud_report_accumulated": q_fraud_report_accumulated,
+    "fraud_report_day": q_fraud_report_day,
 }
