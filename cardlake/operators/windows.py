@@ -21,7 +21,8 @@ in proportion to its rows, however dense they are:
   any length: for them the lags run once more per card, over the first and
   last two rows of each bucket, at most four rows a bucket.
 
-``city_span`` gives the least and greatest city themselves. Rows without a
+``city_span`` gives the least and greatest city themselves, from running
+aggregates over clock hours. Rows without a
 timestamp sort last (ledger Q17); they are peers and share one bucket.
 """
 
@@ -107,8 +108,23 @@ def with_windows(enriched: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> D
 
 
 def city_span(enriched: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Least and greatest known city of the last hour, peers included."""
-    hour = f"{_KEY} ORDER BY _us ASC NULLS LAST RANGE BETWEEN {CITY_WINDOW_SECONDS * US} PRECEDING AND CURRENT ROW"
+    """Least and greatest known city of the last hour, peers included.
+
+    The last hour of a row is the beginning of its clock hour up to the row,
+    and the end of the clock hour before it. Both are running aggregates, the
+    second one with time turned round: there the row stands for itself once
+    more, an hour earlier and without a city. So the cost does not depend on
+    how many rows an hour has.
+    """
+    hour = CITY_WINDOW_SECONDS * US
+    out = [f"`{c}`" for c in enriched.columns]
+    running = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    upto, since = (f"{_KEY}, _hour ORDER BY _us {way} NULLS LAST {running}" for way in ("ASC", "DESC"))
     return (bucketed(enriched, bucket_seconds)
-            .selectExpr("*", f"min(terminal_city) OVER ({hour}) AS city_min_1h", f"max(terminal_city) OVER ({hour}) AS city_max_1h")
-            .where("_own").selectExpr(*[f"`{c}`" for c in enriched.columns], "city_min_1h", "city_max_1h"))
+            .selectExpr("*", f"(_us - pmod(_us, {hour})) div {hour} AS _hour")
+            .selectExpr("*", f"min(terminal_city) OVER ({upto}) AS _min", f"max(terminal_city) OVER ({upto}) AS _max")
+            .selectExpr("*", "explode(IF(_own, array(FALSE, TRUE), array(FALSE))) AS _again")
+            .selectExpr(*out, "_card", "_bucket", "_again", "_min", "_max", "IF(_again, NULL, terminal_city) AS _city",
+                        f"IF(_again, _us - {hour}, _us) AS _us", "IF(_again, _hour - 1, _hour) AS _hour")
+            .selectExpr("*", f"min(_city) OVER ({since}) AS _min_before", f"max(_city) OVER ({since}) AS _max_before")
+            .where("_again").selectExpr(*out, "least(_min, _min_before) AS city_min_1h", "greatest(_max, _max_before) AS city_max_1h"))
