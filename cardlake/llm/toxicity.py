@@ -14,7 +14,10 @@ its distinct tokens.
 The kernel is approximated from ``LANDMARKS`` landmark tokens (Nyström: the
 landmark similarities, whitened by the landmarks' own kernel matrix), and a
 linear support vector machine is trained on the sentences of labelled
-documents. A clean document's sentences are all clean. Of a toxic document
+documents: at most ``SAMPLE_ROWS`` of them, of at most ``SAMPLE_CHARS``
+characters, and of a clean one at most 40 distinct sentences, drawn by a
+seeded generator (the fit alone; every sentence of every document is scored).
+A clean document's sentences are all clean. Of a toxic document
 only the document is known to be toxic, so its sentences get their labels in
 rounds: at first those with a token unknown to clean documents, then those
 that the machine itself finds toxic, the best one at least. A document's

@@ -50,24 +50,25 @@ def test_gapped_and_inserted_characters():
     assert all(score[x] < 0.5 for x in t[5:])
 
 
-def test_kernel_is_the_gap_weighted_subsequence_kernel():
-    def brute(a, b):
-        def weights(w):
-            out = {}
-            for i in range(len(w)):
-                for j in range(i + 1, len(w)):
-                    for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
-                        out[w[i] + w[j] + w[k]] = out.get(w[i] + w[j] + w[k], 0) + toxicity.DECAY ** (k - i + 1)
-            return out
-        x, y = weights(toxicity.START + a), weights(toxicity.START + b)
-        dot = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
-        return (dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5) ** toxicity.POWER if x and y else 0.0
+def plain_kernel(a, b):
+    def weights(w):
+        out = {}
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
+                    out[w[i] + w[j] + w[k]] = out.get(w[i] + w[j] + w[k], 0) + toxicity.DECAY ** (k - i + 1)
+        return out
+    x, y = weights(toxicity.START + a), weights(toxicity.START + b)
+    dot = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
+    return (dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5) ** toxicity.POWER if x and y else 0.0
+
 
+def test_kernel_is_the_gap_weighted_subsequence_kernel():
     marks, words = ["moron", "banana", "lo"], ["moron", "mooron", "oron", "bananas", "nab", "a", "é", "lo" * 20]
     got = toxicity.Kernel(marks)(words)
     for k, w in enumerate(words):
         for j, m in enumerate(marks):
-            assert got[k, j] == pytest.approx(brute(w, m), abs=1e-5)
+            assert got[k, j] == pytest.approx(plain_kernel(w, m), abs=1e-5)
 
 
 @pytest.mark.parametrize("module", [quality, toxicity])
@@ -179,3 +180,119 @@ def test_quality_fit_by_plain_loops(monkeypatch):
                 vec[f] = vec[f] - w * rate / norm * 0.1 * back
     assert np.allclose(got.logit, vec @ (layer[:, 1] - layer[:, 0]), atol=1e-3)
     assert np.abs(got.logit).max() > 0.01
+
+
+# -- toxicity: sentences, margins, the support vector machine and document scores against plain loops -------------------
+
+TEXTS = ["One two. Three, three! f o u r five?\nSix", "", "...", " ".join(f"w{k}" for k in range(70)), "a b c", "It's m.o.r.o.n\u3000x", "no end", "A.B. c d"]
+
+
+def plain_sentences(text):
+    """Token sets, by a walk over the characters."""
+    parts, now, k = [], "", 0
+    while k < len(text):
+        j = k
+        while j < len(text) and text[j] in ".!?":
+            j += 1
+        white = j
+        while white < len(text) and text[white].isspace():
+            white += 1
+        if white > j and (j > k or "\n" in text[j:white]):  # a stop and white space, or a line end
+            parts.append(now)
+            now, k = "", white
+        elif j > k:
+            k = j
+        else:
+            now += text[k]
+            k += 1
+    out = []
+    for part in [*parts, now]:
+        kept = "".join(c for c in part.lower() if c not in toxicity.string.punctuation)
+        words, own, run = kept.split(), [], ""
+        for w in words:
+            if len(w) == 1:
+                run += w
+            else:
+                own += [run, w] if run else [w]
+                run = ""
+        own += [run] if run else []
+        out += [set(own[k:k + toxicity.PIECE]) for k in range(0, len(own), toxicity.PIECE)]
+    return out or [set()]
+
+
+def test_toxicity_sentences_by_plain_loops():
+    for t in TEXTS:
+        assert toxicity.sentences_of(t) == plain_sentences(t), t
+
+
+def plain_margins(model, text):
+    """Every landmark's part of every token of every sentence, one by one."""
+    out = []
+    for s in plain_sentences(text):
+        total = model.bias
+        for token in s:
+            for landmark, beta in zip(model.landmarks, model.beta, strict=True):
+                total += beta * plain_kernel(token, landmark)
+        out.append(total if s else toxicity.FLOOR)
+    return out
+
+
+def test_toxicity_margins_and_scores_by_plain_loops():
+    rng = np.random.default_rng(5)
+    marks = ["moron", "three", "w12", "five"]
+    model = toxicity.Model(marks, rng.normal(size=4), -0.3, np.array([1.1, 0.4, 0.2, -0.5, -0.1]))
+    split = [toxicity.sentences_of(t) for t in TEXTS]
+    words = sorted(set().union(*(s for own in split for s in own)))
+    got = model.margins(split, dict(zip(words, model.token_margins(words).tolist(), strict=True)))
+    scores = toxicity.text_scores(model, TEXTS, "plain")
+    for t, mine, score in zip(TEXTS, got, scores, strict=True):
+        want = plain_margins(model, t)
+        assert mine.tolist() == pytest.approx(want, abs=1e-4), t
+        top = [min(2.0, max(-2.0, m)) for m in sorted([*want, *[toxicity.FLOOR] * 3], reverse=True)[:3]]
+        if len(want) < 3:  # a sentence that is not there comes after those that are
+            top = [min(2.0, max(-2.0, m)) for m in [*sorted(want, reverse=True), *[toxicity.FLOOR] * 3][:3]]
+        z = sum(w * v for w, v in zip(model.weights, [*top, np.log(len(want)), 1.0], strict=True))
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4), t
+
+
+def test_toxicity_svm_by_plain_loops(monkeypatch):
+    """Every step adds the subgradient of the hinge loss of the mini-batch; the second half of the steps is averaged."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 4)
+    rng = np.random.default_rng(6)
+    x, cost = rng.normal(size=(150, 3)), rng.uniform(0, 2, 150)
+    y = np.where(x[:, 0] - x[:, 1] + rng.normal(size=150) / 4 > 0.2, 1.0, -1.0)
+    got_w, got_b = toxicity.svm(x, y, cost, np.random.default_rng(9))
+    order, w, b, steps = np.random.default_rng(9), [0.0] * 3, 0.0, []
+    for epoch in range(4):
+        for part in np.array_split(order.permutation(150), 2):
+            rate = 0.5 / (1 + 0.02 * len(steps)) ** 0.5
+            down, down_b = [0.0] * 3, 0.0
+            for k in part:
+                if y[k] * (sum(p * q for p, q in zip(w, x[k], strict=True)) + b) < 1:
+                    down = [d + cost[k] * y[k] * v for d, v in zip(down, x[k], strict=True)]
+                    down_b += cost[k] * y[k]
+            w = [v * (1 - rate * 1e-4) + rate / 16 * d for v, d in zip(w, down, strict=True)]
+            b += rate / 16 * down_b
+            steps.append((epoch, *w, b))
+    late = np.array([s[1:] for s in steps if s[0] >= 2])
+    assert np.allclose([*got_w, got_b], late.mean(axis=0))
+    assert np.mean(np.sign(x @ got_w + got_b) == y) > 0.9
+
+
+def test_toxicity_document_weights_are_the_least_of_the_loss():
+    """No small change of a weight lowers the ridge-penalised log loss."""
+    rng = np.random.default_rng(7)
+    margins = [rng.normal(size=rng.integers(1, 6)) + 2 * (k % 2) for k in range(200)]
+    label = np.array([k % 2 for k in range(200)])
+    features = toxicity.document_features(margins)
+    w = toxicity.logistic(features, label)
+
+    def loss(w):
+        total = sum(0.5 * r * v * v for r, v in zip([1, 1, 1, 1, 1e-3], w, strict=True))
+        for f, y in zip(features, label, strict=True):
+            z = float(f @ w)
+            total += (1 + y) * (np.log1p(np.exp(-abs(z))) + max(z, 0) - y * z)
+        return total
+
+    for d in np.eye(5):
+        assert loss(w) <= min(loss(w + 1e-3 * d), loss(w - 1e-3 * d))
