@@ -191,7 +191,8 @@ def _classify(rows: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
             "_k", "_id", "_kind", *_cols(spec),
             f"CASE _kind WHEN 'kept' THEN effective_from WHEN 'new' THEN {new_start} ELSE {start} END AS effective_from",
             f"CASE WHEN _kind <> 'kept' THEN {OPEN} WHEN {gone} AND effective_to = {OPEN} THEN {a_of} ELSE effective_to END AS effective_to",
-            f"CASE WHEN _kind <> 'kept' THEN FALSE WHEN {gone} THEN TRUE ELSE deleted_flg END AS deleted_flg")
+            f"CASE WHEN _kind <> 'kept' THEN FALSE WHEN {gone} THEN TRUE ELSE deleted_flg END AS deleted_flg",
+            "effective_to AS _was_to", "deleted_flg AS _was_deleted")
 
 
 def _kind(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec, kind: str) -> DataFrame:
@@ -239,6 +240,11 @@ def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
     next start; rows with a NULL key or NULL ``effective_from`` keep their
     ``effective_to``.
     """
+    return _restitch(history, spec)
+
+
+def _restitch(history: DataFrame, spec: Scd2Spec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``restitch``; columns ``keep`` stay."""
     rows = history if "_id" in history.columns else _keyed(history, spec)
     tie = ", ".join(f"'{c}', {_q(c)}" for c in [*spec.attrs, "deleted_flg", "effective_to", "_id"])
     us = "unix_micros(effective_from)"
@@ -254,34 +260,57 @@ def restitch(history: DataFrame, spec: Scd2Spec) -> DataFrame:
     return rows.join(after, ["_k", "effective_from"], "left").selectExpr(
         *_cols(spec), "effective_from",
         f"CASE WHEN _last IS NULL THEN effective_to WHEN deleted_flg THEN least(effective_to, {end}) ELSE {end} END AS effective_to",
-        "deleted_flg")
+        "deleted_flg", *keep)
 
 
 #: Rows of a key, history and staging together, up to which they are one window's work.
 HOT_ROWS = 100_000
 
 
-def _restitch_over_key(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """``restitch`` as a window over the key, in the same order."""
+#: What a row of the next history was before the batch, and the test for rows that the batch left as they were.
+_PAST = ("_k", "_kind", "_was_to", "_was_deleted")
+_SAME = "_kind = 'kept' AND effective_to <=> _was_to AND deleted_flg <=> _was_deleted"
+
+
+def _restitch_over_key(rows: DataFrame, spec: Scd2Spec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``_restitch`` as a window over the key, in the same order."""
     order = ", ".join(["effective_from IS NULL", "effective_from", *map(_q, spec.attrs), "deleted_flg", "effective_to"])
     end = f"coalesce(lead(effective_from) OVER (PARTITION BY _k ORDER BY {order}), {OPEN})"
     return rows.selectExpr("*", f"{end} AS _end").selectExpr(
         *_cols(spec), "effective_from",
         "CASE WHEN effective_from IS NULL THEN effective_to WHEN deleted_flg THEN least(effective_to, _end) ELSE _end END AS effective_to",
-        "deleted_flg")
+        "deleted_flg", *keep)
+
 
+def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec, hot_rows: int = HOT_ROWS, touched_only: bool = False) -> DataFrame:
+    """Next history snapshot from the previous one and a full staging snapshot (runs a count of the keys).
 
-def scd2_apply(history: DataFrame, staging: DataFrame, as_of, spec: Scd2Spec, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Next history snapshot from the previous one and a full staging snapshot (runs a count of the keys)."""
+    With ``touched_only`` the rows of those keys alone of which the batch adds or alters a row: in place of the
+    keys' rows in ``history`` they make the next one.
+    """
+    keep = _PAST if touched_only else ()
     rows = _union_rows(history, staging, spec)
     hot = rows.groupBy("_k").count().where(f"count > {hot_rows} OR _k = ''").select("_k")
     if hot.isEmpty():
-        return _restitch_over_key(_classify(_facts_over_key(rows, spec), as_of, spec), spec)
+        return _usual(rows, as_of, spec, keep)
     hot = _written(hot, "hot-keys")
-    usual = _restitch_over_key(_classify(_facts_over_key(rows.join(hot, "_k", "left_anti"), spec), as_of, spec), spec)
+    usual = _usual(rows.join(hot, "_k", "left_anti"), as_of, spec, keep)
     some = _written(rows.join(hot, "_k", "left_semi"), "hot-rows")
-    found = _written(_classify(some.join(_key_facts(some, spec), "_k"), as_of, spec).drop("_kind"), "hot-classified")
-    return usual.unionByName(restitch(found, spec))
+    found = _written(_classify(some.join(_key_facts(some, spec), "_k"), as_of, spec), "hot-classified")
+    stitched = _restitch(found, spec, keep)
+    if touched_only:
+        stitched = _written(stitched, "hot-stitched")
+        altered = stitched.where(f"NOT ({_SAME})").select("_k").distinct()
+        stitched = stitched.join(altered, "_k", "left_semi").select(spec.columns)
+    return usual.unionByName(stitched)
+
+
+def _usual(rows: DataFrame, as_of, spec: Scd2Spec, keep: tuple[str, ...]) -> DataFrame:
+    """The next history of keys of usual size, or with ``keep`` of those that the batch touched, in one exchange."""
+    stitched = _restitch_over_key(_classify(_facts_over_key(rows, spec), as_of, spec), spec, keep)
+    if not keep:
+        return stitched
+    return stitched.selectExpr("*", f"max(NOT ({_SAME})) OVER (PARTITION BY _k) AS _touched").where("_touched").select(spec.columns)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -290,6 +319,20 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merged(first: DataFrame, later: DataFrame, spec: Scd2Spec, several: bool = True) -> DataFrame:
+    """A history from its stored parts: of each key the rows of the newest part that has it.
+
+    The first part keeps the keys that no later one has; only the key column of the others meets it. ``later`` tells
+    its parts apart by ``_level``, if it has ``several``.
+    """
+    key = f"coalesce(concat('k', {_q(spec.key)}), '') AS _k"
+    first, later = first.selectExpr("*", key), later.selectExpr("*", key)
+    kept = first.join(later.select("_k"), "_k", "left_anti")
+    if several:
+        later = later.join(later.groupBy("_k").agg(F.max("_level").alias("_newest")), "_k").where("_level = _newest")
+    return kept.select(spec.columns).unionByName(later.select(spec.columns))
+
+
 def initial_history(staging: DataFrame, as_of, spec: Scd2Spec) -> DataFrame:
     """First load: ``scd2_apply`` on an empty history."""
     schema = (staging.select(spec.key, *spec.attrs).schema

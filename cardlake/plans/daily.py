@@ -5,7 +5,7 @@ version folder ``v=...``; ``commits`` says which of them are current
 (``plans.commits``):
 
 ``stg/<table>/v=...``                    staging of each date (K2), kept as an archive; equal content is stored once
-``dim/<name>/v=...``                     full SCD2 history as of a batch (K3)
+``dim/<name>/v=...``                     SCD2 history as of a batch (K3): parts, each with the keys that some batches touched
 ``fact_transactions/v=.../load_dt=.../src=...``  transactions of a batch, by input file (K4)
 ``fact_passport_blacklist/v=...``        blacklist snapshot as of a batch (K5)
 ``rep_fraud/v=...``                      report rows stamped with the batch (K6)
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import re
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -41,12 +42,13 @@ from pyspark.sql import types as T
 
 from cardlake.operators import tails
 from cardlake.operators.report import flagged_day, fraud_report, report
-from cardlake.operators.scd2 import SPECS, scd2_apply
+from cardlake.operators.scd2 import HOT_ROWS, SPECS, merged, scd2_apply
 from cardlake.plans.commits import CommitLog, Entry, Key, new_id
 from cardlake.schemas import conform, empty, empty_frame, struct_type
 from cardlake.sources import staging as stg
 from cardlake.sources.files import LEDGER_SCHEMA, expected_file_names, remove
 
+_VERSION = re.compile(r"(.*/v=[0-9a-f]{12})")
 SNAPSHOTS = ("stg_clients", "stg_accounts", "stg_cards")
 #: What a date's report covers: every loaded operation up to the date (Q10), or the date's own.
 SCOPES = ("all", "day")
@@ -144,15 +146,63 @@ class Tables:
         return {e.table.removeprefix("stg/") for e in list(self.entries.values()) if e.load_dt == str(day) and e.table.startswith("stg/")}
 
     # -- dimensions --------------------------------------------------------
+    def load_dim(self, name: str, day, staging: DataFrame, prev=None, hot_rows: int = HOT_ROWS) -> None:
+        """Carry a dimension from the date ``prev`` on to ``day``: only the rows of touched keys are written.
+
+        A history is a list of parts, oldest first; a key's rows are those of the newest part that has the key. Parts
+        never change. A new part goes behind those of ``prev``, which both dates then share. It is put together with
+        the parts before it that are less than twice its size, so sizes at least halve along the list: it has few
+        parts, and a row is written again only a logarithmic number of times. A batch that touches no key adds none.
+        """
+        spec, table = SPECS[name], f"dim/{name}"
+        base = self.entries.get((str(prev), table, "")) if prev is not None else None
+        if base is None:
+            self.write_dim(name, day, scd2_apply(empty(self.spark, spec.table).select(spec.columns), staging, day, spec, hot_rows), prev)
+            return
+        touched = scd2_apply(self.read_dim(name, prev), staging, day, spec, hot_rows, touched_only=True)
+        version, parts = self._version(), list(zip(base.folders, base.sizes, strict=True))
+        new = self._write_part(name, touched, len(parts))
+        if new[1]:
+            n, size = len(parts), new[1]
+            while n and 2 * size > parts[n - 1][1]:
+                n, size = n - 1, size + parts[n - 1][1]
+            if n < len(parts):
+                alone, new = new, self._write_part(name, self._parts(name, [p for p, _ in [*parts[n:], new]]), n)
+                remove(self.spark, self.path(alone[0]))
+            parts = [*parts[:n], new]
+        else:
+            remove(self.spark, self.path(new[0]))
+        self._add([Entry.of_parts(str(day), table, parts, version, self.version_of(prev))])
+
     def write_dim(self, name: str, day, history: DataFrame, prev=None) -> None:
-        """``prev`` is the date whose history this one was built on."""
-        self._write(day, f"dim/{name}", conform(history, SPECS[name].table), parent=self.version_of(prev))
+        """A whole history, as one part; ``prev`` is the date whose history it was built on."""
+        version = self._version()
+        self._add([Entry.of_parts(str(day), f"dim/{name}", [self._write_part(name, history, 0)], version, self.version_of(prev))])
+
+    def _write_part(self, name: str, rows: DataFrame, level: int) -> tuple[str, int]:
+        """Folder and row count of a new part, the one with number ``level`` in its list."""
+        path, seen = f"dim/{name}/v={new_id()}", Observation()
+        conform(rows, SPECS[name].table).withColumn("_level", F.lit(level)).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(self.path(path))
+        return path, seen.get["n"]
+
+    def _parts(self, name: str, folders: list[str]) -> DataFrame:
+        """The history in some neighbouring parts, oldest first."""
+        spec = SPECS[name]
+        read = self.spark.read.schema(struct_type(spec.table).add("_level", T.IntegerType()))
+        first = read.parquet(self.path(folders[0]))
+        if len(folders) == 1:
+            return first.select(spec.columns)
+        return merged(first, read.parquet(*map(self.path, folders[1:])), spec, several=len(folders) > 2)
 
     def read_dim(self, name: str, as_of) -> DataFrame:
-        spec = SPECS[name]
-        if as_of is None:
-            return empty(self.spark, spec.table)
-        return self._read(f"dim/{name}", struct_type(spec.table), as_of).select(spec.columns)
+        found = None if as_of is None else self.entries.get((str(as_of), f"dim/{name}", ""))
+        if found is None:
+            return empty(self.spark, SPECS[name].table).select(SPECS[name].columns)
+        return self._parts(name, found.folders)
+
+    def read_dim_part(self, name: str, as_of) -> DataFrame:
+        """The newest part of a history: whole keys that the last batches touched."""
+        return self._parts(name, self.entries[(str(as_of), f"dim/{name}", "")].folders[-1:])
 
     def version_of(self, day, entries: dict[Key, Entry] | None = None) -> str | None:
         """The version of a date's histories (None: not loaded)."""
@@ -267,6 +317,27 @@ class Warehouse(Tables):
     def _add(self, entries: list[Entry]) -> None:
         self.log.publish(entries)
 
+    def vacuum(self, hours: float = 24) -> list[str]:
+        """Remove what the newest commit does not name: replaced and lost version folders, and earlier commits.
+
+        Only folders without a file younger than ``hours``, which must be longer than any run or reader takes: a run
+        under way has folders that no commit names yet. Files are listed, not read; returns the removed folders.
+        """
+        state, names = self.log.state(), self.log.names()
+        if not names:
+            return []
+        kept = {m.group(1) for e in state.values() for f in e.folders if (m := _VERSION.match(f))}
+        listed = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.root)
+                  .select(F.regexp_extract("path", r"^(.*/(?:v=[0-9a-f]{12}|commits/[0-9a-f-]+))/", 1).alias("folder"), "modificationTime")
+                  .groupBy("folder").agg(F.max("modificationTime").alias("newest"))
+                  .where(F.col("newest") < F.current_timestamp() - F.expr(f"make_dt_interval(0, 0, 0, {hours * 3600})")).collect())
+        below, gone = f"{self.root.split('://')[-1]}/", []
+        for folder in sorted(r.folder.split(below, 1)[1] for r in listed if below in r.folder):
+            if folder not in kept and folder != f"commits/{names[-1]}":
+                remove(self.spark, self.path(folder))
+                gone.append(folder)
+        return gone
+
     def batch(self, on: Tables | None = None) -> Batch:
         """Writes to be published together; reads see what ``on`` (the published tables, or an earlier batch) has, and the batch's own."""
         return Batch(self, on or self)
@@ -364,9 +435,7 @@ def load_day(spark: SparkSession, source: DailySource, batch: Tables, day: dt.da
         source.check(day)          # every input of the date exists before any write (Q19)
     frames = {t: f for t, f in _staged(source, day).items() if t not in set(archived)}
     staged = stage(batch, day, frames, parallel) | {t: batch.read_staging(t, day) for t in archived}
-    loads = [lambda name=name, spec=spec: batch.write_dim(
-        name, day, scd2_apply(batch.read_dim(name, prev), staged[f"stg_{name}"], day, spec), prev)
-        for name, spec in SPECS.items()]
+    loads = [lambda name=name: batch.load_dim(name, day, staged[f"stg_{name}"], prev) for name in SPECS]
 
     def facts() -> None:
         batch.write_fact(day, stg.to_fact(staged["stg_transactions"]))

@@ -460,6 +460,15 @@ def _history_key(name: str, ndays: int, current_only: bool = False) -> str:
     return _with(h, _hist_out(SPECS[name], src))
 
 
+def _touched_part(name: str) -> str:
+    """Day 2's versions of the keys whose versions differ from day 1's."""
+    h, last = history_ctes(name, 2)
+    key, first = SPECS[name].key, last[:-1] + "1"
+    h["touched"] = f"(FROM {last} EXCEPT ALL FROM {first}) UNION ALL (FROM {first} EXCEPT ALL FROM {last})"
+    h["part"] = f"SELECT * FROM {last} WHERE {key} IN (SELECT {key} FROM touched)"
+    return _with(h, _hist_out(SPECS[name], "part"))
+
+
 def _hot_key() -> str:
     """Two dates of clients of which two thirds share a key; exact copies and ties as they come."""
     spec = SPECS["clients"]
@@ -552,6 +561,7 @@ def build() -> dict[str, str]:
         "scd2_hot_key": _hot_key(),
         "scd2_out_of_order": _history_key("clients", 3),
         "scd2_rebuild_archived": _history_key("clients", 3),
+        "scd2_touched_part": _touched_part("terminals"),
         "empty_rerun": _empty_rerun(),
         "dim_current": _history_key("clients", 3, current_only=True),
         "txn_enriched": _with(_c(), f"""

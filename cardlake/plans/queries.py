@@ -75,7 +75,7 @@ def _history_after(t: fx.Tables, name: str, days, staged=_staged_day, hot_rows:
     wh = Warehouse(t.spark, scratch_dir(t.spark, f"history-{name}")).batch()
     prev = None
     for day in days:
-        wh.write_dim(name, day, scd2.scd2_apply(wh.read_dim(name, prev), staged(t, name, day), day, scd2.SPECS[name], hot_rows), prev)
+        wh.load_dim(name, day, staged(t, name, day), prev, hot_rows)
         prev = day
     return wh.read_dim(name, prev)
 
@@ -355,6 +355,15 @@ def q_scd2_out_of_order(spark, sf_dir):
     return for_check(wh.read_dim("clients", D3))
 
 
+def q_scd2_touched_part(spark, sf_dir):
+    """The part of the terminals' history that day 2 adds, which has the touched keys only."""
+    t = fx.Tables(spark, sf_dir)
+    wh = Warehouse(spark, scratch_dir(spark, "touched_part")).batch()
+    wh.load_dim("terminals", D1, _staged_day(t, "terminals", D1))
+    wh.load_dim("terminals", D2, _staged_day(t, "terminals", D2), D1)
+    return for_check(wh.read_dim_part("terminals", D2))
+
+
 def q_scd2_rebuild_archived(spark, sf_dir):
     """The dates in order, then day 2 again and day 3 rebuilt, from a source that has only today's operational tables."""
     src = fx.TodaySource(spark, sf_dir)
@@ -421,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "scd2_hot_key": q_scd2_hot_key,
     "scd2_out_of_order": q_scd2_out_of_order,
     "scd2_rebuild_archived": q_scd2_rebuild_archived,
+    "scd2_touched_part": q_scd2_touched_part,
     "empty_rerun": q_empty_rerun,
     "dim_current": q_dim_current,
     "txn_enriched": q_txn_enriched,
