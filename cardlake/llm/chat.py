@@ -1,16 +1,11 @@
 """Chat formatting in budgeted windows, in DataFrame operations.
 
-A conversation's turns are put into windows of about ``BUDGET`` tokens that
-begin and end with a turn. Prefix sums of the turns' tokens choose the spans:
-with the steps of a grid of half the budget that is left beside system turn
-and history, a turn goes to the window in whose step it begins, so that a
-window of turns no longer than a step holds at most twice a step. A longer
-turn that would take its window beyond the budget has a window of its own
-instead. If the system turn leaves less than a 32nd of the budget for a step,
-every turn has. So only a single turn that does not fit beside the system turn
-makes a window exceed the budget; it is marked ``over_budget``, since turns
-are never cut. Windows of short turns are about half full: the grid needs no
-pass along the conversation.
+A conversation's turns are put into windows of at most ``BUDGET`` tokens that
+begin and end with a turn. Prefix sums of the turns' tokens choose the spans: a
+turn joins the window of the turn before it while the window's own turns fit
+beside system turn and history, and begins the next window otherwise. So only
+a single turn that does not fit beside the system turn makes a window exceed
+the budget; it is marked ``over_budget``, since turns are never cut.
 
 Every window begins with the conversation's system turn (its first turn, if
 of role ``system``) and repeats up to ``HISTORY`` tokens of the turns before
@@ -25,11 +20,14 @@ line ends become ``<|nl|>``.
 Tokens are counted as a quarter of the UTF-8 bytes of role and text, rounded
 up, and 4 for the template; ``tokens`` takes another expression.
 
-Prefix sums run in blocks of ``BLOCK`` turn numbers and over blocks, so a
-conversation with a large share of all rows is many windows' work.
+Prefix sums run in blocks of ``BLOCK`` turn numbers and over blocks, and a
+block begins with a window of its own, so a conversation with a large share of
+all rows is many tasks' work. A block of more rows than that (repeated turn
+numbers, as of rows without a conversation) is cut by turn, role and ranges of
+the text's MD5; only rows alike in all of these stay together.
 
-Defined cases: NULL texts and roles count as empty; turns are ordered by turn
-(NULL first), role, text; repeated rows are turns of their own; extra columns
+Defined cases: NULL texts and roles count as empty; very long texts are turns
+like others; turns are ordered by turn (NULL first), role, the text's MD5; repeated rows are turns of their own; extra columns
 are ignored; NULL conversation ids are one conversation; an empty table gives
 an empty result.
 """
@@ -51,35 +49,62 @@ def unescaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
+def _same(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """``a`` with the columns of ``b``, which has one row for each value of the keys (NULL is one)."""
+    b = b.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return a.join(b, on, "left").drop(*[f"_{k}" for k in keys])
+
+
 def turns_of(conversations: DataFrame, tokens: Column | None = None) -> DataFrame:
-    """Turns with escaped role and text, tokens, place in the conversation, and tokens of the turns before (system turn apart)."""
+    """Turns with tokens, their block, and place and tokens so far in it."""
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     tokens = tokens if tokens is not None else F.ceil((F.octet_length(role) + F.octet_length(text)) / 4) + 4
-    order = ["turn", "role", "text"]
     t = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"),
-                             tokens.cast("long").alias("tokens"))
-    block = F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK)
-    in_block = Window.partitionBy("conv_id", "block").orderBy(*order)
-    t = t.withColumn("block", block).withColumn("place", F.row_number().over(in_block)) \
+                             tokens.cast("long").alias("tokens")) \
+        .withColumn("of", F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK)).withColumn("md5", F.md5("text"))
+    full = t.groupBy("conv_id", "of").agg(F.ceil(F.count("*") / BLOCK).alias("ranges")).where("ranges > 1")
+    cut = F.expr("ranges IS NOT NULL")
+    place = F.floor(F.conv(F.substring("md5", 1, 8), 16, 10).cast("long") * F.col("ranges") / (1 << 32))
+    t = _same(t, full, "conv_id", "of").select(
+        "conv_id", "turn", "role", "text", "tokens", "md5",
+        F.struct("of", F.when(cut, F.col("turn")).alias("turn"), F.when(cut, F.col("role")).alias("role"), F.when(cut, place).alias("range")).alias("block"))
+    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "md5")
+    return t.withColumn("place", F.row_number().over(in_block)) \
         .withColumn("upto", F.sum("tokens").over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
-    # one row for each block; the system turn is in the first one
-    blocks = t.groupBy("conv_id", "block").agg(
+
+
+#: The places in a block that begin a window: turns are added to a window while they fit into what the budget leaves them.
+_STARTS = """aggregate(turns, named_struct('used', 0L, 'starts', cast(array() as array<int>)),
+    (a, x) -> if(size(a.starts) = 0 or a.used + x.tokens > reach,
+                 named_struct('used', x.tokens, 'starts', concat(a.starts, array(x.place))),
+                 named_struct('used', a.used + x.tokens, 'starts', a.starts)),
+    a -> a.starts)"""
+
+
+def blocks_of(turns: DataFrame, reach: int) -> DataFrame:
+    """conv_id, block: tokens before it, the places that begin a window, and the number of its first window; of the
+    conversation the tokens of the system turn and of all others."""
+    blocks = turns.groupBy("conv_id", "block").agg(
         F.sum("tokens").alias("sum"), F.count("*").alias("n"),
-        F.max(F.when((F.col("place") == 1) & (F.col("role") == "system"), F.col("tokens"))).alias("system"))
+        F.max(F.when((F.col("place") == 1) & (F.col("role") == "system"), F.col("tokens"))).alias("system"),
+        F.array_sort(F.collect_list(F.struct("place", "tokens"))).alias("turns"))
     over = Window.partitionBy("conv_id").orderBy("block")
-    past = over.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        F.col("conv_id").alias("of"), F.col("block").alias("of_block"), F.coalesce(F.sum("sum").over(past), F.lit(0)).alias("sum_before"),
-        F.coalesce(F.sum("n").over(past), F.lit(0)).alias("n_before"),
-        F.sum("sum").over(Window.partitionBy("conv_id")).alias("sum_all"), F.sum("n").over(Window.partitionBy("conv_id")).alias("n_all"),
-        F.coalesce(F.first("system").over(over), F.lit(0)).alias("system_tokens"))
-    t = t.join(blocks, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("block") == F.col("of_block"))) \
-        .withColumn("seq", F.col("n_before") + F.col("place"))
-    head = (F.col("seq") == 1) & (F.col("role") == "system")
-    return t.select("conv_id", "seq", F.replace(escaped(F.col("role")), F.lit("\n"), F.lit(LINE)).alias("role"),
-                    escaped(F.col("text")).alias("text"), (F.col("role") == "assistant").alias("assistant"), "tokens", head.alias("head"),
-                    F.greatest(F.lit(0), F.col("sum_before") + F.col("upto") - F.col("tokens") - F.col("system_tokens")).alias("before"),
-                    (F.col("sum_all") - F.col("system_tokens")).alias("total"), "n_all", "system_tokens")
+    past, whole = over.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("conv_id")
+    sums = blocks.drop("turns").select(
+        "conv_id", "block", F.coalesce(F.sum("sum").over(past), F.lit(0)).alias("sum_before"), F.coalesce(F.sum("n").over(past), F.lit(0)).alias("n_before"),
+        F.coalesce(F.first("system").over(over), F.lit(0)).alias("system_tokens"), F.first("system").over(over).isNotNull().alias("has_head"),
+        F.sum("sum").over(whole).alias("sum_all"), F.sum("n").over(whole).alias("n_all"))
+    b = _same(blocks.select("conv_id", "block", "turns"), sums, "conv_id", "block") \
+        .withColumn("first", F.col("has_head") & (F.col("n_before") == 0)) \
+        .withColumn("turns", F.expr("if(first, slice(turns, 2, size(turns)), turns)")) \
+        .withColumn("reach", F.lit(reach) - F.col("system_tokens")).withColumn("starts", F.expr(_STARTS)).drop("turns")
+    # a system turn alone is a window too
+    b = b.withColumn("windows", F.when(F.col("n_all") == 1, 1).otherwise(F.size("starts")))
+    opened = b.select("conv_id", "block", F.coalesce(F.sum("windows").over(past), F.lit(0)).alias("window_before"))
+    return _same(b, opened, "conv_id", "block")
 
 
 def windows_of(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Column | None = None) -> DataFrame:
@@ -91,36 +116,25 @@ def windows_of(conversations: DataFrame, budget: int = BUDGET, history: int = HI
     if history * 4 > budget:
         raise ValueError("history is limited to a quarter of the budget")
     turns = turns_of(conversations, tokens)
-    turns = turns.withColumn("reach", F.lit(budget - history) - F.col("system_tokens")).withColumn("step", F.greatest(F.lit(1), F.floor(F.col("reach") / 2)))
-    # beside a system turn that leaves next to nothing, every turn has a window of its own (from 0; the system turn is 1)
-    turns = turns.withColumn("tight", F.col("step") < max(2, budget // 32))
-
-    def grid(seq: Column, at: Column) -> Column:
-        return F.when(F.col("tight"), F.greatest(F.lit(0), seq - 2)).otherwise(F.floor(at / F.col("step")))
-
-    dealt = turns.withColumn("window", grid(F.col("seq"), F.col("before")))
-    # a turn that ends beyond the reach of its window's start ends beyond the next step too, where no other turn begins:
-    # it takes that step's window (but the first turn of a window stays)
-    of_step = Window.partitionBy("conv_id", "window")
-    stop = F.col("before") + F.col("tokens")
-    start = F.min(F.when(~F.col("head"), F.col("before"))).over(of_step)
-    dealt = dealt.withColumn("start", start) \
-        .withColumn("cut", ~F.col("head") & (F.col("before") > F.col("start")) & (stop > F.col("start") + F.col("reach")))
-    dealt = dealt.withColumn("end", F.max(F.when(~F.col("head") & ~F.col("cut"), stop)).over(of_step)) \
-        .withColumn("followed", F.max("cut").over(of_step) & ~F.col("cut")) \
-        .withColumn("end", F.when(F.col("cut"), stop).otherwise(F.col("end"))) \
-        .withColumn("next", F.when(F.col("followed"), F.col("window") + 1).otherwise(grid(F.col("seq") + 1, F.col("end")))) \
-        .withColumn("window", F.when(F.col("cut"), F.col("window") + 1).otherwise(F.col("window")))
-    recalled = ~F.col("head") & (F.col("end") < F.col("total")) & (F.col("end") - F.col("before") <= history)
+    blocks = blocks_of(turns, budget - history)
+    head = F.col("first") & (F.col("place") == 1)
+    t = _same(turns, blocks, "conv_id", "block").select(
+        "conv_id", (F.col("n_before") + F.col("place")).alias("seq"), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit(LINE)).alias("role"),
+        escaped(F.col("text")).alias("text"), (F.col("role") == "assistant").alias("assistant"), "tokens", head.alias("head"),
+        (F.col("sum_before") + F.col("upto") - F.col("tokens") - F.col("system_tokens")).alias("before"),
+        (F.col("sum_all") - F.col("system_tokens")).alias("total"),
+        F.expr("window_before + size(filter(starts, s -> s <= place)) - 1").alias("window"))
+    own = t.where("NOT head").withColumn("end", F.max(F.col("before") + F.col("tokens")).over(Window.partitionBy("conv_id", "window")))
+    recalled = (F.col("end") < F.col("total")) & (F.col("end") - F.col("before") <= history)
     # each turn once as itself and, near a window's end, once as the next window's history; the system turn in every window
-    uses = F.when(F.col("head"), F.expr("transform(sequence(0L, last), w -> struct(w as window, w > 0 as repeated))")) \
-        .otherwise(F.concat(F.array(F.struct(F.col("window"), F.lit(False).alias("repeated"))),
-                            F.when(recalled, F.array(F.struct(F.col("next").alias("window"), F.lit(True).alias("repeated"))))
-                            .otherwise(F.array().cast("array<struct<window:bigint,repeated:boolean>>"))))
-    # windows are numbered by the grid: a window that no turn begins in is left out below
-    last = F.when(F.col("tight"), F.col("n_all") - 2).otherwise(F.floor((F.col("total") - 1) / F.col("step")))
-    dealt = dealt.withColumn("last", F.greatest(F.lit(0), last))
-    rows = dealt.withColumn("u", F.explode(uses)).select("conv_id", "u.window", "u.repeated", "seq", "role", "text", "tokens", "assistant", "head")
+    itself, again = (F.struct((F.col("window") + k).alias("window"), F.lit(k > 0).alias("repeated")) for k in (0, 1))
+    columns = ["conv_id", "window", "repeated", "seq", "role", "text", "tokens", "assistant", "head"]
+    rows = own.withColumn("u", F.explode(F.when(recalled, F.array(itself, again)).otherwise(F.array(itself)))) \
+        .withColumn("window", F.col("u.window")).withColumn("repeated", F.col("u.repeated")).select(columns)
+    every = blocks.where("has_head AND windows > 0").select("conv_id", F.explode(F.expr(
+        "sequence(window_before, window_before + windows - 1)")).alias("window")).withColumn("repeated", F.col("window") > 0)
+    heads = t.where("head").select("conv_id", *columns[3:])
+    rows = rows.unionByName(_same(every, heads, "conv_id").select(columns))
     # history is left out of a window that would exceed the budget with it
     full = F.sum("tokens").over(Window.partitionBy("conv_id", "window"))
     rows = rows.withColumn("full", full).where(~F.col("repeated") | F.col("head") | (F.col("full") <= budget)).drop("full")

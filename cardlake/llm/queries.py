@@ -135,23 +135,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: The windows' contents need no SQL of their own: what is read back is the conversations' turns; only the formatted
 #: length depends on the windows, so they are built here as well.
 CHAT_SQL = """
-with given as (
+with recursive given as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
     union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
     union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 turns as (
     select *, ceil((strlen(role) + strlen(text)) / 4.0)::bigint + 4 as tokens,
-           row_number() over (partition by conv_id order by turn nulls first, role, text) as seq,
+           row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as seq,
            length(role) + length(replace(replace(text, '\\', '\\\\'), '<|', '<\\|')) + 24 as chars from given),
 heads as (select conv_id, tokens as system_tokens, chars as system_chars from turns where seq = 1 and role = 'system'),
 body as (
     select t.*, coalesce(system_tokens, 0) as system_tokens,
            sum(tokens) over (partition by t.conv_id order by seq) - tokens as before,
            sum(tokens) over (partition by t.conv_id) as total,
-           greatest(512, floor((2048 - 256 - coalesce(system_tokens, 0)) / 2)) as step
+           2048 - 256 - coalesce(system_tokens, 0) as reach, floor(coalesce(turn, -1) / 1024) as block,
+           row_number() over (partition by t.conv_id order by seq) as n
     from turns t left join heads h on t.conv_id = h.conv_id where not (seq = 1 and role = 'system')),
+walk as (
+    select conv_id, n, block, tokens as used, n as win from body where n = 1
+    union all
+    select b.conv_id, b.n, b.block, b.tokens + case when b.block = w.block and w.used + b.tokens <= b.reach then w.used else 0 end,
+           case when b.block = w.block and w.used + b.tokens <= b.reach then w.win else b.n end
+    from walk w join body b on b.conv_id = w.conv_id and b.n = w.n + 1),
 dealt as (
-    select *, floor(before / step) as win, max(before + tokens) over (partition by conv_id, floor(before / step)) as stop from body),
+    select b.*, win, max(before + b.tokens) over (partition by b.conv_id, win) as stop
+    from body b join walk w on b.conv_id = w.conv_id and b.n = w.n),
 lengths as (
     select conv_id, sum(chars) + sum(case when stop < total and stop - before <= 256 then chars else 0 end) as chars,
            count(distinct win) as wins from dealt group by conv_id),

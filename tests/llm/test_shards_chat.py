@@ -128,6 +128,52 @@ def test_windows_keep_the_budget(spark):
     assert not any(r.over_budget for r in got) and sum(r.tokens for r in got) > 0 and len(got) > 20
 
 
+def test_windows_of_short_turns_are_full(spark):
+    rows = [(c, t, "user" if t % 2 else "assistant", "w" * (40 + 7 * (t % 50))) for c in range(2) for t in range(4000)]
+    got = chat.windows_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).select("tokens").collect()
+    assert sum(r.tokens for r in got) / len(got) > 0.85 * chat.BUDGET
+
+
+def test_windows_equal_a_plain_loop(spark):
+    """Spans as a loop over each conversation's turns chooses them, block by block."""
+    given = conversations(spark)
+    by_conv = defaultdict(list)
+    for r in given.collect():
+        role, text = r.role or "", r.text or ""
+        by_conv[r.conv_id].append((r.turn is not None, r.turn or 0, role, hashlib.md5(text.encode()).hexdigest(), text, (-1 if r.turn is None else r.turn) // chat.BLOCK))
+    want = set()
+    for conv, turns in by_conv.items():
+        turns.sort()
+        size = [-(-len((x[2] + x[4]).encode()) // 4) + 4 for x in turns]
+        head = int(turns[0][2] == "system")
+        windows, used, reach = [], 0, chat.BUDGET - chat.HISTORY - (size[0] if head else 0)
+        for i in range(head, len(turns)):
+            if not windows or used + size[i] > reach or turns[i][5] != turns[i - 1][5]:
+                windows.append([])
+                used = 0
+            windows[-1].append(i)
+            used += size[i]
+        for k, w in enumerate(windows or [[]]):
+            past = []
+            if k:
+                past = [i for i in windows[k - 1] if sum(size[i:w[0]]) <= chat.HISTORY]
+            if head * size[0] + sum(size[i] for i in [*past, *w]) > chat.BUDGET:
+                past = []
+            want.add((conv, k, tuple((i + 1, bool(i not in w and (i or k)) if head else i not in w) for i in [*([0] if head else []), *past, *w])))
+    got = {(r.conv_id, r.window, tuple((s.seq, s.repeated) for s in r.spans)) for r in chat.windows_of(given).collect()}
+    assert got == want
+
+
+def test_a_hot_conversation_is_many_blocks(spark):
+    """A third of all turns without a conversation, on few turn numbers: no block has much over BLOCK of them, and all come back."""
+    rows = [(None, t % 3, "user" if t % 2 else "assistant", f"turn {t}") for t in range(9000)] + [(c, t, "user", f"{c} {t}") for c in range(600) for t in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    blocks = [r["count"] for r in chat.turns_of(df).groupBy("conv_id", "block").count().collect()]
+    assert max(blocks) <= 1.5 * chat.BLOCK
+    back = chat.turns_from(chat.windows_of(df)).select("conv_id", F.explode("turns").alias("t")).select("conv_id", "t.role", "t.text").collect()
+    assert sorted(map(tuple, back), key=repr) == sorted(((c, role, text) for c, _, role, text in rows), key=repr)
+
+
 def test_long_turns_keep_the_budget(spark):
     """Turns of 1,000 to 1,700 tokens among short ones, beside system turns of any length: only one that can't fit exceeds it."""
     rng = random.Random(11)
