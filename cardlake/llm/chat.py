@@ -49,29 +49,24 @@ def unescaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
-def _same(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
-    """``a`` with the columns of ``b``, which has one row for each value of the keys (NULL is one)."""
-    b = b.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return a.join(b, on, "left").drop(*[f"_{k}" for k in keys])
-
-
 def turns_of(conversations: DataFrame, tokens: Column | None = None) -> DataFrame:
-    """Turns with tokens, their block, and place and tokens so far in it."""
+    """Turns with tokens, their conversation's key (``conv_id`` without NULL), their block, and place and tokens so far in it.
+
+    Counts the rows of the blocks first: only if there are full ones, these are cut.
+    """
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     tokens = tokens if tokens is not None else F.ceil((F.octet_length(role) + F.octet_length(text)) / 4) + 4
-    t = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"),
+    key = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))
+    t = conversations.select("conv_id", key.alias("key"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"),
                              tokens.cast("long").alias("tokens")) \
         .withColumn("of", F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK)).withColumn("md5", F.md5("text"))
-    full = t.groupBy("conv_id", "of").agg(F.ceil(F.count("*") / BLOCK).alias("ranges")).where("ranges > 1")
-    cut = F.expr("ranges IS NOT NULL")
+    full = t.groupBy("key", "of").agg(F.ceil(F.count("*") / BLOCK).alias("ranges")).where("ranges > 1")
+    t = t.withColumn("ranges", F.lit(None).cast("long")) if full.isEmpty() else t.join(full, ["key", "of"], "left")
+    cut = F.col("ranges").isNotNull()
     place = F.floor(F.conv(F.substring("md5", 1, 8), 16, 10).cast("long") * F.col("ranges") / (1 << 32))
-    t = _same(t, full, "conv_id", "of").select(
-        "conv_id", "turn", "role", "text", "tokens", "md5",
-        F.struct("of", F.when(cut, F.col("turn")).alias("turn"), F.when(cut, F.col("role")).alias("role"), F.when(cut, place).alias("range")).alias("block"))
-    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "md5")
+    t = t.select("conv_id", "key", "turn", "role", "text", "tokens", "md5", F.struct(
+        "of", F.when(cut, F.col("turn")).alias("turn"), F.when(cut, F.col("role")).alias("role"), F.when(cut, place).alias("range")).alias("block"))
+    in_block = Window.partitionBy("key", "block").orderBy("turn", "role", "md5")
     return t.withColumn("place", F.row_number().over(in_block)) \
         .withColumn("upto", F.sum("tokens").over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
 
@@ -85,26 +80,26 @@ _STARTS = """aggregate(turns, named_struct('used', 0L, 'starts', cast(array() as
 
 
 def blocks_of(turns: DataFrame, reach: int) -> DataFrame:
-    """conv_id, block: tokens before it, the places that begin a window, and the number of its first window; of the
+    """key, block: tokens before it, the places that begin a window, and the number of its first window; of the
     conversation the tokens of the system turn and of all others."""
-    blocks = turns.groupBy("conv_id", "block").agg(
+    blocks = turns.groupBy("key", "block").agg(
         F.sum("tokens").alias("sum"), F.count("*").alias("n"),
         F.max(F.when((F.col("place") == 1) & (F.col("role") == "system"), F.col("tokens"))).alias("system"),
         F.array_sort(F.collect_list(F.struct("place", "tokens"))).alias("turns"))
-    over = Window.partitionBy("conv_id").orderBy("block")
-    past, whole = over.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("conv_id")
+    over = Window.partitionBy("key").orderBy("block")
+    past, whole = over.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("key")
     sums = blocks.drop("turns").select(
-        "conv_id", "block", F.coalesce(F.sum("sum").over(past), F.lit(0)).alias("sum_before"), F.coalesce(F.sum("n").over(past), F.lit(0)).alias("n_before"),
+        "key", "block", F.coalesce(F.sum("sum").over(past), F.lit(0)).alias("sum_before"), F.coalesce(F.sum("n").over(past), F.lit(0)).alias("n_before"),
         F.coalesce(F.first("system").over(over), F.lit(0)).alias("system_tokens"), F.first("system").over(over).isNotNull().alias("has_head"),
         F.sum("sum").over(whole).alias("sum_all"), F.sum("n").over(whole).alias("n_all"))
-    b = _same(blocks.select("conv_id", "block", "turns"), sums, "conv_id", "block") \
+    b = blocks.select("key", "block", "turns").join(sums, ["key", "block"]) \
         .withColumn("first", F.col("has_head") & (F.col("n_before") == 0)) \
         .withColumn("turns", F.expr("if(first, slice(turns, 2, size(turns)), turns)")) \
         .withColumn("reach", F.lit(reach) - F.col("system_tokens")).withColumn("starts", F.expr(_STARTS)).drop("turns")
     # a system turn alone is a window too
     b = b.withColumn("windows", F.when(F.col("n_all") == 1, 1).otherwise(F.size("starts")))
-    opened = b.select("conv_id", "block", F.coalesce(F.sum("windows").over(past), F.lit(0)).alias("window_before"))
-    return _same(b, opened, "conv_id", "block")
+    opened = b.select("key", "block", F.coalesce(F.sum("windows").over(past), F.lit(0)).alias("window_before"))
+    return b.join(opened, ["key", "block"])
 
 
 def windows_of(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Column | None = None) -> DataFrame:
@@ -118,34 +113,34 @@ def windows_of(conversations: DataFrame, budget: int = BUDGET, history: int = HI
     turns = turns_of(conversations, tokens)
     blocks = blocks_of(turns, budget - history)
     head = F.col("first") & (F.col("place") == 1)
-    t = _same(turns, blocks, "conv_id", "block").select(
-        "conv_id", (F.col("n_before") + F.col("place")).alias("seq"), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit(LINE)).alias("role"),
+    t = turns.join(blocks, ["key", "block"]).select(
+        "conv_id", "key", (F.col("n_before") + F.col("place")).alias("seq"), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit(LINE)).alias("role"),
         escaped(F.col("text")).alias("text"), (F.col("role") == "assistant").alias("assistant"), "tokens", head.alias("head"),
         (F.col("sum_before") + F.col("upto") - F.col("tokens") - F.col("system_tokens")).alias("before"),
         (F.col("sum_all") - F.col("system_tokens")).alias("total"),
         F.expr("window_before + size(filter(starts, s -> s <= place)) - 1").alias("window"))
-    own = t.where("NOT head").withColumn("end", F.max(F.col("before") + F.col("tokens")).over(Window.partitionBy("conv_id", "window")))
+    own = t.where("NOT head").withColumn("end", F.max(F.col("before") + F.col("tokens")).over(Window.partitionBy("key", "window")))
     recalled = (F.col("end") < F.col("total")) & (F.col("end") - F.col("before") <= history)
     # each turn once as itself and, near a window's end, once as the next window's history; the system turn in every window
     itself, again = (F.struct((F.col("window") + k).alias("window"), F.lit(k > 0).alias("repeated")) for k in (0, 1))
-    columns = ["conv_id", "window", "repeated", "seq", "role", "text", "tokens", "assistant", "head"]
+    columns = ["conv_id", "key", "window", "repeated", "seq", "role", "text", "tokens", "assistant", "head"]
     rows = own.withColumn("u", F.explode(F.when(recalled, F.array(itself, again)).otherwise(F.array(itself)))) \
         .withColumn("window", F.col("u.window")).withColumn("repeated", F.col("u.repeated")).select(columns)
-    every = blocks.where("has_head AND windows > 0").select("conv_id", F.explode(F.expr(
+    every = blocks.where("has_head AND windows > 0").select("key", F.explode(F.expr(
         "sequence(window_before, window_before + windows - 1)")).alias("window")).withColumn("repeated", F.col("window") > 0)
-    heads = t.where("head").select("conv_id", *columns[3:])
-    rows = rows.unionByName(_same(every, heads, "conv_id").select(columns))
+    heads = t.where("head").select(*(c for c in columns if c not in ("window", "repeated")))
+    rows = rows.unionByName(every.join(heads, "key").select(columns))
     # history is left out of a window that would exceed the budget with it
-    full = F.sum("tokens").over(Window.partitionBy("conv_id", "window"))
+    full = F.sum("tokens").over(Window.partitionBy("key", "window"))
     rows = rows.withColumn("full", full).where(~F.col("repeated") | F.col("head") | (F.col("full") <= budget)).drop("full")
     piece = F.concat(F.lit(OPEN), "role", F.lit("\n"), "text", F.lit(CLOSE))
-    in_window = Window.partitionBy("conv_id", "window").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    in_window = Window.partitionBy("key", "window").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("piece", piece).withColumn("at", F.coalesce(F.sum(F.length("piece")).over(in_window), F.lit(0)) + len(OPEN) + 1)
     span = F.struct("seq", "piece", F.col("at").cast("int").alias("role_at"), F.length("role").alias("role_length"),
                     (F.col("at") + F.length("role") + 1).cast("int").alias("text_at"), F.length("text").alias("text_length"),
                     "repeated", (F.col("assistant") & ~F.col("repeated")).alias("target"))
-    built = rows.groupBy("conv_id", "window").agg(
-        F.sort_array(F.collect_list(span)).alias("x"), F.sum("tokens").alias("tokens"),
+    built = rows.groupBy("key", "window").agg(
+        F.max("conv_id").alias("conv_id"), F.sort_array(F.collect_list(span)).alias("x"), F.sum("tokens").alias("tokens"),
         F.max(~F.col("repeated")).alias("own"))
     return built.where("own").select(
         "conv_id", "window", F.array_join("x.piece", "").alias("text"), "tokens", (F.col("tokens") > budget).alias("over_budget"),
