@@ -35,6 +35,8 @@ def main(argv=None) -> None:
                     help="also build every later date again that is already loaded (its history builds on these dates), from its archived staging")
     ap.add_argument("--report-scope", choices=SCOPES, default="all",
                     help="what a date's report covers: every operation loaded so far, or the date's own")
+    ap.add_argument("--vacuum-hours", type=float, metavar="HOURS",
+                    help="after the run, remove folders that no commit names any more and that nothing was written to for so long")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -50,6 +52,8 @@ def main(argv=None) -> None:
              else src.dates(ledger=wh.read_ledger()))
     dates = run(spark, src, wh, dates=dates, rebuild_later=a.rebuild_later, scope=a.report_scope)
     print(f"loaded {len(dates)} date(s): {', '.join(map(str, dates)) or '-'}")
+    if a.vacuum_hours is not None:
+        print(f"removed {len(wh.vacuum(a.vacuum_hours))} folder(s)")
 
 
 if __name__ == "__main__":

@@ -146,6 +146,10 @@ def test_command_line_run(spark, tmp_path):
     assert {r.report_dt for r in wh.read_report().select("report_dt").distinct().collect()} == {D1, D2}
     main(args)   # nothing pending: a second call loads nothing
     assert wh.read_ledger().count() == 6
+    rows = sorted(map(tuple, wh.read_report().collect()), key=repr)
+    main([*args, "--vacuum-hours", "0"])
+    assert len(wh.log.names()) == 1
+    assert sorted(map(tuple, Warehouse(spark, str(tmp_path / "wh")).read_report().collect()), key=repr) == rows
 
 
 def test_a_file_delivered_again(spark, tmp_path):

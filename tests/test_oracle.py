@@ -35,7 +35,7 @@ def _rows(cols, rows):
 
 def test_every_key_has_an_oracle():
     assert set(ORACLE_SQL) == set(QUERIES) <= set(ent.queries())
-    assert len(KEYS) == 43
+    assert len(KEYS) == 46
 
 
 @pytest.mark.parametrize("key", KEYS)
