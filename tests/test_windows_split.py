@@ -74,3 +74,18 @@ def test_plan_scans_the_fact_once_for_windows(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("REPARTITION_BY_COL") - final.count("ReusedExchange") <= 1 or "ReusedExchange" in final
+
+
+def test_lags_across_buckets_carry_one_row_a_bucket(spark, monkeypatch):
+    from cardlake.operators import windows
+
+    rows = [(f"t{k}", f"2021-03-0{1 + k // 9} {9 + k % 9:02d}:{5 * (k % 5):02d}:00", "C1", 50 - k, "REJECT", "T1") for k in range(27)]
+    e, carried, far_lags = enrich(fact(spark, rows), **dims(spark, cards=[("C1", "A1")])), [], windows._far_lags
+    monkeypatch.setattr(windows, "_far_lags", lambda *a: carried.append(far_lags(*a)) or carried[-1])
+    got = {r.trans_id: r for r in with_windows(e).collect()}
+    for k in range(2, 27):
+        r = got[f"t{k}"]
+        assert (r.prev_amt, r.prev2_amt, r.prev_result) == (51 - k, 52 - k, "REJECT")
+    far = carried[0]
+    assert far.count() == len({(r._card, r._bucket) for r in far.collect()})
+    assert set(far.columns) == {"_card", "_bucket", "_back1", "_back2"}  # no bucket's rows, only what is behind it
