@@ -197,3 +197,17 @@ def test_bad_amounts_fail_the_date_with_their_number(spark, tmp_root):
     with pytest.raises(BadAmounts, match=rf"{fx.DAYS[0]}: {n} row.*unparsable amount in transaction \d+: 1 500,5"):
         run(spark, src, wh, dates=fx.DAYS[:1])
     assert wh.loaded_dates() == [] and wh.read_fact().count() == 0
+
+
+def test_the_content_digest_of_a_staging(spark, tmp_root):
+    b = Warehouse(spark, tmp_root + "/wh").batch()
+    rows = [(k, f"P{k}", None if k % 2 else "x") for k in range(20)]
+    df = spark.createDataFrame(rows, "terminal_id int, terminal_type string, terminal_city string").selectExpr(
+        "CAST(terminal_id AS STRING) AS terminal_id", "terminal_type", "terminal_city", "CAST(NULL AS STRING) AS terminal_address")
+    for day, some in zip(fx.DAYS, (df, df.orderBy(F.desc("terminal_id")), df.where("terminal_id <> '3'")), strict=True):
+        b.write_staging("stg_terminals", some, day)
+    first, again, other = (b.entries[str(d), "stg/stg_terminals", ""] for d in fx.DAYS)
+    assert first.path == again.path and first.digest == again.digest != other.digest
+    assert first.digest.count("/") == 2  # two long sums a hash, no decimals
+    b.write_staging("stg_terminals", df.where("false"), fx.DAYS[0])
+    assert b.entries[str(fx.DAYS[0]), "stg/stg_terminals", ""].digest == "0-0/0-0/0"
